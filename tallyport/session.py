@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
 #: Fixed by the data model: UTC text <-> instant, ANSI arithmetic, TIME columns, runtime re-planning.
@@ -29,3 +33,17 @@ def build(app: str = "tallyport", master: str | None = None, **conf: str) -> Spa
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
     return builder.getOrCreate()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this library to the Python workers, once a context: they may not have it installed."""
+    context = spark.sparkContext
+    if getattr(context, "_tallyport_shipped", False):
+        return
+    root = Path(__file__).parent
+    bundle = Path(tempfile.mkdtemp(prefix="tallyport-")) / "tallyport.zip"
+    with zipfile.ZipFile(bundle, "w") as out:
+        for path in sorted(root.rglob("*.py")):
+            out.write(path, path.relative_to(root.parent))
+    context.addPyFile(str(bundle))
+    context._tallyport_shipped = True
