@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyport.llm import mixing, sharding, simhash
+from tallyport.llm import mixing, sharding, simhash, tokens, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_kneser_ney_toxicity": toxicity.query,
         "op4_simhash_near_dedup": simhash.query,
         "op8_mix_sources": mixing.query,
+        "op9_token_segments": tokens.query,
         "op10_shard_slots": sharding.query,
     }
 
