@@ -6,11 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyport.llm import mixing, sharding, simhash, tokens, toxicity
+from tallyport.llm import decontaminate, mixing, sharding, simhash, tokens, toxicity
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "pipeline": pipeline,
+        "op2_template_decontamination": decontaminate.query,
         "op3_kneser_ney_toxicity": toxicity.query,
         "op4_simhash_near_dedup": simhash.query,
         "op8_mix_sources": mixing.query,

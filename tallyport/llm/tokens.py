@@ -168,7 +168,7 @@ class Encoder:
             pieces.append(split)
         if len(self.known) > CACHE_PIECES:
             self.known.clear()
-        missing = list(set().union(*(p for p in pieces if p)) - self.known.keys())
+        missing = list(set().union(*(p for p in pieces if p)).difference(self.known))
         for at in range(0, len(missing), 10_000):
             part = missing[at : at + 10_000]
             self.known.update(zip(part, self._raw(part), strict=True))

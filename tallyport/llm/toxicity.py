@@ -186,7 +186,7 @@ class Model:
     def features(self, found: list[str]) -> tuple[float, float, float, float]:
         if len(self.known) > CACHE_WORDS:
             self.known.clear()
-        for word in set(found) - self.known.keys():
+        for word in set(found).difference(self.known):
             self.known[word] = word_ratio(word, self.seen, self.unseen)
         return evidence(found, self.known)
 
