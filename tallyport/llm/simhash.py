@@ -141,21 +141,3 @@ def near_duplicates(docs: DataFrame, width: int = 3) -> DataFrame:
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
-
-
-def _key(doc_id: Column, text: Column) -> Column:
-    """Tells rows apart, but for those that repeat; orders them by doc_id, null last."""
-    return F.struct(doc_id.isNull().alias("none"), F.coalesce(doc_id, F.lit(0)).alias("id"), F.xxhash64(text).alias("h"))
-
-
-def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component the row with the smallest doc_id (of rows that repeat, one)."""
-    ship(spark)
-    key = _key(F.col("doc_id"), F.col("text"))
-    rows = cut(docs.select("doc_id", fingerprints()(F.col("text").cast("binary")).alias("fp"), key.alias("key")), "simhash")
-    of = cut(classes(rows.select("doc_id", "fp")), "simhash-classes")
-    kept = cut(rows.join(of, "fp").groupBy("root").agg(F.min("key").alias("key")).select("key.*"), "simhash-kept")
-    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), key.alias("key")).select("row", "key.*")
-    chosen = whole.join(kept, ["none", "id", "h"], "left_semi")
-    first = F.row_number().over(Window.partitionBy("none", "id", "h").orderBy("none", "id", "h"))
-    return chosen.withColumn("nth", first).where("nth = 1").select("row.*")
