@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyport.llm import decontaminate, mixing, sharding, simhash, tokens, toxicity
+from tallyport.llm import decontaminate, fingerprints, mixing, sharding, simhash, tokens, toxicity
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +18,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "pipeline": pipeline,
+        "op1_bottom_k_fingerprints": fingerprints.query,
         "op2_template_decontamination": decontaminate.query,
         "op3_kneser_ney_toxicity": toxicity.query,
         "op4_simhash_near_dedup": simhash.query,
