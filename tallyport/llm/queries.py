@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyport.llm import decontaminate, fingerprints, mixing, pii, sharding, simhash, tokens, toxicity
+from tallyport.llm import decontaminate, fingerprints, licenses, mixing, pii, sharding, simhash, tokens, toxicity
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +22,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_template_decontamination": decontaminate.query,
         "op3_kneser_ney_toxicity": toxicity.query,
         "op4_simhash_near_dedup": simhash.query,
+        "op5_license_windows": licenses.query,
         "op6_pii_boosted_spans": pii.query,
         "op8_mix_sources": mixing.query,
         "op9_token_segments": tokens.query,
