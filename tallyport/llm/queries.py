@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyport.llm import decontaminate, fingerprints, licenses, mixing, pii, sharding, simhash, tokens, toxicity
+from tallyport.llm import decontaminate, fingerprints, katz, licenses, mixing, pii, sharding, simhash, tokens, toxicity
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,6 +24,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_simhash_near_dedup": simhash.query,
         "op5_license_windows": licenses.query,
         "op6_pii_boosted_spans": pii.query,
+        "op7_katz_backoff": katz.query,
         "op8_mix_sources": mixing.query,
         "op9_token_segments": tokens.query,
         "op10_shard_slots": sharding.query,
