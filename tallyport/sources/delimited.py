@@ -55,6 +55,7 @@ def scan(spark: SparkSession, path: str, dialect: Dialect = CSV, columns: list[s
 
 
 def split_bad(scanned: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(good rows, bad records). Spark can't answer from the bad column alone, so the others are read with it."""
-    good = scanned.where(F.col(BAD).isNull()).drop(BAD)
-    return good, scanned.where(F.col(BAD).isNotNull()).select(BAD)
+    """(good rows, bad records with what was read of them). A query on BAD alone would not parse the other columns, so
+    both sides keep a reference to all of them."""
+    parsed = scanned.where(F.hash(*(F.col(f"`{c}`") for c in scanned.columns)).isNotNull())
+    return parsed.where(F.col(BAD).isNull()).drop(BAD), parsed.where(F.col(BAD).isNotNull())

@@ -1,0 +1 @@
+"""No streaming operators: every file that is moved is finite."""
