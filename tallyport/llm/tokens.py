@@ -39,7 +39,7 @@ SAMPLE = 256
 #: Ids after which a segment ends (with its document).
 SEGMENT_IDS = 2_000_000
 #: Pieces a worker remembers; when full it forgets all.
-CACHE_PIECES = 600_000
+CACHE_PIECES = 1_000_000
 _HEADER = struct.Struct("<4sBBHQQQ")
 _EF_HEADER = struct.Struct("<BQqQ")
 
@@ -139,11 +139,14 @@ class Segment:
 
 #: Characters that every Unicode version classes alike, in whose texts a blank between non-blanks starts a new piece.
 _PLAIN = re.compile("[\t\n\r -~¡-ɏ‐-‧]*")
-_JOINED = re.compile(r"\s | \s")
+#: In such texts, what makes a blank part of a longer run of white space.
+_JOINED = ("  ", " \n", "\n ", " \t", "\t ", "\r", "\n\n", "\n\t", "\t\n")
+#: Pieces that are encoded as lines of one text.
+_LINES = 2000
 
 
 class Encoder:
-    """Encodes texts piece by piece; a piece is a word with the blank before it, which the vocabulary's own
+    """Encodes texts piece by piece; a piece is a word with the blank before it, or a line end, which the vocabulary's own
     pre-tokeniser never joins to its neighbours. Other texts are encoded as a whole."""
 
     def __init__(self, path: str) -> None:
@@ -151,7 +154,9 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.never = [*_JOINED, *(t.content for t in self.tokenizer.get_added_tokens_decoder().values())]
+        line_end = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.line_end = line_end[0] if len(line_end) == 1 else -1
         self.wide = self.tokenizer.get_vocab_size() > 1 << 16
         self.known: dict[str, bytes] = {}
 
@@ -159,19 +164,37 @@ class Encoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
 
+    def _learn(self, pieces: list[str]) -> None:
+        """Remember the ids of plain pieces. Those on one line are joined by line ends, which are pieces of their own,
+        so one call encodes thousands."""
+        lines = [p for p in pieces if "\n" not in p and "\t" not in p and p.strip(" ")]
+        others = set(pieces).difference(lines)
+        for at in range(0, len(lines), _LINES):
+            part = lines[at : at + _LINES]
+            ids = np.array(self.tokenizer.encode_batch_fast(["\n".join(part)], add_special_tokens=False)[0].ids, dtype="<u4")
+            ends = np.flatnonzero(ids == self.line_end)
+            if len(ends) != len(part) - 1:
+                others.update(part)
+                continue
+            raw = ids.tobytes()
+            starts = [0, *(4 * ends + 4).tolist()]
+            self.known.update(zip(part, [raw[i:j] for i, j in zip(starts, [*(4 * ends).tolist(), len(raw)], strict=True)], strict=True))
+        rest = list(others)
+        for at in range(0, len(rest), _LINES):
+            part = rest[at : at + _LINES]
+            self.known.update(zip(part, self._raw(part), strict=True))
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text, the end id last."""
         pieces: list[list[str] | None] = []
         for text in texts:
-            plain = _PLAIN.fullmatch(text) and not _JOINED.search(text) and not any(s in text for s in self.special)
-            split = text.replace(" ", "\0 ").split("\0") if plain else None
+            plain = _PLAIN.fullmatch(text) and not any(s in text for s in self.never)
+            split = text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0") if plain else None
             pieces.append(split)
         if len(self.known) > CACHE_PIECES:
             self.known.clear()
         missing = list(set().union(*(p for p in pieces if p)).difference(self.known))
-        for at in range(0, len(missing), 10_000):
-            part = missing[at : at + 10_000]
-            self.known.update(zip(part, self._raw(part), strict=True))
+        self._learn(missing)
         get, end = self.known.__getitem__, np.array([END_ID], dtype="<u4").tobytes()
         out = []
         for text, split in zip(texts, pieces, strict=True):
