@@ -8,8 +8,6 @@ ROOT = Path(__file__).resolve().parent.parent
 sys.path.insert(0, str(ROOT))
 os.environ.setdefault("PYSPARK_PYTHON", sys.executable)
 
-SF = Path("/root/testdata/sf0.001")
-
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
