@@ -9,6 +9,10 @@ All tables are partitioned by the hash of the history word into buckets and trav
 3. score: with the answers a bucket knows P(word), P(word | history) and the backoff weight of each of its histories, and
    sums the log-probabilities of its tokens by document; the documents' sums over buckets follow.
 
+Frequent histories (HEAVY at most, from a bounded sample; the choice moves work and changes no result) are spread over
+all buckets by the word that follows. Their counts, and the counts of counts that give their seen mass, come with the
+summed statistics; only the backoff weight needs a sum over buckets, so their unseen events wait for it.
+
 P(w | h) = d(c) c(h, w) / c(h) if the bigram was seen, else alpha(h) P(w); alpha(h) = (1 - seen mass) / (1 - P of the words
 seen after h). P(w) = d(c) c / N, and what discounting frees goes to one class of unknown words. Where counts give no valid
 Good-Turing discount, none is made, and a history left without free mass gives up 1 / (c(h) + 1).
@@ -21,6 +25,7 @@ the unknown class, 1, and the base score that of the formula.
 from __future__ import annotations
 
 import struct
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyport.llm.common import table
+from tallyport.llm.common import cut, table
 from tallyport.session import ship
 
 #: Counts up to this are discounted.
@@ -40,6 +45,10 @@ KATZ_K = 5
 BUCKET_BYTES = 16_000_000
 BLOCK_TOKENS = 3_000_000
 CACHE_WORDS = 500_000
+#: Most histories that are spread, the least share of tokens that makes one frequent, and the documents that tell.
+HEAVY = 400
+HEAVY_SHARE = 1 / 4000
+HEAVY_SAMPLE = 400
 _BITS = np.uint64((1 << 48) - 1)
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 #: Words never contain white space, so these are no word's hash but by chance.
@@ -84,7 +93,13 @@ def _starts(*sorted_keys: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
-def packer(buckets: int):  # noqa: ANN201
+def placed(hist: np.ndarray, nxt: np.ndarray, heavy: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket of each bigram: its history's, or for frequent histories one by the word that follows."""
+    mixed = (nxt ^ (hist >> np.uint64(7))) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(20)
+    return np.where(np.isin(hist, heavy), mixed, hist) % np.uint64(buckets)
+
+
+def packer(buckets: int, heavy: np.ndarray):  # noqa: ANN201
     """mapInPandas function: (key, known, held, text) to PACKED rows: data of each bucket and one meta row a block."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -99,11 +114,12 @@ def packer(buckets: int):  # noqa: ANN201
             nxt = np.concatenate([np.append(h, np.uint64(END)) for h in hashes])
             hist = np.concatenate([np.append(np.uint64(START), h) for h in hashes])
             doc = np.repeat(np.arange(len(hashes), dtype=np.uint64) * np.uint64(2) + (np.array(flags, np.uint64) & np.uint64(1)), sizes + 1)
-            order = np.lexsort((doc, nxt, hist, hist % np.uint64(buckets)))
-            hist, nxt, doc = hist[order], nxt[order], doc[order]
+            bucket = placed(hist, nxt, heavy, buckets)
+            order = np.lexsort((doc, nxt, hist, bucket))
+            hist, nxt, doc, bucket = hist[order], nxt[order], doc[order], bucket[order]
             pairs = _starts(hist, nxt)
             ph, pw, pn = hist[pairs], nxt[pairs], np.diff(np.append(pairs, len(hist)))
-            edges = np.searchsorted(ph % np.uint64(buckets), np.arange(buckets + 1))
+            edges = np.searchsorted(bucket[pairs], np.arange(buckets + 1))
             out = [(number % buckets, "m", number, freeze(np.array(keys, np.int64).view(np.uint64), np.array(flags, np.uint64), sizes.astype(np.uint64)))]
             for b in range(buckets):
                 i, j = int(edges[b]), int(edges[b + 1])
@@ -135,9 +151,9 @@ def packer(buckets: int):  # noqa: ANN201
 
 
 class Bucket:
-    """The merged bigrams of a bucket: pairs (h, w) in order with training counts c, histories with their counts."""
+    """The merged bigrams of a bucket: pairs (h, w) in order with training counts c, histories with their counts here."""
 
-    def __init__(self, payloads: list[bytes]) -> None:
+    def __init__(self, payloads: list[bytes], heavy: np.ndarray) -> None:
         self.blocks = [thaw(p) for p in payloads]
         hs, ws, cs = [], [], []
         for heads, runs, words, per_pair, docs, _ in self.blocks:
@@ -159,33 +175,49 @@ class Bucket:
         self.of_history = np.repeat(np.arange(len(heads)), np.diff(np.append(heads, len(self.h))))
         self.histories = self.h[heads]
         self.history_count = np.add.reduceat(self.c, heads) if len(heads) else np.zeros(0, np.int64)
+        #: Place of each history in `heavy`, which is sorted; -1 for others.
+        self.heavy = heavy
+        self.heavy_of = find(heavy, self.histories)
 
     def wanted(self) -> np.ndarray:
-        """The words that follow, but for the end, in order."""
+        """The words that follow, in order, but for the end and those whose counts come with the statistics."""
         found = np.unique(self.w)
-        return found[found != END]
+        return found[(found != END) & (find(self.heavy, found) < 0)]
+
+
+def find(known: np.ndarray, asked: np.ndarray) -> np.ndarray:
+    """Places in a sorted array; -1 where it has no such value."""
+    if not len(known):
+        return np.full(len(asked), -1)
+    at = np.minimum(np.searchsorted(known, asked), len(known) - 1)
+    return np.where(known[at] == asked, at, -1)
 
 
 def _histogram(c: np.ndarray) -> np.ndarray:
     return np.bincount(np.minimum(c[c > 0], KATZ_K + 2), minlength=KATZ_K + 3)[1 : KATZ_K + 2]
 
 
-def counter(buckets: int):  # noqa: ANN201
+def counter(buckets: int, heavy: np.ndarray):  # noqa: ANN201
     """A bucket's PACKED rows to SENT rows: its unigram counts, what it asks of each bucket, and its statistics."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         own = int(rows["bucket"].iloc[0])
         data = rows[rows["kind"] == "d"].sort_values("block")
-        b = Bucket(data["payload"].tolist())
-        words = (b.history_count > 0) & (b.histories != START)
+        b = Bucket(data["payload"].tolist(), heavy)
+        words = (b.history_count > 0) & (b.heavy_of < 0)
         u = b.history_count[words]
-        docs = int(b.history_count[b.histories == START].sum())
         out = [(own, "u", own, freeze(b.histories[words], u.astype(np.uint64)))]
         wanted = b.wanted()
         to = wanted % np.uint64(buckets)
         for target in np.unique(to).tolist():
             out.append((int(target), "r", own, freeze(wanted[to == target])))
-        stats = np.concatenate(([u.sum(), len(u), docs], _histogram(b.c), _histogram(u))).astype(np.uint64)
+        # For each frequent history its count here, and how many of its words were seen 1..KATZ_K times.
+        spread = np.zeros((len(heavy), KATZ_K + 1), np.int64)
+        of_pair = b.heavy_of[b.of_history] if len(b.h) else np.zeros(0, np.int64)
+        np.add.at(spread[:, 0], of_pair[of_pair >= 0], b.c[of_pair >= 0])
+        few = (of_pair >= 0) & (b.c > 0) & (b.c <= KATZ_K)
+        np.add.at(spread, (of_pair[few], b.c[few]), 1)
+        stats = np.concatenate(([u.sum(), len(u)], _histogram(b.c), _histogram(u), spread.ravel())).astype(np.uint64)
         out.append((-1, "s", own, freeze(stats)))
         return pd.DataFrame(out, columns=["bucket", "kind", "source", "payload"])
 
@@ -229,17 +261,24 @@ def discounts(n: np.ndarray) -> np.ndarray:
 class Unigrams:
     """P of a word by its count."""
 
-    def __init__(self, stats: np.ndarray) -> None:
-        words, distinct, docs = (int(x) for x in stats[:3])
+    def __init__(self, stats: np.ndarray, heavy: np.ndarray) -> None:
+        head = 2 + 2 * (KATZ_K + 1)
+        words, distinct = (int(x) for x in stats[:2])
+        spread = stats[head:].astype(np.int64).reshape(len(heavy), KATZ_K + 1)
+        self.heavy_count, few = spread[:, 0], spread[:, 1:]
+        is_start = heavy == START
+        frequent = self.heavy_count[~is_start]
+        docs = int(self.heavy_count[is_start].sum())
         #: The end is one more distinct token, seen once a document.
-        self.n, self.v, self.docs = words + docs, distinct + (docs > 0), docs
-        per_count = stats[3 + KATZ_K + 1 :].astype(np.int64).copy()
-        if 0 < docs <= KATZ_K + 1:
-            per_count[docs - 1] += 1
-        self.bigram, self.unigram = discounts(stats[3 : 3 + KATZ_K + 1]), discounts(per_count)
+        self.n, self.v, self.docs = words + int(frequent.sum()) + docs, distinct + int((frequent > 0).sum()) + (docs > 0), docs
+        per_count = stats[2 + KATZ_K + 1 : head].astype(np.int64) + _histogram(np.append(frequent, docs))
+        self.bigram, self.unigram = discounts(stats[2 : 2 + KATZ_K + 1]), discounts(per_count)
         freed = sum(per_count[r - 1] * r * (1 - self.unigram[r]) for r in range(1, KATZ_K + 1)) / self.n if self.n else 1.0
         self.unknown = max(freed, 0.5 / (self.n + 0.5 * (self.v + 1))) if self.n else 1.0
         self.scale = (1 - self.unknown) / (1 - freed) if freed < 1 else 0.0
+        given_up = few @ (np.arange(1, KATZ_K + 1) * (1 - self.bigram[1 : KATZ_K + 1]))
+        #: Seen mass of each frequent history.
+        self.heavy_mass = np.where(self.heavy_count > 0, 1 - given_up / np.maximum(1, self.heavy_count), 0.0)
 
     def p(self, c: np.ndarray) -> np.ndarray:
         seen = self.unigram[np.minimum(c, KATZ_K + 1)] * c / max(1, self.n) * self.scale
@@ -249,63 +288,95 @@ class Unigrams:
         return np.log10((c + 0.5) / (self.n + 0.5 * (self.v + 1)))
 
 
-def conditional(b: Bucket, follower_count: np.ndarray, uni: Unigrams) -> np.ndarray:
-    """log10 P(w | h) of each merged pair."""
+def kept_share(mass: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """What a history without free mass keeps of its own."""
+    return np.where(1 - mass < 1e-9, count / (count + 1.0), 1.0)
+
+
+def conditional(b: Bucket, totals: np.ndarray, follower_count: np.ndarray, uni: Unigrams) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """log10 P(w | h) of each merged pair, where unseen words of a frequent history still lack their backoff weight; which
+    those are; and for each frequent history the probability of the words seen after it here."""
     p_word = uni.p(follower_count)
     seen = b.c > 0
-    total = b.history_count[b.of_history]
-    raw = np.where(seen, uni.bigram[np.minimum(b.c, KATZ_K + 1)] * b.c / np.maximum(1, total), 0.0)
-    n = len(b.histories)
+    raw = np.where(seen, uni.bigram[np.minimum(b.c, KATZ_K + 1)] * b.c / np.maximum(1, totals[b.of_history]), 0.0)
+    n, is_heavy = len(b.histories), b.heavy_of >= 0
     mass = np.bincount(b.of_history, raw, n)
-    other = 1 - np.bincount(b.of_history, np.where(seen, p_word, 0.0), n)
-    scale = np.where(1 - mass < 1e-9, b.history_count / (b.history_count + 1.0), 1.0)
-    alpha = np.where(b.history_count > 0, (1 - mass * scale) / np.maximum(other, 1e-300), 1.0)
+    mass[is_heavy] = uni.heavy_mass[b.heavy_of[is_heavy]]
+    followers = np.bincount(b.of_history, np.where(seen, p_word, 0.0), n)
+    scale = kept_share(mass, totals)
+    alpha = np.where((totals > 0) & ~is_heavy, (1 - mass * scale) / np.maximum(1 - followers, 1e-300), 1.0)
+    partial = np.zeros(len(b.heavy))
+    partial[b.heavy_of[is_heavy]] = followers[is_heavy]
     with np.errstate(divide="ignore"):
-        return np.log10(np.where(seen, raw * scale[b.of_history], alpha[b.of_history] * p_word))
+        logs = np.log10(np.where(seen, raw * scale[b.of_history], alpha[b.of_history] * p_word))
+    return logs, ~seen & (is_heavy & (totals > 0))[b.of_history], partial
 
 
-def scorer(buckets: int):  # noqa: ANN201
+def scorer(buckets: int, heavy: np.ndarray):  # noqa: ANN201
     """A bucket's PACKED rows and the answers it got to sums by document, one row a block."""
 
     def run(rows: pd.DataFrame, sent: pd.DataFrame) -> pd.DataFrame:
         out = [(block, "m", payload) for kind, block, payload in rows[["kind", "block", "payload"]].itertuples(index=False) if kind == "m"]
         data = rows[rows["kind"] == "d"].sort_values("block")
-        stats = thaw(sent[sent["kind"] == "t"]["payload"].iloc[0])[0]
-        uni = Unigrams(stats)
+        uni = Unigrams(thaw(sent[sent["kind"] == "t"]["payload"].iloc[0])[0], heavy)
         if len(data):
-            b = Bucket(data["payload"].tolist())
+            b = Bucket(data["payload"].tolist(), heavy)
             wanted = b.wanted()
             counts, to = np.zeros(len(wanted), np.int64), wanted % np.uint64(buckets)
             for source, payload in sent[sent["kind"] == "a"][["source", "payload"]].itertuples(index=False):
                 counts[to == source] = thaw(payload)[0]
-            at = np.minimum(np.searchsorted(wanted, b.w), max(0, len(wanted) - 1))
-            follower = np.where(b.w == END, uni.docs, counts[at] if len(wanted) else 0)
-            score = conditional(b, follower, uni)
+            # The last place stands for words that none of the lists has.
+            known = np.concatenate((counts, uni.heavy_count, [uni.docs]))
+            follower = known[np.where(b.w == END, len(known) - 1, np.where(find(heavy, b.w) >= 0, len(counts) + find(heavy, b.w), find(wanted, b.w)))]
+            totals = np.where(b.heavy_of >= 0, uni.heavy_count[b.heavy_of], b.history_count) if len(heavy) else b.history_count
+            score, waits, partial = conditional(b, totals, follower, uni)
             word = (b.h != START).astype(np.float64)
-            own = b.history_count[b.of_history]
-            base, known = uni.base(own) * word, (own > 0) * word
+            own = totals[b.of_history]
+            base, seen = uni.base(own) * word, (own > 0) * word
             for (_, _, _, per_pair, docs, size), place, block in zip(b.blocks, b.places, data["block"].tolist(), strict=True):
                 pair, doc, n = np.repeat(place, per_pair.astype(np.int64)), (docs >> np.uint64(1)).astype(np.int64), int(size[0])
-                sums = [np.bincount(doc, x[pair], n) for x in (score, base, known)]
-                out.append((block, "p", freeze(sums[0], sums[1], sums[2].astype(np.uint64))))
+                sums = [np.bincount(doc, x[pair], n) for x in (score, base, seen)]
+                late = waits[pair]
+                later, times = np.unique(doc[late] * len(heavy) + b.heavy_of[b.of_history[pair[late]]], return_counts=True)
+                out.append((block, "p", freeze(sums[0], sums[1], sums[2].astype(np.uint64), later.astype(np.uint64), times.astype(np.uint64))))
+            out.append((-1, "f", freeze(partial, uni.heavy_mass, uni.heavy_count.astype(np.uint64))))
         # The end token of each document is no history; its part goes with the meta rows.
         end = np.array([uni.docs])
         tail = freeze(np.array([uni.base(end)[0], float(uni.docs > 0), float(uni.n)]))
-        out = [(block, kind, payload, tail if kind == "m" else b"") for block, kind, payload in out]
-        return pd.DataFrame(out, columns=["block", "kind", "payload", "tail"])
+        return pd.DataFrame([(block, kind, payload, tail if kind == "m" else b"") for block, kind, payload in out], columns=["block", "kind", "payload", "tail"])
 
     return run
 
 
-def _documents(rows: pd.DataFrame) -> pd.DataFrame:
-    """A block's sums and meta row to its documents."""
+def _follower_sum(rows: pd.DataFrame) -> pd.DataFrame:
+    parts = [thaw(p) for p in rows["payload"]]
+    return pd.DataFrame({"payload": [freeze(np.sum([p[0] for p in parts], axis=0), parts[0][1], parts[0][2])]})
+
+
+def weights(payload: bytes | None) -> np.ndarray:
+    """log10 of the backoff weights of the frequent histories from the summed probabilities of the words after them."""
+    if payload is None:
+        return np.zeros(0)
+    followers, mass, count = thaw(payload)
+    count = count.astype(np.int64)
+    return np.log10(np.where(count > 0, (1 - mass * kept_share(mass, count)) / np.maximum(1 - followers, 1e-300), 1.0))
+
+
+def documents(late: np.ndarray):  # noqa: ANN201
+    """Function of a block's sums and meta row to its documents; `late` has the frequent histories' backoff weights."""
+    return lambda rows: _documents(rows, late)
+
+
+def _documents(rows: pd.DataFrame, late: np.ndarray) -> pd.DataFrame:
     meta = rows[rows["kind"] == "m"].iloc[0]
     keys, flags, sizes = thaw(meta["payload"])
     end_base, end_known, trained = thaw(meta["tail"])[0]
     score, base, known = np.zeros(len(keys)), np.full(len(keys), end_base), np.full(len(keys), int(end_known), np.int64)
     for payload in rows[rows["kind"] == "p"].sort_values("payload")["payload"]:
-        s, b, k = thaw(payload)
+        s, b, k, later, times = thaw(payload)
         score, base, known = score + s, base + b, known + k.astype(np.int64)
+        if len(later):
+            np.add.at(score, (later // np.uint64(len(late))).astype(np.int64), late[(later % np.uint64(len(late))).astype(np.int64)] * times.astype(np.float64))
     ids = pd.array(keys.view(np.int64), dtype="Int64")
     ids[(flags & np.uint64(2)) == 0] = pd.NA
     return pd.DataFrame({
@@ -325,10 +396,27 @@ def score(docs: DataFrame, held: Column | None = None) -> DataFrame:
     rows = docs.select(F.coalesce("doc_id", F.lit(0)).cast("long").alias("key"), F.col("doc_id").isNotNull().alias("known"), held.alias("held"), F.col("text").cast("binary").alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(8, -(-size // BUCKET_BYTES))
-    packed = rows.mapInPandas(packer(buckets), PACKED)
-    answers = packed.groupBy("bucket").applyInPandas(counter(buckets), SENT).groupBy("bucket").applyInPandas(answerer(buckets), SENT)
-    sums = packed.groupBy("bucket").cogroup(answers.groupBy("bucket")).applyInPandas(scorer(buckets), "block long, kind string, payload binary, tail binary")
-    return sums.groupBy("block").applyInPandas(_documents, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    heavy = frequent(docs)
+    packed = rows.mapInPandas(packer(buckets, heavy), PACKED)
+    answers = packed.groupBy("bucket").applyInPandas(counter(buckets, heavy), SENT).groupBy("bucket").applyInPandas(answerer(buckets), SENT)
+    sums = packed.groupBy("bucket").cogroup(answers.groupBy("bucket")).applyInPandas(scorer(buckets, heavy), "block long, kind string, payload binary, tail binary")
+    sums = cut(sums, "katz-sums")
+    late = sums.where("kind = 'f'").groupBy("kind").applyInPandas(_follower_sum, "payload binary").collect()
+    late = weights(late[0].payload if late else None)
+    return sums.where("kind <> 'f'").groupBy("block").applyInPandas(documents(late), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+
+
+def frequent(docs: DataFrame) -> np.ndarray:
+    """The start and the words that are frequent in a sample of at most HEAVY_SAMPLE documents, sorted."""
+    place = F.xxhash64(F.lit("katz"), "doc_id")
+    ids = docs.where(F.col("doc_id").isNotNull()).select("doc_id").distinct().orderBy(place, "doc_id").limit(HEAVY_SAMPLE)
+    texts = docs.select("doc_id", F.col("text").cast("binary").alias("text")).join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"))
+    count: Counter[bytes] = Counter()
+    for row in texts.toLocalIterator():
+        count.update(bytes(row.text or b"").translate(_LOWER).split())
+    least = HEAVY_SHARE * sum(count.values())
+    words = [xxhash.xxh64_intdigest(w) & ((1 << 48) - 1) for w, n in count.most_common(HEAVY) if n >= least]
+    return np.unique(np.array([START, *words], dtype=np.uint64))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
