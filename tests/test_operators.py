@@ -97,3 +97,25 @@ def test_identifiers():
         ids.check_listable("s", "t", ["a,b"])
     assert ids.shown("a\u202eb") == "a?b"
     assert ids.parse_char("\\t") == "\t"
+
+
+def test_retries():
+    from tallyport.operators import remote
+
+    assert [remote.pause(n, lambda: 0.5) for n in (1, 2, 3, 9)] == [1, 2, 4, 30]
+    assert all(remote.is_transient(s) for s in ("08006", "53300", "57P01", "40001", "OC001"))
+    assert remote.is_transient(None, "query timed out after 180s")
+    assert not remote.is_transient("23505", "duplicate key")
+    assert remote.smaller_batch("Too many arguments for query", 2000, 40) == 500
+    assert remote.smaller_batch("syntax", 2000, 40) is None
+    calls: list[int] = []
+
+    def act():
+        calls.append(1)
+        if len(calls) < 3:
+            raise TimeoutError("it timed out")
+        return "done"
+
+    assert remote.retried(act, sleep=lambda s: None) == "done"
+    with pytest.raises(ValueError):
+        remote.retried(lambda: (_ for _ in ()).throw(ValueError("no")), sleep=lambda s: None)
