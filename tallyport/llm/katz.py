@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyport.llm.common import cut, table
+from tallyport.llm.common import fresh_path, table
 from tallyport.session import ship
 
 #: Counts up to this are discounted.
@@ -54,6 +54,7 @@ _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 #: Words never contain white space, so these are no word's hash but by chance.
 START, END = (xxhash.xxh64_intdigest(x) & ((1 << 48) - 1) for x in (b"\n start", b"\n end"))
 PACKED = "bucket long, kind string, block long, payload binary"
+STORED = "block long, payload binary, tail binary, kind string"
 SENT = "bucket long, kind string, source long, payload binary"
 
 
@@ -293,9 +294,10 @@ def kept_share(mass: np.ndarray, count: np.ndarray) -> np.ndarray:
     return np.where(1 - mass < 1e-9, count / (count + 1.0), 1.0)
 
 
-def conditional(b: Bucket, totals: np.ndarray, follower_count: np.ndarray, uni: Unigrams) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def conditional(b: Bucket, totals: np.ndarray, follower_count: np.ndarray, uni: Unigrams) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """log10 P(w | h) of each merged pair, where unseen words of a frequent history still lack their backoff weight; which
-    those are; and for each frequent history the probability of the words seen after it here."""
+    those are; for each frequent history the probability of the words seen after it here; and log10 of the backoff weight
+    of each history, 0 for frequent ones."""
     p_word = uni.p(follower_count)
     seen = b.c > 0
     raw = np.where(seen, uni.bigram[np.minimum(b.c, KATZ_K + 1)] * b.c / np.maximum(1, totals[b.of_history]), 0.0)
@@ -309,7 +311,7 @@ def conditional(b: Bucket, totals: np.ndarray, follower_count: np.ndarray, uni:
     partial[b.heavy_of[is_heavy]] = followers[is_heavy]
     with np.errstate(divide="ignore"):
         logs = np.log10(np.where(seen, raw * scale[b.of_history], alpha[b.of_history] * p_word))
-    return logs, ~seen & (is_heavy & (totals > 0))[b.of_history], partial
+    return logs, ~seen & (is_heavy & (totals > 0))[b.of_history], partial, np.log10(alpha)
 
 
 def scorer(buckets: int, heavy: np.ndarray):  # noqa: ANN201
@@ -329,7 +331,7 @@ def scorer(buckets: int, heavy: np.ndarray):  # noqa: ANN201
             known = np.concatenate((counts, uni.heavy_count, [uni.docs]))
             follower = known[np.where(b.w == END, len(known) - 1, np.where(find(heavy, b.w) >= 0, len(counts) + find(heavy, b.w), find(wanted, b.w)))]
             totals = np.where(b.heavy_of >= 0, uni.heavy_count[b.heavy_of], b.history_count) if len(heavy) else b.history_count
-            score, waits, partial = conditional(b, totals, follower, uni)
+            score, waits, partial, alpha = conditional(b, totals, follower, uni)
             word = (b.h != START).astype(np.float64)
             own = totals[b.of_history]
             base, seen = uni.base(own) * word, (own > 0) * word
@@ -339,6 +341,8 @@ def scorer(buckets: int, heavy: np.ndarray):  # noqa: ANN201
                 late = waits[pair]
                 later, times = np.unique(doc[late] * len(heavy) + b.heavy_of[b.of_history[pair[late]]], return_counts=True)
                 out.append((block, "p", freeze(sums[0], sums[1], sums[2].astype(np.uint64), later.astype(np.uint64), times.astype(np.uint64))))
+            taught = b.c > 0
+            out.append((int(rows["bucket"].iloc[0]), "b", freeze(b.h[taught], b.w[taught], b.c[taught].astype(np.uint64), b.histories, totals.astype(np.uint64), alpha.astype(np.float32))))
             out.append((-1, "f", freeze(partial, uni.heavy_mass, uni.heavy_count.astype(np.uint64))))
         # The end token of each document is no history; its part goes with the meta rows.
         end = np.array([uni.docs])
@@ -389,8 +393,9 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 1, F.lit(False))
 
 
-def score(docs: DataFrame, held: Column | None = None) -> DataFrame:
-    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score); rows where `held` is true teach nothing."""
+def score(docs: DataFrame, held: Column | None = None, path: str | None = None) -> DataFrame:
+    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score); rows where `held` is true teach nothing. The model's
+    tables are stored at `path`, partitioned by kind and bucket."""
     ship(docs.sparkSession)
     held = held_out(F.col("doc_id")) if held is None else held
     rows = docs.select(F.coalesce("doc_id", F.lit(0)).cast("long").alias("key"), F.col("doc_id").isNotNull().alias("known"), held.alias("held"), F.col("text").cast("binary").alias("text"))
@@ -400,10 +405,29 @@ def score(docs: DataFrame, held: Column | None = None) -> DataFrame:
     packed = rows.mapInPandas(packer(buckets, heavy), PACKED)
     answers = packed.groupBy("bucket").applyInPandas(counter(buckets, heavy), SENT).groupBy("bucket").applyInPandas(answerer(buckets), SENT)
     sums = packed.groupBy("bucket").cogroup(answers.groupBy("bucket")).applyInPandas(scorer(buckets, heavy), "block long, kind string, payload binary, tail binary")
-    sums = cut(sums, "katz-sums")
-    late = sums.where("kind = 'f'").groupBy("kind").applyInPandas(_follower_sum, "payload binary").collect()
+    # The model's tables (kind b) and the sums lie side by side, a folder for each kind.
+    path = path or fresh_path(docs.sparkSession, "katz")
+    sums.write.partitionBy("kind").parquet(path)
+    stored = docs.sparkSession.read.schema(STORED).parquet(path)
+    late = stored.where("kind = 'f'").groupBy("kind").applyInPandas(_follower_sum, "payload binary").collect()
     late = weights(late[0].payload if late else None)
-    return sums.where("kind <> 'f'").groupBy("block").applyInPandas(documents(late), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    return stored.where("kind IN ('m', 'p')").groupBy("block").applyInPandas(documents(late), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+
+
+def bigrams(spark: SparkSession, path: str) -> DataFrame:
+    """(history, word, count, history_count, backoff) of a model stored by `score`: words as 48-bit hashes, backoff the
+    log10 weight of the history (0 for frequent ones, whose weight is summed over buckets when documents are scored)."""
+    ship(spark)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for payload in batch["payload"]:
+                h, w, c, histories, totals, alpha = thaw(payload)
+                at = np.searchsorted(histories, h)
+                yield pd.DataFrame({"history": h.astype(np.int64), "word": w.astype(np.int64), "count": c.astype(np.int64), "history_count": totals[at].astype(np.int64), "backoff": alpha[at].astype(np.float64)})
+
+    stored = spark.read.schema(STORED).parquet(path).where("kind = 'b'").select("payload")
+    return stored.mapInPandas(run, "history long, word long, count long, history_count long, backoff double")
 
 
 def frequent(docs: DataFrame) -> np.ndarray:

@@ -210,7 +210,7 @@ def test_pii_trains_adds_and_redacts(spark, empty):
 # 7 language model
 
 
-def test_katz_equals_brute_force(docs):
+def test_katz_equals_brute_force(docs, tmp_path):
     low = lambda t: "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "").encode().split()
     data = [(i, [*low(t), b"</s>"], i is not None and zlib.crc32(str(i).encode()) % 5 == 1) for i, t, *_ in rows()]
     count, pairs = Counter(), Counter()
@@ -244,7 +244,9 @@ def test_katz_equals_brute_force(docs):
     for i, w, h in data:
         base = sum(math.log10((count[x] + 0.5) / (n + 0.5 * (v + 1))) for x in w)
         want.append((i, h, len(w), sum(count[x] > 0 for x in w), n, base, sum(logp(a, b) for a, b in zip([b"<s>", *w], w, strict=False))))
-    got = sorted_rows(katz.score(docs))
+    got = sorted_rows(katz.score(docs, path=str(tmp_path / "m")))
+    stored = Counter(r["count"] for r in katz.bigrams(docs.sparkSession, str(tmp_path / "m")).collect())
+    assert stored == Counter(pairs.values())
     for a, b in zip(got, sorted(want, key=repr), strict=True):
         assert a[:5] == b[:5]
         assert a[5:] == pytest.approx(b[5:])
