@@ -43,8 +43,8 @@ from tallyport.session import ship
 KATZ_K = 5
 #: Bytes of text for each bucket; tokens after which a task's block is packed.
 BUCKET_BYTES = 16_000_000
-BLOCK_TOKENS = 3_000_000
-CACHE_WORDS = 500_000
+BLOCK_TOKENS = 1_000_000
+CACHE_WORDS = 300_000
 #: Most histories that are spread, the least share of tokens that makes one frequent, and the documents that tell.
 HEAVY = 400
 HEAVY_SHARE = 1 / 4000
@@ -118,6 +118,7 @@ def packer(buckets: int, heavy: np.ndarray):  # noqa: ANN201
             bucket = placed(hist, nxt, heavy, buckets)
             order = np.lexsort((doc, nxt, hist, bucket))
             hist, nxt, doc, bucket = hist[order], nxt[order], doc[order], bucket[order]
+            del order
             pairs = _starts(hist, nxt)
             ph, pw, pn = hist[pairs], nxt[pairs], np.diff(np.append(pairs, len(hist)))
             edges = np.searchsorted(bucket[pairs], np.arange(buckets + 1))
