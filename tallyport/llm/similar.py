@@ -1,24 +1,24 @@
-"""Near-duplicate texts by ball hashing of long SimHash fingerprints, verified on exact word shingles.
+"""Near-duplicate texts by SimHash fingerprints and shingle prefixes, verified on exact word shingles.
 
 This is the pipeline's form of the operator in `simhash`: five-word shingles and a similarity of 0.8. At that similarity
-64-bit fingerprints differ in about ten bits, beyond the reach of any ball; so a text gets BLOCKS fingerprints of 32 bits
-(over its distinct words, each block with its own hash), of which near copies have one within RADIUS bits almost surely
-(README gives the odds). In each block the two meet in the middle: every fingerprint emits all variants within half the
-radius, the variants are shuffled, and texts that collide are compared. A variant carries 16 bits of a MinHash of the
-words (another one in each block), so that unrelated texts do not meet however many there are.
-
-In a variant's bucket each text is paired with the member that meets the most others (as the original of many copies
-does), and in its own fingerprint's bucket also with the one before it in that order; of a block's buckets it keeps the
-best such partner. So a text asks for two partners a block at most, however large its group is. Pairs whose fingerprints differ in more than FAR of all bits are dropped
-unread: at SIMILARITY about 48 differ, with a deviation of 6.4. First each text is compared with its nearest partners
-only; of the other pairs, those that these links have joined already need no comparison, and the rest get theirs.
-Compared texts are linked if the exact sets of their shingles have a Jaccard similarity of SIMILARITY or more. Texts
-with the same words count as one text throughout.
+64-bit fingerprints differ in about ten bits, beyond the reach of any ball. So a text is dealt to buckets by two sorts
+of keys: BLOCKS fingerprints of 32 bits over its distinct words, each with 16 bits of a MinHash (near copies share one
+more often than not), and the prefix of its shingles. All shingles have one order, those that are frequent in a sample
+last; of two texts with Jaccard similarity SIMILARITY or more, the first n - ceil(SIMILARITY * n) + 1 shingles of each
+have one in common. So no similar pair fails to meet, whatever was edited; the sample bears on cost only.
+
+Every pair that meets is settled. In HUBS rounds each member of a bucket is compared with one central member (the one
+that meets most others, as the original of many copies does), and what is alike is joined. Then all pairs of members
+that meet and are not in one component are compared. Pairs are left out only by bounds that no similar pair breaks: the
+sizes of both sets, what can still follow the shared shingle in each, and the bits in which two bitmaps of the sets
+differ, at most the size of the sets' difference. Compared texts are linked if the exact sets of their shingles have a
+Jaccard similarity of SIMILARITY or more. Texts with the same words count as one text throughout.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from fractions import Fraction
 
 import numpy as np
 import pandas as pd
@@ -34,8 +34,14 @@ from tallyport.session import ship
 WIDTH = 5
 SIMILARITY = 0.8
 BLOCKS = 10
-BLOCK_BITS = 32
-FAR = 88
+#: Rounds in which a bucket's members are compared with one central member before all pairs are.
+HUBS = 2
+#: About as many texts tell which shingles are frequent, and at most so many shingles are broadcast as such.
+SAMPLE = 5000
+FREQUENT = 500_000
+#: Members of a bucket that are paired in one group; larger buckets are dealt out as pairs of groups.
+GROUP = 256
+_UP, _DOWN = Fraction(SIMILARITY).limit_denominator(1000).as_integer_ratio()
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
@@ -75,11 +81,70 @@ def similarity(a: frozenset[bytes], b: frozenset[bytes]) -> float:
     return both / (len(a) + len(b) - both) if a or b else 1.0
 
 
-@F.pandas_udf(T.StructType([T.StructField("h", T.LongType()), T.StructField("prints", T.ArrayType(T.LongType()))]))
-def _prints(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+def shingle_hashes(found: list[bytes]) -> np.ndarray:
+    """The distinct hashes of the shingles, in ascending order."""
+    if not found:
+        return np.zeros(0, np.uint64)
+    joined = b" ".join(found)
+    ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) + 1) - 1
+    starts = np.concatenate(([0], ends[:-1] + 1))
+    last = ends[WIDTH - 1 :] if len(found) >= WIDTH else ends[-1:]
+    return np.unique(np.array([xxhash.xxh64_intdigest(joined[a:b]) for a, b in zip(starts[: len(last)].tolist(), last.tolist(), strict=True)], dtype=np.uint64))
+
+
+def prefix(hashes: np.ndarray, frequent: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The shingles of which two similar sets share one at least. `frequent` has hashes in ascending order, and counts."""
+    known, counts = frequent
+    rank = np.zeros(len(hashes), np.int64)
+    if len(known):
+        at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+        rank = np.where(known[at] == hashes, counts[at], 0)
+    n = len(hashes)
+    return hashes[np.lexsort((hashes, rank))[: n + 1 + -n * _UP // _DOWN if n else 0]]
+
+
+def bitmap(hashes: np.ndarray) -> np.ndarray:
+    """512 bits as 8 longs: the parity of the hashes that fall on each."""
+    odd = np.bincount((hashes >> np.uint64(55)).astype(np.int64), minlength=512) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+
+
+_HASHES = T.ArrayType(T.LongType())
+
+
+@F.pandas_udf(_HASHES)
+def _shingle_hashes(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for texts in batches:
-        rows = [(np.uint64(xxhash.xxh64_intdigest(b" ".join(found := text_words(t)))).view(np.int64), block_prints(found)) for t in texts]
-        yield pd.DataFrame(rows, columns=["h", "prints"])
+        yield pd.Series([shingle_hashes(text_words(t)).view(np.int64) for t in texts], dtype=object)
+
+
+def frequent_shingles(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes (ascending) and counts of the shingles that repeat in a sample; the texts' hashes choose it."""
+    share = max(1, docs.count() // SAMPLE)
+    sample = docs.select(F.col("text").cast("binary").alias("text")).where(F.pmod(F.xxhash64("text"), F.lit(share)) == 0)
+    counted = sample.select(F.explode(_shingle_hashes("text")).alias("s")).groupBy("s").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    found = counted.orderBy(F.col("n").desc(), "s").limit(FREQUENT).toPandas()
+    hashes, counts = found["s"].to_numpy(np.int64).view(np.uint64), found["n"].to_numpy(np.int64)
+    order = np.argsort(hashes)
+    return hashes[order], counts[order]
+
+
+def _sketches(spark: SparkSession, frequent: tuple[np.ndarray, np.ndarray]):  # noqa: ANN202
+    """Pandas UDF: a text to the hash of its words, its number of shingles, its bitmap, its prefix and its fingerprints."""
+    shared = spark.sparkContext.broadcast(frequent)
+
+    @F.pandas_udf("struct<h:bigint,size:int,bitmap:array<bigint>,prefix:array<bigint>,prints:array<bigint>>")
+    def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in batches:
+            rows = []
+            for t in texts:
+                found = text_words(t)
+                hashes = shingle_hashes(found)
+                h = np.uint64(xxhash.xxh64_intdigest(b" ".join(found))).view(np.int64)
+                rows.append((h, len(hashes), bitmap(hashes), prefix(hashes, shared.value).view(np.int64), block_prints(found)))
+            yield pd.DataFrame(rows, columns=["h", "size", "bitmap", "prefix", "prints"])
+
+    return of
 
 
 @F.pandas_udf(T.BooleanType())
@@ -102,21 +167,62 @@ def _alike(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series
         yield pd.Series(out)
 
 
-def candidates(prints: DataFrame) -> DataFrame:
-    """(h, prints) of distinct texts to pairs (a, b) that collide in a block."""
-    masks = [0, *(1 << i for i in range(BLOCK_BITS))]
+def met(texts: DataFrame) -> DataFrame:
+    """(key, h, size, at) of distinct texts that share a key; `at` is the shingle's place, 0 for a fingerprint's key."""
     # The block's number fills the bits above its 48.
-    marked = prints.select("h", F.posexplode("prints").alias("k", "p")).select("h", F.col("p").bitwiseOR(F.shiftleft(F.col("k").cast("long"), 48)).alias("p"))
-    balls = marked.select("h", "p", F.explode(F.array(*map(F.lit, masks))).alias("m")).select("h", F.col("p").bitwiseXOR(F.col("m").cast("long")).alias("variant"), (F.col("m") == 0).alias("own"))
-    met = balls.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("variant"))).where("n > 1")
-    met = cut(met, "similar-met")
-    # How many others a text meets: copies of one original meet it more often than each other.
-    weight = met.groupBy("h").agg(F.sum(F.col("n") - 1).alias("weight"))
-    bucket = Window.partitionBy("variant").orderBy(F.col("weight").desc(), "h")
-    ranked = met.join(weight, "h").select("h", F.shiftright("variant", 48).alias("k"), "own", F.first(F.struct("weight", "h")).over(bucket).alias("first"), F.lag("h").over(bucket).alias("before"))
-    partners = ranked.where("before IS NOT NULL").groupBy("h", "k").agg(F.max("first")["h"].alias("first"), F.max(F.when(F.col("own"), F.col("before"))).alias("before"))
-    pairs = partners.select(F.explode(F.array_distinct(F.array(F.col("first"), F.coalesce("before", "first")))).alias("a"), F.col("h").alias("b")).where("a <> b")
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    prints = F.transform("prints", lambda p, k: F.struct(F.xxhash64(p.bitwiseOR(F.shiftleft(k.cast("long"), 48))).alias("key"), F.lit(0).alias("at")))
+    keys = F.concat(F.transform("prefix", lambda p, k: F.struct(p.alias("key"), k.alias("at"))), prints)
+    dealt = texts.where("size > 0").select("h", "size", F.explode(keys).alias("x")).select("x.key", "h", "size", "x.at")
+    return dealt.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("key"))).where("n > 1")
+
+
+def possible(a: str, b: str) -> Column:
+    """Whether a shared key leaves room for SIMILARITY: true of similar texts at the first shingle that they share."""
+    size = lambda x: F.col(f"{x}.size").cast("long")
+    rest = F.least(size(a) - F.col(f"{a}.at"), size(b) - F.col(f"{b}.at"))
+    return rest * (_UP + _DOWN) >= _UP * (size(a) + size(b))
+
+
+def close(a: str, b: str) -> Column:
+    """Whether the bitmaps leave room for SIMILARITY."""
+    apart = F.aggregate(F.zip_with(f"{a}.bitmap", f"{b}.bitmap", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
+    return apart.cast("long") * (_UP + _DOWN) <= (_DOWN - _UP) * (F.col(f"{a}.size").cast("long") + F.col(f"{b}.size"))
+
+
+def live(dealt: DataFrame, links: DataFrame | None) -> DataFrame:
+    """The members, with `root`, of the buckets whose members are not all in one component."""
+    roots = F.col("h") if links is None else F.coalesce("root", "h")
+    rooted = dealt if links is None else dealt.join(links, F.col("h") == F.col("node"), "left")
+    bucket = Window.partitionBy("key")
+    rooted = rooted.select(*dealt.columns, roots.alias("root"))
+    return rooted.withColumns({"least": F.min("root").over(bucket), "most": F.max("root").over(bucket)}).where("least <> most").drop("least", "most")
+
+
+def hub_pairs(members: DataFrame, nth: int, texts: DataFrame) -> DataFrame:
+    """Pairs (a, b) of each bucket's nth most central member and those after it."""
+    member = F.struct("h", "size", "at", "root")
+    bucket = Window.partitionBy("key").orderBy(F.col("weight").desc(), "h")
+    # Only running values, so that no bucket is held in memory.
+    ranked = members.select(F.struct("h", "size", "at", "root").alias("b"), F.row_number().over(bucket).alias("nth"), F.nth_value(member, nth + 1).over(bucket).alias("a"))
+    pairs = ranked.where((F.col("nth") > nth + 1) & (F.col("a.root") != F.col("b.root")) & possible("a", "b"))
+    pairs = pairs.select(F.col("a.h").alias("a"), F.col("b.h").alias("b")).distinct()
+    of = lambda side: texts.select(F.col("h").alias(side), F.struct("size", "bitmap").alias(f"{side}_text"))
+    return pairs.join(of("a"), "a").join(of("b"), "b").where(close("a_text", "b_text")).select("a", "b")
+
+
+def all_pairs(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """All pairs (a, b) of members of one bucket that are in two components."""
+    members = members.join(texts.select("h", "bitmap"), "h")
+    groups = F.ceil(F.col("n") / GROUP).cast("int")
+    member = F.struct("h", "size", "at", "root", "bitmap")
+    own = F.pmod(F.xxhash64("h"), groups).cast("int")
+    # A bucket's pairs are those of its groups: one side is dealt to its own group, the other to each.
+    left = members.select("key", own.alias("group"), member.alias("a"))
+    right = members.select("key", F.explode(F.sequence(F.lit(0), groups - 1)).alias("group"), member.alias("b"))
+    apart = (F.col("a.h") < F.col("b.h")) & (F.col("a.root") != F.col("b.root"))
+    x, y = left.alias("x"), right.alias("y")
+    same = (F.col("x.key") == F.col("y.key")) & (F.col("x.group") == F.col("y.group"))
+    return x.join(y, same & apart & possible("a", "b") & close("a", "b")).select(F.col("a.h").alias("a"), F.col("b.h").alias("b")).distinct()
 
 
 def key_of(doc_id: Column) -> list[Column]:
@@ -127,33 +233,33 @@ def key_of(doc_id: Column) -> list[Column]:
 def text_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows, roots): (none, id, h) of each row, h telling its words; and (h, root) of the texts that have a link."""
     ship(docs.sparkSession)
-    rows = docs.select(*key_of(F.col("doc_id")), _prints(F.col("text").cast("binary")).alias("p")).select("none", "id", "p.h", "p.prints")
+    sketch = _sketches(docs.sparkSession, frequent_shingles(docs))
+    rows = docs.select(*key_of(F.col("doc_id")), sketch(F.col("text").cast("binary")).alias("p")).select("none", "id", "p.*")
     rows = cut(rows, "similar-prints")
-    texts = rows.groupBy("h").agg(F.min(F.struct("none", "id")).alias("least"), F.first("prints").alias("prints"))
-    texts = cut(texts, "similar-texts")
-    pairs = cut(near_pairs(candidates(texts), texts), "similar-pairs")
-    # One row carries each text that has to be compared; only these rows' texts are shuffled.
+    texts = rows.groupBy("h").agg(F.min(F.struct("none", "id")).alias("least"), F.first(F.struct("size", "bitmap", "prefix", "prints")).alias("p"))
+    texts = cut(texts.select("h", "least", "p.*"), "similar-texts")
+    dealt = cut(met(texts), "similar-met")
+    # How many others a text meets: copies of one original meet it more often than each other.
+    weight = dealt.groupBy("h").agg(F.sum(F.col("n") - 1).alias("weight"))
+    dealt = cut(dealt.join(weight, "h"), "similar-weighed")
+    edges = roots = None
+    for nth in range(HUBS + 1):
+        members = live(dealt, roots)
+        pairs = cut(hub_pairs(members, nth, texts) if nth < HUBS else all_pairs(members, texts), "similar-pairs")
+        found = _compared(pairs, bearing(pairs, texts, docs))
+        edges = cut(found if edges is None else edges.union(found), "similar-links")
+        roots = components(edges)
+    return rows.select("none", "id", "h"), roots.withColumnRenamed("node", "h")
+
+
+def bearing(pairs: DataFrame, texts: DataFrame, docs: DataFrame) -> DataFrame:
+    """(h, text) of the texts that are in a pair. One row carries each; only these rows' texts are shuffled."""
     ids = pairs.select(F.col("a").alias("h")).union(pairs.select(F.col("b").alias("h"))).distinct()
     bearers = cut(texts.join(ids, "h").select("h", "least.*"), "similar-bearers")
     whole = docs.select(*key_of(F.col("doc_id")), F.col("text").cast("binary").alias("text")).join(small(bearers), ["none", "id"])
     # With a doc_id that repeats, a bearer may meet another row's text; its words tell.
     whole = whole.select("h", "text").where(_words_hash(F.col("text")) == F.col("h")).groupBy("h").agg(F.min("text").alias("text"))
-    whole = cut(whole, "similar-whole")
-    # The nearest partner below and the nearest above each text.
-    best = lambda own, other: pairs.groupBy(own).agg(F.min_by(other, F.struct("bits", other)).alias(other)).select("a", "b")
-    first = cut(_compared(best("b", "a").union(best("a", "b")).distinct(), whole), "similar-first")
-    joined = components(first)
-    of = lambda side: joined.select(F.col("node").alias(side), F.col("root").alias(f"{side}_root"))
-    apart = pairs.select("a", "b").join(of("a"), "a", "left").join(of("b"), "b", "left").where(F.coalesce("a_root", "a") != F.coalesce("b_root", "b"))
-    rest = cut(_compared(apart.select("a", "b"), whole), "similar-rest")
-    return rows.select("none", "id", "h"), components(first.union(rest)).withColumnRenamed("node", "h")
-
-
-def near_pairs(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """(a, b, bits) of the pairs whose fingerprints differ in at most FAR bits."""
-    of = lambda side: texts.select(F.col("h").alias(side), F.col("prints").alias(f"{side}_prints"))
-    apart = F.aggregate(F.zip_with("a_prints", "b_prints", lambda x, y: F.bit_count(x.bitwiseXOR(y).bitwiseAND(F.lit(0xFFFFFFFF)))), F.lit(0), lambda n, x: n + x)
-    return pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", apart.alias("bits")).where(F.col("bits") <= FAR)
+    return cut(whole, "similar-whole")
 
 
 def _compared(pairs: DataFrame, whole: DataFrame) -> DataFrame:

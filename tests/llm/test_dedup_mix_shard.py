@@ -198,3 +198,23 @@ def test_block_prints_of_near_copies_meet():
     assert missed <= 1
     assert np.array(similar.block_prints([])).sum() == 0
 
+
+
+def test_every_colliding_copy_is_found_in_families_that_share_words(spark):
+    shared = words(150, 1)
+    order = random.Random(3)
+    rows, extra = [], []
+    for i in range(300):
+        text = [*shared, *(f"own{i}x{k}" for k in range(30))]
+        copy = list(text)
+        at = 150 + i % 20
+        copy[at] = "edit"
+        rows += [(2 * i, " ".join(text), "en", "s", 0), (2 * i + 1, " ".join(copy), "en", "s", 0)]
+    # Equal sets of words: fingerprints and MinHash bits are equal in every block, shingles are not.
+    base = words(120, 2)
+    for i in range(40):
+        moved = order.sample(base, len(base))
+        again = [*moved[:60], "more", *moved[60:]]
+        extra += [(10_000 + 2 * i, " ".join(moved), "en", "s", 0), (10_001 + 2 * i, " ".join(again), "en", "s", 0)]
+    found = similar.stage(spark, spark.createDataFrame(rows + extra, SCHEMA), "")
+    assert sorted(r.doc_id for r in found.collect()) == [r[0] for r in rows + extra if r[0] % 2 == 0]
