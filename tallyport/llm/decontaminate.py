@@ -6,7 +6,8 @@ benchmark's by a hash table that is broadcast. Matching windows of a document an
 an alignment; its slots are checked: a benchmark value must stand for one document value throughout (a re-parameterised
 question), or else only windows whose slots are equal count. A document holds an item if the accepted windows cover
 COVERAGE of the item's. The same is done with plain lower-cased tokens, so a change of case or stops does not hide a
-copy. Windows with too few words that are not placeholders are not used.
+copy. A capitalised word that starts a sentence may be a name or not, so there are two templates: one where it is a
+word, and one where it is a name. A run of names within a sentence is one slot. Windows with too few words that are not placeholders are not used.
 
 The benchmark is the query set: it is taken in blocks of at most BLOCK_ITEMS items and BLOCK_CHARS characters, each
 broadcast on its own, so its size does not bound the method; every text is read whole, and documents are not shuffled.
@@ -73,8 +74,9 @@ class Coder:
         self.codes[at] = xxhash.xxh64_intdigest(low.encode("utf-8", "surrogatepass"))
         self.kinds[at] = _STOP if token[0] in ".!?\n" else _NUMBER if token[0].isdigit() else _UNIT if low in UNITS else _CAPITAL if token[0].isupper() and not token[1:].isupper() else _WORD
 
-    def code(self, text: str | None) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
-        """Tokens without stops; their plain codes, template codes, and whether they are placeholders."""
+    def code(self, text: str | None) -> list[tuple[list[str], np.ndarray, np.ndarray, np.ndarray]]:
+        """Three readings, plain and the two templates: tokens without stops, their codes, whether they are placeholders,
+        and the place of each among the plain tokens."""
         found = _TOKEN.findall(text) if text else []
         new = set(found).difference(self.at)
         if new:
@@ -86,10 +88,25 @@ class Coder:
         rows = np.fromiter(map(self.at.__getitem__, found), np.int64, len(found))
         codes, kinds = self.codes[rows], self.kinds[rows]
         before = np.concatenate((np.array([_STOP], np.int8), kinds[:-1]))[: len(kinds)]
-        name, number, unit = (kinds == _CAPITAL) & (before != _STOP), kinds == _NUMBER, (kinds == _UNIT) & (before == _NUMBER)
-        template = np.where(name, _NAME_CODE, np.where(number, _NUMBER_CODE, np.where(unit, _UNIT_CODE, codes)))
         keep = kinds != _STOP
-        return [t for t, k in zip(found, keep.tolist(), strict=True) if k], codes[keep], template[keep], (name | number | unit)[keep]
+        place = np.cumsum(keep) - 1
+        number, unit = kinds == _NUMBER, (kinds == _UNIT) & (before == _NUMBER)
+        words = [t for t, k in zip(found, keep.tolist(), strict=True) if k]
+        out = [(words, codes[keep], np.zeros(len(words), bool), place[keep])]
+        for initial in (False, True):
+            name = (kinds == _CAPITAL) if initial else (kinds == _CAPITAL) & (before != _STOP)
+            template = np.where(name, _NAME_CODE, np.where(number, _NUMBER_CODE, np.where(unit, _UNIT_CODE, codes)))
+            more = name.copy()
+            more[1:] &= name[:-1]
+            more[:1] = False
+            starts = np.flatnonzero(keep & ~more)
+            ends = np.append(starts[1:], len(found)) if len(starts) else starts
+            tokens = [found[at] for at in starts.tolist()]
+            for i in np.flatnonzero(more[np.minimum(starts + 1, len(found) - 1)] & (starts + 1 < len(found))).tolist() if len(starts) else ():
+                tokens[i] = " ".join(t for t, m in zip(found[starts[i] + 1 : ends[i]], more[starts[i] + 1 : ends[i]].tolist(), strict=True) if m)
+                tokens[i] = f"{found[starts[i]]} {tokens[i]}"
+            out.append((tokens, template[starts], (name | number | unit)[starts], place[starts]))
+        return out
 
 
 def window_hashes(codes: np.ndarray, size: int) -> np.ndarray:
@@ -108,59 +125,65 @@ class Index:
 
     def __init__(self, items: Iterable[tuple[int, str]]) -> None:
         coder = Coder()
-        self.items: dict[int, tuple[list[str], tuple[np.ndarray, np.ndarray], np.ndarray, int, tuple[int, int]]] = {}
-        self.windows: tuple[dict[tuple[int, int], list[tuple[int, int]]], ...] = (defaultdict(list), defaultdict(list))
+        #: Of each item and reading: tokens, codes, placeholders, size of windows, number of windows.
+        self.items: dict[int, list[tuple[list[str], np.ndarray, np.ndarray, int, int]]] = {}
+        self.windows: tuple[dict[tuple[int, int], list[tuple[int, int]]], ...] = (defaultdict(list), defaultdict(list), defaultdict(list))
         for item, text in items:
-            tokens, plain, template, slot = coder.code(text)
-            if len(tokens) < SHORTEST:
+            readings = coder.code(text)
+            if len(readings[0][0]) < SHORTEST:
                 continue
-            size = min(WINDOW, len(tokens))
-            used = [0, 0]
-            for way, codes in enumerate((plain, template)):
-                literal = np.convolve(~slot, np.ones(size), "valid") if way else None
+            self.items[item] = []
+            for way, (tokens, codes, slot, _) in enumerate(readings):
+                size, used = min(WINDOW, len(tokens)), 0
+                literal = np.convolve(~slot, np.ones(size), "valid")
                 for at, h in enumerate(window_hashes(codes, size).tolist()):
                     if way == 0 or literal[at] >= LITERAL * size:
                         self.windows[way][size, h].append((item, at))
-                        used[way] += 1
-            self.items[item] = (tokens, (plain, template), slot, size, (used[0], used[1]))
-        self.sizes = sorted({x[3] for x in self.items.values()})
+                        used += 1
+                self.items[item].append((tokens, codes, slot, size, used))
+        self.sizes = [sorted({x[way][3] for x in self.items.values()}) for way in range(3)]
         self.filters = []
-        for way in (0, 1):
+        for way in range(3):
             bits = np.zeros(1 << _FILTER_BITS, bool)
             bits[[h >> (64 - _FILTER_BITS) for _, h in self.windows[way]]] = True
             self.filters.append(bits)
 
     def hits(self, coder: Coder, text: str | None) -> list[dict]:
         """The items that a text holds."""
-        tokens, plain, template, _ = coder.code(text)
         best: dict[int, dict] = {}
-        for way, codes in enumerate((plain, template)):
+        for way, (tokens, codes, _, place) in enumerate(coder.code(text)):
             found: defaultdict[tuple[int, int], list[int]] = defaultdict(list)
-            for size in self.sizes:
+            for size in self.sizes[way]:
                 hashes = window_hashes(codes, size)
                 for at in np.flatnonzero(self.filters[way][hashes >> np.uint64(64 - _FILTER_BITS)]).tolist():
                     for item, pos in self.windows[way].get((size, int(hashes[at])), ()):
-                        if np.array_equal(self.items[item][1][way][pos : pos + size], codes[at : at + size]):
+                        if np.array_equal(self.items[item][way][1][pos : pos + size], codes[at : at + size]):
                             found[item, at - pos].append(pos)
             accepted: defaultdict[int, dict] = defaultdict(lambda: {"at": set(), "first": None, "changed": 0})
             for (item, shift), places in found.items():
                 self._accept(accepted[item], item, shift, places, tokens, way)
             for item, x in accepted.items():
-                coverage = len(x["at"]) / max(1, self.items[item][4][way])
+                if not x["at"]:
+                    continue
+                coverage = len(x["at"]) / max(1, self.items[item][way][4])
                 if coverage >= COVERAGE and (item not in best or coverage > best[item]["coverage"]):
                     kind = "reparameterised" if x["changed"] else "template" if way else "verbatim"
-                    best[item] = {"item_id": item, "coverage": coverage, "kind": kind, "first_token": x["first"], "changed_slots": x["changed"]}
+                    best[item] = {"item_id": item, "coverage": coverage, "kind": kind, "first_token": int(place[x["first"]]), "changed_slots": x["changed"]}
         return [best[item] for item in sorted(best)]
 
     def _accept(self, into: dict, item: int, shift: int, places: list[int], tokens: list[str], way: int) -> None:
         """Add an alignment's windows: all if its slots are consistent, else those whose slots are equal."""
-        own, _, slot, size, _ = self.items[item]
+        own, _, slot, size, _ = self.items[item][way]
         changed = 0
         if way:
             covered = sorted({p + k for p in places for k in range(size) if slot[p + k]})
             values: defaultdict[str, set[str]] = defaultdict(set)
             for p in covered:
-                values[own[p]].add(tokens[p + shift])
+                mine, theirs = own[p], tokens[p + shift]
+                # A run that starts with the same word on both sides ("If Alice", "If Carol") is judged by the rest.
+                while " " in mine and " " in theirs and mine.split(" ", 1)[0] == theirs.split(" ", 1)[0]:
+                    mine, theirs = mine.split(" ", 1)[1], theirs.split(" ", 1)[1]
+                values[mine].add(theirs)
             if any(len(v) > 1 for v in values.values()):
                 places = [p for p in places if all(own[p + k] == tokens[p + k + shift] for k in range(size) if slot[p + k])]
             else:

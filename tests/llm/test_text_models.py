@@ -302,3 +302,11 @@ def test_encoder_equals_whole_texts():
     odd = ["", "a", "  a b", "a  b ", "x\n y", "x\n\ny", "<|endoftext|> x", "don't we'll 12 34.5", "日本 語", "a b c", "\x00 a", "tab\tx y", "end ", " ", "\n\n", "é è", "12ab 3", "a — b", "x.\nY z"]
     for text, ids in zip(odd, coder.encode(odd), strict=True):
         assert ids.tolist() == [*coder.tokenizer.encode(text, add_special_tokens=False).ids, 0]
+
+
+def test_decontamination_takes_names_at_the_start_of_a_sentence_and_of_any_length():
+    index = decontaminate.Index([(1, "Ben sold 20 pens on Monday. Carl sold 15 more than Ben did. Dana sold 7 less than Carl. How many did Dana sell?")])
+    hits = lambda text: [(x["item_id"], x["kind"]) for x in index.hits(decontaminate.Coder(), text)]
+    assert hits("Well. Erin sold 31 pens on Friday. Frank sold 12 more than Erin did. Gina sold 9 less than Frank. How many did Gina sell?") == [(1, "reparameterised")]
+    assert hits("Mary Ann Lee sold 31 pens on Friday. Frank Moe sold 12 more than Mary Ann Lee did. Gina Roe sold 9 less than Frank Moe. How many did Gina Roe sell?") == [(1, "reparameterised")]
+    assert hits("") == hits("It rained. Nobody sold anything.") == []
