@@ -218,3 +218,15 @@ def test_every_colliding_copy_is_found_in_families_that_share_words(spark):
         extra += [(10_000 + 2 * i, " ".join(moved), "en", "s", 0), (10_001 + 2 * i, " ".join(again), "en", "s", 0)]
     found = similar.stage(spark, spark.createDataFrame(rows + extra, SCHEMA), "")
     assert sorted(r.doc_id for r in found.collect()) == [r[0] for r in rows + extra if r[0] % 2 == 0]
+
+
+def test_prefixes_of_similar_texts_meet_after_contiguous_edits():
+    none, met = (np.zeros(0, np.uint64), np.zeros(0, np.int64)), 0
+    for seed in range(150):
+        a = words(200, seed)
+        b = a[: 10 + seed] + words(30 + seed % 12, 5000 + seed) + a[10 + seed :]
+        x, y = (similar.shingle_hashes([w.encode() for w in t]) for t in (a, b))
+        if similar.similarity(frozenset(x.tolist()), frozenset(y.tolist())) >= 0.8:
+            met += 1
+            assert set(similar.prefix(x, none).tolist()) & set(similar.prefix(y, none).tolist())
+    assert met >= 20
