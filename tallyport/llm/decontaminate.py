@@ -74,9 +74,8 @@ class Coder:
         self.codes[at] = xxhash.xxh64_intdigest(low.encode("utf-8", "surrogatepass"))
         self.kinds[at] = _STOP if token[0] in ".!?\n" else _NUMBER if token[0].isdigit() else _UNIT if low in UNITS else _CAPITAL if token[0].isupper() and not token[1:].isupper() else _WORD
 
-    def code(self, text: str | None) -> list[tuple[list[str], np.ndarray, np.ndarray, np.ndarray]]:
-        """Three readings, plain and the two templates: tokens without stops, their codes, whether they are placeholders,
-        and the place of each among the plain tokens."""
+    def _rows(self, text: str | None) -> tuple[list[str], np.ndarray]:
+        """All tokens of a text, stops included, and the place of each in `codes` and `kinds`."""
         found = _TOKEN.findall(text) if text else []
         new = set(found).difference(self.at)
         if new:
@@ -85,7 +84,18 @@ class Coder:
                 new = set(found)
             for token in new:
                 self._learn(token)
-        rows = np.fromiter(map(self.at.__getitem__, found), np.int64, len(found))
+        return found, np.fromiter(map(self.at.__getitem__, found), np.int64, len(found))
+
+    def plain(self, text: str | None) -> tuple[list[str], np.ndarray]:
+        """The lower-cased reading alone: tokens without stops, and their codes."""
+        found, rows = self._rows(text)
+        keep = self.kinds[rows] != _STOP
+        return [t for t, k in zip(found, keep.tolist(), strict=True) if k], self.codes[rows[keep]]
+
+    def code(self, text: str | None) -> list[tuple[list[str], np.ndarray, np.ndarray, np.ndarray]]:
+        """Three readings, plain and the two templates: tokens without stops, their codes, whether they are placeholders,
+        and the place of each among the plain tokens."""
+        found, rows = self._rows(text)
         codes, kinds = self.codes[rows], self.kinds[rows]
         before = np.concatenate((np.array([_STOP], np.int8), kinds[:-1]))[: len(kinds)]
         keep = kinds != _STOP

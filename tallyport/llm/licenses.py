@@ -1,17 +1,22 @@
 """License scans: MinHash bands over overlapping text windows retrieve templates, exact shingle containment verifies.
 
-Templates are sorted into length classes (each LENGTH_STEP times the one before). For a class of c tokens, windows of
-c + stride tokens start at every stride tokens (an eighth of c), so some window holds any whole occurrence, and a
-template that is contained to CONTAINMENT resembles that window by at least `least_resemblance`. With BANDS bands of one
-MinHash value each, the odds of missing it are (1 - resemblance) ** BANDS, which `Library` keeps below MISS by taking
-more bands where a class needs them. A window that a band retrieves is verified on exact shingles of SHINGLE tokens.
-
-A band can only match where the text has the template's least shingle of that band; windows without such a shingle are
-therefore never signed, which changes no result.
+A document states a template if it holds CONTAINMENT of the template's distinct shingles of SHINGLE tokens, in any place
+and whatever stands between them. A template is cut into tiles of at most TILE shingles. If a document holds
+CONTAINMENT of a template, it holds as much of one tile at least; and as a run of words put into the middle of a tile
+destroys SHINGLE - 1 of its shingles, more than a tile may lose, what is left of that tile is one passage, however much
+the notice as a whole has grown. So overlapping windows of a tile's size plus a stride are signed, and a window that
+holds the tile's rest resembles it by `least_resemblance` at least. With one MinHash value a band, the odds of missing
+it are (1 - resemblance) ** bands, which `bands_for` keeps below MISS. What a band retrieves is verified on the exact
+sets of shingles of the whole document and the whole template.
+
+A band can only match where the text has the tile's least shingle of that band; windows without such a shingle are
+therefore never signed, which changes no result. Templates of fewer than SHINGLE tokens (tags) are one shingle of their
+own length and are looked up exactly.
 
 Templates are the query set: they are taken in blocks (as in `decontaminate`), each broadcast, and every text is read
-whole. Defined results: null and empty texts have no license; templates with fewer than SHINGLE tokens are refused; rows
-that repeat are reported as often; empty tables give no rows.
+whole. Defined results: null and empty texts have no license; templates without a token are refused; of several
+templates of one license the one that is contained most is reported, the longest of these; rows that repeat are
+reported as often; empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -28,59 +33,41 @@ from pyspark.sql import functions as F
 
 from tallyport.llm.common import table
 from tallyport.llm.decontaminate import Coder, window_hashes
+from tallyport.llm.license_texts import TEMPLATES
 from tallyport.session import ship
 
 SHINGLE = 5
 CONTAINMENT = 0.8
-LENGTH_STEP = 1.25
-BANDS = 20
+#: Most shingles of a tile: SHINGLE - 1 of them have to be more than it may lose.
+TILE = 16
+STRIDE = 2
 MISS = 1e-4
 BLOCK = 2_000
 _FILTER_BITS = 20
 HIT = "license string, containment double, first_token long, last_token long"
 
-#: Notices of common licenses; any other (license, text) table can be passed instead.
-TEMPLATES = (
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0"),
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"),
-    ("MIT", "Released under the MIT License"),
-    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction"),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3"),
-    ("GPL", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation"),
-    ("BSD", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
-    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
-    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0"),
-    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
-    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License"),
-    ("Unlicense", "This is free and unencumbered software released into the public domain"),
-)
-
 
-def length_class(tokens: int) -> int:
-    c = SHINGLE
-    while c < tokens:
-        c = max(c + 1, int(c * LENGTH_STEP))
-    return c
+def tiles(shingles: np.ndarray) -> list[np.ndarray]:
+    """A template's shingles in order, cut into parts of nearly equal size, TILE at most."""
+    return np.array_split(shingles, -(-len(shingles) // TILE))
 
 
-def stride(c: int) -> int:
-    return max(1, c // 8)
+def least_resemblance(size: int) -> float:
+    """Of a tile of `size` shingles and the window that holds CONTAINMENT of them."""
+    shared = math.ceil(CONTAINMENT * size - 1e-9)
+    return shared / (2 * size + STRIDE - shared)
 
 
-def least_resemblance(tokens: int) -> float:
-    """Of a template and the window that holds CONTAINMENT of its shingles."""
-    own, window = tokens - SHINGLE + 1, length_class(tokens) + stride(length_class(tokens)) - SHINGLE + 1
-    shared = math.ceil(CONTAINMENT * own)
-    return shared / (own + window - shared)
+def bands_for(size: int) -> int:
+    return math.ceil(math.log(MISS) / math.log(1 - least_resemblance(size)))
 
 
-def bands_for(tokens: int) -> int:
-    return max(BANDS, math.ceil(math.log(MISS) / math.log(1 - least_resemblance(tokens))) if least_resemblance(tokens) < 1 else BANDS)
+_BANDS = np.array([(k + 1) * 0x9E3779B97F4A7C15 % (1 << 64) for k in range(bands_for(1))], dtype=np.uint64)
 
 
-def band_hashes(shingles: np.ndarray, band: int) -> np.ndarray:
-    x = shingles ^ np.uint64((band + 1) * 0x9E3779B97F4A7C15 % (1 << 64))
+def band_values(shingles: np.ndarray, bands: int) -> np.ndarray:
+    """A row of hashes for each band."""
+    x = shingles[None, :] ^ _BANDS[:bands, None]
     x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
     return x ^ (x >> np.uint64(29))
 
@@ -90,47 +77,82 @@ class Library:
 
     def __init__(self, templates: Iterable[tuple[str, str]]) -> None:
         coder = Coder()
-        self.sets: list[tuple[str, frozenset[int], int]] = []
-        self.bands: defaultdict[int, defaultdict[tuple[int, int], list[int]]] = defaultdict(lambda: defaultdict(list))
-        self.counts: dict[int, int] = {}
-        least: set[int] = set()
+        #: License, distinct shingles in ascending order, tokens.
+        self.sets: list[tuple[str, np.ndarray, int]] = []
+        self.bands: defaultdict[tuple[int, int, int], set[int]] = defaultdict(set)
+        self.short: defaultdict[tuple[int, int], set[int]] = defaultdict(set)
+        sizes_of: defaultdict[int, set[int]] = defaultdict(set)
         for name, text in templates:
-            tokens, codes, _, _ = coder.code(text)
-            if len(tokens) < SHINGLE:
-                raise ValueError(f"template of {name} has fewer than {SHINGLE} tokens")
-            shingles, c = window_hashes(codes, SHINGLE), length_class(len(tokens))
+            codes = coder.plain(text)[1]
+            if not len(codes):
+                raise ValueError(f"template of {name} has no token")
             at = len(self.sets)
-            self.sets.append((name, frozenset(shingles.tolist()), len(tokens)))
-            self.counts[c] = max(self.counts.get(c, 0), bands_for(len(tokens)))
-            for band in range(bands_for(len(tokens))):
-                hashes = band_hashes(shingles, band)
-                self.bands[c][band, int(hashes.min())].append(at)
-                least.add(int(shingles[int(hashes.argmin())]))
-        self.least = np.array(sorted(least), dtype=np.uint64)
+            shingles = window_hashes(codes, min(SHINGLE, len(codes)))
+            self.sets.append((name, np.unique(shingles), len(codes)))
+            if len(codes) < SHINGLE:
+                self.short[len(codes), int(shingles[0])].add(at)
+                continue
+            for tile in tiles(shingles):
+                own = np.unique(tile)
+                values = band_values(own, bands_for(len(tile)))
+                for band, (value, least) in enumerate(zip(values.min(axis=1).tolist(), own[values.argmin(axis=1)].tolist(), strict=True)):
+                    self.bands[len(tile), band, value].add(at)
+                    sizes_of[least].add(len(tile))
+        self.sizes_of = dict(sizes_of)
+        self.least = np.array(sorted(sizes_of), dtype=np.uint64)
         self.filter = np.zeros(1 << _FILTER_BITS, bool)
         self.filter[self.least >> np.uint64(64 - _FILTER_BITS)] = True
+        self.short_sizes = sorted({n for n, _ in self.short})
 
-    def hits(self, coder: Coder, text: str | None) -> list[dict]:
-        tokens, codes, _, _ = coder.code(text)
-        shingles = window_hashes(codes, SHINGLE)
+    def retrieved(self, shingles: np.ndarray) -> set[int]:
+        """Templates of which a tile shares a band's value with a window of the text."""
         places = np.flatnonzero(self.filter[shingles >> np.uint64(64 - _FILTER_BITS)])
         places = places[np.isin(shingles[places], self.least)]
+        starts: defaultdict[int, set[int]] = defaultdict(set)
+        for p, h in zip(places.tolist(), shingles[places].tolist(), strict=True):
+            for size in self.sizes_of[h]:
+                width = size + STRIDE
+                starts[size].update(s * STRIDE for s in range(max(0, -(-(p - width + 1) // STRIDE)), p // STRIDE + 1))
+        found: set[int] = set()
+        for size, at in starts.items():
+            for start in at:
+                values = band_values(shingles[start : start + size + STRIDE], bands_for(size)).min(axis=1).tolist()
+                for band, value in enumerate(values):
+                    found |= self.bands.get((size, band, value), set())
+        return found
+
+    def hits(self, coder: Coder, text: str | None) -> list[dict]:
+        codes = coder.plain(text)[1]
+        shingles = window_hashes(codes, SHINGLE)
         best: dict[str, dict] = {}
-        for c, bands in self.bands.items() if len(places) else ():
-            step, width = stride(c), c + stride(c) - SHINGLE + 1
-            starts = sorted({s * step for p in places.tolist() for s in range(max(0, p - width) // step, p // step + 1) if s * step <= p < s * step + width})
-            for start in starts:
-                window = shingles[start : start + width]
-                found = {at for band in range(self.counts[c]) for at in bands.get((band, int(band_hashes(window, band).min())), ())}
-                for at in found:
-                    name, own, length = self.sets[at]
-                    inside = [i for i, h in enumerate(window.tolist()) if h in own]
-                    share = len({int(window[i]) for i in inside}) / len(own)
-                    if share >= CONTAINMENT and (name not in best or (share, length) > best[name]["rank"]):
-                        best[name] = {"rank": (share, length), "license": name, "containment": share, "first_token": start + inside[0], "last_token": start + inside[-1] + SHINGLE - 1}
+
+        def keep(at: int, share: float, places: np.ndarray, width: int) -> None:
+            name, _, tokens = self.sets[at]
+            if name not in best or (share, tokens) > best[name]["rank"]:
+                first, last = _passage(places, max(64, 2 * tokens))
+                best[name] = {"rank": (share, tokens), "license": name, "containment": share, "first_token": first, "last_token": last + width - 1}
+
+        for at in sorted(self.retrieved(shingles)):
+            own = self.sets[at][1]
+            places = np.flatnonzero(np.isin(shingles, own))
+            share = len(np.unique(shingles[places])) / len(own)
+            if share >= CONTAINMENT:
+                keep(at, share, places, SHINGLE)
+        for size in self.short_sizes:
+            hashes = window_hashes(codes, size)
+            for h in np.unique(hashes).tolist():
+                for at in sorted(self.short.get((size, h), ())):
+                    keep(at, 1.0, np.flatnonzero(hashes == np.uint64(h)), size)
         return [{k: v for k, v in best[name].items() if k != "rank"} for name in sorted(best)]
 
 
+def _passage(places: np.ndarray, gap: int) -> tuple[int, int]:
+    """First and last of the largest group of places that no gap divides; of equal groups the first."""
+    groups = np.split(places, np.flatnonzero(np.diff(places) > gap) + 1)
+    most = max(groups, key=len)
+    return int(most[0]), int(most[-1])
+
+
 def _scanner(spark: SparkSession, templates: list[tuple[str, str]]):  # noqa: ANN202
     shared = spark.sparkContext.broadcast(templates)
 
@@ -144,7 +166,8 @@ def _scanner(spark: SparkSession, templates: list[tuple[str, str]]):  # noqa: AN
 
 
 def scan(docs: DataFrame, templates: Iterable[tuple[str, str]] = TEMPLATES) -> DataFrame:
-    """(doc_id, license, containment, first_token, last_token): a row for each license that a document states."""
+    """(doc_id, license, containment, first_token, last_token): a row for each license that a document states. With
+    several blocks of templates a license whose templates fall into two of them has a row of each."""
     spark = docs.sparkSession
     ship(spark)
     every = list(templates)
