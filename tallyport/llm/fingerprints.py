@@ -79,7 +79,8 @@ def followers(ids: DataFrame) -> DataFrame:
     ranged = cut(ranged, "fingerprint-order")
     key = F.struct("none", "id", "h")
     inside = ranged.withColumn("after", F.lead(key).over(Window.partitionBy("part").orderBy(*order)))
-    place = F.struct("none", (-F.col("id")).alias("down"), "h")
+    # Negation would overflow for the smallest long.
+    place = F.struct("none", F.bitwise_not(F.col("id")).alias("down"), "h")
     firsts = ranged.groupBy("part").agg(F.min_by(key, place).alias("first"))
     parts = Window.orderBy("part")
     firsts = firsts.select("part", F.coalesce(F.lead("first").over(parts), F.first("first").over(parts)).alias("border"))

@@ -8,7 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
-from samples import rows, sorted_rows, words
+from samples import SCHEMA, rows, sorted_rows, words
 
 from tallyport.llm import decontaminate, fingerprints, katz, licenses, pii, tokens, toxicity
 
@@ -36,6 +36,10 @@ def test_fingerprints_equal_brute_force(docs):
             a, b = shingle_set(text), shingle_set(edited)
             true = len(a & b) / len(a | b) if a | b else 1.0
             assert abs(r.near_edited - true) < (0.2 if len(a | b) > 128 else 1e-12)
+            c = shingle_set(after)
+            assert abs(r.near_next - (len(a & c) / len(a | c) if a | c else 1.0)) < (0.2 if len(a | c) > 128 else 1e-12)
+            assert r.n_shingles == pytest.approx(len(a), rel=0.3 if len(a) >= 128 else 1e-12)
+            assert r.kept_share == (pytest.approx(len(a & b) / len(a), abs=0.3 if len(a | b) > 128 else 1e-9) if a else None)
     assert sum(map(len, got.values())) == len(rows())
     by_text = defaultdict(set)
     for i, t, *_ in rows():
@@ -43,6 +47,14 @@ def test_fingerprints_equal_brute_force(docs):
     assert all(len(v) == 1 for k, v in by_text.items() if len(k) > 60)
 
 
+def test_fingerprints_take_the_smallest_long_and_repeats(spark):
+    least = -(1 << 63)
+    data = [(least, "a b c d e f", "en", "s", 11), (0, "g h", "en", "s", 3), (least, "a b c d e f", "en", "s", 11), ((1 << 63) - 1, "i", "en", "s", 1)]
+    got = sorted((r.doc_id, r.n_chars, r.edited_sha256) for r in fingerprints.neighbours(spark.createDataFrame(data, SCHEMA)).collect())
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    assert got == sorted([(least, 11, sha("a b c di"))] * 2 + [(0, 3, sha("g a")), ((1 << 63) - 1, 1, sha("i"))])
+
+
 def test_sketches_merge(spark):
     w = words(900, 3)
     whole, left, right = " ".join(w), " ".join(w[:500]), " ".join(w[496:])
