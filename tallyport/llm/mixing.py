@@ -8,8 +8,12 @@ the rest).
 A source takes each document floor(target / words) times, and for what is left once more those that come first in a
 seeded order while they fit, then the one document whose size comes nearest to what is still missing.
 
+The order is seeded by doc_id and text, so rows that share a doc_id, or have none, are still told apart. One row a source
+meets in the windows over sources (`targets`); sources are counted in thousands, not by document.
+
 Defined results: a null text has size 0; documents of size 0 take 0 words; the null source is last in order; rows that
-share a doc_id share their place in the seeded order and are taken or left together; an empty table gives no rows.
+repeat in doc_id, source and text share their place in the seeded order and are taken or left together; an empty table
+gives no rows.
 """
 
 from __future__ import annotations
@@ -42,8 +46,8 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: in
     return levels.withColumn("target", target).withColumn("whole", whole).select("source", "source_size", "target", "whole", (F.col("target") - F.col("whole") * F.col("source_size")).alias("extra"))
 
 
-def seeded(doc_id: Column, seed: str = SEED) -> Column:
-    return F.md5(F.concat(F.lit(seed + ":"), F.coalesce(doc_id.cast("string"), F.lit("null"))))
+def seeded(doc_id: Column, text: Column, seed: str = SEED) -> Column:
+    return F.md5(F.concat(F.lit(seed + ":"), F.coalesce(doc_id.cast("string"), F.lit("null")), F.lit(":"), F.md5(F.coalesce(text, F.lit("")))))
 
 
 def decide(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:
@@ -98,7 +102,7 @@ def repeats() -> Column:
 
 def sizes(docs: DataFrame, seed: str = SEED) -> DataFrame:
     """(doc_id, source, size, place) of each row."""
-    return docs.select("doc_id", "source", F.size(words(F.col("text"))).cast("long").alias("size"), seeded(F.col("doc_id"), seed).alias("place"))
+    return docs.select("doc_id", "source", F.size(words(F.col("text"))).cast("long").alias("size"), seeded(F.col("doc_id"), F.col("text"), seed).alias("place"))
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
@@ -116,7 +120,7 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents, each row as often as the mix takes it."""
     plan = small(cut(decide(cut(sizes(docs), "mix-sizes")), "mix-decided"))
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), F.col("source").alias("_source"), seeded(F.col("doc_id")).alias("place"))
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), F.col("source").alias("_source"), seeded(F.col("doc_id"), F.col("text")).alias("place"))
     joined = rows.alias("d").join(plan.alias("p"), F.col("_source").eqNullSafe(F.col("p.source")))
     return joined.select("_row", F.explode(F.array_repeat(F.lit(0), repeats().cast("int"))).alias("_copy")).select("_row.*")
 
@@ -124,7 +128,7 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 SQL = """
 WITH d AS (
     SELECT doc_id, source, len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '')) AS size,
-        md5('mix-1:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS place
+        md5('mix-1:' || coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || md5(coalesce(text, ''))) AS place
     FROM documents
 ), s AS (
     SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source
