@@ -31,10 +31,19 @@ def unsigned_hex(value: Column) -> Column:
     return F.lower(F.lpad(F.hex(value), 16, "0"))
 
 
+def row_hash(df: DataFrame, columns: list[str]) -> Column:
+    """A long that tells rows apart by these columns; maps are hashed by their text."""
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    return F.xxhash64(F.lit(0), *(F.to_json(F.struct(F.col(f"`{c}`"))) if "map<" in kinds[c] or "variant" in kinds[c] else F.col(f"`{c}`") for c in columns))
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The checkpoint folder that the cluster names; a temporary one only where none is set (tests)."""
+    """The checkpoint folder that the cluster names. A temporary one is made only where none is set and the driver and
+    the executors are one process (tests); on a cluster none would be shared, so there it is an error."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = Path(tempfile.mkdtemp(prefix="tallyport-")).as_uri()
         spark.sparkContext.setCheckpointDir(found)
     return found

@@ -4,8 +4,13 @@ Every record is hashed into one of thousands of virtual slots, whose number neve
 and a versioned slot-to-shard map says where each slot lives. Rebalancing or adding a shard edits the map (and so
 moves whole slots); records are never hashed anew.
 
-Defined results: a null text has no bytes (size 1) and crc32 0; a null doc_id is hashed like any other value; rows that
-repeat share a slot and take different places in their shard; an empty table gives no rows.
+The map is a table with a row for each version and slot. A run at a path that holds a map loads its latest version and
+edits that: slots move only where the shards' bytes have drifted apart, and a run that moves nothing adds no version.
+
+Defined results: a null text has no bytes (size 1) and crc32 0; a null doc_id is hashed like any other value; within a
+slot rows are in order of doc_id (null last), crc32, size and a hash of all columns that are kept, so only rows that are
+alike throughout may change places; rows that repeat share a slot and take different places in their shard; input
+columns with names of the result are kept as input_<name>; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -13,10 +18,11 @@ from __future__ import annotations
 from bisect import insort
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyport.llm.common import fresh_path, table
+from tallyport.llm.common import fresh_path, row_hash, table
 
 SLOTS = 4096
 #: Each slot is numbered in this many independent parts, so that no task has to order a whole slot.
@@ -24,6 +30,7 @@ PARTS = 16
 SHARDS = 16
 #: Rebalancing ends when the fullest and the emptiest shard differ by at most this part of the mean.
 NEAR = 5000
+RESULT = ("size", "text_crc32", "law", "shard", "slot", "grown_shard", "virtual_slot", "map_version")
 
 
 @dataclass
@@ -107,12 +114,19 @@ class SlotMap:
         return out
 
     def frame(self, spark: SparkSession) -> DataFrame:
-        rows = [(self.version, slot, shard, self.bytes_of[slot]) for slot, shard in enumerate(self.shard_of)]
-        return spark.createDataFrame(rows, "map_version int, virtual_slot int, shard int, slot_bytes long").coalesce(1)
+        rows = [(self.version, self.shards, slot, shard, self.bytes_of[slot]) for slot, shard in enumerate(self.shard_of)]
+        return spark.createDataFrame(rows, "map_version int, shards int, virtual_slot int, shard int, slot_bytes long").coalesce(1)
 
     def save(self, spark: SparkSession, path: str) -> None:
-        """Add this version to the map's table; earlier versions stay readable."""
-        self.frame(spark).write.mode("append").partitionBy("map_version").parquet(path)
+        """Add this version to the map's table; earlier versions stay readable. A version is stored once: one that is
+        there must have the same rows."""
+        known = self.stored(spark, path)
+        if known is not None and known.version >= self.version:
+            if self.load(spark, path, self.version) != self:
+                raise ValueError(f"version {self.version} of the map at {path} is another one")
+            return
+        # A run that failed midway may have left a part of this version.
+        self.frame(spark).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("map_version").parquet(path)
 
     @classmethod
     def load(cls, spark: SparkSession, path: str, version: int | None = None) -> SlotMap:
@@ -120,8 +134,30 @@ class SlotMap:
         found = spark.read.parquet(path)
         version = version or found.agg(F.max("map_version")).first()[0]
         rows = found.where(F.col("map_version") == version).orderBy("virtual_slot").collect()
-        shard_of = [row.shard for row in rows]
-        return cls(max(shard_of) + 1, shard_of, version, [row.slot_bytes for row in rows])
+        if not rows:
+            raise LookupError(f"the map at {path} has no version {version}")
+        return cls(rows[0].shards, [row.shard for row in rows], version, [row.slot_bytes for row in rows])
+
+    @classmethod
+    def stored(cls, spark: SparkSession, path: str) -> SlotMap | None:
+        """The latest version at `path`, or None where no map is."""
+        try:
+            return cls.load(spark, path)
+        except AnalysisException as error:
+            if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                return None
+            raise
+
+    def edited(self, bytes_of: list[int], shards: int) -> SlotMap:
+        """The map for these bytes by slot and that many shards: new shards are added one by one, then slots move. This
+        very map if nothing has to."""
+        if shards < self.shards:
+            raise ValueError(f"the map has {self.shards} shards; slots of a shard that goes have to be moved by hand")
+        out = self
+        while out.shards < shards:
+            out = out.grown()
+        out = out.rebalanced(bytes_of)
+        return self if (out.shards, out.shard_of, out.bytes_of) == (self.shards, self.shard_of, self.bytes_of) else SlotMap(out.shards, out.shard_of, self.version + 1, out.bytes_of)
 
 
 def text_size(text: Column) -> Column:
@@ -130,13 +166,18 @@ def text_size(text: Column) -> Column:
 
 def shard(df: DataFrame, path: str, shards: int = SHARDS, slots: int = SLOTS, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """`keep` columns (all by default) with size, text_crc32, law, shard, slot (place in the shard), grown_shard,
-    virtual_slot and map_version. The slot map's versions are stored at `path`. Columns of these names are replaced."""
+    virtual_slot and map_version. The slot map is kept at `path`: the one found there is edited, else one is made."""
     spark = df.sparkSession
-    keep = [c for c in (df.columns if keep is None else keep) if c not in ("size", "text_crc32", "law", "shard", "slot", "grown_shard", "virtual_slot", "map_version")]
+    keep = df.columns if keep is None else keep
+    names = {c: c for c in keep}
+    for c in keep:
+        while names[c] in RESULT or [*names.values()].count(names[c]) > 1:
+            names[c] = f"input_{names[c]}"
     text = F.col(f"`{text_col}`")
     hashed = F.xxhash64(F.col(f"`{id_col}`"), F.crc32(text))
     marked = df.select(
-        F.struct(*(F.col(f"`{c}`") for c in keep)).alias("_kept"),
+        F.struct(*(F.col(f"`{c}`").alias(names[c]) for c in keep)).alias("_kept"),
+        row_hash(df, keep).alias("_row"),
         F.col(f"`{id_col}`").alias("_id"),
         text_size(text).alias("size"),
         F.coalesce(F.crc32(text), F.lit(0)).cast("long").alias("text_crc32"),
@@ -147,9 +188,13 @@ def shard(df: DataFrame, path: str, shards: int = SHARDS, slots: int = SLOTS, id
     bytes_of = [0] * slots
     for row in counts:
         bytes_of[row.virtual_slot] += row._bytes
-    first = SlotMap.initial(slots, shards)
-    slot_map = first.rebalanced(bytes_of)
-    first.save(spark, path)
+    known = SlotMap.stored(spark, path)
+    if known is None:
+        known = SlotMap.initial(slots, shards)
+        known.save(spark, path)
+    if len(known.shard_of) != slots:
+        raise ValueError(f"the map at {path} has {len(known.shard_of)} slots, whose number never changes")
+    slot_map = known.edited(bytes_of, shards)
     slot_map.save(spark, path)
     # Where each part of a slot begins in its shard: slots * PARTS rows at most, whatever the input.
     begins, at = [], [0] * shards
@@ -158,9 +203,9 @@ def shard(df: DataFrame, path: str, shards: int = SHARDS, slots: int = SLOTS, id
         begins.append((row.virtual_slot, row._part, to, at[to]))
         at[to] += row._n
     placed = spark.createDataFrame(begins, "virtual_slot int, _part int, shard int, _begin long")
-    order = Window.partitionBy("virtual_slot", "_part").orderBy(F.col("_id").asc_nulls_last(), "text_crc32", "size")
+    order = Window.partitionBy("virtual_slot", "_part").orderBy(F.col("_id").asc_nulls_last(), "text_crc32", "size", "_row")
     return (
-        marked.withColumn("_row", F.row_number().over(order))
+        marked.withColumn("_nth", F.row_number().over(order))
         .join(F.broadcast(placed), ["virtual_slot", "_part"])
         .select(
             "_kept.*",
@@ -168,7 +213,7 @@ def shard(df: DataFrame, path: str, shards: int = SHARDS, slots: int = SLOTS, id
             "text_crc32",
             F.lit("bytes").alias("law"),
             "shard",
-            (F.col("_begin") + F.col("_row") - 1).cast("long").alias("slot"),
+            (F.col("_begin") + F.col("_nth") - 1).cast("long").alias("slot"),
             F.lit(None).cast("int").alias("grown_shard"),
             "virtual_slot",
             F.lit(slot_map.version).alias("map_version"),

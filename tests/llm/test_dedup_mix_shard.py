@@ -1,9 +1,11 @@
 import random
 import re
+import zlib
 from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pytest
 import xxhash
 from pyspark.sql import functions as F
 from samples import SCHEMA, rows, sorted_rows, words
@@ -109,6 +111,13 @@ def test_mix_equals_sql(docs, tmp_path):
     assert sorted_rows(got) == want
 
 
+def test_mix_tells_rows_without_ids_apart(spark):
+    data = [(None, " ".join(words(10, i)), "en", "a" if i % 2 else "b", 0) for i in range(100)]
+    mixed = mixing.mix(spark.createDataFrame(data, SCHEMA)).groupBy("target").agg(F.sum("taken").alias("t")).collect()
+    assert len(mixed) == 2
+    assert all(abs(r.t - r.target) <= 10 for r in mixed)
+
+
 def test_targets_water_fill(spark):
     sizes = spark.createDataFrame([("a", 10), ("b", 1000), ("c", 500), (None, 90), ("z", 0)], "source string, source_size long")
     got = {r.source: r for r in mixing.targets(sizes).collect()}
@@ -172,17 +181,61 @@ def test_slot_map_versions(spark, tmp_path):
     grown = second.grown()
     assert all(b in (a, 4) for a, b in zip(second.shard_of, grown.shard_of, strict=True))
     assert 4 in grown.shard_of
-    for m in (first, second, grown):
+    for m in (first, second, grown, second):
         m.save(spark, str(tmp_path / "m"))
+    with pytest.raises(ValueError):
+        sharding.SlotMap.initial(64, 4).rebalanced(sizes[::-1]).save(spark, str(tmp_path / "m"))
     assert sharding.SlotMap.load(spark, str(tmp_path / "m")) == grown
     assert sharding.SlotMap.load(spark, str(tmp_path / "m"), 2) == second
 
 
+def test_second_run_edits_the_stored_map(spark, docs, tmp_path):
+    path = str(tmp_path / "map")
+    first = sharding.shard(docs, path)
+    again = sharding.shard(docs, path)
+    assert sorted_rows(first) == sorted_rows(again)
+    assert {r.map_version for r in again.collect()} == {2}
+    assert spark.read.parquet(path).count() == 2 * sharding.SLOTS
+    more = docs.unionByName(docs.withColumn("doc_id", F.col("doc_id") + 1000))
+    third = sharding.shard(more, path, keep=["doc_id", "text"])
+    check_shards(third.collect(), more.collect())
+    old, new = sharding.SlotMap.load(spark, path, 2), sharding.SlotMap.load(spark, path)
+    assert (new.version, len(new.shard_of)) == (3, sharding.SLOTS)
+    # Slots without rows never move, and what the map says is where the rows are.
+    bytes_of = Counter()
+    for r in third.collect():
+        assert new.shard_of[r.virtual_slot] == r.shard
+        assert r.text_crc32 == (zlib.crc32(r.text.encode()) if r.text is not None else 0)
+        bytes_of[r.virtual_slot] += r["size"]
+    assert new.bytes_of == [bytes_of[s] for s in range(sharding.SLOTS)]
+    assert all(a == b for s, (a, b) in enumerate(zip(old.shard_of, new.shard_of, strict=True)) if not new.bytes_of[s] and not old.bytes_of[s])
+    grown = sharding.shard(docs, path, shards=17)
+    assert {r.map_version for r in grown.collect()} == {4}
+    with pytest.raises(ValueError):
+        sharding.shard(docs, path, shards=16)
+    with pytest.raises(ValueError):
+        sharding.shard(docs, path, slots=64)
+
+
+def test_shard_places_follow_one_order_by_brute_force(spark, docs, tmp_path):
+    """Within a slot's part, places are in order of id, crc and size; slots follow each other in a shard."""
+    slot_of = "pmod(xxhash64(doc_id, crc32(text)), 4096) AS v", "pmod(shiftright(xxhash64(doc_id, crc32(text)), 32), 16) AS p"
+    order = lambda r: (r.v, r.p, r.doc_id is None, r.doc_id or 0, zlib.crc32((r.text or "").encode()), r.text is not None)
+    plain = sorted(docs.selectExpr("doc_id", "text", *slot_of).collect(), key=order)
+    found = sharding.shard(docs, str(tmp_path / "map"), keep=["doc_id", "text"]).collect()
+    shard_of = sharding.SlotMap.load(spark, str(tmp_path / "map")).shard_of
+    at, want = Counter(), []
+    for r in plain:
+        want.append((r.doc_id, r.text, shard_of[r.v], at[shard_of[r.v]]))
+        at[shard_of[r.v]] += 1
+    assert sorted(((r.doc_id, r.text, r.shard, r.slot) for r in found), key=repr) == sorted(want, key=repr)
+
+
 def test_shard_stage_keeps_columns(spark, docs, empty, clashing, tmp_path):
     assert sharding.stage(spark, empty, "").count() == 0
     out = sharding.stage(spark, clashing, "")
-    assert set(clashing.columns) <= set(out.columns)
-    assert {r.place for r in out.select("place").collect()} == {"x"}
+    assert {*clashing.columns, "input_size", "input_shard"} - {"size", "shard"} <= set(out.columns)
+    assert {(r.place, r.input_size, r.input_shard) for r in out.select("place", "input_size", "input_shard").collect()} == {("x", 1, 0)}
     assert out.count() == docs.count()
 
 
