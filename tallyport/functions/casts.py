@@ -2,16 +2,28 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tallyport.functions.patterns import DATE_PATTERNS, TIMESTAMP_PATTERNS
 from tallyport.functions.types import TEXTS, SqlType, parse_type, spark_type
 
-_STAMP = r"^\d{4}-\d{2}-\d{2}[ T]\d{2}:"
+_STAMP = r"^\d{4}-\d{1,2}-\d{1,2}[ T]\d{1,2}:"
+_YEAR_FIRST = r"^\d{4}-\d{1,2}-\d{1,2}([ T].*)?$"
 _UUID = "^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"
 
 
+def shaped(value: Column, patterns: tuple[tuple[str, str], ...], parse: Callable[[Column, str], Column], first: Column | None = None) -> Column:
+    """The value parsed by the first pattern whose shape it has; NULL if none or if it is no real date."""
+    out = first
+    for shape, pattern in patterns:
+        condition, parsed = F.regexp_like(value, F.lit(shape)), parse(value, pattern)
+        out = F.when(condition, parsed) if out is None else out.when(condition, parsed)
+    return out
+
+
 def recast(text: Column, type_name: str) -> Column:
     """The value of a nullable text in a column of that type; NULL if it has none. Text keeps its form."""
     kind, parameters = parse_type(type_name)
@@ -33,10 +45,11 @@ def recast(text: Column, type_name: str) -> Column:
         low = F.lower(bare)
         return F.when(low.isin("t", "true", "y", "yes", "on", "1"), True).when(low.isin("f", "false", "n", "no", "off", "0"), False)
     if kind is SqlType.DATE:
-        return F.coalesce(*(F.try_to_date(bare, p) for p in DATE_PATTERNS), F.when(F.regexp_like(bare, F.lit(_STAMP)), F.try_to_timestamp(bare)).cast("date"))
+        stamp = F.when(F.regexp_like(bare, F.lit(_STAMP)), F.try_to_timestamp(bare).cast("date"))
+        return shaped(bare, DATE_PATTERNS, F.try_to_date, stamp)
     if kind in (SqlType.TIMESTAMP, SqlType.TIMESTAMPTZ):
         target = "timestamp_ntz" if kind is SqlType.TIMESTAMP else "timestamp"
-        value = F.coalesce(F.when(F.regexp_like(bare, F.lit(r"^\d{4}-\d{1,2}-\d{1,2}")), bare.try_cast(target)), *(F.try_to_timestamp(bare, F.lit(p)).cast(target) for p in TIMESTAMP_PATTERNS))
+        value = shaped(bare, TIMESTAMP_PATTERNS, lambda v, p: F.try_to_timestamp(v, F.lit(p)).cast(target), F.when(F.regexp_like(bare, F.lit(_YEAR_FIRST)), bare.try_cast(target)))
         return F.date_trunc("second", value + F.expr("interval 500 milliseconds")).cast(target) if parameters == (0,) else value
     return bare.try_cast(spark_type(kind, parameters))
 

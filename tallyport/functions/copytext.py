@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Fixed values of the format: what each escaped character stands for. Backslash has to be encoded first.
@@ -24,33 +24,36 @@ def encode_line(*values: Column) -> Column:
     return F.concat_ws("\t", *(encode(v) for v in values))
 
 
-def _token_bytes(token: Column) -> Column:
+def _token_hex(token: Column) -> Column:
+    """The bytes that a token stands for, as hex digits, so that a field's tokens are joined once."""
     kind = F.substring(token, 2, 1)
     octal = F.right(F.concat(F.lit("0"), F.conv(F.substr(token, F.lit(2)), 8, 16)), F.lit(2))
     digits = F.lpad(F.substr(token, F.lit(3)), 2, "0")
-    out = F.when(~F.startswith(token, F.lit("\\")) | (F.length(token) == 1), F.encode(token, "UTF-8"))
-    out = out.when(F.regexp_like(token, F.lit(r"^\\x[0-9A-Fa-f]")), F.unhex(digits))
-    out = out.when(F.regexp_like(token, F.lit(r"^\\[0-7]")), F.unhex(octal))
+    out = F.when(~F.startswith(token, F.lit("\\")) | (F.length(token) == 1), F.hex(F.encode(token, "UTF-8")))
     for letter, code in _LETTERS.items():
-        out = out.when(kind == letter, F.unhex(F.lit(code)))
-    return out.otherwise(F.encode(F.substr(token, F.lit(2)), "UTF-8"))
+        out = out.when(kind == letter, F.lit(code))
+    out = out.when((kind == "x") & (F.length(token) > 2), digits)
+    out = out.when(F.regexp_like(token, F.lit(r"^\\[0-7]")), octal)
+    return out.otherwise(F.hex(F.encode(F.substr(token, F.lit(2)), "UTF-8")))
 
 
 def decode(field: Column) -> Column:
     """A dump field as nullable text. Unknown escapes lose their backslash, invalid UTF-8 becomes U+FFFD."""
     tokens = F.regexp_extract_all(field, F.lit(_TOKEN), F.lit(0))
-    whole = F.aggregate(F.transform(tokens, _token_bytes), F.unhex(F.lit("")), lambda a, b: F.concat(a, b))
+    whole = F.unhex(F.array_join(F.transform(tokens, _token_hex), ""))
     text = F.make_valid_utf8(whole.cast("string"))
     return F.when(field == NULL_MARK, F.lit(None).cast("string")).when(F.instr(field, "\\") == 0, field).otherwise(text)
 
 
 def fields(line: Column) -> Column:
     """The raw fields of a line; a carriage return at its end is not part of it. A blank line has none."""
-    bare = F.regexp_replace(line, "\r$", "")
+    bare = F.when(F.endswith(line, F.lit("\r")), F.left(line, F.length(line) - 1)).otherwise(line)
     return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, "\t", -1))
 
 
-def decode_line(line: Column, n: int) -> list[Column]:
-    """The first n fields, decoded. Check `size(fields(line)) = n` before."""
-    raw = fields(line)
-    return [decode(F.get(raw, F.lit(i))) for i in range(n)]
+def decoded(lines: DataFrame, line: str, names: tuple[str, ...] | list[str]) -> DataFrame:
+    """`lines` with `good` (whether the width is right) and the decoded fields under `names`. The fields are one array that
+    a generator puts out, so they are split and decoded once, however often later steps use them."""
+    once = lines.select("*", F.explode(F.array(F.struct(F.transform(fields(F.col(line)), decode).alias("f")))).alias("_x"))
+    kept = [F.col(f"`{c}`") for c in lines.columns]
+    return once.select(*kept, (F.size("_x.f") == len(names)).alias("good"), *(F.get("_x.f", F.lit(i)).alias(c) for i, c in enumerate(names)))

@@ -7,43 +7,47 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyport.functions.nulls import blank_to_null
-from tallyport.functions.patterns import DATE_PATTERNS, TIMESTAMP_PATTERNS
+from tallyport.functions.casts import shaped
+from tallyport.functions.patterns import DATE_PATTERNS, ISO_TIMESTAMP, TIMESTAMP_PATTERNS
 from tallyport.functions.types import SqlType, common_type
 
 SAMPLE_ROWS = 100_000
-_DATE_SHAPE = r"^(\d{4}-\d{1,2}-\d{1,2}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}-\d{1,2}-\d{4})$"
-_TIME_SHAPE = r"^(\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?|\d{2}/\d{2}/\d{4} \d{2}:\d{2}:\d{2}|\d{2}-\d{2}-\d{4} \d{2}:\d{2}:\d{2})$"
+_WHOLE = r"^[+-]?\d+$"
+_REAL = r"(?i)^[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity|nan)$"
 
 
 def is_date(value: Column) -> Column:
     """A real date in one of the patterns."""
-    return F.regexp_like(value, F.lit(_DATE_SHAPE)) & F.coalesce(*(F.try_to_date(value, p) for p in DATE_PATTERNS)).isNotNull()
+    return shaped(value, DATE_PATTERNS, F.try_to_date).isNotNull()
 
 
 def is_timestamp(value: Column) -> Column:
-    return F.regexp_like(value, F.lit(_TIME_SHAPE)) & F.coalesce(*(F.try_to_timestamp(value, F.lit(p)) for p in TIMESTAMP_PATTERNS)).isNotNull()
+    iso = F.when(F.regexp_like(value, F.lit(ISO_TIMESTAMP)), value.try_cast("timestamp_ntz"))
+    return shaped(value, TIMESTAMP_PATTERNS, lambda v, p: F.try_to_timestamp(v, F.lit(p)).cast("timestamp_ntz"), iso).isNotNull()
 
 
 def value_type(text: Column) -> Column:
-    """The type name of a value; NULL (no vote) for NULL and blank."""
-    value = F.trim(text)
-    whole = F.regexp_like(value, F.lit(r"^[+-]?\d+$"))
-    number = value.try_cast("decimal(38,0)")
-    decimals = F.length(F.regexp_extract(value, r"\.(\d*)$", 1))
-    real = F.regexp_like(value, F.lit(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"))
-    typed = (
-        F.when(F.lower(value).isin("true", "false", "t", "f", "0", "1"), SqlType.BOOLEAN.value)
-        .when(whole & number.between(-32768, 32767), SqlType.SMALLINT.value)
-        .when(whole & number.between(-2147483648, 2147483647), SqlType.INTEGER.value)
-        .when(whole & value.try_cast("bigint").isNotNull(), SqlType.BIGINT.value)
-        .when(real & (F.regexp_like(value, F.lit("[eE]")) | (decimals > 7) | whole), SqlType.DOUBLE.value)
-        .when(real, SqlType.REAL.value)
+    """The type name of a value; NULL (no vote) for NULL and blank. Unicode white space around a value does not count,
+    and whole numbers beyond 64 bits are REAL."""
+    value = F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    number = F.when(F.length(value) <= 20, value.try_cast("bigint"))
+    decimals = F.length(value) - F.instr(value, ".")
+    real = F.when((F.length(value) - F.instr(F.lower(value), "e") < F.length(value)) | ((F.instr(value, ".") > 0) & (decimals > 7)), SqlType.DOUBLE.value).otherwise(SqlType.REAL.value)
+    whole = (
+        F.when(number.between(-32768, 32767), SqlType.SMALLINT.value)
+        .when(number.between(-2147483648, 2147483647), SqlType.INTEGER.value)
+        .when(number.isNotNull(), SqlType.BIGINT.value)
+        .otherwise(SqlType.REAL.value)
+    )
+    return (
+        F.when(value.isNull() | (value == ""), F.lit(None).cast("string"))
+        .when(F.lower(value).isin("true", "false", "t", "f", "0", "1"), SqlType.BOOLEAN.value)
+        .when(F.regexp_like(value, F.lit(_WHOLE)), whole)
+        .when(F.regexp_like(value, F.lit(_REAL)), real)
         .when(is_date(value), SqlType.DATE.value)
         .when(is_timestamp(value), SqlType.TIMESTAMP.value)
         .otherwise(SqlType.TEXT.value)
     )
-    return F.when(blank_to_null(text).isNotNull(), typed)
 
 
 @dataclass(frozen=True)
@@ -63,8 +67,8 @@ def fold(types: list[str | None]) -> tuple[SqlType, bool]:
 
 
 def infer(df: DataFrame, order: list[Column] | None = None, rows: int = SAMPLE_ROWS) -> list[Inferred]:
-    """Types of an all-text DataFrame from its first rows. The fold depends on the order, so runs of equal types are
-    counted and only the changes come to the driver, from at most `rows` rows."""
+    """Types of an all-text DataFrame from its first rows. The fold depends on their order: the names of the types of at
+    most `rows` rows, which the bound keeps small, are folded on the driver."""
     sample = (df.orderBy(*order) if order else df).limit(rows).select(*(value_type(F.col(f"`{c}`")).alias(c) for c in df.columns))
     found = sample.collect()
     if not found:

@@ -1,7 +1,13 @@
 """Date and timestamp patterns, in the order in which they are tried (fixed values)."""
 
-DATE_PATTERNS = ("yyyy-MM-dd", "MM/dd/yyyy", "dd-MM-yyyy", "dd/MM/yyyy")
+#: Each with the shape that a text must have before it is parsed: a failed parse costs an exception, a shape does not.
+#: A month above 12 tells the European form with slashes from the American one.
+DATE_PATTERNS = (
+    (r"^\d{4}-\d{1,2}-\d{1,2}$", "yyyy-M-d"), (r"^(0?[1-9]|1[0-2])/\d{1,2}/\d{4}$", "M/d/yyyy"), (r"^\d{1,2}-\d{1,2}-\d{4}$", "d-M-yyyy"), (r"^\d{1,2}/\d{1,2}/\d{4}$", "d/M/yyyy"),
+)
+#: Forms with the year first are left to a cast.
+ISO_TIMESTAMP = r"^\d{4}-\d{1,2}-\d{1,2}[ T]\d{1,2}:\d{1,2}(:\d{1,2}(\.\d{1,9})?)?$"
 TIMESTAMP_PATTERNS = (
-    "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd HH:mm:ss.[SSSSSSSSS][SSSSSS][SSSSS][SSSS][SSS][SS][S]", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss.[SSSSSSSSS][SSSSSS][SSSSS][SSSS][SSS][SS][S]",
-    "yyyy-MM-dd HH:mm", "yyyy-MM-dd'T'HH:mm", "MM/dd/yyyy HH:mm:ss", "dd-MM-yyyy HH:mm:ss", "dd/MM/yyyy HH:mm:ss",
+    (r"^(0?[1-9]|1[0-2])/\d{1,2}/\d{4} \d{1,2}:\d{1,2}:\d{1,2}$", "M/d/yyyy H:m:s"), (r"^\d{1,2}-\d{1,2}-\d{4} \d{1,2}:\d{1,2}:\d{1,2}$", "d-M-yyyy H:m:s"),
+    (r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{1,2}:\d{1,2}$", "d/M/yyyy H:m:s"),
 )

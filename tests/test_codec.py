@@ -21,8 +21,9 @@ def test_decode_table(spark):
 @settings(max_examples=5, deadline=None)
 @given(st.lists(st.one_of(st.none(), st.text(st.characters(blacklist_categories=("Cs",)), max_size=30)), min_size=1, max_size=20))
 def test_encode_then_decode_is_identity(spark, values):
-    df = spark.createDataFrame(list(enumerate(values)), "i int, v string")
-    back = df.select("i", copytext.decode_line(copytext.encode_line(F.col("i").cast("string"), F.col("v")), 2)[1].alias("v"))
+    df = spark.createDataFrame(list(enumerate(values)), "k int, v string")
+    back = copytext.decoded(df.select("k", copytext.encode_line(F.col("k").cast("string"), F.col("v")).alias("line")), "line", ["i", "v"]).select(F.col("i").cast("int").alias("i"), "v", "good")
+    assert back.where("NOT good").count() == 0
     assert {r.i: r.v for r in back.collect()} == dict(enumerate(values))
 
 

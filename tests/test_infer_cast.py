@@ -12,7 +12,7 @@ VALUES = {
     "42": "SMALLINT", "100000": "INTEGER", "9999999999": "BIGINT", "3.14": "REAL", "3.141592653589": "DOUBLE PRECISION", "1e5": "DOUBLE PRECISION", "true": "BOOLEAN", "F": "BOOLEAN",
     "0": "BOOLEAN", "hello": "TEXT", "2025-12-03": "DATE", "2024-02-29": "DATE", "2025-02-29": "TEXT", "2025-13-01": "TEXT", "12/31/2024": "DATE", "31/12/2024": "DATE",
     "2024-01-02 03:04:05": "TIMESTAMP", "2024-01-02T03:04:05.123": "TIMESTAMP", "2024-01-02 03:04": "TIMESTAMP", "http://a/b": "TEXT", "12:30": "TEXT", "": None, "  ": None,
-    "99999999999999999999": "DOUBLE PRECISION",
+    "99999999999999999999": "REAL", "1\t": "BOOLEAN", "\u00a07 ": "SMALLINT", "1/5/2024": "DATE", "31/04/2024": "TEXT", "nan": "REAL", "-Inf": "REAL", ".5": "REAL", "5.": "REAL", "+3": "SMALLINT", "1e": "TEXT", "13/12/2024 01:02:03": "TIMESTAMP",
 }
 
 
@@ -50,7 +50,8 @@ def test_infer_columns_and_ddl(spark):
     ("text", "kind", "value"),
     [
         ("t", "boolean", True), ("off", "boolean", False), ("maybe", "boolean", None), ("40000", "smallint", None), ("1.005", "numeric(10,2)", Decimal("1.01")), ("2.675", "numeric(10,2)", Decimal("2.68")),
-        ("12/31/2024", "date", datetime.date(2024, 12, 31)), ("1234", "date", None), ("2024-01-02 00:00:00.6", "timestamp(0)", datetime.datetime(2024, 1, 2, 0, 0, 1)),
+        ("12/31/2024", "date", datetime.date(2024, 12, 31)), ("1234", "date", None), ("13/12/2024", "date", datetime.date(2024, 12, 13)), ("2024-01-02 03:04:05", "date", datetime.date(2024, 1, 2)), ("12/31/2024 01:02:03", "timestamp", datetime.datetime(2024, 12, 31, 1, 2, 3)),
+        ("2024-01-02T03:04", "timestamp", datetime.datetime(2024, 1, 2, 3, 4)), ("word", "timestamp", None), ("2024-01-02 00:00:00.6", "timestamp(0)", datetime.datetime(2024, 1, 2, 0, 0, 1)),
         ("abc", "varchar(2)", None), ("ab", "char(3)", "ab "), (r"\x4142", "bytea", b"AB"), ("{A0EEBC99-9C0B-4EF8-BB6D-6BB9BD380A11}", "uuid", "a0eebc99-9c0b-4ef8-bb6d-6bb9bd380a11"),
         ('{"b":1,"a":2}', "jsonb", '{"a":2,"b":1}'), ('{"b": 1}', "json", '{"b": 1}'), ("{", "json", None), ("x", "nothing known", "x"),
     ],
