@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyport.functions.identifiers import backtick
 from tallyport.functions.nulls import blank_to_null
 
 BAD = "_bad_record"
@@ -38,12 +39,13 @@ def _reader(spark: SparkSession, dialect: Dialect):  # noqa: ANN202
 
 
 def column_names(spark: SparkSession, path: str, dialect: Dialect = CSV) -> list[str]:
-    """Header names, or column_1 to column_n by the first record's width."""
+    """Header names (one that comes again with its place behind it), or column_1 to column_n by the first record's width."""
     first = _reader(spark, dialect.with_(header=False)).csv(path).limit(1)
     row = first.first()
     if row is None:
         raise ValueError(f"{path} is empty")
-    return [v if v is not None else f"column_{i}" for i, v in enumerate(row, 1)] if dialect.header else [f"column_{i}" for i in range(1, len(row) + 1)]
+    names = [v if dialect.header and v is not None else f"column_{i}" for i, v in enumerate(row, 1)]
+    return [n if names.index(n) == i else f"{n}_{i + 1}" for i, n in enumerate(names)]
 
 
 def scan(spark: SparkSession, path: str, dialect: Dialect = CSV, columns: list[str] | None = None) -> DataFrame:
@@ -54,6 +56,21 @@ def scan(spark: SparkSession, path: str, dialect: Dialect = CSV, columns: list[s
     return raw.select(*(blank_to_null(F.col(f"`{c}`")).alias(c) for c in columns), BAD)
 
 
+def parsed(lines: DataFrame, columns: list[str], dialect: Dialect = CSV) -> DataFrame:
+    """(chunk_id, line_no, raw) lines to the columns as text and `good`. A blank line is no record; a record that spans
+    lines needs `multiline`, which reads the file as one chunk."""
+    options = {"sep": dialect.delimiter, "quote": dialect.quote, "escape": dialect.escape or dialect.quote, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD}
+    options |= {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    bare = F.when(F.endswith("raw", F.lit("\r")), F.left("raw", F.length("raw") - 1)).otherwise(F.col("raw"))
+    # A generator, so that a line is parsed once and not for each of its columns.
+    once = lines.where(F.trim(bare) != "").select("chunk_id", "line_no", "raw", F.explode(F.array(F.from_csv(bare, schema_text(columns), options))).alias("_x"))
+    return once.select("chunk_id", "line_no", F.col(f"_x.{BAD}").isNull().alias("good"), "raw", *(blank_to_null(F.col(f"_x.`{c}`")).alias(c) for c in columns))
+
+
+def schema_text(columns: list[str]) -> str:
+    return ", ".join(f"{backtick(c)} string" for c in [*columns, BAD])
+
+
 def split_bad(scanned: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good rows, bad records with what was read of them). A query on BAD alone would not parse the other columns, so
     both sides keep a reference to all of them."""

@@ -107,20 +107,22 @@ def parse_header(line: str) -> tuple[str, str, tuple[str, ...]] | None:
 
 
 def _lines(file, limit: int = LINE_LIMIT) -> Iterator[tuple[int, bytes]]:  # noqa: ANN001
-    """(offset, line with its end) from the file's start; longer lines than the limit come in parts."""
-    at, held = 0, b""
+    """(offset, line with its end) from the file's start; a line longer than the limit is an error."""
+    at, held, size = 0, [], 0
     file.seek(0)
     while block := file.read(1 << 20):
-        held += block
-        begin = 0
-        while (end := held.find(b"\n", begin)) >= 0:
-            yield at + begin, held[begin : end + 1]
-            begin = end + 1
-        at, held = at + begin, held[begin:]
-        if len(held) > limit:
+        *lines, rest = block.split(b"\n")
+        for line in lines:
+            whole = b"".join([*held, line, b"\n"])
+            yield at, whole
+            at, held, size = at + len(whole), [], 0
+        if rest:
+            held.append(rest)
+            size += len(rest)
+        if size > limit:
             raise ScanError(f"a line at byte {at} is longer than {limit} bytes")
     if held:
-        yield at, held
+        yield at, b"".join(held)
 
 
 def check_plain(file) -> None:  # noqa: ANN001
@@ -145,8 +147,11 @@ def blocks(file) -> list[Block]:  # noqa: ANN001
                 schema, table, columns, start, data = head
                 out.append(Block(schema, table, columns, start, data, at, at + len(line)))
                 head = None
-        elif len(line) <= HEADER_LIMIT and line[:4].upper() == b"COPY" and (found := parse_header(line.decode("utf-8", "replace"))):
-            head = (*found, at, at + len(line))
+        elif line[:4].upper() == b"COPY":
+            if len(line) > HEADER_LIMIT:
+                raise ScanError(f"the header at byte {at} is longer than {HEADER_LIMIT} bytes")
+            if found := parse_header(line.decode("utf-8", "replace")):
+                head = (*found, at, at + len(line))
     if head is not None:
         raise MissingTerminator(f"the rows of {head[0]}.{head[1]} do not end")
     return out
@@ -162,11 +167,11 @@ def find_block(found: list[Block], schema: str, table: str) -> Block:
 
 
 def statements_text(file, found: list[Block]) -> str:  # noqa: ANN001
-    """Everything outside the blocks; must be UTF-8."""
-    file.seek(0)
-    data = file.read()
+    """Everything outside the blocks, of which nothing is read; must be UTF-8."""
     parts, at = [], 0
     for block in found:
-        parts.append(data[at : block.header_start])
+        file.seek(at)
+        parts.append(file.read(block.header_start - at))
         at = block.block_end
-    return b"".join([*parts, data[at:]]).decode("utf-8")
+    file.seek(at)
+    return b"".join([*parts, file.read()]).decode("utf-8")

@@ -1,4 +1,5 @@
-"""A data block of a plain-text dump as a Spark data source: one partition for each newline-aligned chunk.
+"""A range of lines of a text file as a Spark data source: one partition for each newline-aligned chunk. It reads the data
+blocks of dumps, and delimited files where the chunks have to be the same on every cluster.
 
 The rows are (chunk_id, line_no, raw): raw lines with everything that their line end leaves, so that decoding, arity and
 NULLs are expressions that Catalyst sees. line_no counts from 1 within the chunk.
@@ -8,48 +9,60 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from tallyport.functions import copytext
 from tallyport.session import ship
-from tallyport.sources.dumpscan import Block
-from tallyport.sources.files import CHUNK_BYTES, chunks, parse_uri
+from tallyport.sources.files import CHUNK_BYTES, chunk_count, nth_chunk, parse_uri
 
 NAME = "tallyport_dump"
 SCHEMA = "chunk_id int, line_no long, raw string"
 
 
 class _Part(InputPartition):
-    def __init__(self, number: int, start: int, end: int) -> None:
-        self.number, self.start, self.end = number, start, end
+    def __init__(self, number: int) -> None:
+        self.number = number
+
+
+def _batch(chunk: int, before: int, lines: list[str]) -> pa.RecordBatch:
+    n = len(lines)
+    return pa.RecordBatch.from_arrays([pa.array([chunk] * n, pa.int32()), pa.array(range(before + 1, before + n + 1), pa.int64()), pa.array(lines, pa.string())], names=["chunk_id", "line_no", "raw"])
 
 
 class _Reader(DataSourceReader):
     def __init__(self, options: dict[str, str]) -> None:
         self.path, self.start, self.end = options["path"], int(options["start"]), int(options["end"])
-        self.target = int(options.get("chunkbytes", CHUNK_BYTES))
+        self.target, self.only = int(options.get("chunkbytes", CHUNK_BYTES)), options.get("only", "")
 
     def partitions(self) -> list[_Part]:
-        with parse_uri(self.path).open() as file:
-            return [_Part(c.id, c.start, c.end) for c in chunks(file, self.start, self.end, self.target)]
+        count = chunk_count(self.start, self.end, self.target)
+        return [_Part(n) for n in (map(int, self.only.split(",")) if self.only else range(count))] or [_Part(-1)]
 
-    def read(self, partition: _Part) -> Iterator[tuple[int, int, str]]:
+    def read(self, partition: _Part) -> Iterator[pa.RecordBatch]:
+        if partition.number < 0:
+            return
         with parse_uri(self.path).open() as file:
-            file.seek(partition.start)
-            left, held, number = partition.end - partition.start, b"", 0
+            chunk = nth_chunk(file, self.start, self.end, self.target, partition.number)
+            file.seek(chunk.start)
+            left, held, number = chunk.end - chunk.start, [], 0
             while left:
                 block = file.read(min(1 << 20, left))
                 if not block:
                     raise EOFError(f"{left} bytes of {self.path} are missing")
                 left -= len(block)
-                *lines, held = (held + block).split(b"\n")
-                for line in lines:
-                    number += 1
-                    yield partition.number, number, line.decode("utf-8", "replace")
-            if held:
-                yield partition.number, number + 1, held.decode("utf-8", "replace")
+                whole, end, rest = block.rpartition(b"\n")
+                if not end and left:
+                    held.append(block)
+                    continue
+                # The end of the range ends its last line; a line end there begins no further one.
+                lines = b"".join([*held, whole if end else block]).decode("utf-8", "replace").split("\n")
+                held = [rest] if rest else []
+                if not left and rest and end:
+                    lines.append(rest.decode("utf-8", "replace"))
+                yield _batch(partition.number, number, lines)
+                number += len(lines)
 
 
 class DumpSource(DataSource):
@@ -64,18 +77,19 @@ class DumpSource(DataSource):
         return _Reader(dict(self.options))
 
 
-def raw_lines(spark: SparkSession, path: str, block: Block, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+def raw_lines(spark: SparkSession, path: str, start: int, end: int, chunk_bytes: int = CHUNK_BYTES, only: list[int] | None = None) -> DataFrame:
+    """The lines of bytes [start, end) of a file, of all its chunks or of those that `only` lists."""
     ship(spark)
     spark.dataSource.register(DumpSource)
-    options = {"path": path, "start": block.data_start, "end": block.data_end, "chunkbytes": chunk_bytes}
-    if block.data_start == block.data_end:
+    options = {"path": path, "start": start, "end": end, "chunkbytes": chunk_bytes}
+    if start == end or only == []:
         return spark.createDataFrame([], SCHEMA)
+    if only is not None:
+        options["only"] = ",".join(map(str, only))
     return spark.read.format(NAME).options(**options).load()
 
 
 def scan(lines: DataFrame, columns: tuple[str, ...]) -> DataFrame:
     """(chunk_id, line_no, good, raw, columns as nullable text). Blank lines and wrong widths are not good."""
-    n = len(columns)
     # A table without columns has empty lines.
-    good = F.size(copytext.fields(F.col("raw"))) == n
-    return lines.select("chunk_id", "line_no", good.alias("good"), "raw", *(v.alias(c) for v, c in zip(copytext.decode_line(F.col("raw"), n), columns, strict=True)))
+    return copytext.decoded(lines.select("chunk_id", "line_no", "raw"), "raw", columns)

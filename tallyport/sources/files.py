@@ -30,8 +30,79 @@ class Source:
         return system.open_input_file(self.path)
 
 
+@dataclass(frozen=True)
+class Place:
+    """A folder or a small text file of a store. Executors reach it by `for_spark`, the driver by the same file system."""
+
+    source: Source
+
+    @classmethod
+    def of(cls, uri: str) -> Place:
+        return cls(parse_uri(uri))
+
+    def __truediv__(self, name: str) -> Place:
+        return Place(Source(self.source.scheme, f"{self.source.path.rstrip('/')}/{name}"))
+
+    @property
+    def for_spark(self) -> str:
+        return self.source.for_spark
+
+    @property
+    def _system(self) -> fs.FileSystem:
+        return fs.S3FileSystem() if self.source.scheme == "s3" else fs.LocalFileSystem()
+
+    def read_text(self) -> str | None:
+        """None if there is no such file."""
+        if self._system.get_file_info(self.source.path).type != fs.FileType.File:
+            return None
+        with self._system.open_input_stream(self.source.path) as file:
+            return file.read().decode("utf-8")
+
+    def write_text(self, text: str) -> None:
+        """All at once: an object appears whole, a local file is moved into its place."""
+        system, local = self._system, self.source.scheme != "s3"
+        parent = self.source.path.rpartition("/")[0]
+        if local and parent:
+            system.create_dir(parent, recursive=True)
+        path = f"{self.source.path}.new" if local else self.source.path
+        with system.open_output_stream(path) as file:
+            file.write(text.encode("utf-8"))
+        if local:
+            system.move(path, self.source.path)
+
+    def names(self) -> list[str]:
+        """What the folder holds; nothing if there is none."""
+        found = self._system.get_file_info(fs.FileSelector(self.source.path, allow_not_found=True))
+        return sorted(f.base_name for f in found)
+
+    def size(self) -> int:
+        """Bytes of a file, or of all files of a folder."""
+        info = self._system.get_file_info(self.source.path)
+        if info.type == fs.FileType.File:
+            return info.size
+        return sum(f.size or 0 for f in self._system.get_file_info(fs.FileSelector(self.source.path, recursive=True)))
+
+    def files(self) -> list[str]:
+        """The path itself, or the data files of the folder, in order of name."""
+        if self._system.get_file_info(self.source.path).type == fs.FileType.File:
+            return [self.source.path]
+        return [f"{self.source.path.rstrip('/')}/{n}" for n in self.names() if not n.startswith(("_", "."))]
+
+    def open(self, path: str | None = None):  # noqa: ANN201
+        return self._system.open_input_file(path or self.source.path)
+
+    def remove(self) -> None:
+        info = self._system.get_file_info(self.source.path)
+        if info.type == fs.FileType.Directory:
+            self._system.delete_dir(self.source.path)
+        elif info.type == fs.FileType.File:
+            self._system.delete_file(self.source.path)
+
+
 def parse_uri(uri: str) -> Source:
     scheme, mark, rest = uri.partition("://")
+    if uri.startswith("file:/") and not mark:
+        return Source("file", unquote(uri.removeprefix("file:")))
     if not mark:
         if not uri:
             raise ValueError("empty path")
@@ -85,17 +156,28 @@ class Chunk:
     id: int
     start: int
     end: int
-    estimated_rows: int | None = None
+
+
+def chunk_count(start: int, end: int, target: int = CHUNK_BYTES) -> int:
+    return -(-(end - start) // target)
+
+
+def nth_chunk(file, start: int, end: int, target: int, number: int) -> Chunk:  # noqa: ANN001
+    """The chunk of the lines that begin in the number-th `target` bytes of [start, end). Whoever reads a chunk finds its
+    borders alone, so no one has to walk over the whole file; a chunk within one long line is empty."""
+    border = lambda n: start if n <= 0 else next_boundary(file, start + n * target - 1, end) if start + n * target < end else end
+    return Chunk(number, border(number), border(number + 1))
 
 
 def chunks(file, start: int, end: int, target: int = CHUNK_BYTES) -> Iterator[Chunk]:  # noqa: ANN001
     """Contiguous chunks of about `target` bytes over [start, end), each ending after a line end."""
-    number = 0
-    while start < end:
-        stop = next_boundary(file, min(start + target, end) - 1, end) if start + target < end else end
-        sample = read_range(file, start, min(start + SAMPLE_BYTES, stop))
-        yield Chunk(number, start, stop, estimate_rows(sample, stop - start))
-        start, number = stop, number + 1
+    for number in range(chunk_count(start, end, target)):
+        yield nth_chunk(file, start, end, target, number)
+
+
+def rows_in(file, start: int, end: int) -> int | None:  # noqa: ANN001
+    """Estimated rows of [start, end), from its first SAMPLE_BYTES."""
+    return estimate_rows(read_range(file, start, min(start + SAMPLE_BYTES, end)), end - start)
 
 
 def row_group_chunks(sizes: list[int], target: int = CHUNK_BYTES) -> list[Chunk]:

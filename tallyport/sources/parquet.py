@@ -2,22 +2,41 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from itertools import accumulate
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyport.functions.nulls import blank_to_null
 from tallyport.functions.types import sql_type
+from tallyport.sources.files import CHUNK_BYTES, Place, row_group_chunks
 
 
-def scan(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
-    """The file's columns with their types; blank text is NULL. Nested columns are refused."""
+def scan(spark: SparkSession, path: str, columns: list[str] | None = None, extra: list[Column] | None = None) -> DataFrame:
+    """The file's columns with their types, and `extra` ones; blank text is NULL. Nested columns are refused."""
     found = spark.read.parquet(path)
     for field in found.schema.fields:
         sql_type(field.dataType)
     chosen = columns or found.columns
     kinds = {f.name: f.dataType for f in found.schema.fields}
-    return found.select(*(blank_to_null(F.col(f"`{c}`")).alias(c) if isinstance(kinds[c], T.StringType) else F.col(f"`{c}`") for c in chosen))
+    return found.select(*(blank_to_null(F.col(f"`{c}`")).alias(c) if isinstance(kinds[c], T.StringType) else F.col(f"`{c}`") for c in chosen), *(extra or []))
+
+
+def chunked(spark: SparkSession, uri: str, target: int = CHUNK_BYTES) -> DataFrame:
+    """`scan` with chunk_id and line_no. Chunks are runs of row groups of about `target` bytes by the footers of the file,
+    or of a folder's files in order of name, so they are the same on every cluster; lines are counted within a chunk."""
+    place = Place.of(uri)
+    chunks: list[tuple[str, int, int, int]] = []
+    for path in place.files():
+        with place.open(path) as file:
+            groups = row_groups(file)
+        starts = [0, *accumulate(rows for rows, _ in groups)]
+        chunks += [(path.rpartition("/")[2], starts[c.start], starts[c.end], len(chunks) + i) for i, c in enumerate(row_group_chunks([size for _, size in groups], target))]
+    rows = scan(spark, place.for_spark, extra=[F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row")])
+    of = spark.createDataFrame(chunks, "_name string, _from long, _to long, chunk_id int")
+    placed = rows.join(of, (F.col("_file") == F.col("_name")) & (F.col("_row") >= F.col("_from")) & (F.col("_row") < F.col("_to")))
+    return placed.withColumn("line_no", F.col("_row") - F.col("_from") + 1).drop("_file", "_row", "_name", "_from", "_to")
 
 
 def row_count(spark: SparkSession, path: str) -> int:

@@ -53,10 +53,13 @@ def test_every_newline_is_a_row_in_some_chunk(spark, tmp_path):
     path.write_text(f"COPY t (id, v) FROM stdin;\n{rows}\\.\n", newline="")
     with files.parse_uri(str(path)).open() as file:
         block = dumpscan.blocks(file)[0]
-    lines = dumpsource.raw_lines(spark, str(path), block, chunk_bytes=700)
+    lines = dumpsource.raw_lines(spark, str(path), block.data_start, block.data_end, chunk_bytes=700)
     got = dumpsource.scan(lines, block.columns).collect()
     assert len(got) == rows.count("\n")
     assert len({r.chunk_id for r in got}) > 5
+    third = dumpsource.raw_lines(spark, str(path), block.data_start, block.data_end, chunk_bytes=700, only=[2]).collect()
+    assert {(r.line_no, r.raw) for r in third} == {(r.line_no, r.raw) for r in got if r.chunk_id == 2}
+    assert dumpsource.raw_lines(spark, str(path), block.data_start, block.data_end, only=[]).count() == 0
     assert sum(r.good for r in got) == sum(1 for i in range(500) if i % 3)
     assert {r.v for r in got if r.good and r.id == "7"} == {"value 7"}
 
@@ -76,6 +79,33 @@ def test_estimates_and_row_groups():
     assert [(c.start, c.end) for c in files.row_group_chunks([5, 5, 20, 1], 10)] == [(0, 2), (2, 3), (3, 4)]
 
 
+def test_chunks_within_one_long_line_are_empty():
+    data = b"a\n" + b"x" * 100 + b"\nlast"
+    parts = list(files.chunks(io.BytesIO(data), 0, len(data), 10))
+    assert b"".join(data[c.start : c.end] for c in parts) == data
+    assert [data[c.start : c.end] for c in parts if c.start < c.end] == [data[:103], b"last"]
+    assert files.rows_in(io.BytesIO(data), 0, len(data)) == len(data) // (len(data) // 2)
+
+
+def test_parsed_lines_equal_the_csv_scan(spark, tmp_path):
+    path = tmp_path / "a.csv"
+    path.write_text("".join(f'{i},"a, ""{i}"""\r\n' if i % 7 else f"{i},x,y\n\n" if i % 2 else f"{i}\n" for i in range(300)), newline="")
+    lines = dumpsource.raw_lines(spark, str(path), 0, path.stat().st_size, chunk_bytes=500)
+    got = delimited.parsed(lines, ["id", "v"])
+    want = delimited.scan(spark, str(path), delimited.CSV, ["id", "v"])
+    assert sorted((r.id, r.v, r.good) for r in got.collect()) == sorted((r.id, r.v, r[delimited.BAD] is None) for r in want.collect())
+
+
+def test_places(tmp_path):
+    place = files.Place.of(tmp_path.as_uri()) / "d" / "x.txt"
+    assert place.read_text() is None
+    place.write_text("é")
+    place.write_text("ü")
+    assert (place.read_text(), place.size(), (files.Place.of(str(tmp_path)) / "d").names()) == ("ü", 2, ["x.txt"])
+    (files.Place.of(str(tmp_path)) / "d").remove()
+    assert (files.Place.of(str(tmp_path)) / "d").names() == []
+
+
 @pytest.mark.parametrize(("uri", "scheme", "path"), [("/a/b", "file", "/a/b"), ("file:///a", "file", "/a"), ("s3://b/k", "s3", "b/k")])
 def test_uri(uri, scheme, path):
     assert files.parse_uri(uri) == files.Source(scheme, path)
