@@ -45,6 +45,7 @@ def parser() -> argparse.ArgumentParser:
     export.add_argument("--output", required=True)
     export.add_argument("--schema", action="append", default=[])
     export.add_argument("--table", action="append", default=[])
+    export.add_argument("--parts", action="store_true", help="write a folder of parts by the executors, not one file by the driver")
     listed = commands.add_parser("list-tables", help="the tables of a dump")
     listed.add_argument("--source", required=True)
     return out
@@ -72,7 +73,11 @@ def main(argv: list[str] | None = None) -> int:
                 return 0
             result = jobs.load(spark, jobs.Store(spark, args.store), options)
             print(jobs.as_json(result))
-            return 0 if result.passed and not result.failed else 1
+            for warning in result.warnings:
+                print(f"warning: {warning}", file=sys.stderr)
+            if result.too_few:
+                print(f"{result.loaded + result.failed} rows seen of about {result.estimated}", file=sys.stderr)
+            return 0 if result.passed and not result.failed and not result.too_few else 1
         if args.command == "migrate":
             report = jobs.migrate(spark, jobs.Store(spark, args.store), args.source, args.verify, args.dry_run)
             for finding in report.findings:
@@ -83,7 +88,11 @@ def main(argv: list[str] | None = None) -> int:
                 print(report.halted, file=sys.stderr)
             return 0 if report.passed else 1
         if args.command == "export":
-            print(jobs.export_tables(jobs.Store(spark, args.store), args.output, tuple(args.schema), tuple(args.table)))
+            store = jobs.Store(spark, args.store)
+            if args.parts:
+                print("\n".join(jobs.export_parts(store, args.output, tuple(args.schema), tuple(args.table))))
+            else:
+                print(jobs.export_tables(store, args.output, tuple(args.schema), tuple(args.table)))
             return 0
         for row in jobs.list_tables(spark, args.source).collect():
             print(f"{row.schema}\t{row.table}\t{','.join(row.columns)}")

@@ -46,6 +46,11 @@ def too_few(processed: int, estimated: int | None, part: float = 0.75) -> bool:
     return estimated is not None and processed < part * estimated
 
 
+def rate(rows: int, seconds: float) -> float:
+    """Rows a second of a load."""
+    return rows / seconds if seconds > 0 else 0.0
+
+
 def percentiles(df: DataFrame, column: str, points: tuple[float, ...] = (0.5, 0.9, 0.99)) -> DataFrame:
     """Nearest-rank percentiles, one column each: p50, p90, p99."""
     return df.agg(*(F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY `{column}`)").alias(f"p{round(100 * p)}") for p in points))

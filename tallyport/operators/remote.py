@@ -17,9 +17,6 @@ TIMEOUT_S = 180
 TRANSIENT_CLASSES = ("08", "53", "57")
 TRANSIENT_STATES = frozenset({"40001", "40P01", "42001", "OC000", "OC001"})
 TRANSIENT_TEXTS = ("timed out", "server unavailable", "transaction age limit", "Connection reset")
-#: Bind parameters that a suggested batch stays below.
-SAFE_PARAMETERS = 20_000
-_TOO_MANY = ("too many arguments", "too many sql variables")
 
 
 def pause(attempt: int, draw: Callable[[], float] = random.random) -> float:
@@ -28,31 +25,27 @@ def pause(attempt: int, draw: Callable[[], float] = random.random) -> float:
 
 
 def is_transient(state: str | None, message: str = "") -> bool:
+    """Connection, resource and operator trouble, conflicts of transactions, time-outs and broken connections."""
     if state and (state[:2] in TRANSIENT_CLASSES or state in TRANSIENT_STATES):
         return True
     return any(text in message for text in TRANSIENT_TEXTS)
 
 
-def smaller_batch(message: str, batch_size: int, columns: int) -> int | None:
-    """A batch size to try after a complaint about the number of parameters; None after any other."""
-    if not any(text in message.lower() for text in _TOO_MANY):
-        return None
-    return min(max(1, SAFE_PARAMETERS // columns), batch_size - 1) if columns else batch_size // 2
-
-
 def retried(act: Callable[[], object], state_of: Callable[[Exception], str | None] = lambda error: getattr(error, "sqlstate", None), sleep: Callable[[float], None] = time.sleep) -> object:
     """Run `act` until it ends or fails for good."""
     for attempt in range(1, ATTEMPTS + 1):
         try:
             return act()
         except Exception as error:
-            if attempt == ATTEMPTS or not is_transient(state_of(error), str(error)):
+            broken = isinstance(error, (ConnectionError, TimeoutError))
+            if attempt == ATTEMPTS or not (broken or is_transient(state_of(error), str(error))):
                 raise
             sleep(pause(attempt))
     raise AssertionError("unreachable")
 
 
 def write(df: DataFrame, url: str, table: str, properties: dict[str, str], batch_size: int = 2000) -> None:
-    """Append over JDBC; Spark tries each task again, so the target should have a key. Needs the driver's jar."""
+    """Append over JDBC, tried again after errors that may pass. Spark tries each task again too, so the target should
+    have a key. Needs the driver's jar."""
     options = {"batchsize": str(batch_size), "queryTimeout": str(TIMEOUT_S), "isolationLevel": "READ_COMMITTED"}
-    df.write.mode("append").options(**options).jdbc(url, table, properties=properties)
+    retried(lambda: df.write.mode("append").options(**options).jdbc(url, table, properties=properties))

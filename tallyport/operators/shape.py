@@ -50,6 +50,8 @@ def align(df: DataFrame, target: list[str]) -> DataFrame:
     return df.select(*(F.col(f"`{c}`") for c in target))
 
 
-def bind(fields: Column, names: list[str]) -> list[Column]:
-    """Field N to column N."""
-    return [F.get(fields, F.lit(i)).alias(c) for i, c in enumerate(names)]
+def bind(df: DataFrame, target: list[str]) -> DataFrame:
+    """Column N of the source to column N of the target."""
+    if len(df.columns) != len(target):
+        raise ValueError(f"the source has {len(df.columns)} columns, the table {len(target)}")
+    return df.toDF(*target)

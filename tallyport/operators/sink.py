@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from enum import Enum
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyport.session import cut
+
 
 class OnConflict(Enum):
     DO_NOTHING = "do-nothing"
@@ -61,7 +63,9 @@ def do_update(target: DataFrame, new: DataFrame, keys: list[str], order: Column)
 
 def error_batches(target: DataFrame, new: DataFrame, keys: list[str], batch: str = "batch_id") -> DataFrame:
     """(batch, failed) of each batch: it fails if it has a key of the target or a key twice, or a key of an earlier
-    batch that went in. The last is settled in order of batches, from the keys that several batches share only."""
+    batch that went in. The last is settled in rounds over the keys that several batches share: a batch that is first
+    in all its keys goes in, those that share a key with it fail, and both leave. Rounds are as many as a chain of
+    batches that each wait for the one before is long, two for most data; rows never come to the driver."""
     known = F.lit(True)
     for k in keys:
         known = known & F.col(f"`{k}`").isNotNull()
@@ -71,23 +75,20 @@ def error_batches(target: DataFrame, new: DataFrame, keys: list[str], batch: str
     own = new.select(batch).distinct().join(flagged, batch, "left").select(batch, F.coalesce("own", F.lit(False)).alias("own"))
     sound = keyed.join(own.where(~F.col("own")), batch, "left_semi")
     shared = sound.groupBy(*keys).agg(F.count(F.lit(1)).alias("_of")).where("_of > 1")
-    # A key that three or more batches share may fall to a later batch once the first has failed: settle those in order.
-    failed: set[int] = set()
-    members: dict[tuple, list[int]] = {}
-    for row in sound.join(shared, keys).orderBy(batch).toLocalIterator():
-        members.setdefault(tuple(row[k] for k in keys), []).append(row[batch])
-    by_batch: dict[int, list[tuple]] = {}
-    for key, batches in members.items():
-        for b in batches:
-            by_batch.setdefault(b, []).append(key)
-    taken: set[tuple] = set()
-    for b in sorted(by_batch):
-        if any(key in taken for key in by_batch[b]):
-            failed.add(b)
-        else:
-            taken.update(by_batch[b])
-    late = F.col(batch).isin(*sorted(failed)) if failed else F.lit(False)
-    return own.select(batch, (F.col("own") | late).alias("failed"))
+    open_ = cut(sound.join(shared, keys, "left_semi").select(*keys, batch), "sink-open")
+    late = None
+    while open_.limit(1).count():
+        least = Window.partitionBy(*keys)
+        ranked = open_.withColumn("_first", F.min(batch).over(least) == F.col(batch))
+        going_in = ranked.groupBy(batch).agg(F.min("_first").alias("_in")).where("_in").select(batch)
+        taken = open_.join(going_in, batch, "left_semi").select(*keys).distinct()
+        loses = cut(open_.join(taken, keys, "left_semi").select(batch).distinct().join(going_in, batch, "left_anti"), "sink-late")
+        late = loses if late is None else late.union(loses)
+        gone = going_in.union(loses)
+        open_ = cut(open_.join(gone, batch, "left_anti"), "sink-open")
+    if late is None:
+        return own.select(batch, F.col("own").alias("failed"))
+    return own.join(late.withColumn("_late", F.lit(True)), batch, "left").select(batch, (F.col("own") | F.coalesce("_late", F.lit(False))).alias("failed"))
 
 
 def fill_defaults(df: DataFrame, defaults: dict[str, str], columns: list[str]) -> DataFrame:

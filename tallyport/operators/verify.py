@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyport.functions.casts import recast
 from tallyport.functions.types import SqlType, parse_type
+from tallyport.session import cut
 
 MOST_KEYS = 100
 #: Verdicts that let a load pass.
@@ -53,14 +54,15 @@ def skip_reason(keys: list[str], source_columns: list[str], target_columns: list
     return None
 
 
-def compare(source: DataFrame, target: DataFrame, key: str, types: dict[str, str]) -> DataFrame:
-    """(key text, state) of each source row: match, mismatch or missing. The source is text, the target typed; one left
-    join by the recast key, whose strategy Spark picks."""
+def compare(source: DataFrame, target: DataFrame, key: str, types: dict[str, str], order: tuple[str, ...] = ()) -> DataFrame:
+    """(key text, state, at) of each source row: match, mismatch or missing; `at` is its place by the columns of `order`,
+    else its key. The source is text, the target typed; one left join by the recast key, whose strategy Spark picks."""
     s, t = source.alias("s"), target.withColumn("_there", F.lit(True)).alias("t")
     joined = s.join(t, recast(F.col(f"s.`{key}`"), types[key]) == F.col(f"t.`{key}`"), "left")
-    same = reduce(Column.__and__, [same_value(F.col(f"s.`{c}`"), F.col(f"t.`{c}`"), types[c]) for c in source.columns])
+    same = reduce(Column.__and__, [same_value(F.col(f"s.`{c}`"), F.col(f"t.`{c}`"), types[c]) for c in source.columns if c not in order])
+    at = F.struct(*(F.col(f"s.`{c}`") for c in order)) if order else F.struct(F.col(f"s.`{key}`").alias("key"))
     state = F.when(F.col("t._there").isNull(), "missing").when(F.coalesce(same, F.lit(False)), "match").otherwise("mismatch")
-    return joined.select(F.col(f"s.`{key}`").alias("key"), state.alias("state"))
+    return joined.select(F.col(f"s.`{key}`").alias("key"), state.alias("state"), at.alias("at"))
 
 
 def check_keys(source: DataFrame, key: str) -> None:
@@ -70,8 +72,10 @@ def check_keys(source: DataFrame, key: str) -> None:
 
 
 def summary(states: DataFrame) -> DataFrame:
-    """One row: rows, mismatches, missing, and at most MOST_KEYS keys of each."""
-    few = lambda state: states.where(F.col("state") == state).select("key").orderBy("key").limit(MOST_KEYS).agg(F.sort_array(F.collect_list("key")).alias(f"{state}_keys"))
+    """One row: rows, mismatches, missing, and at most MOST_KEYS keys of each, the first in source order. The comparison
+    runs once: its states are written before they are looked at."""
+    states = cut(states, "verify-states")
+    few = lambda state: states.where(F.col("state") == state).orderBy("at").limit(MOST_KEYS).agg(F.transform(F.sort_array(F.collect_list(F.struct("at", "key"))), lambda x: x["key"]).alias(f"{state}_keys"))
     counts = states.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("state") == "mismatch").alias("mismatched"), F.count_if(F.col("state") == "missing").alias("missing"))
     one = F.lit(1).alias("_one")
     return counts.select("*", one).join(few("mismatch").select("*", one), "_one").join(few("missing").select("*", one), "_one").drop("_one")

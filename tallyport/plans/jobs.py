@@ -1,11 +1,16 @@
-"""The four commands: load a file, migrate a dump, export tables, list a dump's tables. Jobs keep their plan and results
-as files beside the target, so that a second run of the same job does only what the first left undone."""
+"""The four commands: load a file, migrate a dump, export tables, list a dump's tables.
+
+A load numbers its rows by chunk and line. Chunks are byte ranges (row groups of Parquet), the same on every cluster, and
+batches are runs of lines of a chunk that go in or fail as one. With `resume` a job file keeps what the source was, and
+beside it a table of the batches that went in; a second run of the job does the others only.
+"""
 
 from __future__ import annotations
 
 import json
+import time
+import uuid
 from dataclasses import asdict, dataclass, field, replace
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,14 +18,17 @@ from pyspark.sql import functions as F
 from tallyport.contract import ColumnContract, TableContract
 from tallyport.functions import identifiers, infer
 from tallyport.functions.casts import failed, recast
-from tallyport.functions.render import render_all
-from tallyport.functions.types import sql_type
+from tallyport.functions.render import render
+from tallyport.functions.types import parse_type, spark_type, sql_type
 from tallyport.operators import accounting, export, shape, sink, verify
 from tallyport.operators.sink import OnConflict
 from tallyport.operators.verify import VerifyMode
 from tallyport.plans import ddl
+from tallyport.plans.store import Store
+from tallyport.session import cut
 from tallyport.sources import delimited, dumpscan, dumpsource, files
 from tallyport.sources import parquet as parquet_source
+from tallyport.sources.files import Place
 
 BATCH_SIZE = 2000
 
@@ -54,6 +62,8 @@ class LoadOptions:
             raise ValueError("a resumed load can't be verified: what it adds is not all that it counts")
         if self.exclude and self.create:
             raise ValueError("columns can't be excluded from a table that the load creates")
+        if self.batch_size < 1 or self.chunk_bytes < 1:
+            raise ValueError("batches and chunks have a size of 1 at least")
         shape.validate_exclude_rename(list(self.exclude), self.rename)
         identifiers.validate_identifier(self.table, "table name")
         identifiers.validate_identifier(self.schema, "schema name")
@@ -68,192 +78,288 @@ class LoadResult:
     failed: int
     parse_errors: int
     verdict: str | None = None
+    estimated: int | None = None
+    seconds: float = 0.0
+    warnings: tuple[str, ...] = ()
+    #: Where the error records are, if there are any.
+    errors: str | None = None
+    bad_keys: tuple[str, ...] = ()
 
     @property
     def passed(self) -> bool:
         return self.verdict is None or self.verdict in verify.GOOD
 
+    @property
+    def too_few(self) -> bool:
+        """Whether less than three quarters of the estimated rows were seen."""
+        return accounting.too_few(self.loaded + self.failed, self.estimated)
 
-class Store:
-    """Tables as Parquet folders below a root, each with its contract; every write goes to a new folder, then swaps."""
-
-    def __init__(self, spark: SparkSession, root: str) -> None:
-        self.spark, self.root = spark, Path(root)
-
-    def _home(self, schema: str, table: str) -> Path:
-        return self.root / schema / table
-
-    def contract(self, schema: str, table: str) -> TableContract:
-        path = self._home(schema, table) / "contract.json"
-        if not path.exists():
-            raise LookupError(f"there is no table {schema}.{table}")
-        return TableContract.from_json(path.read_text())
-
-    def create(self, contract: TableContract) -> bool:
-        """Whether the table was made; an existing one stays as it is."""
-        home = self._home(contract.schema, contract.table)
-        if (home / "contract.json").exists():
-            return False
-        home.mkdir(parents=True, exist_ok=True)
-        (home / "contract.json").write_text(contract.to_json())
-        return True
-
-    def read(self, schema: str, table: str) -> DataFrame:
-        contract, home = self.contract(schema, table), self._home(schema, table)
-        struct = contract.struct()
-        version = home / "version"
-        if not version.exists():
-            return self.spark.createDataFrame([], struct)
-        return self.spark.read.schema(struct).parquet(str(home / version.read_text()))
-
-    def replace(self, schema: str, table: str, df: DataFrame) -> None:
-        """Write the whole table anew; readers see the old one until the version file points to the new one."""
-        home = self._home(schema, table)
-        number = int((home / "version").read_text()[1:]) + 1 if (home / "version").exists() else 1
-        df.write.mode("overwrite").parquet(str(home / f"v{number}"))
-        (home / "version.new").write_text(f"v{number}")
-        (home / "version.new").replace(home / "version")
-
-    def tables(self, schemas: tuple[str, ...] = (), names: tuple[str, ...] = ()) -> list[tuple[str, str]]:
-        found = sorted((p.parent.parent.name, p.parent.name) for p in self.root.glob("*/*/contract.json"))
-        return [(s, t) for s, t in found if (not schemas or s in schemas) and (not names or t in names)]
-
-
-def _source(spark: SparkSession, options: LoadOptions, block: dumpscan.Block | None) -> tuple[DataFrame, int | None, bool]:
-    """(rows, source rows, whether their cells are text) with chunk_id, line_no and good beside the columns."""
-    path = files.parse_uri(options.uri).for_spark
-    if options.format == "dump":
-        if block is None:
-            with files.parse_uri(options.uri).open() as file:
-                block = dumpscan.find_block(dumpscan.blocks(file), options.schema, options.table)
-        lines = dumpsource.raw_lines(spark, options.uri, block, options.chunk_bytes)
-        rows = dumpsource.scan(lines, block.columns)
-        return rows, rows.count(), True
-    if options.format == "parquet":
-        rows = parquet_source.scan(spark, path)
-        numbered = rows.withColumn("chunk_id", F.spark_partition_id()).withColumn("line_no", F.monotonically_increasing_id())
-        return numbered.withColumn("good", F.lit(True)), parquet_source.row_count(spark, path), False
-    dialect = options.dialect or (delimited.TSV if options.format == "tsv" else delimited.CSV)
-    rows = delimited.scan(spark, path, dialect)
-    marked = rows.withColumn("chunk_id", F.spark_partition_id()).withColumn("line_no", F.monotonically_increasing_id())
-    return marked.withColumn("good", F.col(delimited.BAD).isNull()).withColumnRenamed(delimited.BAD, "raw"), None, True
+
+@dataclass(frozen=True)
+class _Source:
+    """Rows with chunk_id, line_no, good and raw beside the columns."""
+
+    rows: DataFrame
+    columns: list[str]
+    count: int | None
+    estimated: int | None
+    is_text: bool
 
 
 _EXTRA = ("chunk_id", "line_no", "good", "raw")
 
 
-def _target(store: Store, options: LoadOptions, columns: list[str], rows: DataFrame, is_text: bool) -> TableContract:
+def _source(spark: SparkSession, options: LoadOptions, block: dumpscan.Block | None) -> _Source:
+    place = Place.of(options.uri)
+    if options.format == "parquet":
+        rows = parquet_source.chunked(spark, options.uri, options.chunk_bytes)
+        columns = [c for c in rows.columns if c not in _EXTRA]
+        count = parquet_source.row_count(spark, place.for_spark)
+        return _Source(rows.withColumn("good", F.lit(True)).withColumn("raw", F.lit(None).cast("string")), columns, count, count, False)
+    if options.format == "dump":
+        with place.open() as file:
+            block = block or dumpscan.find_block(dumpscan.blocks(file), options.schema, options.table)
+            estimated = files.rows_in(file, block.data_start, block.data_end)
+        lines = dumpsource.raw_lines(spark, options.uri, block.data_start, block.data_end, options.chunk_bytes)
+        if block.data_start < block.data_end and not (n := lines.count()):
+            raise ValueError(f"{options.table} has data in the dump, but no row of it was read")
+        return _Source(dumpsource.scan(lines, block.columns), list(block.columns), 0 if block.data_start == block.data_end else n, estimated, True)
+    dialect = options.dialect or (delimited.TSV if options.format == "tsv" else delimited.CSV)
+    columns = delimited.column_names(spark, place.for_spark, dialect)
+    if dialect.multiline:
+        # One file with records over several lines is read in one piece, in order.
+        rows = delimited.scan(spark, place.for_spark, dialect, columns).withColumn("chunk_id", F.lit(0)).withColumn("line_no", F.monotonically_increasing_id() + 1)
+        return _Source(rows.withColumn("good", F.col(delimited.BAD).isNull()).withColumnRenamed(delimited.BAD, "raw"), columns, None, None, True)
+    with place.open() as file:
+        end = place.size()
+        start = files.next_boundary(file, 0, end) if dialect.header else 0
+        estimated = files.rows_in(file, start, end)
+    lines = dumpsource.raw_lines(spark, options.uri, start, end, options.chunk_bytes)
+    return _Source(delimited.parsed(lines, columns, dialect), columns, None, estimated, True)
+
+
+def _target(store: Store, options: LoadOptions, source: _Source) -> TableContract:
     if not options.create:
         return store.contract(options.schema, options.table)
-    if is_text:
-        sample = rows.where("good").select(*(F.col(f"`{c}`") for c in columns), "chunk_id", "line_no")
-        found = infer.infer(sample.orderBy("chunk_id", "line_no").select(*(F.col(f"`{c}`") for c in columns)))
-        made = tuple(ColumnContract(options.rename.get(c.name, c.name), c.type.value, c.nullable) for c in found)
+    if source.is_text:
+        sample = source.rows.where("good").orderBy("chunk_id", "line_no").select(*(F.col(f"`{c}`") for c in source.columns))
+        made = tuple(ColumnContract(options.rename.get(c.name, c.name), c.type.value, c.nullable) for c in infer.infer(sample))
     else:
-        kinds = {f.name: f.dataType for f in rows.schema.fields}
-        made = tuple(ColumnContract(options.rename.get(c, c), sql_type(kinds[c])) for c in columns)
-    contract = TableContract(options.schema, options.table, made)
-    store.create(contract)
+        kinds = {f.name: f.dataType for f in source.rows.schema.fields}
+        made = tuple(ColumnContract(options.rename.get(c, c), sql_type(kinds[c])) for c in source.columns)
+    store.create(TableContract(options.schema, options.table, made))
     return store.contract(options.schema, options.table)
 
 
+class Job:
+    """What a resumable load keeps: its plan, and (chunk_id, batch_id) of the batches that went in, a table for each run.
+    A run counts once the job file names it."""
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self.spark, self.file = spark, Place.of(path)
+        self.batches = Place.of(path + ".batches")
+        text = self.file.read_text()
+        self.kept: dict | None = json.loads(text) if text is not None else None
+
+    def options(self, options: LoadOptions) -> LoadOptions:
+        """The options of the first run where a later one may leave them out: exclusions, and the sizes that number rows."""
+        if self.kept is None:
+            return options
+        plan = self.kept["plan"]
+        if options.exclude and sorted(options.exclude) != sorted(plan["exclude"]):
+            raise ValueError(f"can't resume: the job excludes {', '.join(plan['exclude']) or 'nothing'}")
+        return replace(options, exclude=tuple(plan["exclude"]), batch_size=plan["batch_size"], chunk_bytes=plan["chunk_bytes"])
+
+    def check(self, plan: dict) -> None:
+        """Refuse a source, target or way of reading that is another one than the first run's."""
+        if self.kept is None:
+            return
+        for name, value in self.kept["plan"].items():
+            if plan[name] != value:
+                raise ValueError(f"can't resume: {name} was {value!r} and is {plan[name]!r}")
+        positions = shape.excluded_positions(plan["columns"], plan["exclude"])
+        if positions != self.kept["excluded_positions"]:
+            raise ValueError("can't resume: the job file's excluded positions are not those of its columns")
+
+    def done(self) -> DataFrame | None:
+        runs = self.kept["runs"] if self.kept else []
+        return self.spark.read.schema("chunk_id int, batch_id int").parquet(*((self.batches / run).for_spark for run in runs)) if runs else None
+
+    def add(self, plan: dict, loaded: DataFrame) -> None:
+        run = f"run-{uuid.uuid4().hex}"
+        loaded.write.parquet((self.batches / run).for_spark)
+        runs = [*(self.kept["runs"] if self.kept else []), run]
+        self.kept = {"plan": plan, "excluded_positions": shape.excluded_positions(plan["columns"], plan["exclude"]), "runs": runs}
+        self.file.write_text(json.dumps(self.kept))
+
+
+def _plan(options: LoadOptions, source: _Source) -> dict:
+    dialect = asdict(options.dialect) if options.dialect else None
+    return {
+        "uri": options.uri, "schema": options.schema, "table": options.table, "format": options.format, "size": Place.of(options.uri).size(), "columns": source.columns,
+        "exclude": sorted(options.exclude), "rename": options.rename, "dialect": dialect, "batch_size": options.batch_size, "chunk_bytes": options.chunk_bytes,
+    }
+
+
+def _bound(options: LoadOptions, source: _Source, contract: TableContract) -> dict[str, str]:
+    """Target column to source column. Dumps bind by name, and so do tables that the load creates and loads that rename;
+    other files bind by position, whatever a header says."""
+    if options.exclude:
+        shape.validate_excluded(source.columns, list(options.exclude))
+    if unknown := [c for c in options.rename if c not in source.columns]:
+        raise ValueError(f"renamed columns are not in the source: {', '.join(unknown)}")
+    kept = [c for c in source.columns if c not in options.exclude]
+    empty = source.rows.select(*(F.col(f"`{c}`") for c in kept))
+    if options.format == "dump":
+        return {c: c for c in shape.align(empty, contract.names).columns}
+    if options.create or options.rename or options.format == "parquet":
+        named = {options.rename.get(c, c): c for c in kept}
+        target = [c for c in contract.names if c not in options.exclude]
+        if set(named) == set(target):
+            return {c: named[c] for c in target}
+        if options.format != "parquet" or options.rename:
+            raise ValueError(f"the source's columns {', '.join(named)} are not the table's {', '.join(target)}")
+    target = [c for c in contract.names if c not in options.exclude]
+    return dict(zip(shape.bind(empty, target).columns, kept, strict=True))
+
+
+def _typed(source: _Source, contract: TableContract, bound: dict[str, str]) -> DataFrame:
+    """(chunk_id, line_no, good, raw, why, columns): the target's values, and the columns that a row does not fit."""
+    kinds = {f.name: f.dataType for f in source.rows.schema.fields}
+    values: list[Column] = []
+    for name, origin in bound.items():
+        value, wanted = F.col(f"`{origin}`"), spark_type(*parse_type(contract.types[name]))
+        if source.is_text:
+            cast = recast(value, contract.types[name])
+        elif kinds[origin] == wanted:
+            cast = value
+        else:
+            # Another type: through the text that is compared and exported, unless both are numbers.
+            number = all(k.typeName() in _NUMBERS or k.typeName().startswith("decimal") for k in (kinds[origin], wanted))
+            cast = value.try_cast(wanted) if number else recast(render(value, kinds[origin]), contract.types[name])
+        values.append(F.struct(value.isNotNull().alias("given"), cast.alias("v")).alias(name))
+    # A generator, so that a value is cast once and not again for each test of it.
+    once = source.rows.select(*_EXTRA, F.explode(F.array(F.struct(*values))).alias("_x"))
+    whys = []
+    for column in contract.columns:
+        if column.name not in bound:
+            continue
+        cell = F.col(f"_x.`{column.name}`")
+        unfit = failed(F.when(cell["given"], F.lit("")), cell["v"])
+        whys.append(F.when(unfit, F.lit(f"{column.name} does not fit {column.type_name}")))
+        if not column.nullable and not column.identity:
+            whys.append(F.when(~cell["given"], F.lit(f"{column.name} is NULL")))
+    why = F.concat_ws("; ", *whys) if whys else F.lit("")
+    return once.select(*_EXTRA, why.alias("why"), *(F.col(f"_x.`{name}`")["v"].alias(name) for name in bound))
+
+
+_NUMBERS = ("byte", "short", "integer", "long", "float", "double")
+
+
 def load(spark: SparkSession, store: Store, options: LoadOptions, block: dumpscan.Block | None = None) -> LoadResult:
-    """One file into one table. Rows that do not parse or do not fit are counted; with a batch size, one of them fails
-    its batch."""
+    """One file into one table. Rows that do not parse are counted; a row that does not fit fails its batch, and so does
+    a key that is there already where conflicts are errors."""
+    began = time.monotonic()
     options = options.validated()
-    manifest = Path(options.resume) if options.resume else None
-    plan = {"uri": options.uri, "schema": options.schema, "table": options.table, "format": options.format, "exclude": list(options.exclude)}
-    done: set[int] = set()
-    if manifest is not None and manifest.exists():
-        kept = json.loads(manifest.read_text())
-        if kept["plan"] != plan:
-            raise ValueError("the job to resume is another one")
-        done = set(kept["done"])
-    rows, source_rows, is_text = _source(spark, options, block)
-    columns = [c for c in rows.columns if c not in _EXTRA]
-    contract = _target(store, options, columns, rows, is_text)
+    job = Job(spark, options.resume) if options.resume else None
+    if job:
+        options = job.options(options)
+    source = _source(spark, options, block)
+    if job:
+        job.check(plan := _plan(options, source))
+    contract = _target(store, options, source)
     warnings = sink.validate_keys(options.on_conflict, contract.keys, list(options.exclude))
-    del warnings
-    if done:
-        rows = rows.where(~F.col("chunk_id").isin(*done))
-    if not is_text:
-        rows = rows.select(*render_all(rows.select(*columns)).columns, *(c for c in _EXTRA if c in rows.columns))
-    shape.validate_excluded(columns, list(options.exclude)) if options.exclude else None
-    kept_columns = [c for c in columns if c not in options.exclude]
-    names = {c: options.rename.get(c, c) for c in kept_columns}
-    if options.format in ("dump",) or options.create or set(names.values()) <= set(contract.names):
-        wanted = [c for c in contract.names if c in names.values()]
-        if options.format == "dump":
-            shape.align(rows.select(*kept_columns), contract.names)
-    else:
-        # A file without names binds by position.
-        target = [c for c in contract.names if c not in options.exclude]
-        if len(target) != len(kept_columns):
-            raise ValueError(f"the source has {len(kept_columns)} columns, the table {len(target)}")
-        names, wanted = dict(zip(kept_columns, target, strict=True)), target
-    of = {v: k for k, v in names.items()}
-    typed: list[Column] = []
-    bad = F.lit(False)
-    for name in wanted:
-        value = F.col(f"`{of[name]}`")
-        cast = recast(value, contract.types[name]) if is_text else value
-        if is_text:
-            bad = bad | failed(value, cast)
-        typed.append(cast.alias(name))
-    needed = [c.name for c in contract.columns if not c.nullable and c.name in wanted and not c.identity]
-    shaped = rows.select("chunk_id", "line_no", "good", bad.alias("bad"), *typed)
-    for name in needed:
-        shaped = shaped.withColumn("bad", F.col("bad") | F.col(f"`{name}`").isNull())
-    # Batches are runs of lines of a chunk.
-    numbered = shaped.withColumn("batch_id", sink.batch_id(F.col("line_no") % (1 << 33) + (0 if options.format == "dump" else 1), options.batch_size))
-    work = store.root / ".work" / f"{options.schema}.{options.table}"
-    numbered.write.mode("overwrite").parquet(str(work))
-    numbered = spark.read.parquet(str(work))
-    parse_errors = numbered.where(~F.col("good")).count()
-    broken = numbered.where("good AND bad").select("chunk_id", "batch_id").distinct().withColumn("_broken", F.lit(True))
-    marked = numbered.where("good").join(broken, ["chunk_id", "batch_id"], "left").withColumn("_broken", F.coalesce("_broken", F.lit(False)))
-    if options.on_conflict is OnConflict.ERROR and contract.keys:
-        fresh = marked.where(~F.col("_broken")).withColumn("_batch", F.col("chunk_id").cast("long") * (1 << 32) + F.col("batch_id"))
-        bad_batches = sink.error_batches(store.read(options.schema, options.table), fresh, contract.keys, "_batch").where("failed").select("_batch")
-        good = fresh.join(bad_batches, "_batch", "left_anti")
-    else:
-        good = marked.where(~F.col("_broken"))
-    total = numbered.where("good").count()
-    loaded = good.count()
+    bound = _bound(options, source, contract)
+    numbered = _typed(source, contract, bound).withColumn("batch_id", sink.batch_id(F.col("line_no"), options.batch_size))
+    if job and (before_this := job.done()) is not None:
+        numbered = numbered.join(before_this, ["chunk_id", "batch_id"], "left_anti")
+    numbered = cut(numbered, "load-rows")
     before = store.read(options.schema, options.table)
     pre = before.count()
-    new = sink.fill_defaults(good.select("chunk_id", "line_no", *wanted), contract.defaults, [*contract.names, "chunk_id", "line_no"])
+    batches = _settled(numbered, before, contract, options)
+    good = numbered.where("good").join(batches.frame.where("outcome = 'loaded'"), ["chunk_id", "batch_id"], "left_semi")
+    new = sink.fill_defaults(good.select("chunk_id", "line_no", *(F.col(f"`{c}`") for c in bound)), contract.defaults, [*contract.names, "chunk_id", "line_no"])
     kinds = {f.name: f.dataType for f in contract.struct().fields}
     new = new.select(*(F.col(f"`{c}`").cast(kinds[c]).alias(c) for c in contract.names), F.struct("chunk_id", "line_no").alias("_order"))
     if options.on_conflict is OnConflict.DO_UPDATE:
-        after = sink.do_update(before, new, contract.keys, F.col("_order"))
-    elif options.on_conflict is OnConflict.DO_NOTHING:
-        after = before.unionByName(sink.do_nothing(before, new, contract.keys, F.col("_order")).select(*contract.names))
-    else:
-        after = before.unionByName(new.select(*contract.names))
-    store.replace(options.schema, options.table, after)
-    if manifest is not None:
-        chunks_done = sorted({r.chunk_id for r in numbered.groupBy("chunk_id").agg(F.max("bad").alias("b")).where("NOT b").collect()} | done)
-        manifest.write_text(json.dumps({"plan": plan, "done": chunks_done}))
-    result = LoadResult(options.table, source_rows, loaded, total - loaded + parse_errors, parse_errors)
-    if options.verify is VerifyMode.OFF or options.create or options.format not in ("dump", "parquet"):
-        return result
-    return replace(result, verdict=_verify(spark, store, options, contract, rows, kept_columns, result, pre))
-
-
-def _verify(spark: SparkSession, store: Store, options: LoadOptions, contract: TableContract, rows: DataFrame, columns: list[str], result: LoadResult, pre: int) -> str:
+        store.replace(options.schema, options.table, sink.do_update(before, new, contract.keys, F.col("_order")).select(*contract.names))
+    elif batches.loaded:
+        fresh = sink.do_nothing(before, new, contract.keys, F.col("_order")) if options.on_conflict is OnConflict.DO_NOTHING else new
+        store.append(options.schema, options.table, fresh.select(*contract.names))
+    if job:
+        job.add(plan, batches.frame.where("outcome = 'loaded'").select("chunk_id", "batch_id"))
+    failed_rows = batches.failed + batches.unread
+    errors = None
+    if failed_rows:
+        errors = (store.root / ".errors" / f"{options.schema}.{options.table}-{uuid.uuid4().hex}").for_spark
+        job_errors(numbered, batches.frame, options).write.parquet(errors)
+    # A resumed run sees a part of the source, of which there is no estimate.
+    estimated = None if job and job.kept and len(job.kept["runs"]) > 1 else source.estimated
+    result = LoadResult(options.table, source.count, batches.loaded, failed_rows, batches.unread, None, estimated, 0.0, tuple(warnings), errors)
+    if options.verify is not VerifyMode.OFF and not options.create and options.format in ("dump", "parquet"):
+        result = _verify(spark, store, options, contract, source, numbered, result, pre)
+    return replace(result, seconds=round(time.monotonic() - began, 3))
+
+
+@dataclass(frozen=True)
+class _Batches:
+    """(chunk_id, batch_id, n, outcome) of each batch that has a row that parsed; and the rows by outcome."""
+
+    frame: DataFrame
+    unread: int
+    loaded: int
+    failed: int
+
+    @classmethod
+    def counted(cls, frame: DataFrame, unread: int) -> _Batches:
+        """Settled once: written, then counted."""
+        frame = cut(frame, "load-batches")
+        counts = {r.outcome: r.n for r in frame.groupBy("outcome").agg(F.sum("n").alias("n")).collect()}
+        loaded = counts.pop("loaded", 0)
+        return cls(frame, unread, loaded, sum(counts.values()))
+
+
+def _settled(numbered: DataFrame, before: DataFrame, contract: TableContract, options: LoadOptions) -> _Batches:
+    unread = numbered.where(~F.col("good")).count()
+    parsed = numbered.where("good")
+    totals = accounting.batch_totals(parsed.select("chunk_id", "batch_id", (F.col("why") != "").alias("bad"))).select("chunk_id", "batch_id", "n", "failed")
+    frame = totals.select("chunk_id", "batch_id", "n", F.when(F.col("failed"), "unfit").otherwise("loaded").alias("outcome"))
+    if options.on_conflict is not OnConflict.ERROR or not contract.keys:
+        return _Batches.counted(frame, unread)
+    sound = parsed.join(totals.where("NOT failed"), ["chunk_id", "batch_id"], "left_semi").withColumn("_batch", F.col("chunk_id").cast("long") * (1 << 32) + F.col("batch_id"))
+    clash = sink.error_batches(before, sound, contract.keys, "_batch").where("failed").select(F.floor(F.col("_batch") / (1 << 32)).cast("int").alias("chunk_id"), (F.col("_batch") % (1 << 32)).cast("int").alias("batch_id"), F.lit(True).alias("_clash"))
+    outcome = F.when(F.col("_clash"), "conflict").otherwise(F.col("outcome")).alias("outcome")
+    return _Batches.counted(frame.join(clash, ["chunk_id", "batch_id"], "left").select("chunk_id", "batch_id", "n", outcome), unread)
+
+
+def job_errors(numbered: DataFrame, batches: DataFrame, options: LoadOptions) -> DataFrame:
+    """Error records of a load: lines that do not parse, lines that do not fit (these fail their batch), and batches whose
+    keys were there already."""
+    unread = numbered.where(~F.col("good"))
+    kind = F.when((F.col("raw") == "") if options.format == "dump" else F.lit(True), "parse_error").otherwise("field_count_mismatch")
+    lines = unread.select(kind.alias("kind"), "chunk_id", "line_no", F.concat(F.lit("not a record of the table's width: "), F.left("raw", F.lit(200))).alias("detail"))
+    unfit = accounting.errors(numbered.where("good AND why <> ''"), "batch_error", F.col("why"), F.col("line_no"))
+    clash = accounting.errors(batches.where("outcome = 'conflict'"), "batch_error", F.concat(F.lit("batch "), F.col("batch_id"), F.lit(" has keys that are there already")))
+    return lines.unionByName(unfit).unionByName(clash)
+
+
+def _verify(spark: SparkSession, store: Store, options: LoadOptions, contract: TableContract, source: _Source, numbered: DataFrame, result: LoadResult, pre: int) -> LoadResult:
     target = store.read(options.schema, options.table)
     numbers: dict[str, object] = {"source": result.source_rows, "loaded": result.loaded, "failed": result.failed, "pre": pre, "post": target.count(), "on_conflict": options.on_conflict.value}
+    keys: tuple[str, ...] = ()
     if options.verify is VerifyMode.FULL:
-        source = rows.where("good").select(*columns)
-        if options.format != "dump" or verify.skip_reason(list(contract.keys), columns, contract.names):
+        if options.format != "dump" or verify.skip_reason(list(contract.keys), source.columns, contract.names):
             numbers["skipped"] = True
         else:
-            key = contract.keys[0]
-            verify.check_keys(source, key)
-            found = verify.summary(verify.compare(source, target, key, contract.types)).first()
+            # The source is read again, so that what was staged is not trusted either.
+            again = source.rows.where("good").select(*(F.col(f"`{c}`") for c in source.columns), "chunk_id", "line_no")
+            verify.check_keys(again, contract.keys[0])
+            found = verify.summary(verify.compare(again, target, contract.keys[0], contract.types, ("chunk_id", "line_no"))).first()
+            if source.count and not found.rows and result.parse_errors < source.count:
+                raise ValueError(f"{options.table} has rows in the source, but none was read again")
             numbers |= {"missing": found.missing, "mismatched": found.mismatched}
-    return verify.verdict_of(spark, options.table, **numbers).first().verdict
+            keys = tuple([*found.missing_keys, *found.mismatch_keys][: verify.MOST_KEYS])
+    return replace(result, verdict=verify.verdict_of(spark, options.table, **numbers).first().verdict, bad_keys=keys)
 
 
 @dataclass(frozen=True)
@@ -278,7 +384,7 @@ def migrate(spark: SparkSession, store: Store, uri: str, verify_mode: VerifyMode
         found = ddl.normalize(dumpscan.statements_text(file, blocks))
     if dry_run or found.unfixable:
         return MigrateReport(tuple(found.findings), (), tuple(export.table_ddl(replace(c, checks=())) for c in found.tables.values()), "statements can't be fixed" if found.unfixable else None)
-    created = tuple(f"{c.schema}.{c.table}" for c in found.tables.values() if store.create(c))
+    created = tuple(ddl.apply(list(found.tables.values()), store.create)[0])
     results: list[LoadResult] = []
     for b in blocks:
         options = LoadOptions(uri, b.table, b.schema, "dump", OnConflict.ERROR, verify=verify_mode)
@@ -289,7 +395,7 @@ def migrate(spark: SparkSession, store: Store, uri: str, verify_mode: VerifyMode
 
 
 def export_tables(store: Store, path: str, schemas: tuple[str, ...] = (), names: tuple[str, ...] = ()) -> int:
-    """Tables as one dump file; rows come one partition at a time, in order. No table at all is an error."""
+    """Tables as one dump file, for one machine; rows come one partition at a time, in order. No table at all is an error."""
     chosen = store.tables(schemas, names)
     if not chosen:
         raise LookupError("no table matches")
@@ -303,6 +409,24 @@ def export_tables(store: Store, path: str, schemas: tuple[str, ...] = (), names:
     return len(chosen)
 
 
+def export_parts(store: Store, folder: str, schemas: tuple[str, ...] = (), names: tuple[str, ...] = ()) -> list[str]:
+    """Tables as text parts that, put together in this order, are the dump: for each table what goes before its rows, the
+    rows (written by the executors, in key order), what goes after them."""
+    chosen = store.tables(schemas, names)
+    if not chosen:
+        raise LookupError("no table matches")
+    out: list[str] = []
+    for number, (schema, table) in enumerate(chosen):
+        before, lines, after = export.document_parts(store.contract(schema, table), store.read(schema, table))
+        home = Place.of(folder) / f"{number:05}-{schema}.{table}"
+        (home / "0-before.sql").write_text(before)
+        lines.write.option("lineSep", "\n").text((home / "1-rows").for_spark)
+        (home / "2-after.sql").write_text(after)
+        rows = home / "1-rows"
+        out += [(home / "0-before.sql").source.path, *rows.files(), (home / "2-after.sql").source.path]
+    return out
+
+
 def list_tables(spark: SparkSession, uri: str) -> DataFrame:
     """(schema, table, columns) of a dump; all names are checked before any is shown."""
     with files.parse_uri(uri).open() as file:
@@ -312,11 +436,7 @@ def list_tables(spark: SparkSession, uri: str) -> DataFrame:
     return spark.createDataFrame([(b.schema, b.table, list(b.columns)) for b in found], "schema string, table string, columns array<string>")
 
 
-def job_errors(numbered: DataFrame) -> DataFrame:
-    """Error records of a load's numbered rows."""
-    lines = accounting.errors(numbered.where(~F.col("good")), "field_count_mismatch", F.lit("wrong number of fields"), F.col("line_no"))
-    return lines.unionAll(accounting.errors(numbered.where("good AND bad"), "batch_error", F.lit("a value does not fit its column"), F.col("line_no")))
-
-
 def as_json(result: LoadResult) -> str:
-    return json.dumps(asdict(result) | {"passed": result.passed})
+    """One line for a terminal: keys that could deceive it are escaped."""
+    shown = asdict(result) | {"bad_keys": identifiers.shown_keys(list(result.bad_keys)), "passed": result.passed, "too_few": result.too_few}
+    return json.dumps(shown | {"rows_a_second": round(accounting.rate(result.loaded, result.seconds), 1)})

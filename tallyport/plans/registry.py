@@ -5,7 +5,10 @@ The tables hold no NULL and no blank text, so queries about those make such valu
 
 from __future__ import annotations
 
+import shutil
+import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -15,12 +18,16 @@ from pyspark.sql import types as T
 from tallyport.functions import copytext
 from tallyport.functions.casts import failed, recast
 from tallyport.functions.identifiers import identifier_ok
-from tallyport.functions.infer import fold, value_type
+from tallyport.functions.infer import SAMPLE_ROWS, fold, infer, value_type
 from tallyport.functions.nulls import blank_to_null
-from tallyport.functions.render import render, render_all
+from tallyport.functions.render import float_text, render, render_all
 from tallyport.functions.types import SqlType, common_type, sql_type
 from tallyport.operators import accounting, export, shape, sink, verify
 from tallyport.contract import ColumnContract, TableContract
+from tallyport.plans import jobs
+from tallyport.session import shared_folder
+from tallyport.sources import delimited, dumpscan, dumpsource
+from tallyport.sources.files import Place
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -98,9 +105,9 @@ def copy_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
 def copy_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("doc_id") % 5
     text = F.when(key == 0, F.lit(None)).when(key == 1, F.lit("")).when(key == 2, F.concat(F.lit("\\N\t"), F.col("text"))).otherwise(F.col("text"))
-    line = _table(spark, sf_dir, "documents").select("doc_id", text.alias("was"), copytext.encode_line(F.col("doc_id").cast("string"), text).alias("line"))
-    back = copytext.decode_line(F.col("line"), 2)
-    return line.select(back[0].cast("bigint").alias("doc_id"), back[1].alias("text"), back[1].eqNullSafe(F.col("was")).cast("int").alias("same"))
+    line = _table(spark, sf_dir, "documents").select(text.alias("was"), copytext.encode_line(F.col("doc_id").cast("string"), text).alias("line"))
+    back = copytext.decoded(line, "line", ["doc_id", "text"])
+    return back.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.col("text").eqNullSafe(F.col("was")).cast("int").alias("same"))
 
 
 @query(
@@ -139,13 +146,21 @@ def infer_value_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _values(spark, sf_dir).select("part", value_type(F.col("v")).alias("type_name")).groupBy("part", "type_name").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("SELECT * FROM (VALUES ('c_custkey', 'SMALLINT', 0), ('c_name', 'TEXT', 0), ('c_nationkey', 'SMALLINT', 0), ('c_acctbal', 'REAL', 0), ('c_mktsegment', 'TEXT', 0)) AS t(column_name, type_name, nullable)")
-def infer_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Types of the first 100 customers in order of key, folded in that order inside the engine's own expressions."""
-    text = render_all(_table(spark, sf_dir, "customer").withColumn("c_acctbal", F.col("c_acctbal").cast("decimal(12,2)")))
-    from tallyport.functions.infer import infer
+_INT_TYPE = "CASE WHEN max({0}) <= 32767 THEN 'SMALLINT' ELSE 'INTEGER' END"
+
 
-    found = infer(text, [F.col("c_custkey").cast("bigint")], rows=100)
+@query(
+    f"""WITH s AS (SELECT * FROM customer ORDER BY c_custkey LIMIT {SAMPLE_ROWS}), o AS (SELECT * FROM orders ORDER BY o_orderkey LIMIT {SAMPLE_ROWS})
+ SELECT 'c_custkey' AS column_name, {_INT_TYPE.format('c_custkey')} AS type_name, 0 AS nullable FROM s UNION ALL SELECT 'c_name', 'TEXT', 0 UNION ALL SELECT 'c_nationkey', {_INT_TYPE.format('c_nationkey')}, 0 FROM s
+ UNION ALL SELECT 'c_acctbal', 'REAL', 0 UNION ALL SELECT 'c_mktsegment', 'TEXT', CASE WHEN count(*) FILTER (WHERE c_custkey % 3 = 0) > 0 THEN 1 ELSE 0 END FROM s
+ UNION ALL SELECT 'o_orderkey', {_INT_TYPE.format('o_orderkey')}, 0 FROM o UNION ALL SELECT 'o_orderdate', 'DATE', 0"""
+)
+def infer_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Types of the first customers and orders in order of key, as many as the operator looks at by itself."""
+    segment = F.when(F.col("c_custkey") % 3 != 0, F.col("c_mktsegment")).otherwise(F.lit(" "))
+    text = render_all(_table(spark, sf_dir, "customer").withColumn("c_acctbal", F.col("c_acctbal").cast("decimal(12,2)")).withColumn("c_mktsegment", segment))
+    orders = render_all(_table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("o_orderdate")))
+    found = infer(text, [F.col("c_custkey").cast("bigint")]) + infer(orders, [F.col("o_orderkey").cast("bigint")])
     return spark.createDataFrame([(c.name, c.type.value, int(c.nullable)) for c in found], "column_name string, type_name string, nullable int")
 
 
@@ -458,8 +473,7 @@ def round_trip(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFra
     table = _table(spark, sf_dir, name)
     contract = TableContract.of(table, "public", name, (key,))
     lines = render_all(table).select(copytext.encode_line(*(F.col(f"`{c}`") for c in table.columns)).alias("line"))
-    decoded = lines.select(*(v.alias(c) for v, c in zip(copytext.decode_line(F.col("line"), len(table.columns)), table.columns, strict=True)))
-    loaded = decoded.select(*(recast(F.col(f"`{c}`"), contract.types[c]).alias(c) for c in table.columns))
+    loaded = copytext.decoded(lines, "line", table.columns).select(*(recast(F.col(f"`{c}`"), contract.types[c]).alias(c) for c in table.columns))
     found = verify.compare(render_all(table), loaded, key, contract.types).agg(
         F.count(F.lit(1)).alias("source"), F.count_if(F.col("state") == "missing").alias("missing"), F.count_if(F.col("state") == "mismatch").alias("mismatched")
     )
@@ -485,3 +499,194 @@ def load_verify_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_verify_orders(spark, sf_dir)
+
+
+# Files: what is written, scanned, loaded, resumed, migrated and exported
+
+
+def _home(spark: SparkSession, name: str) -> Place:
+    return Place.of(shared_folder(spark)) / "tallyport" / f"{name}-{uuid.uuid4().hex}"
+
+
+def _written(lines: DataFrame, home: Place, name: str, before: str = "", after: str = "") -> str:
+    """One text file of `lines` in their order, between two texts. Executors write parts; they are put together by bytes."""
+    lines.write.option("lineSep", "\n").text((home / f"{name}.parts").for_spark)
+    target = (home / name).source.path
+    with open(target, "wb") as out:
+        out.write(before.encode())
+        for part in (home / f"{name}.parts").files():
+            with open(part, "rb") as file:
+                shutil.copyfileobj(file, out)
+        out.write(after.encode())
+    return target
+
+
+def _csv_line(df: DataFrame, delimiter: str = ",") -> Column:
+    """Every cell in quotes, quotes doubled; NULL as nothing."""
+    cells = [F.concat(F.lit('"'), F.replace(F.col(f"`{c}`"), F.lit('"'), F.lit('""')), F.lit('"')) for c in df.columns]
+    return F.concat_ws(delimiter, *(F.coalesce(c, F.lit("")) for c in cells))
+
+
+def _store_of(spark: SparkSession, sf_dir: str, home: Place, names: dict[str, str]) -> jobs.Store:
+    """A store with these tables (name to key), each loaded from its Parquet file."""
+    store = jobs.Store(spark, home.for_spark)
+    for name, key in names.items():
+        store.create(TableContract.of(_table(spark, sf_dir, name), "public", name, (key,)))
+        jobs.load(spark, store, jobs.LoadOptions(f"{sf_dir}/{name}.parquet", name))
+    return store
+
+
+def _dump_of(spark: SparkSession, sf_dir: str, home: Place, names: dict[str, str]) -> str:
+    """A dump file of tables, by way of the export of a store."""
+    parts = jobs.export_parts(_store_of(spark, sf_dir, home / "store", names), (home / "parts").for_spark)
+    target = (home / "dump.sql").source.path
+    with open(target, "wb") as out:
+        for part in parts:
+            with open(part, "rb") as file:
+                shutil.copyfileobj(file, out)
+    return target
+
+
+@query("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders")
+def csv_load_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders written as CSV with a header, loaded by chunks into typed columns."""
+    orders, home = _table(spark, sf_dir, "orders"), _home(spark, "csv")
+    text = render_all(orders)
+    path = _written(text.select(_csv_line(text)), home, "orders.csv", ",".join(text.columns) + "\n")
+    store = jobs.Store(spark, (home / "store").for_spark)
+    store.create(TableContract.of(orders, "public", "orders", ("o_orderkey",)))
+    jobs.load(spark, store, jobs.LoadOptions(path, "orders", dialect=delimited.CSV.with_(header=True), chunk_bytes=1 << 20))
+    return store.read("public", "orders")
+
+
+@query("SELECT o_orderkey % 11 = 0 AS short, count(*) AS n, o_orderkey % 11 <> 0 AS good, CASE WHEN o_orderkey % 11 = 0 THEN 0 ELSE count(*) END AS with_status FROM orders GROUP BY o_orderkey % 11 = 0, o_orderkey % 11 <> 0")
+def tsv_chunk_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tab-separated lines, every eleventh too short, with blank lines between: read by byte chunks, each line told good or bad."""
+    orders, home = _table(spark, sf_dir, "orders").where("o_orderkey IS NOT NULL"), _home(spark, "tsv")
+    short = F.col("o_orderkey") % 11 == 0
+    line = F.concat_ws("\t", F.col("o_orderkey").cast("string"), F.when(~short, F.col("o_orderstatus")), F.concat(F.lit('"'), F.col("o_orderpriority"), F.lit('"')))
+    path = _written(orders.select(F.concat(line, F.when(F.col("o_orderkey") % 5 == 0, "\r\n").otherwise(""))), home, "orders.tsv")
+    lines = dumpsource.raw_lines(spark, path, 0, Place.of(path).size(), 100_000)
+    rows = delimited.parsed(lines, ["key", "status", "priority"], delimited.TSV).withColumn("short", F.expr("CAST(key AS BIGINT) % 11 = 0"))
+    return rows.groupBy("short", "good").agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("good"), F.col("status"))).alias("with_status"))
+
+
+@query("SELECT doc_id, text, lang, source FROM documents")
+def dump_scan_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as a dump's data block, found in the file, read by chunks and decoded."""
+    home = _home(spark, "dump")
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    line = copytext.encode_line(*(F.col(c).cast("string") for c in docs.columns))
+    path = _written(docs.select(line), home, "dump.sql", "SET statement_timeout = 0;\nCOPY public.documents (doc_id, text, lang, source) FROM stdin;\n", "\\.\n")
+    with Place.of(path).open() as file:
+        block = dumpscan.find_block(dumpscan.blocks(file), "public", "documents")
+    rows = dumpsource.scan(dumpsource.raw_lines(spark, path, block.data_start, block.data_end, 1 << 20), block.columns)
+    return rows.where("good").select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", "lang", "source")
+
+
+_MIGRATED = {"nation": "n_nationkey", "supplier": "s_suppkey", "customer": "c_custkey"}
+
+
+@query(" UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS source, count(*) AS loaded, 0 AS failed, 'Match' AS verdict, 0 AS differ FROM {t}" for t in _MIGRATED))
+def migrate_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables exported as a dump, migrated into another store with full verification, compared with the first by EXCEPT."""
+    home = _home(spark, "migrate")
+    path = _dump_of(spark, sf_dir, home, _MIGRATED)
+    again = jobs.Store(spark, (home / "again").for_spark)
+    report = jobs.migrate(spark, again, path, verify.VerifyMode.FULL)
+    rows = [(r.table, r.source_rows, r.loaded, r.failed, r.verdict, verify.equal_tables(_table(spark, sf_dir, r.table), again.read("public", r.table)).count()) for r in report.tables]
+    return spark.createDataFrame(rows, "table_name string, source long, loaded long, failed int, verdict string, differ int")
+
+
+@query("SELECT * FROM (VALUES ('public', 'customer', 'c_custkey,c_name,c_nationkey,c_acctbal,c_mktsegment'), ('public', 'nation', 'n_nationkey,n_name,n_regionkey')) AS t(table_schema, table_name, columns)")
+def list_dump_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _dump_of(spark, sf_dir, _home(spark, "list"), {"customer": "c_custkey", "nation": "n_nationkey"})
+    return jobs.list_tables(spark, path).select(F.col("schema").alias("table_schema"), F.col("table").alias("table_name"), F.array_join("columns", ",").alias("columns"))
+
+
+@query(
+    """SELECT 0 AS line_at, 'CREATE TABLE "region" (' AS line UNION ALL SELECT 1, '    "r_regionkey" INTEGER NOT NULL,' UNION ALL SELECT 2, '    "r_name" TEXT,' UNION ALL SELECT 3, '    PRIMARY KEY ("r_regionkey")' UNION ALL SELECT 4, ');'
+ UNION ALL SELECT 5, '' UNION ALL SELECT 6, 'COPY "region" ("r_regionkey", "r_name") FROM stdin;' UNION ALL SELECT 7 + row_number() OVER (ORDER BY r_regionkey) - 1, r_regionkey || chr(9) || r_name FROM region
+ UNION ALL SELECT 7 + count(*), '\\.' FROM region UNION ALL SELECT 8 + count(*), '' FROM region"""
+)
+def export_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line of a table's dump, with its place."""
+    path = _dump_of(spark, sf_dir, _home(spark, "export"), {"region": "r_regionkey"})
+    lines = dumpsource.raw_lines(spark, path, 0, Place.of(path).size())
+    return lines.select((F.col("line_no") - 1).alias("line_at"), F.col("raw").alias("line"))
+
+
+@query(
+    """SELECT 'first' AS load, count(*) AS source, count(*) AS loaded, 0 AS failed, 'Match' AS verdict FROM orders UNION ALL SELECT 'again', count(*), count(*), 0, 'RowsConflictedAtTarget(' || count(*) || ')' FROM orders
+ UNION ALL SELECT 'update', count(*), count(*), 0, 'RowsConflictedAtTarget(' || count(*) || ')' FROM orders UNION ALL SELECT 'error', count(*), 0, count(*), 'Match' FROM orders"""
+)
+def parquet_load_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One Parquet file loaded four times under the three policies: what was loaded, what failed, and the verdict by counts."""
+    store = jobs.Store(spark, _home(spark, "parquet").for_spark)
+    store.create(TableContract.of(_table(spark, sf_dir, "orders"), "public", "orders", ("o_orderkey",)))
+    rows = []
+    for name, mode in (("first", "do-nothing"), ("again", "do-nothing"), ("update", "do-update"), ("error", "error")):
+        r = jobs.load(spark, store, jobs.LoadOptions(f"{sf_dir}/orders.parquet", "orders", on_conflict=sink.OnConflict.parse(mode), verify=verify.VerifyMode.COUNT))
+        rows.append((name, r.source_rows, r.loaded, r.failed, r.verdict))
+    return spark.createDataFrame(rows, "load string, source long, loaded long, failed long, verdict string")
+
+
+def _unfit(orders: DataFrame, home: Place) -> str:
+    """Orders of which some have a word for a price, and some lack their last field."""
+    price = F.when(F.col("o_orderkey") % 13 == 0, F.lit("dear")).otherwise(F.col("o_totalprice").cast("decimal(15,2)").cast("string"))
+    line = F.concat_ws(",", F.col("o_orderkey").cast("string"), price, F.when(F.col("o_orderkey") % 17 != 0, F.col("o_orderstatus")))
+    return _written(orders.select(line), home, "orders.csv", "id,price,status\n")
+
+
+_UNFIT = TableContract("public", "t", (ColumnContract("id", "BIGINT", False), ColumnContract("price", "NUMERIC(15,2)"), ColumnContract("status", "TEXT")), ("id",))
+
+
+@query(
+    """SELECT kind, detail, count(*) AS n FROM (SELECT CASE WHEN o_orderkey % 17 = 0 THEN 'parse_error' ELSE 'batch_error' END AS kind, CASE WHEN o_orderkey % 17 = 0 THEN 'short' ELSE 'price does not fit NUMERIC(15,2)' END AS detail
+ FROM orders WHERE o_orderkey % 13 = 0 OR o_orderkey % 17 = 0) GROUP BY ALL"""
+)
+def load_error_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The error records of a load whose batches are single rows."""
+    home = _home(spark, "errors")
+    store = jobs.Store(spark, (home / "store").for_spark)
+    store.create(_UNFIT)
+    found = jobs.load(spark, store, jobs.LoadOptions(_unfit(_table(spark, sf_dir, "orders"), home), "t", dialect=delimited.CSV.with_(header=True), batch_size=1))
+    detail = F.when(F.startswith("detail", F.lit("not a record")), "short").otherwise(F.col("detail"))
+    return spark.read.parquet(found.errors).groupBy("kind", detail.alias("detail")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    """SELECT 'first' AS run, count(*) FILTER (WHERE o_orderkey % 17 <> 0 AND o_orderkey % 13 <> 0) AS loaded, count(*) FILTER (WHERE o_orderkey % 17 = 0 OR o_orderkey % 13 = 0) AS failed, NULL AS total FROM orders
+ UNION ALL SELECT 'second', count(*) FILTER (WHERE o_orderkey % 17 <> 0 AND o_orderkey % 13 = 0), count(*) FILTER (WHERE o_orderkey % 17 = 0), count(*) FILTER (WHERE o_orderkey % 17 <> 0) FROM orders"""
+)
+def resumed_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A job whose table can't take some rows at first: its second run loads what failed, and no row twice."""
+    home = _home(spark, "resume")
+    path, store = _unfit(_table(spark, sf_dir, "orders"), home), jobs.Store(spark, (home / "store").for_spark)
+    options = jobs.LoadOptions(path, "t", dialect=delimited.CSV.with_(header=True), batch_size=1, chunk_bytes=200_000, resume=(home / "job.json").for_spark)
+    store.create(replace(_UNFIT, primary_key=()))
+    first = jobs.load(spark, store, options)
+    # The same rows in a table that takes any price.
+    wider = replace(_UNFIT, primary_key=(), columns=tuple(replace(c, type_name="TEXT") if c.name == "price" else c for c in _UNFIT.columns))
+    kept = store.read("public", "t").withColumn("price", F.col("price").cast("string"))
+    (home / "store" / "public" / "t" / "contract.json").write_text(wider.to_json())
+    store.replace("public", "t", kept)
+    second = jobs.load(spark, store, options)
+    total = store.read("public", "t").count()
+    return spark.createDataFrame([("first", first.loaded, first.failed, None), ("second", second.loaded, second.failed, total)], "run string, loaded long, failed long, total long")
+
+
+@query("SELECT c_custkey, c_mktsegment FROM customer WHERE list_contains(['BUILDING', 'MACHINERY'], c_mktsegment) AND c_name LIKE '%1%'")
+def any_of_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """x = ANY(array), and LIKE."""
+    wanted = F.array(F.lit("BUILDING"), F.lit("MACHINERY"))
+    return _table(spark, sf_dir, "customer").where(F.array_contains(wanted, F.col("c_mktsegment")) & F.col("c_name").like("%1%")).select("c_custkey", "c_mktsegment")
+
+
+@query("SELECT event_id, CASE WHEN event_id % 2 = 0 THEN 'true' ELSE 'false' END AS flag, lower(hex(encode(event_type))) AS bytes, CAST(CAST(event_id AS SMALLINT) AS VARCHAR) AS small, CAST(CAST(event_id AS INTEGER) / 4 AS VARCHAR) AS shown FROM (SELECT *, event_id % 1000 + 1 AS id FROM events) e".replace("CAST(event_id AS SMALLINT)", "CAST(id AS SMALLINT)").replace("CAST(CAST(event_id AS INTEGER) / 4 AS VARCHAR)", "regexp_replace(CAST(CAST(id AS DOUBLE) / 4 AS VARCHAR), '[.]0$', '')"))
+def render_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Booleans, bytes, small integers and doubles as text; the last without a trailing zero, for display."""
+    small = (F.col("event_id") % 1000 + 1).cast("short")
+    return _table(spark, sf_dir, "events").select(
+        "event_id", render(F.col("event_id") % 2 == 0, T.BooleanType()).alias("flag"), render(F.encode("event_type", "UTF-8"), T.BinaryType()).alias("bytes"), render(small, T.ShortType()).alias("small"), float_text(small.cast("double") / 4).alias("shown")
+    )

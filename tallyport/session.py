@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Fixed by the data model: UTC text <-> instant, ANSI arithmetic, TIME columns, runtime re-planning.
 REQUIRED = {
@@ -35,6 +36,24 @@ def build(app: str = "tallyport", master: str | None = None, **conf: str) -> Spa
     return builder.getOrCreate()
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder that the cluster names. A temporary one is made only where driver and executors are one
+    process (tests); on a cluster none would be shared, so there it is an error."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        found = Path(tempfile.mkdtemp(prefix="tallyport-")).as_uri()
+        spark.sparkContext.setCheckpointDir(found)
+    return found
+
+
+def cut(df: DataFrame, name: str) -> DataFrame:
+    """`df` written as a table in the shared folder and read again: ends its lineage, survives lost executors."""
+    df.write.parquet(path := f"{shared_folder(df.sparkSession).rstrip('/')}/tallyport/{name}-{uuid.uuid4().hex}")
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def ship(spark: SparkSession) -> None:
     """Send this library to the Python workers, once a context: they may not have it installed."""
     context = spark.sparkContext

@@ -64,6 +64,7 @@ def test_csv_load_policies(spark, store, tmp_path):
     contract = store.contract("public", "t")
     home = tmp_path / "store" / "public" / "t" / "contract.json"
     home.write_text(jobs.replace(contract, primary_key=("id",)).to_json())
+    assert spark.read.parquet(first.errors).select("kind", "chunk_id", "line_no").collect() == [("parse_error", 0, 3)]
     path.write_text("id,name,value\n2,B,21\n4,d,40\n4,D,41\n")
     jobs.load(spark, store, jobs.LoadOptions(str(path), "t", dialect=header))
     assert sorted((r.id, r.name, r.value) for r in store.read("public", "t").collect()) == [(1, "a", 10), (2, "b", 20), (4, "d", 40)]
@@ -84,6 +85,121 @@ def test_parquet_load_creates_and_counts(spark, store, tmp_path):
     assert again.verdict == "Match"
 
 
+def values_table(store, keys=()):
+    columns = tuple(jobs.ColumnContract(n, t) for n, t in (("id", "INTEGER"), ("name", "TEXT"), ("value", "SMALLINT")))
+    store.create(jobs.TableContract("public", "v", columns, keys))
+
+
+@pytest.mark.parametrize("mode", list(OnConflict))
+@pytest.mark.parametrize("keys", [(), ("id",)])
+def test_resume_retries_what_failed_and_loads_no_row_twice(spark, store, tmp_path, mode, keys):
+    """10 of 40 rows do not fit; once the table takes them, a second run of the job loads just these."""
+    if mode is OnConflict.DO_UPDATE and not keys:
+        return
+    path, job = tmp_path / "r.csv", str(tmp_path / "job.json")
+    path.write_text("".join(f"{i},n{i},{i if i % 4 else 100000 + i}\n" for i in range(40)))
+    values_table(store, keys)
+    options = jobs.LoadOptions(str(path), "v", on_conflict=mode, batch_size=1, chunk_bytes=100, resume=job)
+    first = jobs.load(spark, store, options)
+    assert (first.loaded, first.failed, first.too_few) == (30, 10, False)
+    assert spark.read.parquet(first.errors).where("kind = 'batch_error' AND detail = 'value does not fit SMALLINT'").count() == 10
+    home = tmp_path / "store" / "public" / "v" / "contract.json"
+    again = jobs.load(spark, store, options)
+    assert (again.loaded, again.failed) == (0, 10)
+    home.write_text(home.read_text().replace("SMALLINT", "INTEGER"))
+    store.replace("public", "v", spark.createDataFrame(store.spark.read.parquet(*[str(home.parent / p) for p in store.parts("public", "v")]).collect(), "id int, name string, value int"))
+    third = jobs.load(spark, store, jobs.replace(options, batch_size=7, chunk_bytes=999))
+    assert (third.loaded, third.failed, third.estimated) == (10, 0, None)
+    assert sorted(r.id for r in store.read("public", "v").collect()) == list(range(40))
+    assert jobs.load(spark, store, options).loaded == 0
+
+
+def test_resume_keeps_conflicting_batches_open(spark, store, tmp_path):
+    """A batch of which nothing went in is not done."""
+    path, job = tmp_path / "c.csv", str(tmp_path / "job.json")
+    path.write_text("1,a,1\n1,b,2\n2,c,3\n")
+    values_table(store, ("id",))
+    options = jobs.LoadOptions(str(path), "v", on_conflict=OnConflict.ERROR, resume=job)
+    assert (jobs.load(spark, store, options).loaded, jobs.load(spark, store, options).failed) == (0, 3)
+    assert jobs.load(spark, store, jobs.replace(options, on_conflict=OnConflict.DO_NOTHING)).loaded == 3
+    assert sorted((r.id, r.name) for r in store.read("public", "v").collect()) == [(1, "a"), (2, "c")]
+
+
+def test_resume_refuses_another_job(spark, store, tmp_path):
+    path, job = tmp_path / "r.csv", str(tmp_path / "job.json")
+    path.write_text("1,a,1\n")
+    values_table(store)
+    options = jobs.LoadOptions(str(path), "v", resume=job)
+    jobs.load(spark, store, options)
+    other = tmp_path / "o.csv"
+    other.write_text("1,a,1\n")
+    for changes in ({"uri": str(other)}, {"exclude": ("value",)}, {"format": "tsv"}, {"rename": {"column_1": "id"}}, {"dialect": delimited.CSV.with_(header=True)}):
+        with pytest.raises(ValueError, match="resume"):
+            jobs.load(spark, store, jobs.replace(options, **changes))
+    path.write_text("1,a,1\n2,b,2\n")
+    with pytest.raises(ValueError, match="size"):
+        jobs.load(spark, store, options)
+
+
+def test_typed_sources_fail_rows_and_batches(spark, store, tmp_path):
+    spark.createDataFrame([(i if i % 10 else 3_000_000_000, f"n{i}", i) for i in range(50)], "id long, name string, value long").coalesce(1).write.parquet(str(tmp_path / "p.parquet"))
+    values_table(store)
+    result = jobs.load(spark, store, jobs.LoadOptions(str(tmp_path / "p.parquet"), "v", batch_size=1))
+    assert (result.source_rows, result.loaded, result.failed) == (50, 45, 5)
+    assert {r.detail for r in spark.read.parquet(result.errors).collect()} == {"id does not fit INTEGER"}
+    assert jobs.load(spark, store, jobs.LoadOptions(str(tmp_path / "p.parquet"), "v", batch_size=10)).failed == 50
+
+
+def test_loads_that_add_write_one_part_more(spark, store, tmp_path):
+    path = tmp_path / "a.csv"
+    path.write_text("1,a,1\n")
+    values_table(store, ("id",))
+    for n in range(3):
+        path.write_text(f"{n},a,1\n")
+        jobs.load(spark, store, jobs.LoadOptions(str(path), "v"))
+    assert len(store.parts("public", "v")) == 3
+    jobs.load(spark, store, jobs.LoadOptions(str(path), "v", on_conflict=OnConflict.DO_UPDATE))
+    assert len(store.parts("public", "v")) == 1
+    assert store.read("public", "v").count() == 3
+    with pytest.raises(LookupError, match="schema"):
+        store.contract("elsewhere", "v")
+
+
+def test_files_bind_by_position_and_excluded_columns_take_defaults(spark, store, tmp_path):
+    path = tmp_path / "a.csv"
+    path.write_text("name,id,value\nx,7,1\n")
+    columns = (jobs.ColumnContract("a", "TEXT"), jobs.ColumnContract("b", "INTEGER"), jobs.ColumnContract("value", "INTEGER", default="42"))
+    store.create(jobs.TableContract("public", "t", columns))
+    header = delimited.CSV.with_(header=True)
+    jobs.load(spark, store, jobs.LoadOptions(str(path), "t", dialect=header, exclude=("value",)))
+    assert [tuple(r) for r in store.read("public", "t").collect()] == [("x", 7, 42)]
+    with pytest.raises(ValueError, match="columns"):
+        jobs.load(spark, store, jobs.LoadOptions(str(path), "t", dialect=header, rename={"name": "b"}))
+
+
+def test_parts_are_the_dump(spark, store, tmp_path):
+    path = tmp_path / "in.sql"
+    path.write_text(DUMP)
+    jobs.migrate(spark, store, str(path))
+    jobs.export_tables(store, str(tmp_path / "out.sql"))
+    parts = jobs.export_parts(store, str(tmp_path / "parts"), ("pub%",), ("th_ngs",))
+    assert "".join(open(p, newline="").read() for p in parts) == (tmp_path / "out.sql").read_text()
+    with pytest.raises(LookupError):
+        jobs.export_parts(store, str(tmp_path / "none"), (), ("x%",))
+
+
+def test_value_mismatch_is_found_and_reported(spark, store, tmp_path):
+    path = tmp_path / "in.sql"
+    path.write_text(DUMP)
+    jobs.migrate(spark, store, str(path))
+    changed = store.read("public", "things").withColumn("note", jobs.F.lit("other"))
+    store.replace("public", "things", changed)
+    found = jobs.load(spark, store, jobs.LoadOptions(str(path), "things", format="dump", verify=VerifyMode.FULL))
+    assert (found.verdict, found.passed) == ("RowsConflictedAtTarget(3)", False)
+    assert found.bad_keys == ("1", "2", "3")
+    assert '"too_few": false' in jobs.as_json(found)
+
+
 @pytest.mark.parametrize(
     "options",
     [

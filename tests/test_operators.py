@@ -26,6 +26,13 @@ def test_error_batches_follow_order(spark):
     assert got == {0: False, 1: True, 2: False, 3: True, 4: True}
 
 
+def test_error_batches_settle_long_chains(spark):
+    """Batch n shares a key with n + 1: every second one goes in."""
+    new = frame(spark, [(k, b) for b in range(7) for k in (b, b + 1)] + [(None, 1), (None, 1)], "k int, batch_id int")
+    got = {r.batch_id: r.failed for r in sink.error_batches(frame(spark, [(100,)], "k int"), new, ["k"]).collect()}
+    assert got == {b: b % 2 == 1 for b in range(7)}
+
+
 def test_key_rules():
     with pytest.raises(ValueError):
         sink.validate_keys(OnConflict.DO_UPDATE, [], [])
@@ -72,6 +79,25 @@ def test_unknown_statements_are_not_dropped():
     assert [(f.rule, f.line) for f in found.unfixable] == [("unsupported_statement", 2), ("at_unsupported_alter_column_set_default", 3)]
 
 
+def test_statements_that_a_store_does_not_keep_are_findings():
+    found = ddl.normalize("SET search_path = x;\nCREATE TABLE t (id int);\nCOMMENT ON TABLE t IS 'x';\nGRANT ALL ON t TO x;\nALTER TABLE t OWNER TO x;\nSELECT pg_catalog.setval('s', 3, true);\n")
+    assert [f.rule for f in found.findings] == ["setting_not_kept", "comment_not_kept", "privilege_not_kept", "owner_not_kept", "sequence_value_not_kept"]
+    assert not found.unfixable
+
+
+def test_contracts_are_applied_in_order():
+    tables = list(ddl.normalize("CREATE TABLE a (id int);\nCREATE TABLE b (id int);\nCREATE TABLE c (id int);").tables.values())
+
+    def create(contract):
+        if contract.table == "b":
+            raise RuntimeError("relation already exists")
+        return contract.table == "a"
+
+    assert ddl.apply(tables, create) == (["public.a"], ["public.b", "public.c"])
+    with pytest.raises(RuntimeError):
+        ddl.apply(tables, lambda c: (_ for _ in ()).throw(RuntimeError("disk full")))
+
+
 def test_preamble():
     assert ddl.strip_preamble("\\restrict x\nSET client_encoding = 'UTF8';\nSET work_mem = '1';\nx") == "SET work_mem = '1';\nx"
 
@@ -106,8 +132,7 @@ def test_retries():
     assert all(remote.is_transient(s) for s in ("08006", "53300", "57P01", "40001", "OC001"))
     assert remote.is_transient(None, "query timed out after 180s")
     assert not remote.is_transient("23505", "duplicate key")
-    assert remote.smaller_batch("Too many arguments for query", 2000, 40) == 500
-    assert remote.smaller_batch("syntax", 2000, 40) is None
+    assert remote.retried(iter([1]).__next__) == 1
     calls: list[int] = []
 
     def act():
