@@ -57,7 +57,17 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     """`df` written as a table in the shared folder and read again: ends its lineage, survives lost executors."""
     spark = df.sparkSession
     df.write.parquet(path := fresh_path(spark, name))
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._cut_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove tables that `cut` wrote, once nothing reads them any more."""
+    for df in tables:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df._cut_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:

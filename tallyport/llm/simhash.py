@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyport.llm.common import cut, table, unsigned_hex
+from tallyport.llm.common import cut, discard, table, unsigned_hex
 from tallyport.session import ship
 
 BITS = 64
@@ -49,8 +49,17 @@ def fingerprint(text: bytes | None, width: int = 3) -> int:
     ones = np.zeros(BITS, np.int64)
     for at in range(0, spans, _AT_ONCE):
         hashes = np.array([xxhash.xxh64_intdigest(joined[a:b], SEED) for a, b in zip(first[at : at + _AT_ONCE], last[at : at + _AT_ONCE], strict=True)], dtype="<u8")
-        ones += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(sum(1 << bit for bit in np.flatnonzero(2 * ones > spans).tolist()))
+        ones += bit_counts(hashes)
+    return majority(ones, spans)
+
+
+def bit_counts(hashes: np.ndarray) -> np.ndarray:
+    """How many of the hashes have each bit."""
+    return np.unpackbits(np.ascontiguousarray(hashes).astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+
+
+def majority(ones: np.ndarray, of: int) -> int:
+    return int(np.packbits(2 * ones > of, bitorder="little").view("<u8")[0])
 
 
 def fingerprints(width: int = 3):  # noqa: ANN201
@@ -103,7 +112,8 @@ def links(prints: DataFrame) -> DataFrame:
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of each node that has a link; root is the smallest node of its component. Alternates large and
-    small stars until nothing changes. Neighbours are only aggregated and joined, so a hub is never one task's list."""
+    small stars until nothing changes: a number of steps that grows with the logarithm of the nodes. Neighbours are only
+    aggregated and joined, so a hub is never one task's list. Each step's table goes once the next one is written."""
     edges = cut(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "cc")
     seen = None
     while True:
@@ -114,10 +124,13 @@ def components(edges: DataFrame) -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = large.join(least, "u")
         small = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).union(joined.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
-        edges = cut(small, "cc")
+        before, edges = edges, cut(small, "cc")
+        discard(before, large)
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if tuple(now) == seen:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+            found = cut(edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()), "cc-roots")
+            discard(edges)
+            return found
         seen = tuple(now)
 
 
@@ -126,6 +139,7 @@ def classes(prints: DataFrame) -> DataFrame:
     by_print = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
     kept = cut(candidates(by_print.select("fp")), "simhash-near")
     roots = components(links(kept))
+    discard(kept)
     rooted = by_print.join(roots, by_print.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     return rooted.join(smallest, "root").select("fp", "root", "component_id")

@@ -1,11 +1,11 @@
-"""Near-duplicate texts by SimHash fingerprints and shingle prefixes, verified on exact word shingles.
+"""Near-duplicate texts by SimHash balls and shingle prefixes, verified on exact word shingles.
 
-This is the pipeline's form of the operator in `simhash`: five-word shingles and a similarity of 0.8. At that similarity
-64-bit fingerprints differ in about ten bits, beyond the reach of any ball. So a text is dealt to buckets by two sorts
-of keys: BLOCKS fingerprints of 32 bits over its distinct words, each with 16 bits of a MinHash (near copies share one
-more often than not), and the prefix of its shingles. All shingles have one order, those that are frequent in a sample
-last; of two texts with Jaccard similarity SIMILARITY or more, the first n - ceil(SIMILARITY * n) + 1 shingles of each
-have one in common. So no similar pair fails to meet, whatever was edited; the sample bears on cost only.
+This is the pipeline's form of the operator in `simhash`: five-word shingles and a similarity of 0.8. The operator's ball
+hashing brings together texts whose 64-bit fingerprints are at most three bits apart, as copies with few edits are. At a
+similarity of 0.8 fingerprints differ in about ten bits, beyond the reach of any ball, so what the balls have not joined
+is searched again by the prefixes of the texts' shingles. All shingles have one order, those that are frequent in a sample
+last; of two texts with Jaccard similarity SIMILARITY or more, the first n - ceil(SIMILARITY * n) + 1 shingles of each have
+one in common. So no similar pair fails to meet, whatever was edited; the sample bears on cost only.
 
 Every pair that meets is settled. In HUBS rounds each member of a bucket is compared with one central member (the one
 that meets most others, as the original of many copies does), and what is alike is joined. Then all pairs of members
@@ -13,6 +13,10 @@ that meet and are not in one component are compared. Pairs are left out only by
 sizes of both sets, what can still follow the shared shingle in each, and the bits in which two bitmaps of the sets
 differ, at most the size of the sets' difference. Compared texts are linked if the exact sets of their shingles have a
 Jaccard similarity of SIMILARITY or more. Texts with the same words count as one text throughout.
+
+Buckets are never ordered or held by one task: what has to be known of a bucket is aggregated and joined back, and a
+join's hot key is split when the plan is adapted. Unrelated texts that share a prefix shingle by chance cost a bounds test a
+pair; that is the part which grows faster than the input where such shingles are common but not in the sample.
 """
 
 from __future__ import annotations
@@ -27,17 +31,18 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyport.llm.common import cut, small
+from tallyport.llm import simhash
+from tallyport.llm.common import cut, discard, small
 from tallyport.llm.simhash import components
 from tallyport.session import ship
 
 WIDTH = 5
 SIMILARITY = 0.8
-BLOCKS = 10
 #: Rounds in which a bucket's members are compared with one central member before all pairs are.
 HUBS = 2
-#: About as many texts tell which shingles are frequent, and at most so many shingles are broadcast as such.
+#: A part of the texts, but about SAMPLE of them at least, tells which shingles are frequent; at most FREQUENT are broadcast.
 SAMPLE = 5000
+SAMPLE_PART = 16
 FREQUENT = 500_000
 #: Members of a bucket that are paired in one group; larger buckets are dealt out as pairs of groups.
 GROUP = 256
@@ -49,26 +54,6 @@ def text_words(text: bytes | None) -> list[bytes]:
     return (text or b"").translate(_LOWER).split()
 
 
-def block_prints(found: list[bytes], blocks: int = BLOCKS) -> list[int]:
-    """In each block a 32-bit SimHash over the distinct words, below 16 bits of a MinHash."""
-    if not found:
-        return [0] * blocks
-    h = np.array([xxhash.xxh64_intdigest(w) for w in set(found)], dtype=np.uint64)
-    out = []
-    for k in range(0, blocks, 2):
-        x = h + np.uint64((k + 1) * 0x9E3779B97F4A7C15 % (1 << 64))
-        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        x ^= x >> np.uint64(31)
-        ones = np.zeros(64, np.int64)
-        for at in range(0, len(x), 100_000):
-            ones += np.unpackbits(np.ascontiguousarray(x[at : at + 100_000]).astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-        packed = int(np.packbits(2 * ones > len(x), bitorder="little").view("<u8")[0])
-        least, most = int(x.min()) % 65521, int(x.max()) % 65521
-        out += [packed & 0xFFFFFFFF | least << 32, packed >> 32 | most << 32]
-    return out[:blocks]
-
-
 def shingles(found: list[bytes]) -> frozenset[bytes]:
     """The distinct shingles of WIDTH words; of fewer words the whole sequence."""
     if len(found) < WIDTH:
@@ -120,8 +105,8 @@ def _shingle_hashes(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
 
 def frequent_shingles(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Hashes (ascending) and counts of the shingles that repeat in a sample; the texts' hashes choose it."""
-    share = max(1, docs.count() // SAMPLE)
-    sample = docs.select(F.col("text").cast("binary").alias("text")).where(F.pmod(F.xxhash64("text"), F.lit(share)) == 0)
+    share = max(1, min(SAMPLE_PART, docs.count() // SAMPLE))
+    sample = docs.select(F.col("text").cast("binary").alias("text")).where(F.pmod(F.xxhash64("text"), F.lit(share)) == 0).distinct()
     counted = sample.select(F.explode(_shingle_hashes("text")).alias("s")).groupBy("s").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     found = counted.orderBy(F.col("n").desc(), "s").limit(FREQUENT).toPandas()
     hashes, counts = found["s"].to_numpy(np.int64).view(np.uint64), found["n"].to_numpy(np.int64)
@@ -130,10 +115,10 @@ def frequent_shingles(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _sketches(spark: SparkSession, frequent: tuple[np.ndarray, np.ndarray]):  # noqa: ANN202
-    """Pandas UDF: a text to the hash of its words, its number of shingles, its bitmap, its prefix and its fingerprints."""
+    """Pandas UDF: a text to the hash of its words, its number of shingles, its fingerprint, its bitmap and its prefix."""
     shared = spark.sparkContext.broadcast(frequent)
 
-    @F.pandas_udf("struct<h:bigint,size:int,bitmap:array<bigint>,prefix:array<bigint>,prints:array<bigint>>")
+    @F.pandas_udf("struct<h:bigint,size:int,fp:bigint,bitmap:array<bigint>,prefix:array<bigint>>")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             rows = []
@@ -141,12 +126,20 @@ def _sketches(spark: SparkSession, frequent: tuple[np.ndarray, np.ndarray]):  #
                 found = text_words(t)
                 hashes = shingle_hashes(found)
                 h = np.uint64(xxhash.xxh64_intdigest(b" ".join(found))).view(np.int64)
-                rows.append((h, len(hashes), bitmap(hashes), prefix(hashes, shared.value).view(np.int64), block_prints(found)))
-            yield pd.DataFrame(rows, columns=["h", "size", "bitmap", "prefix", "prints"])
+                rows.append((h, len(hashes), fingerprint(hashes), bitmap(hashes), prefix(hashes, shared.value).view(np.int64)))
+            yield pd.DataFrame(rows, columns=["h", "size", "fp", "bitmap", "prefix"])
 
     return of
 
 
+def fingerprint(hashes: np.ndarray) -> int:
+    """SimHash of distinct shingles, as a signed long."""
+    ones = np.zeros(simhash.BITS, np.int64)
+    for at in range(0, len(hashes), 50_000):
+        ones += simhash.bit_counts(hashes[at : at + 50_000])
+    return int(np.uint64(simhash.majority(ones, len(hashes))).view(np.int64))
+
+
 @F.pandas_udf(T.BooleanType())
 def _alike(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     for left, right in batches:
@@ -167,13 +160,29 @@ def _alike(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series
         yield pd.Series(out)
 
 
-def met(texts: DataFrame) -> DataFrame:
-    """(key, h, size, at) of distinct texts that share a key; `at` is the shingle's place, 0 for a fingerprint's key."""
-    # The block's number fills the bits above its 48.
-    prints = F.transform("prints", lambda p, k: F.struct(F.xxhash64(p.bitwiseOR(F.shiftleft(k.cast("long"), 48))).alias("key"), F.lit(0).alias("at")))
-    keys = F.concat(F.transform("prefix", lambda p, k: F.struct(p.alias("key"), k.alias("at"))), prints)
-    dealt = texts.where("size > 0").select("h", "size", F.explode(keys).alias("x")).select("x.key", "h", "size", "x.at")
-    return dealt.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("key"))).where("n > 1")
+def ball_pairs(texts: DataFrame) -> DataFrame:
+    """Pairs (a, b) of texts by the operator's ball hashing: stars over fingerprints in one component, each text with the
+    first text of the star's centre. Texts of one fingerprint form a star too."""
+    prints = texts.where("size > 0").groupBy("fp").agg(F.min("h").alias("first"))
+    near = cut(simhash.candidates(prints.select("fp")), "similar-near")
+    stars = simhash.links(near).join(prints.select(F.col("fp").alias("a"), F.col("first").alias("x")), "a").join(prints.select(F.col("fp").alias("b"), F.col("first").alias("y")), "b")
+    same = texts.where("size > 0").join(prints, "fp").where(F.col("h") != F.col("first")).select(F.col("first").alias("a"), F.col("h").alias("b"))
+    pairs = cut(stars.select(F.col("x").alias("a"), F.col("y").alias("b")).union(same), "similar-balls")
+    discard(near)
+    return pairs
+
+
+def met(rows: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """(key, h, size, at, root) of distinct texts that share a key with a text of another component. `at` is the place of
+    the shingle `key` in the text's prefix."""
+    dealt = rows.where("size > 0").select("h", "size", F.posexplode("prefix").alias("at", "key")).select("key", "h", "size", "at")
+    # One shuffle: texts that repeat, the bucket's extremes and its members are all told by the key.
+    by_key = dealt.repartition("key").groupBy("key", "h").agg(F.first("size").alias("size"), F.min("at").alias("at"))
+    bucket = Window.partitionBy("key")
+    shared = cut(by_key.withColumns({"least": F.min("h").over(bucket), "most": F.max("h").over(bucket)}).where("least <> most").drop("least", "most"), "similar-shared")
+    out = live(shared, roots)
+    discard(shared)
+    return out
 
 
 def possible(a: str, b: str) -> Column:
@@ -189,30 +198,43 @@ def close(a: str, b: str) -> Column:
     return apart.cast("long") * (_UP + _DOWN) <= (_DOWN - _UP) * (F.col(f"{a}.size").cast("long") + F.col(f"{b}.size"))
 
 
-def live(dealt: DataFrame, links: DataFrame | None) -> DataFrame:
-    """The members, with `root`, of the buckets whose members are not all in one component."""
-    roots = F.col("h") if links is None else F.coalesce("root", "h")
-    rooted = dealt if links is None else dealt.join(links, F.col("h") == F.col("node"), "left")
-    bucket = Window.partitionBy("key")
-    rooted = rooted.select(*dealt.columns, roots.alias("root"))
-    return rooted.withColumns({"least": F.min("root").over(bucket), "most": F.max("root").over(bucket)}).where("least <> most").drop("least", "most")
+def live(members: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """The members, with their `root`, of the buckets whose members are not all in one component."""
+    rooted = members.drop("root")
+    if roots is not None:
+        rooted = rooted.join(roots.withColumnRenamed("node", "h"), "h", "left")
+        rooted = rooted.select("key", "h", "size", "at", F.coalesce("root", "h").alias("root"))
+    else:
+        rooted = rooted.withColumn("root", F.col("h"))
+    rooted = cut(rooted, "similar-rooted")
+    open_ = rooted.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least <> most").select("key")
+    out = cut(rooted.join(open_, "key"), "similar-live")
+    discard(rooted)
+    return out
 
 
 def hub_pairs(members: DataFrame, nth: int, texts: DataFrame) -> DataFrame:
-    """Pairs (a, b) of each bucket's nth most central member and those after it."""
-    member = F.struct("h", "size", "at", "root")
-    bucket = Window.partitionBy("key").orderBy(F.col("weight").desc(), "h")
-    # Only running values, so that no bucket is held in memory.
-    ranked = members.select(F.struct("h", "size", "at", "root").alias("b"), F.row_number().over(bucket).alias("nth"), F.nth_value(member, nth + 1).over(bucket).alias("a"))
-    pairs = ranked.where((F.col("nth") > nth + 1) & (F.col("a.root") != F.col("b.root")) & possible("a", "b"))
-    pairs = pairs.select(F.col("a.h").alias("a"), F.col("b.h").alias("b")).distinct()
+    """Pairs (a, b) of each bucket's most central member and those that are not in its component; with `nth` above 0, of
+    the most central one that is in none of the nth components before."""
+    counts = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    # How many others a text meets: copies of one original meet it more often than each other.
+    weights = members.join(counts, "key").groupBy("h").agg(F.sum(F.col("n") - 1).alias("weight"))
+    weighed = members.join(weights, "h")
+    hub = None
+    for _ in range(nth + 1):
+        left = weighed if hub is None else weighed.join(hub.select("key", F.col("a.root").alias("taken")), "key").where("root <> taken").drop("taken")
+        hub = left.groupBy("key").agg(F.max_by(F.struct("h", "size", "at", "root"), F.struct("weight", F.bitwise_not(F.col("h")))).alias("a"))
+        weighed = left
+    met_ = members.join(hub, "key").select("a", F.struct("h", "size", "at", "root").alias("b"))
+    pairs = met_.where((F.col("a.root") != F.col("b.root")) & possible("a", "b")).select(F.col("a.h").alias("a"), F.col("b.h").alias("b")).distinct()
     of = lambda side: texts.select(F.col("h").alias(side), F.struct("size", "bitmap").alias(f"{side}_text"))
     return pairs.join(of("a"), "a").join(of("b"), "b").where(close("a_text", "b_text")).select("a", "b")
 
 
 def all_pairs(members: DataFrame, texts: DataFrame) -> DataFrame:
     """All pairs (a, b) of members of one bucket that are in two components."""
-    members = members.join(texts.select("h", "bitmap"), "h")
+    counts = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    members = members.join(counts, "key").join(texts.select("h", "bitmap"), "h")
     groups = F.ceil(F.col("n") / GROUP).cast("int")
     member = F.struct("h", "size", "at", "root", "bitmap")
     own = F.pmod(F.xxhash64("h"), groups).cast("int")
@@ -236,30 +258,43 @@ def text_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     sketch = _sketches(docs.sparkSession, frequent_shingles(docs))
     rows = docs.select(*key_of(F.col("doc_id")), sketch(F.col("text").cast("binary")).alias("p")).select("none", "id", "p.*")
     rows = cut(rows, "similar-prints")
-    texts = rows.groupBy("h").agg(F.min(F.struct("none", "id")).alias("least"), F.first(F.struct("size", "bitmap", "prefix", "prints")).alias("p"))
+    texts = rows.groupBy("h").agg(F.min(F.struct("none", "id")).alias("least"), F.first(F.struct("size", "fp", "bitmap")).alias("p"))
     texts = cut(texts.select("h", "least", "p.*"), "similar-texts")
-    dealt = cut(met(texts), "similar-met")
-    # How many others a text meets: copies of one original meet it more often than each other.
-    weight = dealt.groupBy("h").agg(F.sum(F.col("n") - 1).alias("weight"))
-    dealt = cut(dealt.join(weight, "h"), "similar-weighed")
-    edges = roots = None
+    edges, roots = _joined(ball_pairs(texts), None, texts, docs)
+    members = met(rows, roots)
+    ids = cut(rows.select("none", "id", "h"), "similar-rows")
+    discard(rows)
     for nth in range(HUBS + 1):
-        members = live(dealt, roots)
         pairs = cut(hub_pairs(members, nth, texts) if nth < HUBS else all_pairs(members, texts), "similar-pairs")
-        found = _compared(pairs, bearing(pairs, texts, docs))
-        edges = cut(found if edges is None else edges.union(found), "similar-links")
-        roots = components(edges)
-    return rows.select("none", "id", "h"), roots.withColumnRenamed("node", "h")
-
-
-def bearing(pairs: DataFrame, texts: DataFrame, docs: DataFrame) -> DataFrame:
-    """(h, text) of the texts that are in a pair. One row carries each; only these rows' texts are shuffled."""
+        edges, roots = _joined(pairs, edges, texts, docs)
+        if nth < HUBS:
+            before, members = members, live(members, roots)
+            discard(before)
+    discard(members, texts, edges)
+    return ids, roots.withColumnRenamed("node", "h")
+
+
+def _joined(pairs: DataFrame, edges: DataFrame | None, texts: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(links so far, roots) with those of `pairs` that are similar. Of links only a spanning star a component is kept."""
+    bearers, whole = bearing(pairs, texts, docs)
+    found = _compared(pairs, whole)
+    links = cut(found if edges is None else edges.union(found), "similar-links")
+    discard(pairs, bearers, whole)
+    if edges is not None:
+        discard(edges)
+    roots = components(links)
+    discard(links)
+    return cut(roots.where("node <> root").select(F.col("root").alias("a"), F.col("node").alias("b")), "similar-stars"), roots
+
+
+def bearing(pairs: DataFrame, texts: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows that bear the texts of a pair, one a text, and (h, text): only these rows' texts are shuffled."""
     ids = pairs.select(F.col("a").alias("h")).union(pairs.select(F.col("b").alias("h"))).distinct()
     bearers = cut(texts.join(ids, "h").select("h", "least.*"), "similar-bearers")
     whole = docs.select(*key_of(F.col("doc_id")), F.col("text").cast("binary").alias("text")).join(small(bearers), ["none", "id"])
     # With a doc_id that repeats, a bearer may meet another row's text; its words tell.
     whole = whole.select("h", "text").where(_words_hash(F.col("text")) == F.col("h")).groupBy("h").agg(F.min("text").alias("text"))
-    return cut(whole, "similar-whole")
+    return bearers, cut(whole, "similar-whole")
 
 
 def _compared(pairs: DataFrame, whole: DataFrame) -> DataFrame:

@@ -239,18 +239,25 @@ def test_shard_stage_keeps_columns(spark, docs, empty, clashing, tmp_path):
     assert out.count() == docs.count()
 
 
-def test_block_prints_of_near_copies_meet():
-    missed = 0
-    for seed in range(200):
-        a = words(120, seed)
-        b = list(a)
-        for at in (10, 60):
-            b[at] = "other"
-        pa, pb = (similar.block_prints([w.encode() for w in x]) for x in (a, b))
-        missed += not any(x >> 32 == y >> 32 and (x ^ y).bit_count() <= 2 for x, y in zip(pa, pb, strict=True))
-    assert missed <= 1
-    assert np.array(similar.block_prints([])).sum() == 0
-
+def test_balls_bring_slightly_edited_texts_together(spark):
+    texts = [words(300, 3)]
+    for at in (20, 150, 280):
+        texts.append([*texts[0][:at], "other", *texts[0][at + 1 :]])
+    prints = [similar.fingerprint(similar.shingle_hashes([w.encode() for w in t])) for t in [*texts, words(300, 4)]]
+    plain = [sum(1 << b for b in range(64) if 2 * sum(int(h) >> b & 1 for h in hs) > len(hs)) for hs in (similar.shingle_hashes([w.encode() for w in t]).tolist() for t in texts)]
+    assert [p % (1 << 64) for p in prints[:4]] == plain
+    df = spark.createDataFrame([(i, 296, p) for i, p in enumerate(prints)], "h long, size int, fp long")
+    got = {frozenset((r.a, r.b)) for r in similar.ball_pairs(df).collect()}
+    near = {frozenset((i, j)) for i in range(5) for j in range(i) if ((prints[i] ^ prints[j]) % (1 << 64)).bit_count() <= 3}
+    assert plain_groups(got) == plain_groups(near)
+
+
+def plain_groups(pairs):
+    groups = []
+    for pair in pairs:
+        joined = [g for g in groups if g & pair]
+        groups = [g for g in groups if not g & pair] + [frozenset(pair).union(*joined)]
+    return set(groups)
 
 
 def test_every_colliding_copy_is_found_in_families_that_share_words(spark):
@@ -273,6 +280,24 @@ def test_every_colliding_copy_is_found_in_families_that_share_words(spark):
     assert sorted(r.doc_id for r in found.collect()) == [r[0] for r in rows + extra if r[0] % 2 == 0]
 
 
+def test_stage_finds_all_similar_pairs_after_contiguous_edits(spark):
+    """Insertions, appends and cuts of runs of words down to a similarity of 0.8, beside pairs just below it."""
+    rows, want, below = [], [], 0
+    for i in range(120):
+        base = words(200, i)
+        n = 20 + i % 30
+        at = random.Random(i).randrange(150)
+        edits = [base[:at] + words(n, 7000 + i) + base[at:], base + words(n, 8000 + i), base[n:], base[:at] + base[at + n :]]
+        edit = edits[i % 4]
+        rows += [(2 * i, " ".join(base), "en", "s", 0), (2 * i + 1, " ".join(edit), "en", "s", 0)]
+        alike = similar.similarity(*(similar.shingles([w.encode() for w in t]) for t in (base, edit))) >= 0.8
+        below += not alike
+        want += [2 * i] if alike else [2 * i, 2 * i + 1]
+    assert 10 < below < 110
+    found = similar.stage(spark, spark.createDataFrame(rows, SCHEMA), "")
+    assert sorted(r.doc_id for r in found.collect()) == want
+
+
 def test_prefixes_of_similar_texts_meet_after_contiguous_edits():
     none, met = (np.zeros(0, np.uint64), np.zeros(0, np.int64)), 0
     for seed in range(150):
