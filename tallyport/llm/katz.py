@@ -1,32 +1,40 @@
-"""Katz backoff language model over words: Good-Turing discounted bigram and unigram counts, exact backoff weights.
+"""Katz backoff language model over words, order 3: Good-Turing discounted counts, exactly normalised backoff weights.
 
-All tables are partitioned by the hash of the history word into buckets and travel as packed arrays, not as rows:
+P(w | u v) = d(c) c(u v w) / c(u v) if the trigram was seen, else alpha(u v) P(w | v); P(w | v) alike from bigrams and
+alpha(v) P(w); P(w) = d(c) c(w) / N, where what discounting frees goes to one class of unknown words. A history's weight
+is what its seen words leave free, over what the lower order gives to words not seen after it. A history that was never
+seen leaves the lower order as it is. Where counts give no valid Good-Turing discount none is made, and a history left
+without free mass gives up 1 / (c + 1). A text begins with two start marks and ends with an end token.
 
-1. pack: each task turns its documents into sorted (history, word, documents) arrays, one payload for each bucket.
-2. count: a bucket merges its payloads into bigram counts. A word's own count is its count as a history (every word is
-   the history of the next token), so the same bucket holds the unigram counts of its words; it asks the other buckets
-   for those of the words that follow. Counts of counts are summed over all buckets.
-3. score: with the answers a bucket knows P(word), P(word | history) and the backoff weight of each of its histories, and
-   sums the log-probabilities of its tokens by document; the documents' sums over buckets follow.
+All n-grams of a history word v are in one bucket, so the recursion from trigrams down to bigrams needs no other; only
+counts of single words come from elsewhere. They travel as packed arrays, not as rows:
 
-Frequent histories (HEAVY at most, from a bounded sample; the choice moves work and changes no result) are spread over
-all buckets by the word that follows. Their counts, and the counts of counts that give their seen mass, come with the
-summed statistics; only the backoff weight needs a sum over buckets, so their unseen events wait for it.
+1. pack: each task turns its documents into sorted (v, u, w, documents) arrays, one payload for each bucket of a block.
+2. count: a bucket merges its payloads into counts. It asks the owners of the words that follow for their counts.
+3. answer: an owner answers. Statistics (counts of counts and what follows) are summed in a tree.
+4. score: a bucket knows every probability and weight, and sums the log-probabilities of its tokens by document; the
+   documents' sums over buckets follow. It also puts out its part of the model's tables.
 
-P(w | h) = d(c) c(h, w) / c(h) if the bigram was seen, else alpha(h) P(w); alpha(h) = (1 - seen mass) / (1 - P of the words
-seen after h). P(w) = d(c) c / N, and what discounting frees goes to one class of unknown words. Where counts give no valid
-Good-Turing discount, none is made, and a history left without free mass gives up 1 / (c(h) + 1).
+Frequent history words (`heavy`) are spread over the buckets by the word before them, their bigrams counted by the owners
+of the words that follow; frequent pairs (`hot`) are spread by the word that follows, and their weight, which needs a sum
+over buckets, is added when the documents are finished. Both lists come from a sample and change no result; so does the
+list of common words, which are sent as short codes. What is left in one bucket is a single frequent trigram, packed to
+about two bytes an occurrence, and read payload by payload. A block sends a payload to each bucket that it has tokens
+of, so there are never more payloads than tokens; with many thousands of buckets payloads get small.
 
-Words are told apart by 48 bits of their XXH64. Defined results: null and empty texts have only the end token; rows that
+The tables (`tables`) hold counts and weights by bucket; `evaluate` scores any documents from them by joins.
+
+Words are told apart by 64 bits of their XXH64. Defined results: null and empty texts have only the end token; rows that
 repeat are counted and scored as often; an empty table gives no rows; without training rows all counts are 0, P is that of
 the unknown class, 1, and the base score that of the formula.
 """
 
 from __future__ import annotations
 
+import json
 import struct
-from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -36,34 +44,38 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyport.llm.common import fresh_path, table
+from tallyport.llm.common import cut, discard, fresh_path, table
 from tallyport.session import ship
 
 #: Counts up to this are discounted.
 KATZ_K = 5
 #: Bytes of text for each bucket; tokens after which a task's block is packed.
-BUCKET_BYTES = 16_000_000
-BLOCK_TOKENS = 1_000_000
+BUCKET_BYTES = 12_000_000
+BLOCK_TOKENS = 700_000
 CACHE_WORDS = 300_000
-#: Most histories that are spread, the least share of tokens that makes one frequent, and the documents that tell.
-HEAVY = 400
-HEAVY_SHARE = 1 / 4000
-HEAVY_SAMPLE = 400
-_BITS = np.uint64((1 << 48) - 1)
+#: About as many documents tell which words and pairs are frequent; at most so many words get codes, words and pairs are spread.
+SAMPLE = 8000
+COMMON = 300_000
+HEAVY = 2000
+#: A word or pair is spread if it has this part of a bucket's tokens.
+SPREAD = 1 / 16
+#: Parts in which statistics are summed before they meet.
+TREE = 32
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 #: Words never contain white space, so these are no word's hash but by chance.
-START, END = (xxhash.xxh64_intdigest(x) & ((1 << 48) - 1) for x in (b"\n start", b"\n end"))
+START, END = (np.uint64(xxhash.xxh64_intdigest(x)) for x in (b"\n start", b"\n end"))
 PACKED = "bucket long, kind string, block long, payload binary"
-STORED = "block long, payload binary, tail binary, kind string"
 SENT = "bucket long, kind string, source long, payload binary"
+STORED = "block long, payload binary, kind string"
+SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
 def freeze(*arrays: np.ndarray) -> bytes:
-    """Arrays as compressed bytes, 48-bit ones in six bytes an element, others in as few as hold their maximum."""
+    """Arrays as compressed bytes, whole numbers in as few bytes as hold their maximum."""
     parts = []
     for a in arrays:
-        width = a.dtype.itemsize if a.dtype.kind == "f" else next(n for n in (1, 2, 4, 6, 8) if not len(a) or int(a.max()) < 1 << 8 * n)
-        raw = a.view(np.uint8).reshape(len(a), -1) if a.dtype.kind == "f" else a.astype("<u8").view(np.uint8).reshape(len(a), 8)[:, :width]
+        width = a.dtype.itemsize if a.dtype.kind == "f" else next(n for n in (1, 2, 3, 4, 6, 8) if not len(a) or int(a.max()) < 1 << 8 * n)
+        raw = a.view(np.uint8).reshape(len(a), width) if a.dtype.kind == "f" else a.astype("<u8").view(np.uint8).reshape(len(a), 8)[:, :width]
         # Bytes of one place together: the high ones compress.
         data = np.ascontiguousarray(raw.T).tobytes()
         parts.append(struct.pack("<cBQ", a.dtype.kind.encode(), width, len(a)) + data)
@@ -94,17 +106,89 @@ def _starts(*sorted_keys: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
-def placed(hist: np.ndarray, nxt: np.ndarray, heavy: np.ndarray, buckets: int) -> np.ndarray:
-    """Bucket of each bigram: its history's, or for frequent histories one by the word that follows."""
-    mixed = (nxt ^ (hist >> np.uint64(7))) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(20)
-    return np.where(np.isin(hist, heavy), mixed, hist) % np.uint64(buckets)
+def _runs(starts: np.ndarray, n: int) -> np.ndarray:
+    return np.diff(np.append(starts, n))
+
+
+def find(known: np.ndarray, asked: np.ndarray) -> np.ndarray:
+    """Places in a sorted array; -1 where it has no such value."""
+    if not len(known):
+        return np.full(len(asked), -1)
+    at = np.minimum(np.searchsorted(known, asked), len(known) - 1)
+    return np.where(known[at] == asked, at, -1)
+
+
+def mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """One number for a pair of words."""
+    x = (a ^ (b * np.uint64(0x9E3779B97F4A7C15))) * np.uint64(0xBF58476D1CE4E5B9)
+    return (x ^ (x >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
+
+
+@dataclass(frozen=True)
+class Plan:
+    """What all tasks share: sorted arrays of common, heavy and hot (pairs, mixed) hashes."""
+
+    buckets: int
+    common: np.ndarray
+    heavy: np.ndarray
+    hot: np.ndarray
+
+    def placed(self, v: np.ndarray, u: np.ndarray, w: np.ndarray) -> np.ndarray:
+        """Bucket of each trigram: its history word's; for heavy ones by the word before, for hot pairs by the word after."""
+        pair = mixed(v, u)
+        spread = np.where(find(self.hot, pair) >= 0, mixed(pair, w), pair) >> np.uint64(7)
+        return np.where(find(self.heavy, v) >= 0, spread, v) % np.uint64(self.buckets)
+
+    def coded(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(codes, rare words in order): code 0 stands for the next rare word."""
+        at = find(self.common, words)
+        return (at + 1).astype(np.uint64), words[at < 0]
+
+    def words(self, codes: np.ndarray, rare: np.ndarray) -> np.ndarray:
+        out = np.empty(len(codes), np.uint64)
+        known = codes > 0
+        out[known] = self.common[codes[known].astype(np.int64) - 1]
+        out[~known] = rare
+        return out
+
+    def freeze_ngrams(self, v: np.ndarray, u: np.ndarray, w: np.ndarray, *more: np.ndarray) -> bytes:
+        """Trigrams in order of (v, u, w), with further arrays."""
+        pairs = _starts(v, u)
+        heads = _starts(v[pairs])
+        coded = [x for words in (v[pairs][heads], u[pairs], w) for x in self.coded(words)]
+        return freeze(*coded, _runs(heads, len(pairs)).astype(np.uint64), _runs(pairs, len(v)).astype(np.uint64), *more)
 
+    def thaw_ngrams(self, payload: bytes) -> tuple[np.ndarray, ...]:
+        vc, vr, uc, ur, wc, wr, of_v, of_pair, *more = thaw(payload)
+        of_v, of_pair = of_v.astype(np.int64), of_pair.astype(np.int64)
+        v = np.repeat(np.repeat(self.words(vc, vr), of_v), of_pair)
+        return v, np.repeat(self.words(uc, ur), of_pair), self.words(wc, wr), *more
 
-def packer(buckets: int, heavy: np.ndarray):  # noqa: ANN201
+
+class Shared:
+    """The plan on the workers, sent once to each."""
+
+    def __init__(self, spark: SparkSession, plan: Plan) -> None:
+        self.sent = spark.sparkContext.broadcast((plan.buckets, plan.common, plan.heavy, plan.hot))
+
+    def plan(self) -> Plan:
+        return Plan(*self.sent.value)
+
+
+def word_hashes(text: bytes | None, cache: dict[bytes, int]) -> np.ndarray:
+    words = (text or b"").translate(_LOWER).split()
+    if len(cache) > CACHE_WORDS:
+        cache.clear()
+    for w in set(words).difference(cache):
+        cache[w] = xxhash.xxh64_intdigest(w)
+    return np.fromiter(map(cache.__getitem__, words), np.uint64, len(words))
+
+
+def packer(shared: Shared):  # noqa: ANN201
     """mapInPandas function: (key, known, held, text) to PACKED rows: data of each bucket and one meta row a block."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache: dict[bytes, int] = {}
+        plan, cache = shared.plan(), {}
         hashes: list[np.ndarray] = []
         keys: list[int] = []
         flags: list[int] = []
@@ -112,37 +196,39 @@ def packer(buckets: int, heavy: np.ndarray):  # noqa: ANN201
 
         def rows() -> pd.DataFrame:
             sizes = np.array([len(h) for h in hashes], np.int64)
-            nxt = np.concatenate([np.append(h, np.uint64(END)) for h in hashes])
-            hist = np.concatenate([np.append(np.uint64(START), h) for h in hashes])
+            known, at = np.unique(np.concatenate([x for h in hashes for x in ([START, START], h, [END])]).astype(np.uint64), return_inverse=True)
+            at = at.astype(np.uint32)
+            # Every token but the two marks that begin a text, with the two before it.
+            first = np.cumsum(np.concatenate(([0], sizes[:-1] + 3)))
+            token = np.ones(len(at), bool)
+            token[first] = token[first + 1] = False
+            here = np.flatnonzero(token)
+            w, v, u = at[here], at[here - 1], at[here - 2]
             doc = np.repeat(np.arange(len(hashes), dtype=np.uint64) * np.uint64(2) + (np.array(flags, np.uint64) & np.uint64(1)), sizes + 1)
-            bucket = placed(hist, nxt, heavy, buckets)
-            order = np.lexsort((doc, nxt, hist, bucket))
-            hist, nxt, doc, bucket = hist[order], nxt[order], doc[order], bucket[order]
-            del order
-            pairs = _starts(hist, nxt)
-            ph, pw, pn = hist[pairs], nxt[pairs], np.diff(np.append(pairs, len(hist)))
-            edges = np.searchsorted(bucket[pairs], np.arange(buckets + 1))
-            out = [(number % buckets, "m", number, freeze(np.array(keys, np.int64).view(np.uint64), np.array(flags, np.uint64), sizes.astype(np.uint64)))]
-            for b in range(buckets):
+            bucket = plan.placed(known[v], known[u], known[w])
+            # Places among the known words are in the order of the words; equal ones stay in the order of documents.
+            order = np.lexsort(((u.astype(np.uint64) << np.uint64(32)) | w, (bucket << np.uint64(32)) | v))
+            v, u, w, doc, bucket = v[order], u[order], w[order], doc[order], bucket[order]
+            del order, at, here, token
+            grams = _starts(bucket, v, u, w)
+            edges = np.searchsorted(bucket[grams], np.arange(plan.buckets + 1))
+            times = _runs(grams, len(v)).astype(np.uint64)
+            meta = freeze(np.array(keys, np.int64).view(np.uint64), np.array(flags, np.uint64), sizes.astype(np.uint64))
+            out = [(number % plan.buckets, "m", number, meta)]
+            for b in range(plan.buckets):
                 i, j = int(edges[b]), int(edges[b + 1])
                 if i < j:
-                    heads = _starts(ph[i:j])
-                    first, last = int(pairs[i]), int(pairs[j]) if j < len(pairs) else len(hist)
-                    runs = np.diff(np.append(heads, j - i)).astype(np.uint64)
-                    out.append((b, "d", number, freeze(ph[i:j][heads], runs, pw[i:j], pn[i:j].astype(np.uint64), doc[first:last], np.array([len(hashes)], np.uint64))))
+                    g = grams[i:j]
+                    end = int(grams[j]) if j < len(grams) else len(v)
+                    out.append((b, "d", number, plan.freeze_ngrams(known[v[g]], known[u[g]], known[w[g]], times[i:j], doc[g[0] : end], np.array([len(hashes)], np.uint64))))
             return pd.DataFrame(out, columns=["bucket", "kind", "block", "payload"])
 
         for batch in batches:
             for key, known, is_held, text in zip(batch["key"].tolist(), batch["known"].tolist(), batch["held"].tolist(), batch["text"], strict=True):
-                words = (text or b"").translate(_LOWER).split()
-                if len(cache) > CACHE_WORDS:
-                    cache.clear()
-                for w in set(words).difference(cache):
-                    cache[w] = xxhash.xxh64_intdigest(w) & ((1 << 48) - 1)
-                hashes.append(np.fromiter(map(cache.__getitem__, words), np.uint64, len(words)))
+                hashes.append(word_hashes(text, cache))
                 keys.append(key)
                 flags.append(int(is_held) + 2 * int(known))
-                held += len(words) + 1
+                held += len(hashes[-1]) + 1
                 if held >= BLOCK_TOKENS:
                     yield rows()
                     hashes, keys, flags, held, number = [], [], [], 0, number + 1
@@ -153,241 +239,354 @@ def packer(buckets: int, heavy: np.ndarray):  # noqa: ANN201
 
 
 class Bucket:
-    """The merged bigrams of a bucket: pairs (h, w) in order with training counts c, histories with their counts here."""
-
-    def __init__(self, payloads: list[bytes], heavy: np.ndarray) -> None:
-        self.blocks = [thaw(p) for p in payloads]
-        hs, ws, cs = [], [], []
-        for heads, runs, words, per_pair, docs, _ in self.blocks:
-            hs.append(np.repeat(heads, runs.astype(np.int64)))
-            ws.append(words)
-            ends = np.cumsum(per_pair).astype(np.int64)
+    """The merged trigrams (v, u, w) of a bucket in order, with training counts c3; their pairs (v, u); the bigrams (v, w)
+    with the counts that this bucket has; and the history words v."""
+
+    def __init__(self, plan: Plan, payloads: list[bytes], places: bool = False) -> None:
+        vs, us, ws, cs = [], [], [], []
+        for payload in payloads:
+            v, u, w, times, docs, _ = plan.thaw_ngrams(payload)
+            ends = np.cumsum(times).astype(np.int64)
             trained = np.concatenate(([0], np.cumsum((docs & np.uint64(1)) == 0)))
-            cs.append(trained[ends] - trained[ends - per_pair.astype(np.int64)])
-        h, w, c = (np.concatenate(x) if x else np.zeros(0, np.uint64) for x in (hs, ws, cs))
-        order = np.lexsort((w, h))
-        first = _starts(h[order], w[order])
-        self.h, self.w = h[order][first], w[order][first]
-        self.c = np.add.reduceat(c[order], first) if len(first) else np.zeros(0, np.int64)
-        #: Place among the merged pairs of each block's pairs, in the blocks' order.
-        place = np.empty(len(h), np.int64)
-        place[order] = np.cumsum(np.isin(np.arange(len(h)), first, assume_unique=True)) - 1
-        self.places = np.split(place, np.cumsum([len(x) for x in hs])[:-1]) if hs else []
-        heads = _starts(self.h)
-        self.of_history = np.repeat(np.arange(len(heads)), np.diff(np.append(heads, len(self.h))))
-        self.histories = self.h[heads]
-        self.history_count = np.add.reduceat(self.c, heads) if len(heads) else np.zeros(0, np.int64)
-        #: Place of each history in `heavy`, which is sorted; -1 for others.
-        self.heavy = heavy
-        self.heavy_of = find(heavy, self.histories)
-
-    def wanted(self) -> np.ndarray:
-        """The words that follow, in order, but for the end and those whose counts come with the statistics."""
-        found = np.unique(self.w)
-        return found[(found != END) & (find(self.heavy, found) < 0)]
-
-
-def find(known: np.ndarray, asked: np.ndarray) -> np.ndarray:
-    """Places in a sorted array; -1 where it has no such value."""
-    if not len(known):
-        return np.full(len(asked), -1)
-    at = np.minimum(np.searchsorted(known, asked), len(known) - 1)
-    return np.where(known[at] == asked, at, -1)
+            vs.append(v)
+            us.append(u)
+            ws.append(w)
+            cs.append(trained[ends] - trained[ends - times.astype(np.int64)])
+        v, u, w, c = (np.concatenate(x) if x else np.zeros(0, np.uint64) for x in (vs, us, ws, cs))
+        sizes = [len(x) for x in vs]
+        del vs, us, ws, cs
+        order = np.lexsort((w, u, v))
+        first = _starts(v[order], u[order], w[order])
+        if places:
+            #: Place among the merged trigrams of each payload's trigrams.
+            place = np.empty(len(v), np.int32)
+            new = np.zeros(len(v), np.int32)
+            new[first] = 1
+            place[order] = np.cumsum(new) - 1
+            self.places = np.split(place, np.cumsum(sizes)[:-1]) if sizes else []
+        self.v, self.u, self.w = v[order][first], u[order][first], w[order][first]
+        self.c3 = np.add.reduceat(c[order], first) if len(first) else np.zeros(0, np.int64)
+        del v, u, w, c, order
+        pairs = _starts(self.v, self.u)
+        #: Pair of each trigram.
+        self.pair_of = np.repeat(np.arange(len(pairs)), _runs(pairs, len(self.v)))
+        self.pair_v, self.pair_u = self.v[pairs], self.u[pairs]
+        self.pair_count = np.add.reduceat(self.c3, pairs) if len(pairs) else np.zeros(0, np.int64)
+        self.hot_of = find(plan.hot, mixed(self.pair_v, self.pair_u))
+        heads = _starts(self.pair_v)
+        self.words = self.pair_v[heads]
+        self.word_count = np.add.reduceat(self.pair_count, heads) if len(heads) else np.zeros(0, np.int64)
+        self.heavy_of = find(plan.heavy, self.words)
+        order = np.lexsort((self.w, self.v))
+        first = _starts(self.v[order], self.w[order])
+        self.big_v, self.big_w = self.v[order][first], self.w[order][first]
+        self.c2 = np.add.reduceat(self.c3[order], first) if len(first) else np.zeros(0, np.int64)
+        #: Bigram of each trigram, history word of each bigram.
+        self.big_of = np.empty(len(self.v), np.int64)
+        self.big_of[order] = np.repeat(np.arange(len(first)), _runs(first, len(self.v)))
+        self.word_of = np.searchsorted(self.words, self.big_v)
+        #: Bigrams whose counts the owners of their second words sum.
+        self.asked = np.flatnonzero(self.heavy_of[self.word_of] >= 0) if len(self.words) else np.zeros(0, np.int64)
+
+    def wanted(self, plan: Plan) -> np.ndarray:
+        """The words that follow, in order, but for those whose counts come with the statistics."""
+        found = np.unique(self.big_w)
+        return found[find(plan.heavy, found) < 0]
 
 
 def _histogram(c: np.ndarray) -> np.ndarray:
     return np.bincount(np.minimum(c[c > 0], KATZ_K + 2), minlength=KATZ_K + 3)[1 : KATZ_K + 2]
 
 
-def counter(buckets: int, heavy: np.ndarray):  # noqa: ANN201
-    """A bucket's PACKED rows to SENT rows: its unigram counts, what it asks of each bucket, and its statistics."""
+class Totals:
+    """Statistics as one array of sums and the heavy pairs that were seen."""
+
+    def __init__(self, plan: Plan) -> None:
+        h, p, k = len(plan.heavy), len(plan.hot), KATZ_K
+        sizes = {"words": 2, "tri": k + 1, "bi": k + 1, "uni": k + 1, "heavy": h, "few2": h * k, "light": h * k, "more": h, "hot": p, "few3": p * k}
+        self.sums = np.zeros(sum(sizes.values()), np.int64)
+        self.seen = np.zeros(0, np.uint64)
+        ends = np.cumsum(list(sizes.values()))
+        self.part = {name: self.sums[end - n : end] for (name, n), end in zip(sizes.items(), ends.tolist(), strict=True)}
+
+    def add(self, payload: bytes) -> Totals:
+        sums, seen = thaw(payload)
+        self.sums += sums.astype(np.int64)
+        self.seen = np.union1d(self.seen, seen)
+        return self
+
+    def frozen(self) -> bytes:
+        return freeze(self.sums.astype(np.uint64), self.seen)
+
+
+def counter(shared: Shared):  # noqa: ANN201
+    """A bucket's PACKED rows to SENT rows: its words' counts, what it asks of the others, and its statistics."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        own = int(rows["bucket"].iloc[0])
-        data = rows[rows["kind"] == "d"].sort_values("block")
-        b = Bucket(data["payload"].tolist(), heavy)
-        words = (b.history_count > 0) & (b.heavy_of < 0)
-        u = b.history_count[words]
-        out = [(own, "u", own, freeze(b.histories[words], u.astype(np.uint64)))]
-        wanted = b.wanted()
-        to = wanted % np.uint64(buckets)
+        plan, own = shared.plan(), int(rows["bucket"].iloc[0])
+        b = Bucket(plan, rows[rows["kind"] == "d"].sort_values("block")["payload"].tolist())
+        light = (b.heavy_of < 0) & (b.word_count > 0)
+        out = [(own, "u", own, freeze(b.words[light], b.word_count[light].astype(np.uint64)))]
+        wanted = b.wanted(plan)
+        to = wanted % np.uint64(plan.buckets)
         for target in np.unique(to).tolist():
             out.append((int(target), "r", own, freeze(wanted[to == target])))
-        # For each frequent history its count here, and how many of its words were seen 1..KATZ_K times.
-        spread = np.zeros((len(heavy), KATZ_K + 1), np.int64)
-        of_pair = b.heavy_of[b.of_history] if len(b.h) else np.zeros(0, np.int64)
-        np.add.at(spread[:, 0], of_pair[of_pair >= 0], b.c[of_pair >= 0])
-        few = (of_pair >= 0) & (b.c > 0) & (b.c <= KATZ_K)
-        np.add.at(spread, (of_pair[few], b.c[few]), 1)
-        stats = np.concatenate(([u.sum(), len(u)], _histogram(b.c), _histogram(u), spread.ravel())).astype(np.uint64)
-        out.append((-1, "s", own, freeze(stats)))
+        heavy, w, c = b.heavy_of[b.word_of[b.asked]].astype(np.uint64), b.big_w[b.asked], b.c2[b.asked].astype(np.uint64)
+        to = w % np.uint64(plan.buckets)
+        for target in np.unique(to).tolist():
+            out.append((int(target), "b", own, freeze(heavy[to == target], w[to == target], c[to == target])))
+        totals = Totals(plan)
+        t = totals.part
+        t["words"][:] = b.word_count[light].sum(), light.sum()
+        t["tri"][:], t["uni"][:] = _histogram(b.c3), _histogram(b.word_count[light])
+        t["bi"][:] = _histogram(b.c2[b.heavy_of[b.word_of] < 0]) if len(b.c2) else 0
+        np.add.at(t["heavy"], b.heavy_of[b.heavy_of >= 0], b.word_count[b.heavy_of >= 0])
+        np.add.at(t["hot"], b.hot_of[b.hot_of >= 0], b.pair_count[b.hot_of >= 0])
+        hot = b.hot_of[b.pair_of] if len(b.c3) else b.c3
+        few = (hot >= 0) & (b.c3 > 0) & (b.c3 <= KATZ_K)
+        np.add.at(t["few3"], hot[few] * KATZ_K + b.c3[few] - 1, 1)
+        out.append((own, "s", own, totals.frozen()))
         return pd.DataFrame(out, columns=["bucket", "kind", "source", "payload"])
 
     return run
 
 
-def answerer(buckets: int):  # noqa: ANN201
-    """SENT rows of a bucket to its answers; at bucket -1 the sum of all statistics, sent to every bucket."""
+def answerer(shared: Shared):  # noqa: ANN201
+    """SENT rows of a bucket to its answers and its part of the statistics."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        own = int(rows["bucket"].iloc[0])
-        if own == -1:
-            total = freeze(np.sum([thaw(p)[0] for p in rows["payload"]], axis=0).astype(np.uint64))
-            return pd.DataFrame([(b, "t", -1, total) for b in range(buckets)], columns=["bucket", "kind", "source", "payload"])
-        known, counts = thaw(rows[rows["kind"] == "u"]["payload"].iloc[0]) if (rows["kind"] == "u").any() else (np.zeros(0, np.uint64), np.zeros(0, np.uint64))
-        out = []
-        for source, payload in rows[rows["kind"] == "r"][["source", "payload"]].itertuples(index=False):
-            asked = thaw(payload)[0]
-            at = np.minimum(np.searchsorted(known, asked), max(0, len(known) - 1))
-            found = np.where(known[at] == asked, counts[at], 0) if len(known) else np.zeros(len(asked), np.uint64)
-            out.append((int(source), "a", own, freeze(found.astype(np.uint64))))
+        plan, own = shared.plan(), int(rows["bucket"].iloc[0])
+        of = {kind: group for kind, group in rows.groupby("kind")}
+        known, counts = thaw(of["u"]["payload"].iloc[0]) if "u" in of else (np.zeros(0, np.uint64), np.zeros(0, np.uint64))
+
+        def count_of(words: np.ndarray) -> np.ndarray:
+            at = find(known, words)
+            return np.where(at >= 0, counts[at], 0).astype(np.uint64) if len(known) else np.zeros(len(words), np.uint64)
+
+        out = [(int(source), "a", own, freeze(count_of(thaw(payload)[0]))) for source, payload in of["r"][["source", "payload"]].itertuples(index=False)] if "r" in of else []
+        totals = Totals(plan)
+        for payload in of["s"]["payload"] if "s" in of else ():
+            totals.add(payload)
+        if "b" in of:
+            parts = [(int(source), thaw(payload)) for source, payload in of["b"][["source", "payload"]].itertuples(index=False)]
+            h, w, c = (np.concatenate([p[i] for _, p in parts]) for i in range(3))
+            order = np.lexsort((w, h))
+            first = _starts(h[order], w[order])
+            total = np.add.reduceat(c[order].astype(np.int64), first)
+            place = np.empty(len(h), np.int64)
+            place[order] = np.repeat(np.arange(len(first)), _runs(first, len(h)))
+            for (source, p), at in zip(parts, np.split(place, np.cumsum([len(p[0]) for _, p in parts])[:-1]), strict=True):
+                out.append((source, "q", own, freeze(total[at].astype(np.uint64))))
+            seen = total > 0
+            h, w, total = h[order][first][seen].astype(np.int64), w[order][first][seen], total[seen]
+            t = totals.part
+            t["bi"] += _histogram(total)
+            few = total <= KATZ_K
+            np.add.at(t["few2"], h[few] * KATZ_K + total[few] - 1, 1)
+            heavy, n = find(plan.heavy, w), count_of(w).astype(np.int64)
+            few = (heavy < 0) & (n <= KATZ_K) & (n > 0)
+            np.add.at(t["light"], h[few] * KATZ_K + n[few] - 1, 1)
+            more = (heavy < 0) & (n > KATZ_K)
+            np.add.at(t["more"], h[more], n[more])
+            totals.seen = np.unique((h[heavy >= 0] * len(plan.heavy) + heavy[heavy >= 0]).astype(np.uint64))
+        out.append((-1, "s", own, totals.frozen()))
         return pd.DataFrame(out, columns=["bucket", "kind", "source", "payload"])
 
     return run
 
 
+def summer(shared: Shared):  # noqa: ANN201
+    """Rows of statistics to one row."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        totals = Totals(shared.plan())
+        for payload in rows["payload"]:
+            totals.add(payload)
+        return pd.DataFrame([(totals.frozen(),)], columns=["payload"])
+
+    return run
+
+
 def discounts(n: np.ndarray) -> np.ndarray:
     """Factor of counts 0..KATZ_K + 1 from counts of counts 1..KATZ_K + 1; the last stands for all larger counts."""
     d, n = np.ones(KATZ_K + 2), np.concatenate(([0.0], n.astype(np.float64)))
     if n[1] <= 0 or n[KATZ_K + 1] <= 0:
         return d
-    cut = (KATZ_K + 1) * n[KATZ_K + 1] / n[1]
+    least = (KATZ_K + 1) * n[KATZ_K + 1] / n[1]
     for r in range(1, KATZ_K + 1):
-        if n[r] > 0 and n[r + 1] > 0 and cut < 1:
-            value = ((r + 1) * n[r + 1] / (r * n[r]) - cut) / (1 - cut)
+        if n[r] > 0 and n[r + 1] > 0 and least < 1:
+            value = ((r + 1) * n[r + 1] / (r * n[r]) - least) / (1 - least)
             if 0 < value < 1:
                 d[r] = value
     return d
 
 
-class Unigrams:
-    """P of a word by its count."""
-
-    def __init__(self, stats: np.ndarray, heavy: np.ndarray) -> None:
-        head = 2 + 2 * (KATZ_K + 1)
-        words, distinct = (int(x) for x in stats[:2])
-        spread = stats[head:].astype(np.int64).reshape(len(heavy), KATZ_K + 1)
-        self.heavy_count, few = spread[:, 0], spread[:, 1:]
-        is_start = heavy == START
-        frequent = self.heavy_count[~is_start]
-        docs = int(self.heavy_count[is_start].sum())
-        #: The end is one more distinct token, seen once a document.
-        self.n, self.v, self.docs = words + int(frequent.sum()) + docs, distinct + int((frequent > 0).sum()) + (docs > 0), docs
-        per_count = stats[2 + KATZ_K + 1 : head].astype(np.int64) + _histogram(np.append(frequent, docs))
-        self.bigram, self.unigram = discounts(stats[2 : 2 + KATZ_K + 1]), discounts(per_count)
-        freed = sum(per_count[r - 1] * r * (1 - self.unigram[r]) for r in range(1, KATZ_K + 1)) / self.n if self.n else 1.0
+def kept_share(mass: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """What a history without free mass keeps of its own."""
+    return np.where(1 - mass < 1e-9, count / (count + 1.0), 1.0)
+
+
+def free(mass: np.ndarray, count: np.ndarray, followers: np.ndarray) -> np.ndarray:
+    """Backoff weight of histories that were seen."""
+    return (1 - mass * kept_share(mass, count)) / np.maximum(1 - followers, 1e-300)
+
+
+class Model:
+    """What all buckets share: discounts, P of a word by its count, and the weights of heavy words."""
+
+    def __init__(self, plan: Plan, payload: bytes) -> None:
+        totals = Totals(plan).add(payload)
+        t, heavy, k = totals.part, plan.heavy, KATZ_K
+        start, end = find(heavy, np.array([START, END]))
+        self.docs = int(t["heavy"][start])
+        #: Training counts of heavy words as tokens; the start is none, and the end is one a document.
+        self.heavy_tokens = t["heavy"].copy()
+        self.heavy_tokens[start], self.heavy_tokens[end] = 0, self.docs
+        words, distinct = t["words"].tolist()
+        self.n, self.v = words + int(self.heavy_tokens.sum()), distinct + int((self.heavy_tokens > 0).sum())
+        per_count = t["uni"] + _histogram(self.heavy_tokens)
+        self.d1, self.d2, self.d3 = discounts(per_count), discounts(t["bi"]), discounts(t["tri"])
+        r = np.arange(1, k + 1)
+        freed = float((per_count[:k] * r * (1 - self.d1[1 : k + 1])).sum()) / self.n if self.n else 1.0
         self.unknown = max(freed, 0.5 / (self.n + 0.5 * (self.v + 1))) if self.n else 1.0
         self.scale = (1 - self.unknown) / (1 - freed) if freed < 1 else 0.0
-        given_up = few @ (np.arange(1, KATZ_K + 1) * (1 - self.bigram[1 : KATZ_K + 1]))
-        #: Seen mass of each frequent history.
-        self.heavy_mass = np.where(self.heavy_count > 0, 1 - given_up / np.maximum(1, self.heavy_count), 0.0)
+        given = lambda few, d: few.reshape(-1, k) @ (r * (1 - d[1 : k + 1]))
+        #: Of heavy history words and of hot pairs: count, and mass of the words seen after them.
+        self.heavy_count, self.hot_count = t["heavy"].copy(), t["hot"].copy()
+        self.heavy_mass = np.where(self.heavy_count > 0, 1 - given(t["few2"], self.d2) / np.maximum(1, self.heavy_count), 0.0)
+        self.hot_mass = np.where(self.hot_count > 0, 1 - given(t["few3"], self.d3) / np.maximum(1, self.hot_count), 0.0)
+        followers = (t["light"].reshape(-1, k) @ (r * self.d1[1 : k + 1]) + t["more"]) * self.scale / max(1, self.n)
+        at = totals.seen.astype(np.int64)
+        np.add.at(followers, at // max(1, len(heavy)), self.p(self.heavy_tokens[at % max(1, len(heavy))]))
+        self.heavy_weight = np.where(self.heavy_count > 0, free(self.heavy_mass, self.heavy_count, followers), 1.0)
 
     def p(self, c: np.ndarray) -> np.ndarray:
-        seen = self.unigram[np.minimum(c, KATZ_K + 1)] * c / max(1, self.n) * self.scale
-        return np.where(c > 0, seen, self.unknown)
+        return np.where(c > 0, self.d1[np.minimum(c, KATZ_K + 1)] * c / max(1, self.n) * self.scale, self.unknown)
 
     def base(self, c: np.ndarray) -> np.ndarray:
         return np.log10((c + 0.5) / (self.n + 0.5 * (self.v + 1)))
 
 
-def kept_share(mass: np.ndarray, count: np.ndarray) -> np.ndarray:
-    """What a history without free mass keeps of its own."""
-    return np.where(1 - mass < 1e-9, count / (count + 1.0), 1.0)
-
-
-def conditional(b: Bucket, totals: np.ndarray, follower_count: np.ndarray, uni: Unigrams) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """log10 P(w | h) of each merged pair, where unseen words of a frequent history still lack their backoff weight; which
-    those are; for each frequent history the probability of the words seen after it here; and log10 of the backoff weight
-    of each history, 0 for frequent ones."""
-    p_word = uni.p(follower_count)
-    seen = b.c > 0
-    raw = np.where(seen, uni.bigram[np.minimum(b.c, KATZ_K + 1)] * b.c / np.maximum(1, totals[b.of_history]), 0.0)
-    n, is_heavy = len(b.histories), b.heavy_of >= 0
-    mass = np.bincount(b.of_history, raw, n)
-    mass[is_heavy] = uni.heavy_mass[b.heavy_of[is_heavy]]
-    followers = np.bincount(b.of_history, np.where(seen, p_word, 0.0), n)
-    scale = kept_share(mass, totals)
-    alpha = np.where((totals > 0) & ~is_heavy, (1 - mass * scale) / np.maximum(1 - followers, 1e-300), 1.0)
-    partial = np.zeros(len(b.heavy))
-    partial[b.heavy_of[is_heavy]] = followers[is_heavy]
+@dataclass
+class Scored:
+    """log10 P of each trigram of a bucket, where unseen words of a hot pair still lack its weight (`waits`), the count of
+    each bigram's second word, and the parts of the model that the tables keep."""
+
+    logs: np.ndarray
+    waits: np.ndarray
+    word_counts: np.ndarray
+    bigram_counts: np.ndarray
+    word_weights: np.ndarray
+    pair_weights: np.ndarray
+    hot_followers: np.ndarray
+
+
+def scored(b: Bucket, plan: Plan, m: Model, counts: np.ndarray, asked: np.ndarray) -> Scored:
+    """From the answers: counts of `b.wanted` words, and summed counts of the `b.asked` bigrams."""
+    heavy_w = find(plan.heavy, b.big_w)
+    cw = m.heavy_tokens[np.maximum(heavy_w, 0)]
+    light = heavy_w < 0
+    cw[light] = counts[find(b.wanted(plan), b.big_w[light])] if light.any() else 0
+    p1 = m.p(cw)
+    # Bigrams.
+    c2, is_heavy = b.c2.copy(), b.heavy_of >= 0
+    c2[b.asked] = asked
+    total = np.where(is_heavy, m.heavy_count[np.maximum(b.heavy_of, 0)], b.word_count)
+    n, seen = len(b.words), c2 > 0
+    raw = np.where(seen, m.d2[np.minimum(c2, KATZ_K + 1)] * c2 / np.maximum(1, total[b.word_of]), 0.0)
+    mass = np.where(is_heavy, m.heavy_mass[np.maximum(b.heavy_of, 0)], np.bincount(b.word_of, raw, n))
+    followers = np.bincount(b.word_of, np.where(seen, p1, 0.0), n)
+    weight = np.where(total > 0, np.where(is_heavy, m.heavy_weight[np.maximum(b.heavy_of, 0)], free(mass, total, followers)), 1.0)
+    p2 = np.where(seen, raw * kept_share(mass, total)[b.word_of], weight[b.word_of] * p1)
+    # Trigrams.
+    is_hot = b.hot_of >= 0
+    total = np.where(is_hot, m.hot_count[np.maximum(b.hot_of, 0)], b.pair_count) if len(m.hot_count) else b.pair_count
+    n, seen = len(b.pair_v), b.c3 > 0
+    raw = np.where(seen, m.d3[np.minimum(b.c3, KATZ_K + 1)] * b.c3 / np.maximum(1, total[b.pair_of]), 0.0)
+    mass = np.bincount(b.pair_of, raw, n)
+    if len(m.hot_mass):
+        mass = np.where(is_hot, m.hot_mass[np.maximum(b.hot_of, 0)], mass)
+    followers = np.bincount(b.pair_of, np.where(seen, p2[b.big_of], 0.0), n)
+    pair_weight = np.where((total > 0) & ~is_hot, free(mass, total, followers), 1.0)
+    hot = np.zeros(len(plan.hot))
+    np.add.at(hot, b.hot_of[is_hot], followers[is_hot])
     with np.errstate(divide="ignore"):
-        logs = np.log10(np.where(seen, raw * scale[b.of_history], alpha[b.of_history] * p_word))
-    return logs, ~seen & (is_heavy & (totals > 0))[b.of_history], partial, np.log10(alpha)
+        logs = np.log10(np.where(seen, raw * kept_share(mass, total)[b.pair_of], pair_weight[b.pair_of] * p2[b.big_of]))
+    return Scored(logs, ~seen & (is_hot & (total > 0))[b.pair_of], cw, c2, weight, pair_weight, hot)
 
 
-def scorer(buckets: int, heavy: np.ndarray):  # noqa: ANN201
-    """A bucket's PACKED rows and the answers it got to sums by document, one row a block."""
+def scorer(shared: Shared):  # noqa: ANN201
+    """A bucket's PACKED rows and the answers it got to STORED rows: sums by document, one row a block, and its tables."""
 
     def run(rows: pd.DataFrame, sent: pd.DataFrame) -> pd.DataFrame:
-        out = [(block, "m", payload) for kind, block, payload in rows[["kind", "block", "payload"]].itertuples(index=False) if kind == "m"]
+        plan = shared.plan()
+        out = [(block, payload, "m") for kind, block, payload in rows[["kind", "block", "payload"]].itertuples(index=False) if kind == "m"]
         data = rows[rows["kind"] == "d"].sort_values("block")
-        uni = Unigrams(thaw(sent[sent["kind"] == "t"]["payload"].iloc[0])[0], heavy)
+        root = sent[sent["kind"] == "t"]["payload"].iloc[0]
+        m = Model(plan, root)
+        if int(sent["bucket"].iloc[0]) == 0:
+            out.append((0, root, "s"))
         if len(data):
-            b = Bucket(data["payload"].tolist(), heavy)
-            wanted = b.wanted()
-            counts, to = np.zeros(len(wanted), np.int64), wanted % np.uint64(buckets)
-            for source, payload in sent[sent["kind"] == "a"][["source", "payload"]].itertuples(index=False):
-                counts[to == source] = thaw(payload)[0]
-            # The last place stands for words that none of the lists has.
-            known = np.concatenate((counts, uni.heavy_count, [uni.docs]))
-            follower = known[np.where(b.w == END, len(known) - 1, np.where(find(heavy, b.w) >= 0, len(counts) + find(heavy, b.w), find(wanted, b.w)))]
-            totals = np.where(b.heavy_of >= 0, uni.heavy_count[b.heavy_of], b.history_count) if len(heavy) else b.history_count
-            score, waits, partial, alpha = conditional(b, totals, follower, uni)
-            word = (b.h != START).astype(np.float64)
-            own = totals[b.of_history]
-            base, seen = uni.base(own) * word, (own > 0) * word
-            for (_, _, _, per_pair, docs, size), place, block in zip(b.blocks, b.places, data["block"].tolist(), strict=True):
-                pair, doc, n = np.repeat(place, per_pair.astype(np.int64)), (docs >> np.uint64(1)).astype(np.int64), int(size[0])
-                sums = [np.bincount(doc, x[pair], n) for x in (score, base, seen)]
-                late = waits[pair]
-                later, times = np.unique(doc[late] * len(heavy) + b.heavy_of[b.of_history[pair[late]]], return_counts=True)
-                out.append((block, "p", freeze(sums[0], sums[1], sums[2].astype(np.uint64), later.astype(np.uint64), times.astype(np.uint64))))
-            taught = b.c > 0
-            out.append((int(rows["bucket"].iloc[0]), "b", freeze(b.h[taught], b.w[taught], b.c[taught].astype(np.uint64), b.histories, totals.astype(np.uint64), alpha.astype(np.float32))))
-            out.append((-1, "f", freeze(partial, uni.heavy_mass, uni.heavy_count.astype(np.uint64))))
-        # The end token of each document is no history; its part goes with the meta rows.
-        end = np.array([uni.docs])
-        tail = freeze(np.array([uni.base(end)[0], float(uni.docs > 0), float(uni.n)]))
-        return pd.DataFrame([(block, kind, payload, tail if kind == "m" else b"") for block, kind, payload in out], columns=["block", "kind", "payload", "tail"])
+            own = int(rows["bucket"].iloc[0])
+            b = Bucket(plan, data["payload"].tolist(), places=True)
+            wanted = b.wanted(plan)
+            counts, to = np.zeros(len(wanted), np.int64), wanted % np.uint64(plan.buckets)
+            asked, to_b = np.zeros(len(b.asked), np.int64), b.big_w[b.asked] % np.uint64(plan.buckets)
+            for kind, source, payload in sent[["kind", "source", "payload"]].itertuples(index=False):
+                if kind == "a":
+                    counts[to == source] = thaw(payload)[0]
+                elif kind == "q":
+                    asked[to_b == source] = thaw(payload)[0]
+            s = scored(b, plan, m, counts, asked)
+            cw = s.word_counts[b.big_of]
+            base, known = m.base(cw), cw > 0
+            for payload, place, block in zip(data["payload"], b.places, data["block"].tolist(), strict=True):
+                *_, times, docs, size = plan.thaw_ngrams(payload)
+                gram, doc, n = np.repeat(place, times.astype(np.int64)), (docs >> np.uint64(1)).astype(np.int64), int(size[0])
+                sums = [np.bincount(doc, x[gram], n) for x in (s.logs, base, known)]
+                late = s.waits[gram]
+                later, often = np.unique(doc[late] * max(1, len(plan.hot)) + b.hot_of[b.pair_of[gram[late]]], return_counts=True)
+                out.append((block, freeze(sums[0], sums[1], sums[2].astype(np.uint64), later.astype(np.uint64), often.astype(np.uint64)), "p"))
+            taught = b.c3 > 0
+            pairs, words, bigrams = b.pair_count > 0, b.word_count > 0, s.bigram_counts > 0
+            out.append((own, plan.freeze_ngrams(b.v[taught], b.u[taught], b.w[taught], b.c3[taught].astype(np.uint64), s.pair_weights[pairs].astype(np.float32)), "t3"))
+            none = np.full(int(bigrams.sum()), START)
+            out.append((own, plan.freeze_ngrams(b.big_v[bigrams], none, b.big_w[bigrams], s.bigram_counts[bigrams].astype(np.uint64)), "t2"))
+            out.append((own, freeze(b.words[words], np.where(b.heavy_of[words] < 0, b.word_count[words], 0).astype(np.uint64), s.word_weights[words]), "t1"))
+            out.append((own, freeze(s.hot_followers), "f"))
+        return pd.DataFrame([(block, payload, kind) for block, payload, kind in out], columns=["block", "payload", "kind"])
 
     return run
 
 
 def _follower_sum(rows: pd.DataFrame) -> pd.DataFrame:
-    parts = [thaw(p) for p in rows["payload"]]
-    return pd.DataFrame({"payload": [freeze(np.sum([p[0] for p in parts], axis=0), parts[0][1], parts[0][2])]})
-
-
-def weights(payload: bytes | None) -> np.ndarray:
-    """log10 of the backoff weights of the frequent histories from the summed probabilities of the words after them."""
-    if payload is None:
-        return np.zeros(0)
-    followers, mass, count = thaw(payload)
-    count = count.astype(np.int64)
-    return np.log10(np.where(count > 0, (1 - mass * kept_share(mass, count)) / np.maximum(1 - followers, 1e-300), 1.0))
-
-
-def documents(late: np.ndarray):  # noqa: ANN201
-    """Function of a block's sums and meta row to its documents; `late` has the frequent histories' backoff weights."""
-    return lambda rows: _documents(rows, late)
-
-
-def _documents(rows: pd.DataFrame, late: np.ndarray) -> pd.DataFrame:
-    meta = rows[rows["kind"] == "m"].iloc[0]
-    keys, flags, sizes = thaw(meta["payload"])
-    end_base, end_known, trained = thaw(meta["tail"])[0]
-    score, base, known = np.zeros(len(keys)), np.full(len(keys), end_base), np.full(len(keys), int(end_known), np.int64)
-    for payload in rows[rows["kind"] == "p"].sort_values("payload")["payload"]:
-        s, b, k, later, times = thaw(payload)
-        score, base, known = score + s, base + b, known + k.astype(np.int64)
-        if len(later):
-            np.add.at(score, (later // np.uint64(len(late))).astype(np.int64), late[(later % np.uint64(len(late))).astype(np.int64)] * times.astype(np.float64))
-    ids = pd.array(keys.view(np.int64), dtype="Int64")
-    ids[(flags & np.uint64(2)) == 0] = pd.NA
-    return pd.DataFrame({
-        "doc_id": ids, "held_out": (flags & np.uint64(1)).astype(bool), "n_tokens": sizes.astype(np.int64) + 1, "n_known": known,
-        "train_tokens": np.full(len(keys), int(trained), np.int64), "base_score": base, "score": score,
-    })
+    return pd.DataFrame({"payload": [freeze(np.sum([thaw(p)[0] for p in rows["payload"]], axis=0))]})
+
+
+def hot_weights(m: Model, followers: np.ndarray) -> np.ndarray:
+    """Backoff weights of the hot pairs from the summed probabilities of the words after them."""
+    return np.where(m.hot_count > 0, free(m.hot_mass, m.hot_count, followers), 1.0)
+
+
+def finisher(late: np.ndarray, trained: int):  # noqa: ANN201
+    """Function of a block's sums and meta row to its documents; `late` has log10 of the hot pairs' weights."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        keys, flags, sizes = thaw(rows[rows["kind"] == "m"]["payload"].iloc[0])
+        score, base, known = np.zeros(len(keys)), np.zeros(len(keys)), np.zeros(len(keys), np.int64)
+        for payload in rows[rows["kind"] == "p"].sort_values("payload")["payload"]:
+            s, b, k, later, times = thaw(payload)
+            score, base, known = score + s, base + b, known + k.astype(np.int64)
+            if len(later):
+                np.add.at(score, (later // np.uint64(len(late))).astype(np.int64), late[(later % np.uint64(len(late))).astype(np.int64)] * times.astype(np.float64))
+        ids = pd.array(keys.view(np.int64), dtype="Int64")
+        ids[(flags & np.uint64(2)) == 0] = pd.NA
+        return pd.DataFrame({
+            "doc_id": ids, "held_out": (flags & np.uint64(1)).astype(bool), "n_tokens": sizes.astype(np.int64) + 1, "n_known": known,
+            "train_tokens": np.full(len(keys), trained, np.int64), "base_score": base, "score": score,
+        })
+
+    return run
 
 
 def held_out(doc_id: Column) -> Column:
@@ -396,52 +595,182 @@ def held_out(doc_id: Column) -> Column:
 
 def score(docs: DataFrame, held: Column | None = None, path: str | None = None) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score); rows where `held` is true teach nothing. The model's
-    tables are stored at `path`, partitioned by kind and bucket."""
-    ship(docs.sparkSession)
+    tables are stored at `path`, a folder for each kind, a row for each bucket."""
+    spark = docs.sparkSession
+    ship(spark)
     held = held_out(F.col("doc_id")) if held is None else held
     rows = docs.select(F.coalesce("doc_id", F.lit(0)).cast("long").alias("key"), F.col("doc_id").isNotNull().alias("known"), held.alias("held"), F.col("text").cast("binary").alias("text"))
-    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(8, -(-size // BUCKET_BYTES))
-    heavy = frequent(docs)
-    packed = rows.mapInPandas(packer(buckets, heavy), PACKED)
-    answers = packed.groupBy("bucket").applyInPandas(counter(buckets, heavy), SENT).groupBy("bucket").applyInPandas(answerer(buckets), SENT)
-    sums = packed.groupBy("bucket").cogroup(answers.groupBy("bucket")).applyInPandas(scorer(buckets, heavy), "block long, kind string, payload binary, tail binary")
-    # The model's tables (kind b) and the sums lie side by side, a folder for each kind.
-    path = path or fresh_path(docs.sparkSession, "katz")
-    sums.write.partitionBy("kind").parquet(path)
-    stored = docs.sparkSession.read.schema(STORED).parquet(path)
-    late = stored.where("kind = 'f'").groupBy("kind").applyInPandas(_follower_sum, "payload binary").collect()
-    late = weights(late[0].payload if late else None)
-    return stored.where("kind IN ('m', 'p')").groupBy("block").applyInPandas(documents(late), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
-
-
-def bigrams(spark: SparkSession, path: str) -> DataFrame:
-    """(history, word, count, history_count, backoff) of a model stored by `score`: words as 48-bit hashes, backoff the
-    log10 weight of the history (0 for frequent ones, whose weight is summed over buckets when documents are scored)."""
+    size, n = rows.agg(F.sum(F.octet_length("text")), F.count(F.lit(1))).first()
+    plan = planned(docs, max(8, -(-(size or 0) // BUCKET_BYTES)), n)
+    shared = Shared(spark, plan)
+    packed = rows.mapInPandas(packer(shared), PACKED)
+    sent = packed.groupBy("bucket").applyInPandas(counter(shared), SENT)
+    got = sent.groupBy("bucket").applyInPandas(answerer(shared), SENT)
+    branch = got.where("kind = 's'").groupBy((F.col("source") % TREE).alias("part")).applyInPandas(summer(shared), "payload binary")
+    root = branch.withColumn("all", F.lit(0)).groupBy("all").applyInPandas(summer(shared), "payload binary")
+    to_all = root.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(plan.buckets - 1).cast("long"))).alias("bucket"), F.lit("t").alias("kind"), F.lit(-1).cast("long").alias("source"), "payload")
+    answers = got.where("kind <> 's'").union(to_all)
+    path = path or fresh_path(spark, "katz")
+    packed.groupBy("bucket").cogroup(answers.groupBy("bucket")).applyInPandas(scorer(shared), STORED).write.partitionBy("kind").parquet(path)
+    stored = spark.read.schema(STORED).parquet(path)
+    model, late = _finished(plan, stored)
+    _store(spark, path, plan, late)
+    return stored.where("kind IN ('m', 'p')").groupBy("block").applyInPandas(finisher(np.log10(late), model.n), SCORES)
+
+
+def _finished(plan: Plan, stored: DataFrame) -> tuple[Model, np.ndarray]:
+    """The model, and the weights of the hot pairs; what comes to the driver is bounded by HEAVY."""
+    model = Model(plan, _root(plan, stored))
+    parts = stored.where("kind = 'f'").groupBy((F.col("block") % TREE).alias("part")).applyInPandas(_follower_sum, "payload binary").collect()
+    followers = np.sum([thaw(r.payload)[0] for r in parts], axis=0) if parts else np.zeros(len(plan.hot))
+    return model, hot_weights(model, followers)
+
+
+def _root(plan: Plan, stored: DataFrame) -> bytes:
+    """The statistics of all buckets; of an empty table there are none."""
+    found = stored.where("kind = 's'").first()
+    return found.payload if found else Totals(plan).frozen()
+
+
+def _store(spark: SparkSession, path: str, plan: Plan, late: np.ndarray) -> None:
+    """The plan and the hot pairs' weights beside the tables."""
+    rows = [(0, freeze(plan.common, plan.heavy, plan.hot, late), "c"), (1, json.dumps({"buckets": plan.buckets}).encode(), "c")]
+    spark.createDataFrame(rows, STORED).coalesce(1).write.mode("append").partitionBy("kind").parquet(path)
+
+
+def _loaded(spark: SparkSession, path: str) -> tuple[Plan, np.ndarray, Model, DataFrame]:
+    stored = spark.read.schema(STORED).parquet(path)
+    first, second = stored.where("kind = 'c'").orderBy("block").collect()
+    common, heavy, hot, late = thaw(first.payload)
+    plan = Plan(json.loads(second.payload)["buckets"], common, heavy, hot)
+    return plan, late, Model(plan, _root(plan, stored)), stored
+
+
+def tables(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+    """The stored model as tables, words as hashes, probabilities and weights as log10: `words` (word, count, p), `bigrams`
+    (v, word, count, p), `trigrams` (u, v, word, count, p), and the weights `of_words` (v, weight), `of_pairs` (u, v, weight)."""
     ship(spark)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for payload in batch["payload"]:
-                h, w, c, histories, totals, alpha = thaw(payload)
-                at = np.searchsorted(histories, h)
-                yield pd.DataFrame({"history": h.astype(np.int64), "word": w.astype(np.int64), "count": c.astype(np.int64), "history_count": totals[at].astype(np.int64), "backoff": alpha[at].astype(np.float64)})
-
-    stored = spark.read.schema(STORED).parquet(path).where("kind = 'b'").select("payload")
-    return stored.mapInPandas(run, "history long, word long, count long, history_count long, backoff double")
-
-
-def frequent(docs: DataFrame) -> np.ndarray:
-    """The start and the words that are frequent in a sample of at most HEAVY_SAMPLE documents, sorted."""
-    place = F.xxhash64(F.lit("katz"), "doc_id")
-    ids = docs.where(F.col("doc_id").isNotNull()).select("doc_id").distinct().orderBy(place, "doc_id").limit(HEAVY_SAMPLE)
-    texts = docs.select("doc_id", F.col("text").cast("binary").alias("text")).join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"))
-    count: Counter[bytes] = Counter()
-    for row in texts.toLocalIterator():
-        count.update(bytes(row.text or b"").translate(_LOWER).split())
-    least = HEAVY_SHARE * sum(count.values())
-    words = [xxhash.xxh64_intdigest(w) & ((1 << 48) - 1) for w, n in count.most_common(HEAVY) if n >= least]
-    return np.unique(np.array([START, *words], dtype=np.uint64))
+    plan, late, model, stored = _loaded(spark, path)
+    shared, root = Shared(spark, plan), _root(plan, stored)
+    signed = lambda x: x.view(np.int64)
+
+    def reader(make):  # noqa: ANN001, ANN202
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            of = shared.plan()
+            m = Model(of, root)
+            for batch in batches:
+                for payload in batch["payload"]:
+                    yield make(of, m, payload)
+
+        return run
+
+    def words(of: Plan, m: Model, payload: bytes) -> pd.DataFrame:
+        v, c, _ = thaw(payload)
+        c = c.astype(np.int64)
+        return pd.DataFrame({"word": signed(v), "count": c, "p": np.log10(m.p(c))})[c > 0]
+
+    def of_words(of: Plan, m: Model, payload: bytes) -> pd.DataFrame:
+        v, _, weight = thaw(payload)
+        return pd.DataFrame({"v": signed(v), "weight": np.log10(weight)})
+
+    def bigrams(of: Plan, m: Model, payload: bytes) -> pd.DataFrame:
+        v, _, w, c = of.thaw_ngrams(payload)
+        c, heads, heavy = c.astype(np.int64), _starts(v), find(of.heavy, v)
+        runs = _runs(heads, len(v))
+        raw = m.d2[np.minimum(c, KATZ_K + 1)] * c
+        total = np.where(heavy >= 0, m.heavy_count[np.maximum(heavy, 0)], np.repeat(np.add.reduceat(c, heads), runs) if len(v) else 0)
+        mass = np.where(heavy >= 0, m.heavy_mass[np.maximum(heavy, 0)], np.repeat(np.add.reduceat(raw, heads), runs) / total if len(v) else 0)
+        return pd.DataFrame({"v": signed(v), "word": signed(w), "count": c, "p": np.log10(raw / total * kept_share(mass, total))})
+
+    def trigrams(of: Plan, m: Model, payload: bytes) -> pd.DataFrame:
+        v, u, w, c, _ = of.thaw_ngrams(payload)
+        c, heads, hot = c.astype(np.int64), _starts(v, u), find(of.hot, mixed(v, u))
+        runs = _runs(heads, len(v))
+        raw = m.d3[np.minimum(c, KATZ_K + 1)] * c
+        own, mass = (np.repeat(np.add.reduceat(x, heads), runs) if len(v) else x for x in (c, raw))
+        total = np.where(hot >= 0, m.hot_count[np.maximum(hot, 0)], own) if len(of.hot) else own
+        mass = np.where(hot >= 0, m.hot_mass[np.maximum(hot, 0)], mass / total) if len(of.hot) else mass / total
+        return pd.DataFrame({"u": signed(u), "v": signed(v), "word": signed(w), "count": c, "p": np.log10(raw / total * kept_share(mass, total))})
+
+    def of_pairs(of: Plan, m: Model, payload: bytes) -> pd.DataFrame:
+        v, u, _, _, weight = of.thaw_ngrams(payload)
+        heads = _starts(v, u)
+        light = find(of.hot, mixed(v[heads], u[heads])) < 0
+        return pd.DataFrame({"u": signed(u[heads]), "v": signed(v[heads]), "weight": np.log10(weight.astype(np.float64))})[light]
+
+    part = lambda kind, make, schema: stored.where(F.col("kind") == kind).select("payload").mapInPandas(reader(make), schema)
+    heavy = pd.DataFrame({"word": signed(plan.heavy), "count": model.heavy_tokens, "p": np.log10(model.p(model.heavy_tokens))})[model.heavy_tokens > 0]
+    hot = stored.where("kind = 't3'").select("payload").mapInPandas(reader(lambda of, m, x: _hot_of(of, x)), "u long, v long, at long").distinct()
+    weights = spark.createDataFrame([(i, float(np.log10(x))) for i, x in enumerate(late)], "at long, weight double")
+    return {
+        "words": part("t1", words, "word long, count long, p double").union(spark.createDataFrame(heavy, "word long, count long, p double")),
+        # A heavy word's bigrams lie in several buckets, alike in each.
+        "bigrams": part("t2", bigrams, "v long, word long, count long, p double").distinct(),
+        "trigrams": part("t3", trigrams, "u long, v long, word long, count long, p double"),
+        "of_words": part("t1", of_words, "v long, weight double").distinct(),
+        "of_pairs": part("t3", of_pairs, "u long, v long, weight double").union(hot.join(weights, "at").select("u", "v", "weight")),
+    }
+
+
+def _hot_of(plan: Plan, payload: bytes) -> pd.DataFrame:
+    v, u, *_ = plan.thaw_ngrams(payload)
+    heads = _starts(v, u)
+    at = find(plan.hot, mixed(v[heads], u[heads]))
+    return pd.DataFrame({"u": u[heads].view(np.int64), "v": v[heads].view(np.int64), "at": at})[at >= 0]
+
+
+def evaluate(spark: SparkSession, path: str, docs: DataFrame) -> DataFrame:
+    """(doc_id, score) of documents by a stored model: the recursion from trigrams to words, one join a table."""
+    model, found = _loaded(spark, path)[2], tables(spark, path)
+
+    @F.pandas_udf("array<struct<u:bigint,v:bigint,word:bigint>>")
+    def grams(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        cache: dict[bytes, int] = {}
+        for texts in batches:
+            rows = []
+            for t in texts:
+                x = np.concatenate(([START, START], word_hashes(t, cache), [END])).astype(np.uint64).view(np.int64)
+                rows.append([{"u": a, "v": b, "word": c} for a, b, c in zip(x[:-2].tolist(), x[1:-1].tolist(), x[2:].tolist(), strict=True)])
+            yield pd.Series(rows)
+
+    tokens = docs.select("doc_id", F.explode(grams(F.col("text").cast("binary"))).alias("g")).select("doc_id", "g.*")
+    for name, keys, value in (("trigrams", ["u", "v", "word"], "p3"), ("of_pairs", ["u", "v"], "w3"), ("bigrams", ["v", "word"], "p2"), ("of_words", ["v"], "w2"), ("words", ["word"], "p1")):
+        other = found[name].select(*keys, F.col("p" if value[0] == "p" else "weight").alias(value))
+        tokens = tokens.join(other, keys, "left")
+    p1 = F.coalesce("p1", F.lit(float(np.log10(model.unknown))))
+    p2 = F.coalesce("p2", F.coalesce("w2", F.lit(0.0)) + p1)
+    p3 = F.coalesce("p3", F.coalesce("w3", F.lit(0.0)) + p2)
+    return tokens.groupBy("doc_id").agg(F.sum(p3).alias("score"))
+
+
+def planned(docs: DataFrame, buckets: int, n: int) -> Plan:
+    """Common words, heavy words and hot pairs by a sample of documents. What comes to the driver is bounded by COMMON and HEAVY."""
+
+    @F.pandas_udf("array<struct<a:bigint,b:bigint>>")
+    def pairs(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        cache: dict[bytes, int] = {}
+        for texts in batches:
+            rows = []
+            for t in texts:
+                x = np.concatenate(([START, START], word_hashes(t, cache)))
+                rows.append([{"a": a, "b": b} for a, b in zip(x[:-1].view(np.int64).tolist(), x[1:].view(np.int64).tolist(), strict=True)])
+            yield pd.Series(rows)
+
+    sample = docs.where(F.pmod(F.xxhash64(F.lit("katz"), "doc_id", "text"), F.lit(max(1, n // SAMPLE))) == 0)
+    seen = sample.select(F.explode(pairs(F.col("text").cast("binary"))).alias("x")).groupBy("x.a", "x.b").agg(F.count(F.lit(1)).alias("n"))
+    seen = cut(seen, "katz-pairs")
+    words = seen.groupBy("b").agg(F.sum("n").alias("n"))
+    total = words.agg(F.sum("n")).first()[0] or 0
+    least = SPREAD * total / buckets
+    common = words.where("n > 1").orderBy(F.col("n").desc(), "b").limit(COMMON).select("b").toPandas()["b"].to_numpy(np.int64).view(np.uint64)
+    heavy = [r.b for r in words.where(F.col("n") >= max(2.0, least)).orderBy(F.col("n").desc(), "b").limit(HEAVY).collect()]
+    hot = [(r.a, r.b) for r in seen.where(F.col("n") >= max(2.0, least)).orderBy(F.col("n").desc(), "a", "b").limit(HEAVY).collect()]
+    discard(seen)
+    heavy_words = np.unique(np.concatenate((np.array(heavy, np.int64).view(np.uint64), [START, END])))
+    # Only pairs whose second word is heavy are spread, the start's among them.
+    u, v = (np.array([*(p[i] for p in hot), np.int64(START.view(np.int64))], np.int64).view(np.uint64) for i in (0, 1))
+    spread = np.unique(mixed(v, u)[find(heavy_words, v) >= 0])
+    return Plan(buckets, np.unique(common), heavy_words, spread)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -259,46 +259,99 @@ def test_pii_trains_adds_and_redacts(spark, empty):
 # 7 language model
 
 
-def test_katz_equals_brute_force(docs, tmp_path):
-    low = lambda t: "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "").encode().split()
-    data = [(i, [*low(t), b"</s>"], i is not None and zlib.crc32(str(i).encode()) % 5 == 1) for i, t, *_ in rows()]
-    count, pairs = Counter(), Counter()
-    for _, w, h in data:
-        if not h:
-            count.update(w)
-            pairs.update(zip([b"<s>", *w], w, strict=False))
-    n, v = sum(count.values()), len(count)
-    per = lambda c: np.array([sum(x == r for x in c.values()) for r in range(1, katz.KATZ_K + 2)])
-    du, db = katz.discounts(per(count)), katz.discounts(per(pairs))
-    d = lambda t, c: t[min(c, katz.KATZ_K + 1)]
-    freed = 1 - sum(d(du, c) * c for c in count.values()) / n
-    unknown = max(freed, 0.5 / (n + 0.5 * (v + 1)))
-    p = lambda w: d(du, count[w]) * count[w] / n * (1 - unknown) / (1 - freed) if count[w] else unknown
-    total, mass, followers = Counter(), Counter(), Counter()
-    for (h, _), c in pairs.items():
-        total[h] += c
-    for (h, w), c in pairs.items():
-        mass[h] += d(db, c) * c / total[h]
-        followers[h] += p(w)
-
-    def logp(h, w):
-        if not total[h]:
-            return math.log10(p(w))
-        scale = total[h] / (total[h] + 1) if 1 - mass[h] < 1e-9 else 1
-        if pairs[h, w]:
-            return math.log10(d(db, pairs[h, w]) * pairs[h, w] / total[h] * scale)
-        return math.log10((1 - mass[h] * scale) / (1 - followers[h]) * p(w))
-
-    want = []
+class PlainKatz:
+    """The same model by dictionaries over words."""
+
+    def __init__(self, texts):
+        self.count, self.pairs, self.triples = Counter(), Counter(), Counter()
+        for w in texts:
+            self.count.update(w)
+            self.pairs.update(zip([b"<s>", *w], w, strict=False))
+            self.triples.update(zip([b"<s>", b"<s>", *w], [b"<s>", *w], w, strict=False))
+        self.n, self.v = sum(self.count.values()), len(self.count)
+        per = lambda c: np.array([sum(x == r for x in c.values()) for r in range(1, katz.KATZ_K + 2)])
+        self.d1, self.d2, self.d3 = (katz.discounts(per(c)) for c in (self.count, self.pairs, self.triples))
+        self.freed = 1 - sum(self.d(self.d1, c) * c for c in self.count.values()) / self.n
+        self.unknown = max(self.freed, 0.5 / (self.n + 0.5 * (self.v + 1)))
+        self.after2, self.after3 = defaultdict(list), defaultdict(list)
+        for (h, w), c in self.pairs.items():
+            self.after2[h].append((w, c))
+        for (g, h, w), c in self.triples.items():
+            self.after3[g, h].append((w, c))
+
+    @staticmethod
+    def d(table, c):
+        return table[min(c, katz.KATZ_K + 1)]
+
+    def p1(self, w):
+        c = self.count[w]
+        return self.d(self.d1, c) * c / self.n * (1 - self.unknown) / (1 - self.freed) if c else self.unknown
+
+    def level(self, after, table, w, lower):
+        total = sum(c for _, c in after)
+        if not total:
+            return lower(w)
+        mass = sum(self.d(table, c) * c for _, c in after) / total
+        scale = total / (total + 1) if 1 - mass < 1e-9 else 1
+        c = dict(after).get(w, 0)
+        if c:
+            return self.d(table, c) * c / total * scale
+        return (1 - mass * scale) / (1 - sum(lower(x) for x, _ in after)) * lower(w)
+
+    def p2(self, h, w):
+        return self.level(self.after2[h], self.d2, w, self.p1)
+
+    def p3(self, g, h, w):
+        return self.level(self.after3[g, h], self.d3, w, lambda x: self.p2(h, x))
+
+
+def plain_katz(data):
+    """Expected rows of (id, words with the end, held out)."""
+    model = PlainKatz([w for _, w, h in data if not h])
+    out = []
     for i, w, h in data:
-        base = sum(math.log10((count[x] + 0.5) / (n + 0.5 * (v + 1))) for x in w)
-        want.append((i, h, len(w), sum(count[x] > 0 for x in w), n, base, sum(logp(a, b) for a, b in zip([b"<s>", *w], w, strict=False))))
-    got = sorted_rows(katz.score(docs, path=str(tmp_path / "m")))
-    stored = Counter(r["count"] for r in katz.bigrams(docs.sparkSession, str(tmp_path / "m")).collect())
-    assert stored == Counter(pairs.values())
+        base = sum(math.log10((model.count[x] + 0.5) / (model.n + 0.5 * (model.v + 1))) for x in w)
+        total = sum(math.log10(model.p3(*x)) for x in zip([b"<s>", b"<s>", *w], [b"<s>", *w], w, strict=False))
+        out.append((i, h, len(w), sum(model.count[x] > 0 for x in w), model.n, base, total))
+    return model, out
+
+
+def katz_words(text):
+    return [*"".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "").encode().split(), b"</s>"]
+
+
+@pytest.mark.parametrize("spread", ["none", "all", "some"])
+def test_katz_equals_brute_force_and_scores_from_its_tables(spark, tmp_path, monkeypatch, spread):
+    """Whatever is spread over buckets or sent as a code, the scores are those of dictionaries; and so are those that the
+    stored tables give by themselves."""
+    monkeypatch.setattr(katz, "SPREAD", {"none": 1e9, "all": 0.0, "some": 1 / 16}[spread])
+    monkeypatch.setattr(katz, "BLOCK_TOKENS", 300)
+    monkeypatch.setattr(katz, "COMMON", {"none": 0, "all": 10**6, "some": 20}[spread])
+    text = [w for w in words(2500, 5)]
+    data = [(i, t) for i, t, *_ in rows() if i != 65] + [(100 + i, " ".join(text[20 * i : 20 * i + 60])) for i in range(110)] + [(300 + i, "the of the and to the of in the") for i in range(30)]
+    docs = spark.createDataFrame(data, "doc_id long, text string").repartition(4)
+    model, want = plain_katz([(i, katz_words(t), i is not None and zlib.crc32(str(i).encode()) % 5 == 1) for i, t in data])
+    assert model.d3[1] < 1
+    path = str(tmp_path / "m")
+    got = sorted_rows(katz.score(docs, path=path))
     for a, b in zip(got, sorted(want, key=repr), strict=True):
         assert a[:5] == b[:5]
         assert a[5:] == pytest.approx(b[5:])
+    stored = {k: Counter(r["count"] for r in t.collect()) for k, t in katz.tables(spark, path).items() if "of_" not in k}
+    assert stored == {"words": Counter(model.count.values()), "bigrams": Counter(model.pairs.values()), "trigrams": Counter(model.triples.values())}
+    fresh = spark.createDataFrame([*((i, t) for i, t in data if i is not None and i < 60 and i % 10 != 7), (900, "never seen words of the kind the of")], "doc_id long, text string")
+    by_id = {r.doc_id: r.score for r in katz.evaluate(spark, path, fresh).collect()}
+    for i, _, _, _, _, _, total in want:
+        if i in by_id:
+            assert by_id[i] == pytest.approx(total, rel=1e-5)
+    w = katz_words("never seen words of the kind the of")
+    assert by_id[900] == pytest.approx(sum(math.log10(model.p3(*x)) for x in zip([b"<s>", b"<s>", *w], [b"<s>", *w], w, strict=False)), rel=1e-5)
+
+
+def test_katz_is_normalised():
+    model = PlainKatz([katz_words(" ".join(words(300, i))) for i in range(5)])
+    for g, h in ((b"<s>", b"<s>"), (b"of", b"the"), (b"the", b"of"), (b"nothing", b"like it")):
+        assert sum(model.p3(g, h, w) for w in model.count) + model.p3(g, h, b"?") == pytest.approx(1)
 
 
 def test_katz_without_rows_or_training(docs, empty):
