@@ -50,7 +50,7 @@ from tallyport.session import ship
 #: Counts up to this are discounted.
 KATZ_K = 5
 #: Bytes of text for each bucket; tokens after which a task's block is packed.
-BUCKET_BYTES = 12_000_000
+BUCKET_BYTES = 20_000_000
 BLOCK_TOKENS = 700_000
 CACHE_WORDS = 300_000
 #: About as many documents tell which words and pairs are frequent; at most so many words get codes, words and pairs are spread.
@@ -61,6 +61,8 @@ HEAVY = 2000
 SPREAD = 1 / 16
 #: Parts in which statistics are summed before they meet.
 TREE = 32
+#: Sums by document travel as whole numbers of this part.
+GRAIN = 1e-9
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 #: Words never contain white space, so these are no word's hash but by chance.
 START, END = (np.uint64(xxhash.xxh64_intdigest(x)) for x in (b"\n start", b"\n end"))
@@ -74,7 +76,7 @@ def freeze(*arrays: np.ndarray) -> bytes:
     """Arrays as compressed bytes, whole numbers in as few bytes as hold their maximum."""
     parts = []
     for a in arrays:
-        width = a.dtype.itemsize if a.dtype.kind == "f" else next(n for n in (1, 2, 3, 4, 6, 8) if not len(a) or int(a.max()) < 1 << 8 * n)
+        width = a.dtype.itemsize if a.dtype.kind == "f" else next(n for n in (1, 2, 3, 4, 5, 6, 8) if not len(a) or int(a.max()) < 1 << 8 * n)
         raw = a.view(np.uint8).reshape(len(a), width) if a.dtype.kind == "f" else a.astype("<u8").view(np.uint8).reshape(len(a), 8)[:, :width]
         # Bytes of one place together: the high ones compress.
         data = np.ascontiguousarray(raw.T).tobytes()
@@ -470,12 +472,11 @@ class Model:
 @dataclass
 class Scored:
     """log10 P of each trigram of a bucket, where unseen words of a hot pair still lack its weight (`waits`), the count of
-    each bigram's second word, and the parts of the model that the tables keep."""
+    each bigram's second word, and the backoff weights."""
 
     logs: np.ndarray
     waits: np.ndarray
     word_counts: np.ndarray
-    bigram_counts: np.ndarray
     word_weights: np.ndarray
     pair_weights: np.ndarray
     hot_followers: np.ndarray
@@ -512,7 +513,7 @@ def scored(b: Bucket, plan: Plan, m: Model, counts: np.ndarray, asked: np.ndarra
     np.add.at(hot, b.hot_of[is_hot], followers[is_hot])
     with np.errstate(divide="ignore"):
         logs = np.log10(np.where(seen, raw * kept_share(mass, total)[b.pair_of], pair_weight[b.pair_of] * p2[b.big_of]))
-    return Scored(logs, ~seen & (is_hot & (total > 0))[b.pair_of], cw, c2, weight, pair_weight, hot)
+    return Scored(logs, ~seen & (is_hot & (total > 0))[b.pair_of], cw, weight, pair_weight, hot)
 
 
 def scorer(shared: Shared):  # noqa: ANN201
@@ -546,13 +547,13 @@ def scorer(shared: Shared):  # noqa: ANN201
                 sums = [np.bincount(doc, x[gram], n) for x in (s.logs, base, known)]
                 late = s.waits[gram]
                 later, often = np.unique(doc[late] * max(1, len(plan.hot)) + b.hot_of[b.pair_of[gram[late]]], return_counts=True)
-                out.append((block, freeze(sums[0], sums[1], sums[2].astype(np.uint64), later.astype(np.uint64), often.astype(np.uint64)), "p"))
+                whole = [np.rint(-x / GRAIN).astype(np.uint64) for x in sums[:2]]
+                out.append((block, freeze(*whole, sums[2].astype(np.uint64), later.astype(np.uint64), often.astype(np.uint64)), "p"))
             taught = b.c3 > 0
-            pairs, words, bigrams = b.pair_count > 0, b.word_count > 0, s.bigram_counts > 0
+            # A pair seen once has the weight that its one word's P leaves; only others' weights are kept.
+            pairs, words = (b.pair_count > 1) & (b.hot_of < 0), b.word_count > 0
             out.append((own, plan.freeze_ngrams(b.v[taught], b.u[taught], b.w[taught], b.c3[taught].astype(np.uint64), s.pair_weights[pairs].astype(np.float32)), "t3"))
-            none = np.full(int(bigrams.sum()), START)
-            out.append((own, plan.freeze_ngrams(b.big_v[bigrams], none, b.big_w[bigrams], s.bigram_counts[bigrams].astype(np.uint64)), "t2"))
-            out.append((own, freeze(b.words[words], np.where(b.heavy_of[words] < 0, b.word_count[words], 0).astype(np.uint64), s.word_weights[words]), "t1"))
+            out.append((own, freeze(b.words[words], np.where(b.heavy_of[words] < 0, b.word_count[words], 0).astype(np.uint64), s.word_weights[words].astype(np.float32)), "t1"))
             out.append((own, freeze(s.hot_followers), "f"))
         return pd.DataFrame([(block, payload, kind) for block, payload, kind in out], columns=["block", "payload", "kind"])
 
@@ -576,7 +577,7 @@ def finisher(late: np.ndarray, trained: int):  # noqa: ANN201
         score, base, known = np.zeros(len(keys)), np.zeros(len(keys)), np.zeros(len(keys), np.int64)
         for payload in rows[rows["kind"] == "p"].sort_values("payload")["payload"]:
             s, b, k, later, times = thaw(payload)
-            score, base, known = score + s, base + b, known + k.astype(np.int64)
+            score, base, known = score - s * GRAIN, base - b * GRAIN, known + k.astype(np.int64)
             if len(later):
                 np.add.at(score, (later // np.uint64(len(late))).astype(np.int64), late[(later % np.uint64(len(late))).astype(np.int64)] * times.astype(np.float64))
         ids = pd.array(keys.view(np.int64), dtype="Int64")
@@ -648,7 +649,8 @@ def _loaded(spark: SparkSession, path: str) -> tuple[Plan, np.ndarray, Model, Da
 
 def tables(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     """The stored model as tables, words as hashes, probabilities and weights as log10: `words` (word, count, p), `bigrams`
-    (v, word, count, p), `trigrams` (u, v, word, count, p), and the weights `of_words` (v, weight), `of_pairs` (u, v, weight)."""
+    (v, word, count, p), `trigrams` (u, v, word, count, p), and the weights `of_words` (v, weight), `of_pairs` (u, v, weight).
+    Stored are trigram counts and weights; bigram counts are their sums."""
     ship(spark)
     plan, late, model, stored = _loaded(spark, path)
     shared, root = Shared(spark, plan), _root(plan, stored)
@@ -671,16 +673,7 @@ def tables(spark: SparkSession, path: str) -> dict[str, DataFrame]:
 
     def of_words(of: Plan, m: Model, payload: bytes) -> pd.DataFrame:
         v, _, weight = thaw(payload)
-        return pd.DataFrame({"v": signed(v), "weight": np.log10(weight)})
-
-    def bigrams(of: Plan, m: Model, payload: bytes) -> pd.DataFrame:
-        v, _, w, c = of.thaw_ngrams(payload)
-        c, heads, heavy = c.astype(np.int64), _starts(v), find(of.heavy, v)
-        runs = _runs(heads, len(v))
-        raw = m.d2[np.minimum(c, KATZ_K + 1)] * c
-        total = np.where(heavy >= 0, m.heavy_count[np.maximum(heavy, 0)], np.repeat(np.add.reduceat(c, heads), runs) if len(v) else 0)
-        mass = np.where(heavy >= 0, m.heavy_mass[np.maximum(heavy, 0)], np.repeat(np.add.reduceat(raw, heads), runs) / total if len(v) else 0)
-        return pd.DataFrame({"v": signed(v), "word": signed(w), "count": c, "p": np.log10(raw / total * kept_share(mass, total))})
+        return pd.DataFrame({"v": signed(v), "weight": np.log10(weight.astype(np.float64))})
 
     def trigrams(of: Plan, m: Model, payload: bytes) -> pd.DataFrame:
         v, u, w, c, _ = of.thaw_ngrams(payload)
@@ -693,30 +686,34 @@ def tables(spark: SparkSession, path: str) -> dict[str, DataFrame]:
         return pd.DataFrame({"u": signed(u), "v": signed(v), "word": signed(w), "count": c, "p": np.log10(raw / total * kept_share(mass, total))})
 
     def of_pairs(of: Plan, m: Model, payload: bytes) -> pd.DataFrame:
-        v, u, _, _, weight = of.thaw_ngrams(payload)
+        """Weight of a pair, or the one word that was seen after it, or its place among the hot pairs."""
+        v, u, w, c, weight = of.thaw_ngrams(payload)
         heads = _starts(v, u)
-        light = find(of.hot, mixed(v[heads], u[heads])) < 0
-        return pd.DataFrame({"u": signed(u[heads]), "v": signed(v[heads]), "weight": np.log10(weight.astype(np.float64))})[light]
+        total = np.add.reduceat(c, heads) if len(v) else c
+        hot = find(of.hot, mixed(v[heads], u[heads]))
+        kept = (total > 1) & (hot < 0)
+        out = pd.DataFrame({"u": signed(u[heads]), "v": signed(v[heads]), "at": pd.array(hot, "Int64"), "word": pd.array(signed(w[heads]), "Int64"), "weight": np.nan})
+        out.loc[kept, "weight"] = np.log10(weight.astype(np.float64))
+        out.loc[hot < 0, "at"] = pd.NA
+        out.loc[kept | (hot >= 0), "word"] = pd.NA
+        return out
 
     part = lambda kind, make, schema: stored.where(F.col("kind") == kind).select("payload").mapInPandas(reader(make), schema)
+    of = {"words": part("t1", words, "word long, count long, p double"), "of_words": part("t1", of_words, "v long, weight double").distinct(), "trigrams": part("t3", trigrams, "u long, v long, word long, count long, p double")}
     heavy = pd.DataFrame({"word": signed(plan.heavy), "count": model.heavy_tokens, "p": np.log10(model.p(model.heavy_tokens))})[model.heavy_tokens > 0]
-    hot = stored.where("kind = 't3'").select("payload").mapInPandas(reader(lambda of, m, x: _hot_of(of, x)), "u long, v long, at long").distinct()
-    weights = spark.createDataFrame([(i, float(np.log10(x))) for i, x in enumerate(late)], "at long, weight double")
-    return {
-        "words": part("t1", words, "word long, count long, p double").union(spark.createDataFrame(heavy, "word long, count long, p double")),
-        # A heavy word's bigrams lie in several buckets, alike in each.
-        "bigrams": part("t2", bigrams, "v long, word long, count long, p double").distinct(),
-        "trigrams": part("t3", trigrams, "u long, v long, word long, count long, p double"),
-        "of_words": part("t1", of_words, "v long, weight double").distinct(),
-        "of_pairs": part("t3", of_pairs, "u long, v long, weight double").union(hot.join(weights, "at").select("u", "v", "weight")),
-    }
-
-
-def _hot_of(plan: Plan, payload: bytes) -> pd.DataFrame:
-    v, u, *_ = plan.thaw_ngrams(payload)
-    heads = _starts(v, u)
-    at = find(plan.hot, mixed(v[heads], u[heads]))
-    return pd.DataFrame({"u": u[heads].view(np.int64), "v": v[heads].view(np.int64), "at": at})[at >= 0]
+    of["words"] = of["words"].union(spark.createDataFrame(heavy, "word long, count long, p double"))
+    counts = of["trigrams"].groupBy("v", "word").agg(F.sum("count").alias("count"))
+    factor = lambda d, c: F.element_at(F.array(*map(F.lit, d.tolist())), (F.least(c, F.lit(KATZ_K + 1)) + 1).cast("int"))
+    raw = factor(model.d2, F.col("count")) * F.col("count")
+    sums = counts.groupBy("v").agg(F.sum("count").alias("total"), F.sum(raw).alias("raw_total"))
+    kept = F.when(1 - F.col("raw_total") / F.col("total") < 1e-9, F.col("total") / (F.col("total") + 1)).otherwise(F.lit(1.0))
+    of["bigrams"] = counts.join(sums, "v").select("v", "word", "count", F.log10(raw / F.col("total") * kept).alias("p"))
+    weights = spark.createDataFrame([(i, float(np.log10(x))) for i, x in enumerate(late)], "at long, late double")
+    known = part("t3", of_pairs, "u long, v long, at long, word long, weight double").join(weights, "at", "left").join(of["bigrams"].select("v", "word", "p"), ["v", "word"], "left")
+    once = float(model.d3[1] * kept_share(np.array([model.d3[1]]), np.array([1]))[0])
+    single = F.log10((1 - once) / (1 - F.pow(F.lit(10.0), F.col("p"))))
+    of["of_pairs"] = known.select("u", "v", F.when(F.col("at").isNotNull(), F.col("late")).when(F.col("word").isNotNull(), single).otherwise(F.col("weight")).alias("weight")).distinct()
+    return of
 
 
 def evaluate(spark: SparkSession, path: str, docs: DataFrame) -> DataFrame:
