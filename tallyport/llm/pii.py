@@ -5,35 +5,41 @@ patterns and checks and are always redacted. High-recall generators propose furt
 kinds (other separators, no leading plus, written-out "at" and "dot"); boosted trees over format and context features
 score them, and those above a threshold calibrated for PRECISION on rows that the trees have not seen are added.
 
-The trees learn from the base spans themselves: on a bounded sample (TRAIN_DOCS documents with the least hash of doc_id
-among those that have a candidate, TRAIN_ROWS candidates) a candidate is positive if it overlaps a base span of its
-kind, and no feature looks at what makes a span base (the leading plus, the at sign, a checksum alone). Everything else
-covers all rows and whole texts.
+What the trees learn is not what the base patterns say. On a bounded sample (TRAIN_DOCS documents with the least hash of
+doc_id among those that have a candidate) every base span is rewritten in a form that no base pattern takes: without its
+plus, its at sign or its separators (FORMS). Of the candidates in the rewritten text that no base span covers, those on a
+rewritten span are positive, all others negative: the very choice that the trees have to make later, in the same
+contexts. A candidate that is in such a form by itself (`unclear`) is neither, so that a corpus full of them does not
+teach the trees to leave them. The sample is split by document: one part fits the trees (TRAIN_ROWS candidates a kind), one sets a threshold
+for each kind, and one measures precision and recall. Everything else covers all rows and whole texts.
 
 Patterns are written so that the engine never walks back through a long run: a match may start at a run's first
 character or where the last match ended, and inner groups are possessive, which changes no match.
 
 Defined results: null and empty texts have no spans and the hash of the empty string; rows that repeat get the same
-result each; an empty table gives no rows; without both positive and negative candidates nothing is added.
+result each; an empty table gives no rows; without both positive and negative candidates, or too few of them to calibrate a kind, nothing of that
+kind is added.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyport.llm.boosting import Boosted
-from tallyport.llm.common import table
+from tallyport.llm.common import cut, table
 
 KINDS = ("email", "ip", "card", "phone")
 TRAIN_DOCS = 2000
-TRAIN_ROWS = 6000
+TRAIN_ROWS = 1500
 PRECISION = 0.97
-#: Least rows above the threshold on the calibration rows; with fewer nothing is added.
-LEAST_SUPPORT = 20
+#: Least rows of a kind above its threshold on the calibration rows; with fewer nothing of it is added.
+LEAST_SUPPORT = 10
+#: Parts of the documents that fit, calibrate and measure.
+PARTS = (3, 1, 1)
 CONTEXT = 24
 
 #: Base patterns by kind, as (where a match may start, pattern).
@@ -143,39 +149,124 @@ def _overlaps(spans: Column, s: Column) -> Column:
     return F.exists(spans, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
 
 
+#: What a base span may be rewritten to, by kind; which one is chosen by a hash.
+FORMS = {
+    "email": (
+        lambda f: F.regexp_replace(F.regexp_replace(f, "@", " [at] "), "\\.", " [dot] "),
+        lambda f: F.regexp_replace(f, "@", "(at)"),
+        lambda f: F.regexp_replace(f, "@", " @ "),
+    ),
+    "ip": (lambda f: F.regexp_replace(f, "\\.", "[.]"), lambda f: F.regexp_replace(f, "\\.", "(.)"), lambda f: F.regexp_replace(f, "\\.", ",")),
+    "card": (
+        lambda f: F.regexp_replace(digits(f), "([0-9]{4})(?=[0-9])", "$1."),
+        lambda f: F.regexp_replace(digits(f), "([0-9]{4})(?=[0-9])", "$1/"),
+        lambda f: F.regexp_replace(digits(f), "([0-9]{4})(?=[0-9])", "$1_"),
+    ),
+    "phone": (lambda f: F.substr(f, F.lit(2)), lambda f: F.regexp_replace(f, "^\\+[0-9]{1,3}[ .-]*", ""), lambda f: F.regexp_replace(F.substr(f, F.lit(2)), "[ ()-]+", ".")),
+}
+
+
+def rewritten(text: Column) -> Column:
+    """struct<text, spans>: the text with its base spans in other forms, and where these are; of spans that overlap, the
+    first is rewritten and the others stay."""
+
+    def formed(kind: str):  # noqa: ANN202
+        def of(s: Column) -> Column:
+            forms = [form(s["found"]) for form in FORMS[kind]]
+            pick = F.pmod(F.xxhash64(s["found"], s["start"]), F.lit(len(forms))).cast("int")
+            return F.struct(s["start"].alias("start"), s["end"].alias("end"), F.get(F.array(*forms), pick).alias("form"), F.lit(kind).alias("kind"))
+
+        return of
+
+    base = F.sort_array(F.concat(*(F.transform(base_spans(text, kind), formed(kind)) for kind in KINDS)))
+
+    def put(acc: Column, s: Column) -> Column:
+        kept = F.concat(acc["text"], F.substr(text, (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int")))
+        span = F.struct(F.length(kept).cast("long").alias("start"), (F.length(kept) + F.length(s["form"])).cast("long").alias("end"), s["kind"].alias("kind"))
+        return F.when(s["start"] >= acc["at"], F.struct(s["end"].alias("at"), F.concat(kept, s["form"]).alias("text"), F.concat(acc["spans"], F.array(span)).alias("spans"))).otherwise(acc)
+
+    none = F.array().cast("array<struct<start:long,end:long,kind:string>>")
+    first = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("text"), none.alias("spans"))
+    done = lambda acc: F.struct(F.concat(acc["text"], F.substr(text, (acc["at"] + 1).cast("int"), F.length(text))).alias("text"), acc["spans"].alias("spans"))
+    return F.aggregate(base, first, put, done)
+
+
 @dataclass
 class Detector:
-    """Trees with the threshold that selects redactions; none adds nothing."""
+    """Trees with a threshold for each kind that selects redactions (a kind without one adds nothing), and what they
+    reached on documents that neither fitted nor calibrated them: (precision, recall, positives) by kind."""
 
     trees: Boosted | None = None
-    threshold: float = 1.0
+    thresholds: dict[str, float] = field(default_factory=dict)
+    measured: dict[str, tuple[float, float, int]] = field(default_factory=dict)
 
 
-def train(docs: DataFrame) -> Detector:
-    """Fit on a bounded sample, calibrate the threshold on every third row of it."""
+def unclear(kind: str, text: Column, span: Column) -> Column:
+    """Whether a candidate that nobody rewrote may well be personal data: brackets in an address, digits that pass a
+    card's check, as many digits as a phone number has after a word of calling."""
+    found = span["found"]
+    if kind in ("email", "ip"):
+        return F.regexp_like(found, F.lit("[\\[(]"))
+    if kind == "card":
+        return F.length(digits(found)).between(13, 19) & luhn(F.substr(digits(found), F.lit(1), F.lit(20)))
+    start = span["start"].cast("int")
+    begin = F.greatest(F.lit(0), start - CONTEXT)
+    before = F.lower(F.substr(text, begin + 1, start - begin))
+    return F.length(digits(found)).between(9, 15) & F.regexp_like(before, F.lit("tel|phone|call|fax|mobile"))
+
+
+def labelled(docs: DataFrame) -> DataFrame:
+    """(kind, x, y, part, place) of the candidates of the sample's rewritten texts."""
     text = F.coalesce("text", F.lit(""))
-    any_hint = "|".join(f"(?:{h})" for h in _GENERATOR_HINT.values())
+    any_hint = "|".join(f"(?:{h})" for h in (*_GENERATOR_HINT.values(), *_HINT.values()))
     place = F.xxhash64(F.lit("pii"), "doc_id")
     ids = docs.where(F.col("doc_id").isNotNull() & F.regexp_like("text", F.lit(any_hint))).select("doc_id").distinct().orderBy(place, "doc_id").limit(TRAIN_DOCS)
-    rows = docs.select("doc_id", text.alias("text")).join(F.broadcast(ids), "doc_id")
-    parts = None
+    sample = docs.select("doc_id", text.alias("text")).join(F.broadcast(ids), "doc_id")
+    part = F.pmod(F.xxhash64(F.lit("part"), "doc_id"), F.lit(sum(PARTS)))
+    rows = cut(sample.select(part.cast("int").alias("part"), rewritten(F.col("text")).alias("r")).select("part", F.col("r.text").alias("text"), F.col("r.spans").alias("planted")), "pii-sample")
     for kind in KINDS:
-        spanned = rows.select("text", base_spans(F.col("text"), kind).alias("base"), F.explode(candidates(F.col("text"), kind)).alias("s"))
-        part = spanned.select(F.array(*features(kind, F.col("text"), F.col("s"))).alias("x"), _overlaps(F.col("base"), F.col("s")).cast("double").alias("y"), F.xxhash64("text", "s").alias("place"))
-        parts = part if parts is None else parts.union(part)
-    found = parts.orderBy("place").limit(TRAIN_ROWS).collect()
-    if len(found) < 60 or len({r.y for r in found}) < 2:
-        return Detector()
-    x, y = np.array([r.x for r in found]), np.array([r.y for r in found])
-    held = np.arange(len(y)) % 3 == 0
-    if len(set(y[~held])) < 2:
+        rows = rows.withColumn(f"base_{kind}", base_spans(F.col("text"), kind))
+    out = None
+    for kind in KINDS:
+        of = rows.select("part", "text", "planted", F.explode(_fresh(kind)).alias("s"))
+        own = F.filter("planted", lambda p: p["kind"] == kind)  # noqa: B023
+        one = of.select(F.lit(kind).alias("kind"), F.array(*features(kind, F.col("text"), F.col("s"))).alias("x"), _overlaps(own, F.col("s")).cast("double").alias("y"), "part", F.xxhash64("text", "s").alias("place"), unclear(kind, F.col("text"), F.col("s")).alias("unclear"))
+        one = one.where("y = 1 OR NOT unclear").drop("unclear").orderBy("place").limit(TRAIN_ROWS)
+        out = one if out is None else out.unionAll(one)
+    return out
+
+
+def train(docs: DataFrame) -> Detector:
+    """Fit, calibrate and measure on a bounded sample."""
+    found = labelled(docs).collect()
+    fit = [r for r in found if r.part < PARTS[0]]
+    if len(fit) < 60 or len({r.y for r in fit}) < 2:
         return Detector()
-    trees = Boosted(x[~held], y[~held])
-    p, truth = trees.predict(x[held]), y[held]
+    out = Detector(Boosted(np.array([r.x for r in fit]), np.array([r.y for r in fit])))
+    for kind in KINDS:
+        held, last = ([r for r in found if r.kind == kind and low <= r.part < high] for low, high in ((PARTS[0], sum(PARTS[:2])), (sum(PARTS[:2]), sum(PARTS))))
+        if not held or (threshold := _threshold(out.trees.predict(np.array([r.x for r in held])), np.array([r.y for r in held]))) is None:
+            continue
+        out.thresholds[kind] = threshold
+        if last:
+            chosen, truth = out.trees.predict(np.array([r.x for r in last])) >= threshold, np.array([r.y for r in last])
+            right = float(truth[chosen].sum())
+            out.measured[kind] = (right / max(1, int(chosen.sum())), right / max(1.0, float(truth.sum())), int(truth.sum()))
+    return out
+
+
+def _threshold(p: np.ndarray, truth: np.ndarray) -> float | None:
+    """The least score from which on at least PRECISION of the rows are right; rows of one score go together."""
     order = np.argsort(-p, kind="stable")
-    right = np.cumsum(truth[order])
-    good = np.flatnonzero((right / np.arange(1, len(order) + 1) >= PRECISION) & (np.arange(1, len(order) + 1) >= LEAST_SUPPORT))
-    return Detector(trees, float(p[order[good[-1]]])) if len(good) else Detector()
+    n = np.arange(1, len(order) + 1)
+    last = np.append(p[order][1:] != p[order][:-1], True)
+    good = np.flatnonzero((np.cumsum(truth[order]) / n >= PRECISION) & (n >= LEAST_SUPPORT) & last)
+    return float(p[order[good[-1]]]) if len(good) else None
+
+
+def _fresh(kind: str) -> Column:
+    """Candidates beside base spans of any kind only: what a base span covers is redacted already."""
+    return F.filter(candidates(F.col("text"), kind), lambda s: ~(_overlaps(F.col("base_email"), s) | _overlaps(F.col("base_ip"), s) | _overlaps(F.col("base_card"), s) | _overlaps(F.col("base_phone"), s)))
 
 
 def _selected(kind: str, detector: Detector):  # noqa: ANN202
@@ -183,7 +274,7 @@ def _selected(kind: str, detector: Detector):  # noqa: ANN202
 
     def of(s: Column) -> Column:
         score = lambda x: detector.trees.column([x[i] for i in range(len(FEATURES))])
-        return F.element_at(F.transform(F.array(F.array(*features(kind, F.col("text"), s))), score), 1) >= detector.threshold
+        return F.element_at(F.transform(F.array(F.array(*features(kind, F.col("text"), s))), score), 1) >= detector.thresholds[kind]
 
     return of
 
@@ -194,12 +285,8 @@ def spans(docs: DataFrame, detector: Detector) -> DataFrame:
     for kind in KINDS:
         out = out.withColumn(f"base_{kind}", base_spans(F.col("text"), kind))
     for kind in KINDS:
-        if detector.trees is None:
-            out = out.withColumn(f"added_{kind}", _none())
-            continue
-        # Candidates beside base spans of any kind only: what a base span covers is redacted already.
-        fresh = F.filter(candidates(F.col("text"), kind), lambda s: ~(_overlaps(F.col("base_email"), s) | _overlaps(F.col("base_ip"), s) | _overlaps(F.col("base_card"), s) | _overlaps(F.col("base_phone"), s)))
-        out = out.withColumn(f"added_{kind}", F.filter(fresh, _selected(kind, detector)))
+        added = F.filter(_fresh(kind), _selected(kind, detector)) if kind in detector.thresholds else _none()
+        out = out.withColumn(f"added_{kind}", added)
     return out
 
 
