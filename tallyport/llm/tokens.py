@@ -11,12 +11,16 @@ Elias-Fano sequence of n values below u: uint8 low bits l = floor(log2(u / n)),
 the upper part, the low bits packed, the upper parts in unary (value v_i sets bit (v_i >> l) + i), and a uint32 sample
 of every 256th set bit, from which select(i) starts: about 2 + l bits a document instead of 64.
 
+One row a part of the write meets in the window that places the parts. Rows of one doc_id whose texts begin alike are in one
+task of the write, which streams them.
+
 Defined results: a null or empty text has only the end id; rows with a null doc_id come last; rows that repeat are
 stored and returned as often; an empty table gives no segments and no rows.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
@@ -145,15 +149,24 @@ _JOINED = ("  ", " \n", "\n ", " \t", "\t ", "\r", "\n\n", "\n\t", "\t\n")
 _LINES = 2000
 
 
+def _splits_at_blanks(config: dict) -> bool:
+    """Whether a vocabulary file says that texts are split by the byte-level pattern and then each piece alone is encoded."""
+    before, model = config.get("pre_tokenizer") or {}, config.get("model") or {}
+    split = before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space", True)
+    return bool(split) and not config.get("normalizer") and not config.get("truncation") and not config.get("padding") and model.get("type") == "BPE" and not model.get("dropout")
+
+
 class Encoder:
-    """Encodes texts piece by piece; a piece is a word with the blank before it, or a line end, which the vocabulary's own
-    pre-tokeniser never joins to its neighbours. Other texts are encoded as a whole."""
+    """Encodes texts piece by piece; a piece is a word with the blank before it, or a line end, which a byte-level
+    pre-tokeniser with its own pattern never joins to its neighbours. Other texts, and all texts of a vocabulary with any
+    other pre-tokeniser or a normaliser, are encoded as a whole."""
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.by_piece = _splits_at_blanks(json.loads(self.tokenizer.to_str()))
         self.never = [*_JOINED, *(t.content for t in self.tokenizer.get_added_tokens_decoder().values())]
         line_end = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.line_end = line_end[0] if len(line_end) == 1 else -1
@@ -188,7 +201,7 @@ class Encoder:
         """Ids of each text, the end id last."""
         pieces: list[list[str] | None] = []
         for text in texts:
-            plain = _PLAIN.fullmatch(text) and not any(s in text for s in self.never)
+            plain = self.by_piece and _PLAIN.fullmatch(text) and not any(s in text for s in self.never)
             split = text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0") if plain else None
             pieces.append(split)
         if len(self.known) > CACHE_PIECES:
@@ -243,7 +256,8 @@ def write(docs: DataFrame, path: str, tokenizer: str) -> None:
     docs.sparkSession.sparkContext.addFile(tokenizer)
     # doc_id twice: pandas turns longs with nulls into floats, so `key` carries the exact value.
     rows = docs.select("doc_id", F.coalesce("doc_id", F.lit(0)).alias("key"), "text")
-    ordered = rows.repartitionByRange(F.col("doc_id").asc_nulls_last()).sortWithinPartitions(F.col("doc_id").asc_nulls_last(), "text")
+    # Rows that share a doc_id, or have none, are parted by how their texts begin.
+    ordered = rows.repartitionByRange(F.col("doc_id").asc_nulls_last(), F.left("text", F.lit(24))).sortWithinPartitions(F.col("doc_id").asc_nulls_last(), "text")
     ordered.mapInPandas(packer(os.path.basename(tokenizer)), "part int, seq int, docs long, n_ids long, payload binary").write.parquet(path)
 
 
@@ -251,14 +265,14 @@ def _opened(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for base, payload in zip(batch["base"], batch["payload"], strict=True):
             segment = Segment(payload)
-            ends = segment.ends.all()
+            ends = np.fromiter((segment.ends.select(i) for i in range(segment.docs)), np.int64, segment.docs)
             starts = np.concatenate(([0], ends[:-1])).astype(np.int64)
             crcs = [zlib.crc32(segment.ids[a:b].astype("<u4").tobytes()) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
             yield pd.DataFrame({"doc_id": pd.array(segment.doc_ids, dtype="Int64"), "start": starts + base, "n_tokens": ends - starts, "ids_crc32": np.array(crcs, dtype=np.int64)})
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32) of each stored document, all taken from the segments."""
+    """(doc_id, start, n_tokens, ids_crc32) of each stored document, all taken from the segments by select."""
     found = spark.read.schema("part int, seq int, docs long, n_ids long, payload binary").parquet(path)
     sizes = found.select("part", "seq", "n_ids")
     before = Window.partitionBy("part").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
