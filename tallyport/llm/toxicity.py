@@ -7,7 +7,7 @@ a context, the shared part cancels and only the two backoff weights remain. A wo
 comes from two tables, and is remembered by word.
 
 A document's evidence is the difference of the two length-normalised log-likelihoods (a symbol's mean), over the whole
-text and over the word runs where it is largest; a logistic calibration, fitted on labelled rows that the models have
+text and over the runs of one, three and eight words where it is largest; a logistic calibration, fitted on labelled rows that the models have
 not seen, turns it into a score.
 
 The models are fitted on a bounded sample of the labelled training rows (SAMPLE rows of each class, those with the least
@@ -40,6 +40,8 @@ SAMPLE = (4000, 2000)
 #: Of the sample, every so many-th row calibrates the score instead of training the models.
 CALIBRATE_EVERY = 3
 THRESHOLD = 0.3
+#: Words of the runs whose best is looked at.
+RUNS = (1, 3, 8)
 #: Words that a worker remembers; when full it forgets all.
 CACHE_WORDS = 500_000
 START, END = "\x02", "\x03"
@@ -123,17 +125,15 @@ def word_ratio(word: str, seen: dict[str, float], unseen: dict[str, float]) -> f
     return total
 
 
-def evidence(found: list[str], ratios: dict[str, float]) -> tuple[float, float, float, float]:
-    """Length-normalised ratio of the text, of its best word, of its best three, and of its best run of eight words."""
+def evidence(found: list[str], ratios: dict[str, float]) -> tuple[float, ...]:
+    """Length-normalised ratio of the text, and of its best runs of RUNS words (of the whole text if it has fewer)."""
     if not found:
-        return 0.0, 0.0, 0.0, 0.0
+        return (0.0,) * (1 + len(RUNS))
     ratio = np.fromiter((ratios[w] for w in found), np.float64, len(found))
     length = np.fromiter(map(len, found), np.float64, len(found)) + 1
-    best = np.partition(ratio, -3)[-3:] if len(ratio) > 3 else ratio
     sums, sizes = np.concatenate(([0], np.cumsum(ratio))), np.concatenate(([0], np.cumsum(length)))
-    run = min(8, len(found))
-    runs = (sums[run:] - sums[:-run]) / (sizes[run:] - sizes[:-run])
-    return float(ratio.sum() / length.sum()), float(ratio.max()), float(best.sum() / 3), float(runs.max())
+    of_run = lambda n: float(((sums[n:] - sums[:-n]) / (sizes[n:] - sizes[:-n])).max())
+    return (of_run(len(found)), *(of_run(min(n, len(found))) for n in RUNS))
 
 
 def calibrate(features: np.ndarray, labels: np.ndarray) -> dict[str, np.ndarray | float]:
@@ -161,7 +161,6 @@ class Model:
     """Both models' ratios and the calibration. Its size is bounded by the sample's."""
 
     def __init__(self, rows: Iterable[tuple[str | None, int]]) -> None:
-        texts: list[tuple[list[str], int]] = []
         by_class: tuple[Counter, Counter] = (Counter(), Counter())
         held: list[tuple[list[str], int]] = []
         seen_of = [0, 0]
@@ -172,7 +171,6 @@ class Model:
                 held.append((found, label))
             else:
                 by_class[label].update(found)
-                texts.append((found, label))
         self.fitted = None
         self.seen, self.unseen = {}, {}
         self.known: dict[str, float] = {}
@@ -183,7 +181,7 @@ class Model:
         self.fitted = calibrate(features, np.array([label for _, label in held], dtype=np.float64))
         self.known.clear()
 
-    def features(self, found: list[str]) -> tuple[float, float, float, float]:
+    def features(self, found: list[str]) -> tuple[float, ...]:
         if len(self.known) > CACHE_WORDS:
             self.known.clear()
         for word in set(found).difference(self.known):
@@ -191,7 +189,7 @@ class Model:
         return evidence(found, self.known)
 
     def scores(self, texts: Iterable[str | None]) -> np.ndarray:
-        features = np.array([self.features(tokens(t)) for t in texts]).reshape(-1, 4)
+        features = np.array([self.features(tokens(t)) for t in texts]).reshape(-1, 1 + len(RUNS))
         return np.zeros(len(features)) if self.fitted is None else probability(features, self.fitted)
 
 
