@@ -10,7 +10,9 @@ copy. A capitalised word that starts a sentence may be a name or not, so there a
 word, and one where it is a name. A run of names within a sentence is one slot. Windows with too few words that are not placeholders are not used.
 
 The benchmark is the query set: it is taken in blocks of at most BLOCK_ITEMS items and BLOCK_CHARS characters, each
-broadcast on its own, so its size does not bound the method; every text is read whole, and documents are not shuffled.
+broadcast on its own; every text is read whole, and documents are not shuffled. Documents are read once a block, so the
+cost grows with the benchmark's blocks (one for benchmarks of up to 20,000 items), and a window that many items share is
+looked up for each of them.
 
 Defined results: null and empty texts hold nothing; benchmark items without a text, or with fewer than SHORTEST tokens,
 are in no document; items between SHORTEST and WINDOW tokens are one window; rows that repeat are reported as often;

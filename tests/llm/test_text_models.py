@@ -109,6 +109,95 @@ def test_decontamination_blocks_and_empty(docs, empty, benchmark, monkeypatch):
     assert len(decontaminate.finders(benchmark)) == 3
 
 
+def plain_readings(text):
+    """Of each reading (plain, names inside sentences, names everywhere): (token, slot kind or lower-cased word) pairs."""
+    out = ([], [], [])
+    before = "stop"
+    raw = re.findall(r"[.!?\n]+|[^\W\d_]+|\d+(?:[.,:/]\d+)*|[%$€£°]", text or "")
+    runs = [False, False, False]
+    for t in raw:
+        if t[0] in ".!?\n":
+            before, runs = "stop", [False, False, False]
+            continue
+        number, unit = t[0].isdigit(), t.lower() in decontaminate.UNITS
+        capital = not number and not unit and t[0].isupper() and not t[1:].isupper()
+        for way in range(3):
+            name = capital and way and (way == 2 or before != "stop")
+            if name and runs[way]:
+                out[way][-1] = (out[way][-1][0] + " " + t, "<name>")
+                continue
+            runs[way] = bool(name)
+            slot = "<name>" if name else "<number>" if way and number else "<unit>" if way and unit and before == "number" else None
+            out[way].append((t, slot or t.lower()))
+        before = "number" if number else "other"
+    return out
+
+
+def plain_hits(text, items):
+    """(item, kind) of the items that a text holds, by windows compared one by one."""
+    docs, best = plain_readings(text), {}
+    for item, body in items:
+        own = plain_readings(body)
+        if len(own[0]) < 5:
+            continue
+        for way in range(3):
+            mine, theirs = own[way], docs[way]
+            size = min(8, len(mine))
+            slot = lambda x: x[1].startswith("<")
+            used = [p for p in range(len(mine) - size + 1) if not way or sum(not slot(x) for x in mine[p : p + size]) >= size / 2]
+            shifts = defaultdict(list)
+            for p in used:
+                for at in range(len(theirs) - size + 1):
+                    if [x[1] for x in mine[p : p + size]] == [x[1] for x in theirs[at : at + size]]:
+                        shifts[at - p].append(p)
+            covered, changed = set(), 0
+            for shift, places in shifts.items():
+                values = defaultdict(set)
+                for p in sorted({p + k for p in places for k in range(size) if way and slot(mine[p + k])}):
+                    a, b = mine[p][0].split(" "), theirs[p + shift][0].split(" ")
+                    while len(a) > 1 and len(b) > 1 and a[0] == b[0]:
+                        a, b = a[1:], b[1:]
+                    values[" ".join(a)].add(" ".join(b))
+                if any(len(v) > 1 for v in values.values()):
+                    places = [p for p in places if all(mine[p + k][0] == theirs[p + k + shift][0] for k in range(size) if slot(mine[p + k]))]
+                else:
+                    changed += sum(k not in v for k, v in values.items()) if places else 0
+                covered |= set(places)
+            share = len(covered) / max(1, len(used))
+            if covered and share >= 0.4 and share > best.get(item, (0, ""))[0]:
+                best[item] = (share, "reparameterised" if changed else "template" if way else "verbatim")
+    return sorted((item, kind) for item, (_, kind) in best.items())
+
+
+def test_decontamination_equals_brute_force(spark):
+    """Items in documents whole, in part, in capitals, with changed names, numbers and units, alike or not."""
+    rng = random.Random(6)
+    items = [
+        (1, ITEM), (2, "one two three four five"), (3, "Ben sold 20 pens on Monday. Carl sold 15 more than Ben did. Dana sold 7 less than Carl. How many did Dana sell?"),
+        (4, "A tank holds 300 liters and loses 5 liters a day while Rosa adds 12 kg of salt each week so when is it empty"), (5, "which of these is not a prime number and why is that so"),
+    ]
+    data = []
+    for i in range(150):
+        _, body = items[i % 5]
+        w = body.split(" ")
+        for _ in range(rng.choice([0, 0, 1, 3])):
+            at = rng.randrange(len(w))
+            w[at] = str(rng.randint(1, 99)) if w[at].isdigit() else rng.choice(["Zoe", "Yann", "Bob"]) if w[at][:1].isupper() else rng.choice([w[at], "other", "km"])
+        if i % 4 == 1:
+            w = [{"Alice": "Mia", "Ben": "Ann Lee", "Carl": "Otto", "Rosa": "Kim", "3": "8", "20": "31"}.get(x, x) for x in w]
+        if i % 7 == 2:
+            w = w[: rng.randint(4, len(w))]
+        if i % 11 == 3:
+            w = [x.upper() for x in w]
+        data.append((i, " ".join([*words(rng.randint(0, 30), i), *w, *words(rng.randint(0, 30), i + 500)])))
+    data += [(1000, None), (1001, ""), (7, data[7][1]), (1002, " ".join(words(20_000, 3)) + " " + ITEM)]
+    docs = spark.createDataFrame(data, "doc_id long, text string").withColumn("h", F.lit(1)).withColumn("hit", F.lit("x"))
+    got = sorted((r.doc_id, r.item_id, r.kind) for r in decontaminate.find(docs, spark.createDataFrame(items, "item_id long, text string")).collect())
+    want = sorted((i, item, kind) for i, t in data for item, kind in plain_hits(t, items))
+    assert len(want) > 90
+    assert got == want
+
+
 # 3 toxicity
 
 
@@ -137,6 +226,42 @@ def test_toxicity_without_labels(docs, empty, spark):
     assert toxicity.score(empty, none).count() == 0
 
 
+def test_toxicity_takes_repeats_long_texts_and_clashes(spark, clashing):
+    data = [(i, f"{' '.join(words(30, i))} {'zorkhead grumblefex' if i % 2 else 'gentle kindness'}") for i in range(80)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(80)], "doc_id long, toxic int")
+    long_text = " ".join(words(60_000, 7))
+    docs = spark.createDataFrame([*data, data[3], (500, long_text), (501, long_text + " zorkhead grumblefex")], "doc_id long, text string")
+    found = toxicity.score(docs, labels).collect()
+    assert len(found) == 83
+    assert len({r.score for r in found if r.doc_id == 3}) == 1
+    of = {r.doc_id: r.score for r in found}
+    assert of[501] > of[500]
+    assert toxicity.score(clashing, labels).count() == len(rows())
+    model = toxicity.train(docs, labels)
+    for w in ("zorkhead", "gentle", "the"):
+        # A word's ratio is the sum of the logs of its letters' probabilities under both models.
+        levels_ratio = toxicity.word_ratio(w, model.seen, model.unseen)
+        assert toxicity.evidence([w], {w: levels_ratio}) == pytest.approx((levels_ratio / (len(w) + 1),) * 4)
+
+
+def test_class_models_equal_plain_kneser_ney():
+    by_class = (Counter({"gentle": 3, "general": 1}), Counter({"genius": 2, "gentle": 1}))
+    levels = toxicity.Levels(by_class)
+    seen, unseen = toxicity.fit(by_class)
+
+    def p(c, h, x):
+        own = levels.own[c]
+        total = sum(n for g, n in own.items() if g[:-1] == h)
+        kinds = sum(g[:-1] == h for g in own)
+        below = levels.lower(h[1:], x)
+        return (max(own.get(h + x, 0) - toxicity.DISCOUNT, 0) + toxicity.DISCOUNT * kinds * below) / total if total else below
+
+    for word in ("gentle", "genus", "xylem"):
+        w = toxicity.START + word + toxicity.END
+        want = sum(math.log(p(1, w[max(0, i - toxicity.ORDER + 1) : i], w[i]) / p(0, w[max(0, i - toxicity.ORDER + 1) : i], w[i])) for i in range(1, len(w)))
+        assert toxicity.word_ratio(word, seen, unseen) == pytest.approx(want)
+
+
 def test_kneser_ney_probabilities_sum_to_one():
     levels = toxicity.Levels((Counter({"abc": 3, "abd": 1}), Counter({"abd": 2, "xyz": 1})))
     symbols = {g[-1] for own in levels.own for g in own}
@@ -441,6 +566,32 @@ def test_segments_round_trip(spark, docs, empty, tmp_path, monkeypatch):
     assert tokens.read(spark, str(tmp_path / "e")).count() == 0
 
 
+def test_segments_give_documents_by_select(spark, tmp_path):
+    """Rows without an id spread over ranges; documents read one by one from a segment; a vocabulary that does not split at
+    blanks is used on whole texts."""
+    public = pytest.importorskip("public_tokenizers")
+    from tokenizers import Tokenizer
+
+    data = [(None, " ".join(words(5 + i % 7, i))) for i in range(200)] + [(7, "x"), (7, "a"), (-3, None)]
+    path = public.path("byte_bpe_50k.json")
+    docs = spark.createDataFrame(data, "doc_id long, text string").withColumn("key", F.lit(1)).withColumn("payload", F.lit("x"))
+    tokens.write(docs, str(tmp_path / "t"), path)
+    plain = Tokenizer.from_file(path)
+    encode = lambda t: [*plain.encode(t or "", add_special_tokens=False).ids, 0]
+    found = []
+    for r in spark.read.parquet(str(tmp_path / "t")).orderBy("part", "seq").collect():
+        segment = tokens.Segment(r.payload)
+        found += [(segment.doc_ids[i], segment.document(i).tolist()) for i in range(segment.docs)]
+    order = sorted(data, key=lambda x: (x[0] is None, x[0] or 0, x[1] or ""))
+    assert found == [(i, encode(t)) for i, t in order]
+    assert [(r.doc_id, r.n_tokens) for r in tokens.read(spark, str(tmp_path / "t")).orderBy("start").collect()] == [(i, len(encode(t))) for i, t in order]
+    other = tokens.Encoder(public.path("word_bpe_49k.json"))
+    whole = Tokenizer.from_file(public.path("word_bpe_49k.json"))
+    assert not other.by_piece or other.tokenizer.to_str() == whole.to_str()
+    texts = ["Hello there  you", "a\nb c", "déjà vu 12"]
+    assert [x.tolist() for x in other.encode(texts)] == [[*whole.encode(t, add_special_tokens=False).ids, 0] for t in texts]
+
+
 def test_encoder_equals_whole_texts():
     public = pytest.importorskip("public_tokenizers")
     coder = tokens.Encoder(public.path("byte_bpe_50k.json"))
