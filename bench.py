@@ -16,6 +16,7 @@ from tallyport.plans import registry
 HEADLINE = (
     "load_verify_orders", "load_verify_documents", "load_verify_events", "copy_encode", "copy_roundtrip", "infer_value_types", "recast_flags", "recast_values", "chunk_totals",
     "upsert_do_nothing", "upsert_do_update", "value_check_clean", "value_check_mismatch", "two_way_except", "latency_percentiles", "dump_line_arity",
+    "csv_load_rows", "dump_scan_rows", "parquet_load_verdicts", "migrate_verdicts", "resumed_load",
 )
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyport.functions import copytext
-from tallyport.functions.identifiers import qualified, quote
+from tallyport.functions.identifiers import escape_literal, qualified, quote
 from tallyport.functions.render import render
 from tallyport.functions.types import SqlType, parse_type
 from tallyport.contract import ColumnContract, TableContract
@@ -66,8 +66,8 @@ def identity_setval(contract: TableContract, df: DataFrame) -> str | None:
     if column is None:
         return None
     most = df.agg(F.max(f"`{column.name}`")).first()[0]
-    literal = qualified(contract.schema, contract.table).replace("'", "''")
-    return None if most is None else f"SELECT pg_catalog.setval(pg_get_serial_sequence('{literal}', '{column.name.replace(chr(39), chr(39) * 2)}'), {most}, true);"
+    literal = escape_literal(qualified(contract.schema, contract.table))
+    return None if most is None else f"SELECT pg_catalog.setval(pg_get_serial_sequence('{literal}', '{escape_literal(column.name)}'), {most}, true);"
 
 
 def document_parts(contract: TableContract, df: DataFrame) -> tuple[str, DataFrame, str]:
