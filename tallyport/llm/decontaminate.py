@@ -43,6 +43,8 @@ LITERAL = 0.5
 BLOCK_ITEMS = 20_000
 BLOCK_CHARS = 8_000_000
 CACHE_TOKENS = 500_000
+#: Characters of texts that are searched together for any item's window.
+BATCH_CHARS = 1_000_000
 _TOKEN = re.compile(r"[.!?\n]+|[^\W\d_]+|\d+(?:[.,:/]\d+)*|[%$€£°]")
 #: Units that become a placeholder after a number.
 UNITS = frozenset(
@@ -65,6 +67,8 @@ class Coder:
 
     def _reset(self) -> None:
         self.at: dict[str, int] = {}
+        #: While a batch is read, its tokens stay.
+        self.held = False
         self.codes = np.zeros(1024, np.uint64)
         self.kinds = np.zeros(1024, np.int8)
 
@@ -81,7 +85,7 @@ class Coder:
         found = _TOKEN.findall(text) if text else []
         new = set(found).difference(self.at)
         if new:
-            if len(self.at) > CACHE_TOKENS:
+            if len(self.at) > CACHE_TOKENS and not self.held:
                 self._reset()
                 new = set(found)
             for token in new:
@@ -98,28 +102,51 @@ class Coder:
         """Three readings, plain and the two templates: tokens without stops, their codes, whether they are placeholders,
         and the place of each among the plain tokens."""
         found, rows = self._rows(text)
+        place = np.cumsum(self.kinds[rows] != _STOP) - 1
+        out = []
+        for codes, slot, starts, more in self._readings(rows):
+            ends = np.append(starts[1:], len(found)) if len(starts) else starts
+            tokens = [found[at] for at in starts.tolist()]
+            for i in np.flatnonzero(more[np.minimum(starts + 1, len(found) - 1)] & (starts + 1 < len(found))).tolist() if len(starts) else ():
+                tokens[i] = " ".join(t for t, m in zip(found[starts[i] + 1 : ends[i]], more[starts[i] + 1 : ends[i]].tolist(), strict=True) if m)
+                tokens[i] = f"{found[starts[i]]} {tokens[i]}"
+            out.append((tokens, codes, slot, place[starts]))
+        return out
+
+    def _readings(self, rows: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """Of each reading: codes, placeholders, which token each begins with, and which tokens go on with a run of names."""
         codes, kinds = self.codes[rows], self.kinds[rows]
         before = np.concatenate((np.array([_STOP], np.int8), kinds[:-1]))[: len(kinds)]
         keep = kinds != _STOP
-        place = np.cumsum(keep) - 1
+        starts = np.flatnonzero(keep)
+        out = [(codes[starts], np.zeros(len(starts), bool), starts, np.zeros(len(rows), bool))]
         number, unit = kinds == _NUMBER, (kinds == _UNIT) & (before == _NUMBER)
-        words = [t for t, k in zip(found, keep.tolist(), strict=True) if k]
-        out = [(words, codes[keep], np.zeros(len(words), bool), place[keep])]
-        for initial in (False, True):
-            name = (kinds == _CAPITAL) if initial else (kinds == _CAPITAL) & (before != _STOP)
-            template = np.where(name, _NAME_CODE, np.where(number, _NUMBER_CODE, np.where(unit, _UNIT_CODE, codes)))
+        typed = np.where(number, _NUMBER_CODE, np.where(unit, _UNIT_CODE, codes))
+        for name in ((kinds == _CAPITAL) & (before != _STOP), kinds == _CAPITAL):
             more = name.copy()
             more[1:] &= name[:-1]
             more[:1] = False
             starts = np.flatnonzero(keep & ~more)
-            ends = np.append(starts[1:], len(found)) if len(starts) else starts
-            tokens = [found[at] for at in starts.tolist()]
-            for i in np.flatnonzero(more[np.minimum(starts + 1, len(found) - 1)] & (starts + 1 < len(found))).tolist() if len(starts) else ():
-                tokens[i] = " ".join(t for t, m in zip(found[starts[i] + 1 : ends[i]], more[starts[i] + 1 : ends[i]].tolist(), strict=True) if m)
-                tokens[i] = f"{found[starts[i]]} {tokens[i]}"
-            out.append((tokens, template[starts], (name | number | unit)[starts], place[starts]))
+            out.append((np.where(name, _NAME_CODE, typed)[starts], (name | number | unit)[starts], starts, more))
         return out
 
+    def batch(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Of each reading of many texts at once: the codes, and the text of each. A stop stands between two texts, so each
+        reads as by itself; only windows may reach into the next."""
+        if len(self.at) > CACHE_TOKENS:
+            self._reset()
+        self.held = True
+        rows = [np.append(self._rows(t)[1], self._stop()) for t in texts]
+        self.held = False
+        every = np.concatenate(rows) if rows else np.zeros(0, np.int64)
+        of = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+        return [(codes, of[starts]) for codes, _, starts, _ in self._readings(every)]
+
+    def _stop(self) -> int:
+        if "\n" not in self.at:
+            self._learn("\n")
+        return self.at["\n"]
+
 
 def window_hashes(codes: np.ndarray, size: int) -> np.ndarray:
     n = len(codes) - size + 1
@@ -159,6 +186,19 @@ class Index:
             bits = np.zeros(1 << _FILTER_BITS, bool)
             bits[[h >> (64 - _FILTER_BITS) for _, h in self.windows[way]]] = True
             self.filters.append(bits)
+        self.hashes = [np.array(sorted({h for _, h in self.windows[way]}), dtype=np.uint64) for way in range(3)]
+
+    def may_hold(self, coder: Coder, texts: list[str | None]) -> np.ndarray:
+        """Which texts have a window of any item; all others hold none."""
+        out = np.zeros(len(texts), bool)
+        for way, (codes, of) in enumerate(coder.batch(texts)):
+            known = self.hashes[way]
+            for size in self.sizes[way] if len(known) else ():
+                hashes = window_hashes(codes, size)
+                at = np.flatnonzero(self.filters[way][hashes >> np.uint64(64 - _FILTER_BITS)])
+                place = np.minimum(np.searchsorted(known, hashes[at]), len(known) - 1)
+                out[of[at[known[place] == hashes[at]]]] = True
+        return out
 
     def hits(self, coder: Coder, text: str | None) -> list[dict]:
         """The items that a text holds."""
@@ -227,11 +267,28 @@ def _finder(spark: SparkSession, items: list[tuple[int, str]]):  # noqa: ANN202
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         index, coder = Index(shared.value), Coder()
         for texts in batches:
-            yield pd.Series([index.hits(coder, t) for t in texts], dtype=object)
+            rows: list[list[dict]] = []
+            for part in parts(texts.tolist()):
+                rows += [index.hits(coder, t) if may else [] for t, may in zip(part, index.may_hold(coder, part).tolist(), strict=True)]
+            yield pd.Series(rows, dtype=object)
 
     return of
 
 
+def parts(texts: list[str | None]) -> Iterator[list[str | None]]:
+    """Runs of texts of about BATCH_CHARS characters together."""
+    held: list[str | None] = []
+    chars = 0
+    for t in texts:
+        held.append(t)
+        chars += len(t or "")
+        if chars >= BATCH_CHARS:
+            yield held
+            held, chars = [], 0
+    if held:
+        yield held
+
+
 def finders(benchmark: DataFrame) -> list:
     """One pandas UDF (text to hits) for each block of the benchmark."""
     spark = benchmark.sparkSession
