@@ -223,6 +223,11 @@ def _bound(options: LoadOptions, source: _Source, contract: TableContract) -> di
     return dict(zip(shape.bind(empty, target).columns, kept, strict=True))
 
 
+def typed(rows: DataFrame, contract: TableContract) -> DataFrame:
+    """All-text rows (chunk_id, line_no, good, raw, columns) bound by name: the target's values, and why a row does not fit."""
+    return _typed(_Source(rows, contract.names, None, None, True), contract, {c: c for c in contract.names})
+
+
 def _typed(source: _Source, contract: TableContract, bound: dict[str, str]) -> DataFrame:
     """(chunk_id, line_no, good, raw, why, columns): the target's values, and the columns that a row does not fit."""
     kinds = {f.name: f.dataType for f in source.rows.schema.fields}

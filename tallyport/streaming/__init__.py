@@ -1 +1 @@
-"""No streaming operators: every file that is moved is finite."""
+"""Loads that go on: new files of a folder are loaded as they arrive."""
