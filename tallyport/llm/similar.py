@@ -14,9 +14,11 @@ sizes of both sets, what can still follow the shared shingle in each, and the bi
 differ, at most the size of the sets' difference. Compared texts are linked if the exact sets of their shingles have a
 Jaccard similarity of SIMILARITY or more. Texts with the same words count as one text throughout.
 
-Buckets are never ordered or held by one task: what has to be known of a bucket is aggregated and joined back, and a
-join's hot key is split when the plan is adapted. Unrelated texts that share a prefix shingle by chance cost a bounds test a
-pair; that is the part which grows faster than the input where such shingles are common but not in the sample.
+A bucket is never ordered, and its pairs are dealt out by groups: what has to be known of it is aggregated and joined back,
+and a join's hot key is split when the plan is adapted. Only the first pass, which drops the keys of one text, reads a
+bucket's keys (no texts) in one task, spilling where it has to. Unrelated texts that share a prefix shingle by chance cost
+a bounds test a pair; that is the part which grows faster than the input where such shingles are common but not in the
+sample.
 """
 
 from __future__ import annotations
