@@ -262,13 +262,13 @@ def text_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows = cut(rows, "similar-prints")
     texts = rows.groupBy("h").agg(F.min(F.struct("none", "id")).alias("least"), F.first(F.struct("size", "fp", "bitmap")).alias("p"))
     texts = cut(texts.select("h", "least", "p.*"), "similar-texts")
-    edges, roots = _joined(ball_pairs(texts), None, texts, docs)
+    edges, roots = _joined(ball_pairs(texts), None, None, texts, docs)
     members = met(rows, roots)
     ids = cut(rows.select("none", "id", "h"), "similar-rows")
     discard(rows)
     for nth in range(HUBS + 1):
         pairs = cut(hub_pairs(members, nth, texts) if nth < HUBS else all_pairs(members, texts), "similar-pairs")
-        edges, roots = _joined(pairs, edges, texts, docs)
+        edges, roots = _joined(pairs, edges, roots, texts, docs)
         if nth < HUBS:
             before, members = members, live(members, roots)
             discard(before)
@@ -276,16 +276,16 @@ def text_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return ids, roots.withColumnRenamed("node", "h")
 
 
-def _joined(pairs: DataFrame, edges: DataFrame | None, texts: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _joined(pairs: DataFrame, edges: DataFrame | None, roots: DataFrame | None, texts: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(links so far, roots) with those of `pairs` that are similar. Of links only a spanning star a component is kept."""
     bearers, whole = bearing(pairs, texts, docs)
-    found = _compared(pairs, whole)
-    links = cut(found if edges is None else edges.union(found), "similar-links")
+    found = cut(_compared(pairs, whole), "similar-links")
     discard(pairs, bearers, whole)
-    if edges is not None:
-        discard(edges)
-    roots = components(links)
-    discard(links)
+    if edges is not None and not found.limit(1).count():
+        discard(found)
+        return edges, roots
+    roots = components(found if edges is None else edges.union(found))
+    discard(found, *([] if edges is None else [edges]))
     return cut(roots.where("node <> root").select(F.col("root").alias("a"), F.col("node").alias("b")), "similar-stars"), roots
 
 
