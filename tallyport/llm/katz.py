@@ -53,6 +53,8 @@ KATZ_K = 5
 BUCKET_BYTES = 20_000_000
 BLOCK_TOKENS = 700_000
 CACHE_WORDS = 300_000
+#: Parts of a bucket, by history word, that are merged one after the other: only its packed bytes are held together.
+PARTS = 4
 #: About as many documents tell which words and pairs are frequent; at most so many words get codes, words and pairs are spread.
 SAMPLE = 8000
 COMMON = 300_000
@@ -241,21 +243,22 @@ def packer(shared: Shared):  # noqa: ANN201
 
 
 class Bucket:
-    """The merged trigrams (v, u, w) of a bucket in order, with training counts c3; their pairs (v, u); the bigrams (v, w)
+    """The merged trigrams (v, u, w) of a part of a bucket in order, with training counts c3; their pairs (v, u); the bigrams (v, w)
     with the counts that this bucket has; and the history words v."""
 
-    def __init__(self, plan: Plan, payloads: list[bytes], places: bool = False) -> None:
+    def __init__(self, plan: Plan, payloads: list[bytes], part: int, places: bool = False) -> None:
         vs, us, ws, cs = [], [], [], []
         for payload in payloads:
             v, u, w, times, docs, _ = plan.thaw_ngrams(payload)
             ends = np.cumsum(times).astype(np.int64)
             trained = np.concatenate(([0], np.cumsum((docs & np.uint64(1)) == 0)))
-            vs.append(v)
-            us.append(u)
-            ws.append(w)
-            cs.append(trained[ends] - trained[ends - times.astype(np.int64)])
-        v, u, w, c = (np.concatenate(x) if x else np.zeros(0, np.uint64) for x in (vs, us, ws, cs))
+            mine = _in_part(v, part)
+            vs.append(v[mine])
+            us.append(u[mine])
+            ws.append(w[mine])
+            cs.append((trained[ends] - trained[ends - times.astype(np.int64)])[mine])
         sizes = [len(x) for x in vs]
+        v, u, w, c = (np.concatenate(x) if x else np.zeros(0, np.uint64) for x in (vs, us, ws, cs))
         del vs, us, ws, cs
         order = np.lexsort((w, u, v))
         first = _starts(v[order], u[order], w[order])
@@ -296,6 +299,10 @@ class Bucket:
         return found[find(plan.heavy, found) < 0]
 
 
+def _in_part(v: np.ndarray, part: int) -> np.ndarray:
+    return (v >> np.uint64(40)) % np.uint64(PARTS) == np.uint64(part)
+
+
 def _histogram(c: np.ndarray) -> np.ndarray:
     return np.bincount(np.minimum(c[c > 0], KATZ_K + 2), minlength=KATZ_K + 3)[1 : KATZ_K + 2]
 
@@ -326,27 +333,33 @@ def counter(shared: Shared):  # noqa: ANN201
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         plan, own = shared.plan(), int(rows["bucket"].iloc[0])
-        b = Bucket(plan, rows[rows["kind"] == "d"].sort_values("block")["payload"].tolist())
-        light = (b.heavy_of < 0) & (b.word_count > 0)
-        out = [(own, "u", own, freeze(b.words[light], b.word_count[light].astype(np.uint64)))]
-        wanted = b.wanted(plan)
-        to = wanted % np.uint64(plan.buckets)
-        for target in np.unique(to).tolist():
-            out.append((int(target), "r", own, freeze(wanted[to == target])))
-        heavy, w, c = b.heavy_of[b.word_of[b.asked]].astype(np.uint64), b.big_w[b.asked], b.c2[b.asked].astype(np.uint64)
-        to = w % np.uint64(plan.buckets)
-        for target in np.unique(to).tolist():
-            out.append((int(target), "b", own, freeze(heavy[to == target], w[to == target], c[to == target])))
-        totals = Totals(plan)
+        payloads = rows[rows["kind"] == "d"].sort_values("block")["payload"].tolist()
+        totals, out = Totals(plan), []
         t = totals.part
-        t["words"][:] = b.word_count[light].sum(), light.sum()
-        t["tri"][:], t["uni"][:] = _histogram(b.c3), _histogram(b.word_count[light])
-        t["bi"][:] = _histogram(b.c2[b.heavy_of[b.word_of] < 0]) if len(b.c2) else 0
-        np.add.at(t["heavy"], b.heavy_of[b.heavy_of >= 0], b.word_count[b.heavy_of >= 0])
-        np.add.at(t["hot"], b.hot_of[b.hot_of >= 0], b.pair_count[b.hot_of >= 0])
-        hot = b.hot_of[b.pair_of] if len(b.c3) else b.c3
-        few = (hot >= 0) & (b.c3 > 0) & (b.c3 <= KATZ_K)
-        np.add.at(t["few3"], hot[few] * KATZ_K + b.c3[few] - 1, 1)
+        for part in range(PARTS):
+            b = Bucket(plan, payloads, part)
+            # Who asks is a part of a bucket.
+            me = own * PARTS + part
+            light = (b.heavy_of < 0) & (b.word_count > 0)
+            out.append((own, "u", me, freeze(b.words[light], b.word_count[light].astype(np.uint64))))
+            wanted = b.wanted(plan)
+            to = wanted % np.uint64(plan.buckets)
+            for target in np.unique(to).tolist():
+                out.append((int(target), "r", me, freeze(wanted[to == target])))
+            heavy, w, c = b.heavy_of[b.word_of[b.asked]].astype(np.uint64), b.big_w[b.asked], b.c2[b.asked].astype(np.uint64)
+            to = w % np.uint64(plan.buckets)
+            for target in np.unique(to).tolist():
+                out.append((int(target), "b", me, freeze(heavy[to == target], w[to == target], c[to == target])))
+            t["words"] += np.array([b.word_count[light].sum(), light.sum()])
+            t["tri"] += _histogram(b.c3)
+            t["uni"] += _histogram(b.word_count[light])
+            t["bi"] += _histogram(b.c2[b.heavy_of[b.word_of] < 0]) if len(b.c2) else 0
+            np.add.at(t["heavy"], b.heavy_of[b.heavy_of >= 0], b.word_count[b.heavy_of >= 0])
+            np.add.at(t["hot"], b.hot_of[b.hot_of >= 0], b.pair_count[b.hot_of >= 0])
+            hot = b.hot_of[b.pair_of] if len(b.c3) else b.c3
+            few = (hot >= 0) & (b.c3 > 0) & (b.c3 <= KATZ_K)
+            np.add.at(t["few3"], hot[few] * KATZ_K + b.c3[few] - 1, 1)
+            del b
         out.append((own, "s", own, totals.frozen()))
         return pd.DataFrame(out, columns=["bucket", "kind", "source", "payload"])
 
@@ -359,13 +372,21 @@ def answerer(shared: Shared):  # noqa: ANN201
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         plan, own = shared.plan(), int(rows["bucket"].iloc[0])
         of = {kind: group for kind, group in rows.groupby("kind")}
-        known, counts = thaw(of["u"]["payload"].iloc[0]) if "u" in of else (np.zeros(0, np.uint64), np.zeros(0, np.uint64))
+        lists = [thaw(payload) for payload in of["u"]["payload"]] if "u" in of else []
+        known, counts = (np.concatenate([x[i] for x in lists]) if lists else np.zeros(0, np.uint64) for i in range(2))
+        order = np.argsort(known)
+        known, counts = known[order], counts[order]
+        # An answer goes to the bucket that asked, marked with its part.
+        to = lambda source: (int(source) // PARTS, own * PARTS + int(source) % PARTS)
 
         def count_of(words: np.ndarray) -> np.ndarray:
             at = find(known, words)
             return np.where(at >= 0, counts[at], 0).astype(np.uint64) if len(known) else np.zeros(len(words), np.uint64)
 
-        out = [(int(source), "a", own, freeze(count_of(thaw(payload)[0]))) for source, payload in of["r"][["source", "payload"]].itertuples(index=False)] if "r" in of else []
+        out = []
+        for source, payload in of["r"][["source", "payload"]].itertuples(index=False) if "r" in of else ():
+            bucket, mark = to(source)
+            out.append((bucket, "a", mark, freeze(count_of(thaw(payload)[0]))))
         totals = Totals(plan)
         for payload in of["s"]["payload"] if "s" in of else ():
             totals.add(payload)
@@ -378,7 +399,8 @@ def answerer(shared: Shared):  # noqa: ANN201
             place = np.empty(len(h), np.int64)
             place[order] = np.repeat(np.arange(len(first)), _runs(first, len(h)))
             for (source, p), at in zip(parts, np.split(place, np.cumsum([len(p[0]) for _, p in parts])[:-1]), strict=True):
-                out.append((source, "q", own, freeze(total[at].astype(np.uint64))))
+                bucket, mark = to(source)
+                out.append((bucket, "q", mark, freeze(total[at].astype(np.uint64))))
             seen = total > 0
             h, w, total = h[order][first][seen].astype(np.int64), w[order][first][seen], total[seen]
             t = totals.part
@@ -529,37 +551,53 @@ def scorer(shared: Shared):  # noqa: ANN201
             out.append((0, root, "s"))
         if len(data):
             own = int(rows["bucket"].iloc[0])
-            b = Bucket(plan, data["payload"].tolist(), places=True)
-            wanted = b.wanted(plan)
-            counts, to = np.zeros(len(wanted), np.int64), wanted % np.uint64(plan.buckets)
-            asked, to_b = np.zeros(len(b.asked), np.int64), b.big_w[b.asked] % np.uint64(plan.buckets)
-            for kind, source, payload in sent[["kind", "source", "payload"]].itertuples(index=False):
-                if kind == "a":
-                    counts[to == source] = thaw(payload)[0]
-                elif kind == "q":
-                    asked[to_b == source] = thaw(payload)[0]
-            s = scored(b, plan, m, counts, asked)
-            cw = s.word_counts[b.big_of]
-            base, known = m.base(cw), cw > 0
-            for payload, place, block in zip(data["payload"], b.places, data["block"].tolist(), strict=True):
-                *_, times, docs, size = plan.thaw_ngrams(payload)
-                gram, doc, n = np.repeat(place, times.astype(np.int64)), (docs >> np.uint64(1)).astype(np.int64), int(size[0])
-                sums = [np.bincount(doc, x[gram], n) for x in (s.logs, base, known)]
-                late = s.waits[gram]
-                later, often = np.unique(doc[late] * max(1, len(plan.hot)) + b.hot_of[b.pair_of[gram[late]]], return_counts=True)
-                whole = [np.rint(-x / GRAIN).astype(np.uint64) for x in sums[:2]]
-                out.append((block, freeze(*whole, sums[2].astype(np.uint64), later.astype(np.uint64), often.astype(np.uint64)), "p"))
-            taught = b.c3 > 0
-            # A pair seen once has the weight that its one word's P leaves; only others' weights are kept.
-            pairs, words = (b.pair_count > 1) & (b.hot_of < 0), b.word_count > 0
-            out.append((own, plan.freeze_ngrams(b.v[taught], b.u[taught], b.w[taught], b.c3[taught].astype(np.uint64), s.pair_weights[pairs].astype(np.float32)), "t3"))
-            out.append((own, freeze(b.words[words], np.where(b.heavy_of[words] < 0, b.word_count[words], 0).astype(np.uint64), s.word_weights[words].astype(np.float32)), "t1"))
-            out.append((own, freeze(s.hot_followers), "f"))
+            payloads, blocks = data["payload"].tolist(), data["block"].tolist()
+            sums: list[list[np.ndarray] | None] = [None] * len(blocks)
+            late: list[list[np.ndarray]] = [[] for _ in blocks]
+            hot = np.zeros(len(plan.hot))
+            for part in range(PARTS):
+                b = Bucket(plan, payloads, part, places=True)
+                s = scored(b, plan, m, *_answers(sent, b, plan, part))
+                hot += s.hot_followers
+                cw = s.word_counts[b.big_of]
+                base, known = m.base(cw), cw > 0
+                for i, (payload, place) in enumerate(zip(payloads, b.places, strict=True)):
+                    v, _, _, times, docs, size = plan.thaw_ngrams(payload)
+                    mine, times = _in_part(v, part), times.astype(np.int64)
+                    gram, doc = np.repeat(place, times[mine]), (docs[np.repeat(mine, times)] >> np.uint64(1)).astype(np.int64)
+                    new = [np.bincount(doc, x[gram], int(size[0])) for x in (s.logs, base, known)]
+                    sums[i] = new if sums[i] is None else [x + y for x, y in zip(sums[i], new, strict=True)]
+                    wait = s.waits[gram]
+                    late[i].append(doc[wait] * max(1, len(plan.hot)) + b.hot_of[b.pair_of[gram[wait]]])
+                taught = b.c3 > 0
+                # A pair seen once has the weight that its one word's P leaves; only others' weights are kept.
+                pairs, words = (b.pair_count > 1) & (b.hot_of < 0), b.word_count > 0
+                out.append((own, plan.freeze_ngrams(b.v[taught], b.u[taught], b.w[taught], b.c3[taught].astype(np.uint64), s.pair_weights[pairs].astype(np.float32)), "t3"))
+                out.append((own, freeze(b.words[words], np.where(b.heavy_of[words] < 0, b.word_count[words], 0).astype(np.uint64), s.word_weights[words].astype(np.float32)), "t1"))
+                del b, s, cw, base, known
+            for block, total, waiting in zip(blocks, sums, late, strict=True):
+                later, often = np.unique(np.concatenate(waiting), return_counts=True)
+                whole = [np.rint(-x / GRAIN).astype(np.uint64) for x in total[:2]]
+                out.append((block, freeze(*whole, total[2].astype(np.uint64), later.astype(np.uint64), often.astype(np.uint64)), "p"))
+            out.append((own, freeze(hot), "f"))
         return pd.DataFrame([(block, payload, kind) for block, payload, kind in out], columns=["block", "payload", "kind"])
 
     return run
 
 
+def _answers(sent: pd.DataFrame, b: Bucket, plan: Plan, part: int) -> tuple[np.ndarray, np.ndarray]:
+    """Counts of the words and summed counts of the bigrams that a part of a bucket asked for."""
+    wanted = b.wanted(plan)
+    counts, to = np.zeros(len(wanted), np.int64), wanted % np.uint64(plan.buckets)
+    asked, to_b = np.zeros(len(b.asked), np.int64), b.big_w[b.asked] % np.uint64(plan.buckets)
+    for kind, source, payload in sent[["kind", "source", "payload"]].itertuples(index=False):
+        if kind == "a" and source % PARTS == part:
+            counts[to == source // PARTS] = thaw(payload)[0]
+        elif kind == "q" and source % PARTS == part:
+            asked[to_b == source // PARTS] = thaw(payload)[0]
+    return counts, asked
+
+
 def _follower_sum(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"payload": [freeze(np.sum([thaw(p)[0] for p in rows["payload"]], axis=0))]})
 
