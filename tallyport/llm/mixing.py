@@ -8,12 +8,12 @@ the rest).
 A source takes each document floor(target / words) times, and for what is left once more those that come first in a
 seeded order while they fit, then the one document whose size comes nearest to what is still missing.
 
-The order is seeded by doc_id and text, so rows that share a doc_id, or have none, are still told apart. One row a source
+The order is seeded by doc_id and text, so rows that share a doc_id, or have none, are still told apart; rows that repeat
+are numbered, so each has a place of its own (the repeats of one row meet in one task, by their places). One row a source
 meets in the windows over sources (`targets`); sources are counted in thousands, not by document.
 
 Defined results: a null text has size 0; documents of size 0 take 0 words; the null source is last in order; rows that
-repeat in doc_id, source and text share their place in the seeded order and are taken or left together; an empty table
-gives no rows.
+repeat are taken one by one, and which of them is as good as any; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyport.llm.common import cut, small, table, words
+from tallyport.llm.common import cut, row_hash, small, table, words
 
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
@@ -50,6 +50,18 @@ def seeded(doc_id: Column, text: Column, seed: str = SEED) -> Column:
     return F.md5(F.concat(F.lit(seed + ":"), F.coalesce(doc_id.cast("string"), F.lit("null")), F.lit(":"), F.md5(F.coalesce(text, F.lit("")))))
 
 
+def told_apart(rows: DataFrame, *order: Column) -> DataFrame:
+    """Rows with (source, place), where of rows that share a place all but the first get another. Tables without repeats pass."""
+    again = cut(rows.groupBy("place").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("place"), "mix-again")
+    if not again.limit(1).count():
+        return rows
+    again = small(again)
+    nth = F.row_number().over(Window.partitionBy("place").orderBy(F.col("source").asc_nulls_last(), *order))
+    numbered = rows.join(again, "place", "left_semi").withColumn("nth", nth)
+    place = F.when(F.col("nth") == 1, F.col("place")).otherwise(F.md5(F.concat("place", F.lit(":"), F.col("nth").cast("string"))))
+    return rows.join(again, "place", "left_anti").unionByName(numbered.withColumn("place", place).drop("nth"))
+
+
 def decide(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:
     """(source, size, place) rows to one row a source: its target, whole repeats, the last place that is taken once
     more (`upto`), and the place of the document that fills the rest (`fit`). A source is never ordered in one task:
@@ -107,7 +119,7 @@ def sizes(docs: DataFrame, seed: str = SEED) -> DataFrame:
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
     """(doc_id, size, source_size, target, taken, repeats) of each row."""
-    sized = cut(sizes(docs, seed), "mix-sizes")
+    sized = told_apart(cut(sizes(docs, seed), "mix-sizes"))
     plan = small(cut(decide(sized, weights, max_epochs), "mix-decided"))
     joined = sized.alias("d").join(plan.alias("p"), F.col("d.source").eqNullSafe(F.col("p.source")))
     return joined.select("doc_id", "size", "source_size", "target", (repeats() * F.col("size")).alias("taken"), repeats().alias("repeats"))
@@ -119,17 +131,21 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents, each row as often as the mix takes it."""
-    plan = small(cut(decide(cut(sizes(docs), "mix-sizes")), "mix-decided"))
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), F.col("source").alias("_source"), seeded(F.col("doc_id"), F.col("text")).alias("place"))
-    joined = rows.alias("d").join(plan.alias("p"), F.col("_source").eqNullSafe(F.col("p.source")))
+    plan = small(cut(decide(told_apart(cut(sizes(docs), "mix-sizes"))), "mix-decided"))
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), row_hash(docs, docs.columns).alias("_hash"), "source", seeded(F.col("doc_id"), F.col("text")).alias("place"))
+    joined = told_apart(rows, F.col("_hash")).alias("d").join(plan.alias("p"), F.col("d.source").eqNullSafe(F.col("p.source")))
     return joined.select("_row", F.explode(F.array_repeat(F.lit(0), repeats().cast("int"))).alias("_copy")).select("_row.*")
 
 
 SQL = """
-WITH d AS (
+WITH e AS (
     SELECT doc_id, source, len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '')) AS size,
         md5('mix-1:' || coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || md5(coalesce(text, ''))) AS place
     FROM documents
+), n AS (
+    SELECT *, row_number() OVER (PARTITION BY place ORDER BY source NULLS LAST) AS nth FROM e
+), d AS (
+    SELECT * EXCLUDE (place, nth), CASE WHEN nth = 1 THEN place ELSE md5(place || ':' || nth) END AS place FROM n
 ), s AS (
     SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source
 ), w AS (

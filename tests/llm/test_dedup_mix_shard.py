@@ -118,6 +118,22 @@ def test_mix_tells_rows_without_ids_apart(spark):
     assert all(abs(r.t - r.target) <= 10 for r in mixed)
 
 
+def test_mix_takes_repeated_rows_one_by_one(spark, tmp_path):
+    """A hundred times the same row in either source, and rows alike but for the source."""
+    data = [(None, "one two three four five six seven eight nine ten", "en", "a" if i % 5 < 3 else "b", i % 7) for i in range(200)]
+    data += [(1, "x y", "en", s, 0) for s in ("a", "b", None)]
+    docs = spark.createDataFrame(data, SCHEMA)
+    mixed = mixing.mix(docs)
+    for r in mixed.groupBy("target").agg(F.sum("taken").alias("t")).collect():
+        assert abs(r.t - r.target) <= 10
+    docs.write.parquet(str(tmp_path / "d"))
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/d/*.parquet'")
+    want = sorted((tuple(r) for r in db.execute(f"SELECT doc_id, size, source_size, target, taken FROM ({mixing.SQL})").fetchall()), key=repr)
+    assert sorted_rows(mixed.drop("repeats")) == want
+    assert mixing.stage(spark, docs, "").count() == mixed.agg(F.sum("repeats")).first()[0]
+
+
 def test_targets_water_fill(spark):
     sizes = spark.createDataFrame([("a", 10), ("b", 1000), ("c", 500), (None, 90), ("z", 0)], "source string, source_size long")
     got = {r.source: r for r in mixing.targets(sizes).collect()}
