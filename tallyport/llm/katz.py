@@ -293,10 +293,13 @@ class Bucket:
         #: Bigrams whose counts the owners of their second words sum.
         self.asked = np.flatnonzero(self.heavy_of[self.word_of] >= 0) if len(self.words) else np.zeros(0, np.int64)
 
-    def wanted(self, plan: Plan) -> np.ndarray:
-        """The words that follow, in order, but for those whose counts come with the statistics."""
-        found = np.unique(self.big_w)
-        return found[find(plan.heavy, found) < 0]
+
+def wanted_words(plan: Plan, payloads: list[bytes]) -> np.ndarray:
+    """The words that follow in a bucket, in order, but for those whose counts come with the statistics."""
+    found = np.zeros(0, np.uint64)
+    for payload in payloads:
+        found = np.union1d(found, plan.thaw_ngrams(payload)[2])
+    return found[find(plan.heavy, found) < 0]
 
 
 def _in_part(v: np.ndarray, part: int) -> np.ndarray:
@@ -336,16 +339,16 @@ def counter(shared: Shared):  # noqa: ANN201
         payloads = rows[rows["kind"] == "d"].sort_values("block")["payload"].tolist()
         totals, out = Totals(plan), []
         t = totals.part
+        wanted = wanted_words(plan, payloads)
+        to = wanted % np.uint64(plan.buckets)
+        for target in np.unique(to).tolist():
+            out.append((int(target), "r", own * PARTS, freeze(wanted[to == target])))
         for part in range(PARTS):
             b = Bucket(plan, payloads, part)
             # Who asks is a part of a bucket.
             me = own * PARTS + part
             light = (b.heavy_of < 0) & (b.word_count > 0)
             out.append((own, "u", me, freeze(b.words[light], b.word_count[light].astype(np.uint64))))
-            wanted = b.wanted(plan)
-            to = wanted % np.uint64(plan.buckets)
-            for target in np.unique(to).tolist():
-                out.append((int(target), "r", me, freeze(wanted[to == target])))
             heavy, w, c = b.heavy_of[b.word_of[b.asked]].astype(np.uint64), b.big_w[b.asked], b.c2[b.asked].astype(np.uint64)
             to = w % np.uint64(plan.buckets)
             for target in np.unique(to).tolist():
@@ -504,12 +507,12 @@ class Scored:
     hot_followers: np.ndarray
 
 
-def scored(b: Bucket, plan: Plan, m: Model, counts: np.ndarray, asked: np.ndarray) -> Scored:
-    """From the answers: counts of `b.wanted` words, and summed counts of the `b.asked` bigrams."""
+def scored(b: Bucket, plan: Plan, m: Model, wanted: np.ndarray, counts: np.ndarray, asked: np.ndarray) -> Scored:
+    """From the answers: counts of the `wanted` words, and summed counts of the `b.asked` bigrams."""
     heavy_w = find(plan.heavy, b.big_w)
     cw = m.heavy_tokens[np.maximum(heavy_w, 0)]
     light = heavy_w < 0
-    cw[light] = counts[find(b.wanted(plan), b.big_w[light])] if light.any() else 0
+    cw[light] = counts[find(wanted, b.big_w[light])] if light.any() else 0
     p1 = m.p(cw)
     # Bigrams.
     c2, is_heavy = b.c2.copy(), b.heavy_of >= 0
@@ -555,9 +558,11 @@ def scorer(shared: Shared):  # noqa: ANN201
             sums: list[list[np.ndarray] | None] = [None] * len(blocks)
             late: list[list[np.ndarray]] = [[] for _ in blocks]
             hot = np.zeros(len(plan.hot))
+            wanted = wanted_words(plan, payloads)
+            counts = _answers(sent, "a", 0, wanted, plan)
             for part in range(PARTS):
                 b = Bucket(plan, payloads, part, places=True)
-                s = scored(b, plan, m, *_answers(sent, b, plan, part))
+                s = scored(b, plan, m, wanted, counts, _answers(sent, "q", part, b.big_w[b.asked], plan))
                 hot += s.hot_followers
                 cw = s.word_counts[b.big_of]
                 base, known = m.base(cw), cw > 0
@@ -585,17 +590,13 @@ def scorer(shared: Shared):  # noqa: ANN201
     return run
 
 
-def _answers(sent: pd.DataFrame, b: Bucket, plan: Plan, part: int) -> tuple[np.ndarray, np.ndarray]:
-    """Counts of the words and summed counts of the bigrams that a part of a bucket asked for."""
-    wanted = b.wanted(plan)
-    counts, to = np.zeros(len(wanted), np.int64), wanted % np.uint64(plan.buckets)
-    asked, to_b = np.zeros(len(b.asked), np.int64), b.big_w[b.asked] % np.uint64(plan.buckets)
-    for kind, source, payload in sent[["kind", "source", "payload"]].itertuples(index=False):
-        if kind == "a" and source % PARTS == part:
-            counts[to == source // PARTS] = thaw(payload)[0]
-        elif kind == "q" and source % PARTS == part:
-            asked[to_b == source // PARTS] = thaw(payload)[0]
-    return counts, asked
+def _answers(sent: pd.DataFrame, kind: str, part: int, words: np.ndarray, plan: Plan) -> np.ndarray:
+    """What the owners of `words` answered to a part of a bucket, in their order."""
+    out, to = np.zeros(len(words), np.int64), words % np.uint64(plan.buckets)
+    of = sent[(sent["kind"] == kind) & (sent["source"] % PARTS == part)]
+    for source, payload in of[["source", "payload"]].itertuples(index=False):
+        out[to == source // PARTS] = thaw(payload)[0]
+    return out
 
 
 def _follower_sum(rows: pd.DataFrame) -> pd.DataFrame:
@@ -781,18 +782,18 @@ def evaluate(spark: SparkSession, path: str, docs: DataFrame) -> DataFrame:
 def planned(docs: DataFrame, buckets: int, n: int) -> Plan:
     """Common words, heavy words and hot pairs by a sample of documents. What comes to the driver is bounded by COMMON and HEAVY."""
 
-    @F.pandas_udf("array<struct<a:bigint,b:bigint>>")
-    def pairs(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cache: dict[bytes, int] = {}
-        for texts in batches:
-            rows = []
-            for t in texts:
-                x = np.concatenate(([START, START], word_hashes(t, cache)))
-                rows.append([{"a": a, "b": b} for a, b in zip(x[:-1].view(np.int64).tolist(), x[1:].view(np.int64).tolist(), strict=True)])
-            yield pd.Series(rows)
+        for batch in batches:
+            for at in range(0, len(batch), 64):
+                texts = [np.concatenate(([START, START], word_hashes(t, cache))).astype(np.uint64) for t in batch["text"][at : at + 64]]
+                a, b = np.concatenate([x[:-1] for x in texts]), np.concatenate([x[1:] for x in texts])
+                order = np.lexsort((b, a))
+                first = _starts(a[order], b[order])
+                yield pd.DataFrame({"a": a[order][first].view(np.int64), "b": b[order][first].view(np.int64), "n": _runs(first, len(a))})
 
     sample = docs.where(F.pmod(F.xxhash64(F.lit("katz"), "doc_id", "text"), F.lit(max(1, n // SAMPLE))) == 0)
-    seen = sample.select(F.explode(pairs(F.col("text").cast("binary"))).alias("x")).groupBy("x.a", "x.b").agg(F.count(F.lit(1)).alias("n"))
+    seen = sample.select(F.col("text").cast("binary").alias("text")).mapInPandas(pairs, "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
     seen = cut(seen, "katz-pairs")
     words = seen.groupBy("b").agg(F.sum("n").alias("n"))
     total = words.agg(F.sum("n")).first()[0] or 0
