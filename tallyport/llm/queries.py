@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyport.llm import decontaminate, fingerprints, katz, licenses, mixing, pii, sharding, simhash, tokens, toxicity
+from tallyport.llm import decontaminate, fingerprints, infill, katz, licenses, minhash, mixing, pii, ranked, sharding, simhash, tokens, toxicity
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,8 +28,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_mix_sources": mixing.query,
         "op9_token_segments": tokens.query,
         "op10_shard_slots": sharding.query,
+        "op11_minhash_near_dedup": minhash.query,
+        "op12_ranked_search": ranked.query,
+        "op13_fill_in_middle": infill.query,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_mix_sources": mixing.SQL}
+    return {"op8_mix_sources": mixing.SQL, "op12_ranked_search": ranked.SQL, "op13_fill_in_middle": infill.SQL}

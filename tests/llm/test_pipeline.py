@@ -35,6 +35,6 @@ def test_stages_in_order_and_effective(spark, tmp_path):
 
 
 def test_every_operator_has_a_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.queries() if n.startswith("op")) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.queries() if n.startswith("op")) == list(range(1, 14))
     assert corpus_pipeline.ORACLE_SQL is None
     assert set(queries.oracle_sql()) <= set(queries.queries())
