@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import DataFrame
@@ -11,6 +12,9 @@ from pyspark.sql import types as T
 from tallyport.functions.types import parse_type, spark_type, sql_type
 
 
+_UNIQUE = re.compile(r"\s*CREATE\s+UNIQUE\s+INDEX\b[^(]*\(([^()]*)\)(?:\s+INCLUDE\s*\([^()]*\))?\s*;?\s*$", re.IGNORECASE | re.DOTALL)
+
+
 @dataclass(frozen=True)
 class ColumnContract:
     name: str
@@ -45,6 +49,18 @@ class TableContract:
         """The primary key, else the first unique constraint: one key, stated, never several run together."""
         return list(self.primary_key or (self.unique[0] if self.unique else ()))
 
+    @property
+    def all_keys(self) -> list[list[str]]:
+        """The primary key, the unique constraints and the unique indexes over plain columns, each once."""
+        found = [list(k) for k in (self.primary_key, *self.unique) if k]
+        for statement in self.indexes.values():
+            named = _UNIQUE.match(statement)
+            columns = [c.strip().strip('"') for c in named[1].split(",")] if named else []
+            # An index over an expression, or of a part of the rows, is no key of whole columns.
+            if columns and all(c in self.names for c in columns):
+                found.append(columns)
+        return [k for i, k in enumerate(found) if sorted(k) not in [sorted(x) for x in found[:i]]]
+
     @property
     def defaults(self) -> dict[str, str]:
         return {c.name: c.default for c in self.columns if c.default is not None}

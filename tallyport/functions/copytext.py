@@ -51,6 +51,14 @@ def fields(line: Column) -> Column:
     return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, "\t", -1))
 
 
+def packed(lines: DataFrame, width: int, line: str = "raw") -> DataFrame:
+    """`lines` with `good` (whether the width is right) and a struct `row` of the decoded fields f0, f1, ... The fields are
+    one array that a generator puts out, so they are split and decoded once, however often later steps use them."""
+    once = lines.select("*", F.explode(F.array(F.struct(F.transform(fields(F.col(line)), decode).alias("f")))).alias("_x"))
+    row = F.struct(*(F.get("_x.f", F.lit(i)).alias(f"f{i}") for i in range(width))) if width else F.struct(F.lit(None).alias("f0"))
+    return once.select(*(F.col(f"`{c}`") for c in lines.columns), (F.size("_x.f") == width).alias("good"), row.alias("row"))
+
+
 def decoded(lines: DataFrame, line: str, names: tuple[str, ...] | list[str]) -> DataFrame:
     """`lines` with `good` (whether the width is right) and the decoded fields under `names`. The fields are one array that
     a generator puts out, so they are split and decoded once, however often later steps use them."""

@@ -20,6 +20,23 @@ def render(value: Column, kind: T.DataType) -> Column:
     return value.cast("string")
 
 
+def cell_text(value: Column, kind: T.DataType) -> Column:
+    """Text of a cell that goes into a column of another type: floats without an exponent and without `.0`."""
+    return plain_float(value, kind) if isinstance(kind, (T.FloatType, T.DoubleType)) else render(value, kind)
+
+
+def plain_float(value: Column, kind: T.DataType) -> Column:
+    """The shortest digits that give the float again, written out: 1.0E7 is 10000000, 1.5E-5 is 0.000015."""
+    text = value.cast("string")
+    mantissa, exponent = F.split_part(text, F.lit("E"), F.lit(1)), F.coalesce(F.split_part(text, F.lit("E"), F.lit(2)).try_cast("int"), F.lit(0))
+    sign = F.when(F.startswith(mantissa, F.lit("-")), F.lit("-")).otherwise(F.lit(""))
+    bare = F.regexp_replace(mantissa, "^-", "")
+    whole, part = F.split_part(bare, F.lit("."), F.lit(1)), F.regexp_replace(F.split_part(bare, F.lit("."), F.lit(2)), "^0$", "")
+    digits, point = F.concat(whole, part), F.length(whole) + exponent
+    wide = F.when(point <= 0, F.concat(F.lit("0."), F.repeat(F.lit("0"), -point), digits)).when(point >= F.length(digits), F.rpad(digits, point, F.lit("0"))).otherwise(F.concat(F.left(digits, point), F.lit("."), F.substr(digits, point + 1)))
+    return F.when(F.isnan(value), "NaN").when(F.abs(value) == float("inf"), F.concat(sign, F.lit("inf"))).otherwise(F.concat(sign, wide))
+
+
 def timestamp_text(value: Column) -> Column:
     """`yyyy-MM-dd HH:mm:ss` and, if there is a fraction, three or six digits of it."""
     micros = F.date_format(value, "SSSSSS")

@@ -41,6 +41,10 @@ def missing_chunks(results: DataFrame, chunks: int) -> DataFrame:
     return results.sparkSession.range(chunks).select(F.col("id").cast("int").alias("chunk_id")).join(results.select("chunk_id"), "chunk_id", "left_anti")
 
 
+#: Below this part of the estimate a load warns.
+WARN_PART = 0.5
+
+
 def too_few(processed: int, estimated: int | None, part: float = 0.75) -> bool:
     """Whether a load processed less than a part of what was estimated."""
     return estimated is not None and processed < part * estimated

@@ -5,7 +5,6 @@ The tables hold no NULL and no blank text, so queries about those make such valu
 
 from __future__ import annotations
 
-import shutil
 import uuid
 from collections.abc import Callable
 from dataclasses import replace
@@ -509,16 +508,12 @@ def _home(spark: SparkSession, name: str) -> Place:
 
 
 def _written(lines: DataFrame, home: Place, name: str, before: str = "", after: str = "") -> str:
-    """One text file of `lines` in their order, between two texts. Executors write parts; they are put together by bytes."""
-    lines.write.option("lineSep", "\n").text((home / f"{name}.parts").for_spark)
-    target = (home / name).source.path
-    with open(target, "wb") as out:
-        out.write(before.encode())
-        for part in (home / f"{name}.parts").files():
-            with open(part, "rb") as file:
-                shutil.copyfileobj(file, out)
-        out.write(after.encode())
-    return target
+    """A text source of `lines` between two texts: a folder of parts, the lines written by the executors."""
+    source = home / name
+    (source / "0-before").write_text(before)
+    lines.write.option("lineSep", "\n").text((source / "1-lines").for_spark)
+    (source / "2-after").write_text(after)
+    return source.for_spark
 
 
 def _csv_line(df: DataFrame, delimiter: str = ",") -> Column:
@@ -537,14 +532,9 @@ def _store_of(spark: SparkSession, sf_dir: str, home: Place, names: dict[str, st
 
 
 def _dump_of(spark: SparkSession, sf_dir: str, home: Place, names: dict[str, str]) -> str:
-    """A dump file of tables, by way of the export of a store."""
-    parts = jobs.export_parts(_store_of(spark, sf_dir, home / "store", names), (home / "parts").for_spark)
-    target = (home / "dump.sql").source.path
-    with open(target, "wb") as out:
-        for part in parts:
-            with open(part, "rb") as file:
-                shutil.copyfileobj(file, out)
-    return target
+    """A dump of tables, by way of the export of a store: the folder of its parts."""
+    jobs.export_parts(_store_of(spark, sf_dir, home / "store", names), (home / "dump").for_spark)
+    return (home / "dump").for_spark
 
 
 @query("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders")
@@ -578,8 +568,7 @@ def dump_scan_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     line = copytext.encode_line(*(F.col(c).cast("string") for c in docs.columns))
     path = _written(docs.select(line), home, "dump.sql", "SET statement_timeout = 0;\nCOPY public.documents (doc_id, text, lang, source) FROM stdin;\n", "\\.\n")
-    with Place.of(path).open() as file:
-        block = dumpscan.find_block(dumpscan.blocks(file), "public", "documents")
+    block = dumpscan.find_block(dumpsource.index(spark, path, 1 << 20), "public", "documents")
     rows = dumpsource.scan(dumpsource.raw_lines(spark, path, block.data_start, block.data_end, 1 << 20), block.columns)
     return rows.where("good").select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", "lang", "source")
 

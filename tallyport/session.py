@@ -51,7 +51,16 @@ def shared_folder(spark: SparkSession) -> str:
 def cut(df: DataFrame, name: str) -> DataFrame:
     """`df` written as a table in the shared folder and read again: ends its lineage, survives lost executors."""
     df.write.parquet(path := f"{shared_folder(df.sparkSession).rstrip('/')}/tallyport/{name}-{uuid.uuid4().hex}")
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._cut_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove tables that `cut` wrote, once nothing reads them any more."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._cut_path)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def ship(spark: SparkSession) -> None:

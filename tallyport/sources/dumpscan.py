@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 HEADER_LIMIT = 1 << 20
-LINE_LIMIT = 1 << 30
 ARCHIVE_MAGIC = b"PGDMP"
 
 
@@ -106,57 +105,84 @@ def parse_header(line: str) -> tuple[str, str, tuple[str, ...]] | None:
     return (schema, table, columns) if _TAIL.fullmatch(line, at) else None
 
 
-def _lines(file, limit: int = LINE_LIMIT) -> Iterator[tuple[int, bytes]]:  # noqa: ANN001
-    """(offset, line with its end) from the file's start; a line longer than the limit is an error."""
-    at, held, size = 0, [], 0
-    file.seek(0)
-    while block := file.read(1 << 20):
-        *lines, rest = block.split(b"\n")
-        for line in lines:
-            whole = b"".join([*held, line, b"\n"])
-            yield at, whole
-            at, held, size = at + len(whole), [], 0
-        if rest:
-            held.append(rest)
-            size += len(rest)
-        if size > limit:
-            raise ScanError(f"a line at byte {at} is longer than {limit} bytes")
-    if held:
-        yield at, b"".join(held)
-
-
 def check_plain(file) -> None:  # noqa: ANN001
     file.seek(0)
     if file.read(len(ARCHIVE_MAGIC)) == ARCHIVE_MAGIC:
         raise NotPlainText("the file is a binary archive; make a plain-text dump")
 
 
-def _ends(line: bytes) -> bool:
-    """Whether a line ends a block: a backslash and a dot, with a carriage return only before a line end."""
-    return line in (b"\\.\n", b"\\.\r\n", b"\\.")
+_TERMINATOR = re.compile(rb"^\\\.(?:\r?\n|\Z)", re.MULTILINE)
+_HEADER = re.compile(rb"^COPY[^\n]*(?:\n|\Z)", re.IGNORECASE | re.MULTILINE)
+HEADER, END, ERROR = "header", "end", "error"
 
 
-def blocks(file) -> list[Block]:  # noqa: ANN001
-    """All data blocks, in one forward pass."""
-    check_plain(file)
+@dataclass(frozen=True)
+class Event:
+    """A header line, a line that ends a block, or why the scan can't go on; `at` and `after` are the line's offsets."""
+
+    kind: str
+    at: int
+    after: int
+    schema: str = ""
+    table: str = ""
+    columns: tuple[str, ...] = ()
+    error: str = ""
+
+
+def events(data: bytes, base: int, inside: bool) -> list[Event]:
+    """What happens in a chunk that begins, at offset `base`, inside or outside of a block. A backslash and a dot end a block,
+    with a carriage return only before a line end. Nothing that lies inside a block is looked at but its end."""
+    out: list[Event] = []
+    at = 0
+    while True:
+        found = (_TERMINATOR if inside else _HEADER).search(data, at)
+        if found is None:
+            return out
+        at = found.end()
+        here = (base + found.start(), base + found.end())
+        if inside:
+            out.append(Event(END, *here))
+            inside = False
+            continue
+        try:
+            if len(found[0]) > HEADER_LIMIT:
+                raise ScanError(f"the header at byte {here[0]} is longer than {HEADER_LIMIT} bytes")
+            head = parse_header(found[0].decode("utf-8", "replace"))
+        except ScanError as error:
+            return [*out, Event(ERROR, *here, error=f"{type(error).__name__}:{error}")]
+        if head:
+            out.append(Event(HEADER, *here, *head))
+            inside = True
+
+
+def joined(chunks: Iterable[tuple[list[Event], list[Event]]]) -> list[Block]:
+    """Blocks from the events of each chunk, in order, if it begins outside and if it begins inside of a block. Chunks in
+    which nothing happens either way can be left out."""
     out: list[Block] = []
-    head: tuple[str, str, tuple[str, ...], int, int] | None = None
-    for at, line in _lines(file):
-        if head is not None:
-            if _ends(line):
-                schema, table, columns, start, data = head
-                out.append(Block(schema, table, columns, start, data, at, at + len(line)))
+    head: Event | None = None
+    for outside, inside in chunks:
+        for event in outside if head is None else inside:
+            if event.kind == ERROR:
+                name, _, text = event.error.partition(":")
+                raise next((c for c in ScanError.__subclasses__() if c.__name__ == name), ScanError)(text)
+            if event.kind == HEADER:
+                head = event
+            else:
+                out.append(Block(head.schema, head.table, head.columns, head.at, head.after, event.at, event.after))
                 head = None
-        elif line[:4].upper() == b"COPY":
-            if len(line) > HEADER_LIMIT:
-                raise ScanError(f"the header at byte {at} is longer than {HEADER_LIMIT} bytes")
-            if found := parse_header(line.decode("utf-8", "replace")):
-                head = (*found, at, at + len(line))
     if head is not None:
-        raise MissingTerminator(f"the rows of {head[0]}.{head[1]} do not end")
+        raise MissingTerminator(f"the rows of {head.schema}.{head.table} do not end")
     return out
 
 
+def blocks(file) -> list[Block]:  # noqa: ANN001
+    """All data blocks of an open file that fits into memory; `dumpsource.index` finds those of any."""
+    check_plain(file)
+    file.seek(0)
+    data = file.read()
+    return joined([(events(data, 0, False), [])])
+
+
 def find_block(found: list[Block], schema: str, table: str) -> Block:
     same = [b for b in found if (b.schema, b.table) == (schema, table)]
     if not same:

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import re
+import uuid
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 from urllib.parse import unquote
@@ -25,9 +29,60 @@ class Source:
     def for_spark(self) -> str:
         return f"s3a://{self.path}" if self.scheme == "s3" else f"file://{self.path}" if self.path.startswith("/") else self.path
 
-    def open(self):  # noqa: ANN201
-        system = fs.S3FileSystem() if self.scheme == "s3" else fs.LocalFileSystem()
-        return system.open_input_file(self.path)
+    def open(self) -> Joined:
+        """The file, or the files of the folder put together in order of name."""
+        return Joined(self.scheme, Place(self).pieces())
+
+
+def file_system(scheme: str) -> fs.FileSystem:
+    return fs.S3FileSystem() if scheme == "s3" else fs.LocalFileSystem()
+
+
+class Joined:
+    """Files read as one: a position is that in all of them put together. Only the files that are read are opened."""
+
+    def __init__(self, scheme: str, pieces: list[tuple[str, int]]) -> None:
+        self._system, self._pieces = file_system(scheme), pieces
+        self._starts = [0]
+        for _, size in pieces:
+            self._starts.append(self._starts[-1] + size)
+        self._at, self._number, self._file = 0, -1, None
+
+    def size(self) -> int:
+        return self._starts[-1]
+
+    def seek(self, at: int) -> None:
+        self._at = at
+
+    def read(self, n: int = -1) -> bytes:
+        """As many bytes, fewer only at the end."""
+        left = self.size() - self._at if n < 0 else min(n, self.size() - self._at)
+        out = []
+        while left > 0:
+            # The last file that begins at or before the position; empty files begin where the next one does.
+            number = bisect_right(self._starts, self._at, 0, len(self._pieces)) - 1
+            if number != self._number:
+                self.close()
+                self._file, self._number = self._system.open_input_file(self._pieces[number][0]), number
+            self._file.seek(self._at - self._starts[number])
+            part = self._file.read(min(left, self._starts[number + 1] - self._at))
+            if not part:
+                raise EOFError(f"{left} bytes are missing in {self._pieces[number][0]}")
+            out.append(part)
+            self._at += len(part)
+            left -= len(part)
+        return out[0] if len(out) == 1 else b"".join(out)
+
+    def close(self) -> None:
+        if self._file is not None:
+            self._file.close()
+        self._file, self._number = None, -1
+
+    def __enter__(self) -> Joined:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        self.close()
 
 
 @dataclass(frozen=True)
@@ -49,7 +104,7 @@ class Place:
 
     @property
     def _system(self) -> fs.FileSystem:
-        return fs.S3FileSystem() if self.source.scheme == "s3" else fs.LocalFileSystem()
+        return file_system(self.source.scheme)
 
     def read_text(self) -> str | None:
         """None if there is no such file."""
@@ -77,19 +132,48 @@ class Place:
 
     def size(self) -> int:
         """Bytes of a file, or of all files of a folder."""
+        return sum(size for _, size in self.pieces())
+
+    def pieces(self) -> list[tuple[str, int]]:
+        """(path, bytes) of the file itself, or of the data files below the folder, in order of name; runs of digits are
+        ordered as numbers. Names that begin with a dot or an underscore are no data."""
         info = self._system.get_file_info(self.source.path)
         if info.type == fs.FileType.File:
-            return info.size
-        return sum(f.size or 0 for f in self._system.get_file_info(fs.FileSelector(self.source.path, recursive=True)))
+            return [(self.source.path, info.size)]
+        if info.type != fs.FileType.Directory:
+            raise FileNotFoundError(f"there is nothing at {self.source.path}")
+        below = len(self.source.path.rstrip("/")) + 1
+        found = [(f.path, f.size) for f in self._system.get_file_info(fs.FileSelector(self.source.path, recursive=True)) if f.type == fs.FileType.File]
+        shown = [f for f in found if not any(name.startswith(("_", ".")) for name in f[0][below:].split("/"))]
+        return sorted(shown, key=lambda f: [[int(x) if x.isdigit() else x for x in re.split(r"(\d+)", name)] for name in f[0][below:].split("/")])
 
     def files(self) -> list[str]:
-        """The path itself, or the data files of the folder, in order of name."""
-        if self._system.get_file_info(self.source.path).type == fs.FileType.File:
-            return [self.source.path]
-        return [f"{self.source.path.rstrip('/')}/{n}" for n in self.names() if not n.startswith(("_", "."))]
-
-    def open(self, path: str | None = None):  # noqa: ANN201
-        return self._system.open_input_file(path or self.source.path)
+        return [path for path, _ in self.pieces()]
+
+    def open(self) -> Joined:
+        return Joined(self.source.scheme, self.pieces())
+
+    def create(self, text: str) -> bool:
+        """Write a new file, whole; False if there is one already. On a local file system, also a mounted one, just one of
+        several writers succeeds."""
+        system = self._system
+        if system.get_file_info(self.source.path).type != fs.FileType.NotFound:
+            return False
+        if self.source.scheme == "s3":
+            self.write_text(text)
+            return True
+        parent = self.source.path.rpartition("/")[0] or "."
+        system.create_dir(parent, recursive=True)
+        draft = f"{parent}/.{uuid.uuid4().hex}"
+        with open(draft, "w", encoding="utf-8") as file:
+            file.write(text)
+        try:
+            os.link(draft, self.source.path)
+        except FileExistsError:
+            return False
+        finally:
+            os.unlink(draft)
+        return True
 
     def remove(self) -> None:
         info = self._system.get_file_info(self.source.path)
