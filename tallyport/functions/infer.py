@@ -130,11 +130,17 @@ def composed(parts: DataFrame) -> DataFrame:
     return together.select("run", F.col("all")[0]["part"].alias("part"), whole.alias("x")).select("run", "part", "x.*")
 
 
+#: Columns whose types are found in compiled code.
+FEW = 16
+
+
 def infer_runs(rows: DataFrame, names: list[str], values: list[Column]) -> list[Inferred]:
     """Types of text columns `values` of rows (run, at, ...) by the fold over all rows, in order of run and at. Executors fold
     runs; no row comes to the driver. A run's rows must be in order within a partition, as a chunk's are."""
     codes = F.create_map(*(x for name, code in _AT.items() for x in (F.lit(name), F.lit(code).cast("tinyint"))))
-    typed = rows.select(F.col("run").cast("long").alias("run"), F.col("at").cast("long").alias("at"), F.array(*(codes[value_type(v)] for v in values)).alias("types"))
+    # Many columns in one function would be too much code to compile; a lambda is compiled once for all.
+    types = F.array(*(codes[value_type(v)] for v in values)) if len(values) <= FEW else F.transform(F.array(*values), lambda v: codes[value_type(v)])
+    typed = rows.select(F.col("run").cast("long").alias("run"), F.col("at").cast("long").alias("at"), types.alias("types"))
     parts = run_maps(typed)
     found = composed(parts).collect()
     state, nulls, total = [0] * len(names), [False] * len(names), 0

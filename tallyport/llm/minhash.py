@@ -5,14 +5,16 @@ A text's set is its distinct shingles of WIDTH lower-cased words. Each of HASHES
 ROWS minima are the buckets. Two sets of similarity 0.8 share no bucket with probability (1 - 0.8 ** 5) ** 51, below 2e-9,
 and more similar ones less. The lowest bits of the minima, packed into a few words, are the signature: of two sets with
 similarity s they differ in (1 - s) / 2 of HASHES bits, so a pair that differs in more than MOST_APART is left out (at 0.8
-that is seven standard deviations off, below 1e-10). Sizes rule out pairs exactly. What is left is compared on full sets.
+that is nearly seven standard deviations off, below 1e-9). Sizes rule out pairs exactly. What is left is compared on full sets.
 
 Equal word sequences count as one text from the start. A bucket is never ordered, collected or read by one task: what has
-to be known of it is aggregated and joined back. Its pairs are settled in rounds. In HUBS rounds each member is compared
-with the bucket's most central text that it is not joined with (a family of copies meets its original most often), and what
-is alike becomes one component. Then all pairs of members that are still in two components are compared; they are dealt
-out by size classes, of which only neighbours can hold similar sets, and within a class by groups. So no link between two
-components is lost, and a family that is one component costs no pairs.
+to be known of it is aggregated and joined back. Its pairs are settled in rounds. In HUBS rounds each text is compared with
+one other, the most central text of any of its buckets that it is not joined with (a family of copies meets its original most
+often), and what is alike becomes one component. Then all pairs of members that are still in two components are compared, each
+in the first bucket that both are in; they are dealt out by size classes, of which only neighbours can hold similar sets, and
+within a class by groups. So no link between two components is lost, and a family that is one component costs no pairs. Texts
+of a family that are alike, but not alike enough, are the part that grows with the square of the family: no bound short of
+the comparison tells them from links.
 
 Defined results: texts without words (null, empty, blank) have an empty set and link with nothing; with fewer words than a
 shingle the whole sequence is the one shingle; rows that repeat are in one component, and all are kept if their doc_id is
@@ -42,8 +44,8 @@ WIDTH = 4
 SIMILARITY = Fraction(4, 5)
 BANDS, ROWS = 51, 5
 HASHES = 256
-MOST_APART = 60
-HUBS = 2
+MOST_APART = 58
+HUBS = 3
 #: Members of a bucket's size class that are paired in one group.
 GROUP = 256
 _SEED = 20_240_229
@@ -101,6 +103,11 @@ def band_keys(minima: np.ndarray) -> list[int]:
     return [xxhash.xxh64_intdigest(data[i * size : (i + 1) * size], i) - (1 << 63) for i in range(BANDS)]
 
 
+def lanes(keys: list[int]) -> np.ndarray:
+    """32 bits of each band's key, which tell the first band that two texts share but for one pair in 10**8."""
+    return np.array(keys, np.int64).view(np.uint32)[::2].view(np.int32)
+
+
 def signature(minima: np.ndarray) -> list[int]:
     """The minima's lowest bits as signed longs."""
     return np.packbits((minima & np.uint32(1)).astype(np.uint8), bitorder="little").view("<i8").tolist()
@@ -109,7 +116,7 @@ def signature(minima: np.ndarray) -> list[int]:
 _LONGS = T.ArrayType(T.LongType())
 
 
-@F.pandas_udf(T.StructType().add("h", "long").add("size", "long").add("sig", _LONGS).add("keys", _LONGS))
+@F.pandas_udf(T.StructType().add("h", "long").add("size", "long").add("sig", _LONGS).add("keys", _LONGS).add("lanes", T.ArrayType(T.IntegerType())))
 def sketches(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     """A text to the hash of its words, its set's size, its signature and its bands' keys."""
     drawn = Hashes()
@@ -118,10 +125,14 @@ def sketches(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for text in texts:
             found = text_words(text)
             hashes = shingle_hashes(found)
-            minima = drawn.minima(hashes) if len(hashes) else None
             h = xxhash.xxh64_intdigest(b" ".join(found)) - (1 << 63)
-            rows.append((h, len(hashes), [], []) if minima is None else (h, len(hashes), signature(minima), band_keys(minima)))
-        yield pd.DataFrame(rows, columns=["h", "size", "sig", "keys"])
+            if not len(hashes):
+                rows.append((h, 0, [], [], []))
+                continue
+            minima = drawn.minima(hashes)
+            keys = band_keys(minima)
+            rows.append((h, len(hashes), signature(minima), keys, lanes(keys)))
+        yield pd.DataFrame(rows, columns=["h", "size", "sig", "keys", "lanes"])
 
 
 @F.pandas_udf(T.LongType())
@@ -159,15 +170,15 @@ def near(a: Column, b: Column) -> Column:
 
 
 def met(texts: DataFrame) -> DataFrame:
-    """(key, h, root) of distinct texts in the buckets that hold more than one, each text its own root."""
-    dealt = texts.where("size > 0").select("h", F.explode("keys").alias("key"))
+    """(key, band, h, root) of distinct texts in the buckets that hold more than one, each text its own root."""
+    dealt = texts.where("size > 0").select("h", F.posexplode("keys").alias("band", "key"))
     shared = dealt.groupBy("key").agg(F.min("h").alias("least"), F.max("h").alias("most")).where("least <> most").select("key")
-    return cut(dealt.join(shared, "key").select("key", "h", F.col("h").alias("root")), "minhash-met")
+    return cut(dealt.join(shared, "key").select("key", "band", "h", F.col("h").alias("root")), "minhash-met")
 
 
 def live(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """(key, h, root) of the buckets whose members are not all in one component."""
-    rooted = cut(members.select("key", "h").join(roots.withColumnRenamed("node", "h"), "h", "left").select("key", "h", F.coalesce("root", "h").alias("root")), "minhash-rooted")
+    """(key, band, h, root) of the buckets whose members are not all in one component."""
+    rooted = cut(members.select("key", "band", "h").join(roots.withColumnRenamed("node", "h"), "h", "left").select("key", "band", "h", F.coalesce("root", "h").alias("root")), "minhash-rooted")
     open_ = rooted.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least <> most").select("key")
     out = cut(rooted.join(open_, "key"), "minhash-live")
     discard(rooted)
@@ -180,38 +191,40 @@ def _with_sketches(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return pairs.join(of("a"), "a").join(of("b"), "b").where(near(F.col("of_a"), F.col("of_b"))).select("a", "b")
 
 
-def hub_pairs(members: DataFrame, texts: DataFrame, nth: int) -> DataFrame:
-    """Pairs of each bucket's most central member and those of other components; with `nth` above 0, of the most central
-    one that is in none of the nth components before."""
+def hub_pairs(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs (a, b): each text with the most central one, of those that are first in one of its buckets, in another component."""
     counts = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
     weights = members.join(counts, "key").groupBy("h").agg(F.sum(F.col("n") - 1).alias("weight"))
-    left = members.join(weights, "h")
-    hub = None
-    for _ in range(nth + 1):
-        if hub is not None:
-            left = left.join(hub.select("key", F.col("hub.root").alias("taken")), "key").where("root <> taken").drop("taken")
-        hub = left.groupBy("key").agg(F.max_by(F.struct("h", "root"), F.struct("weight", F.bitwise_not(F.col("h")))).alias("hub"))
-    joined = members.join(hub, "key").where(F.col("root") != F.col("hub.root"))
-    pairs = joined.select(F.least("h", F.col("hub.h")).alias("a"), F.greatest("h", F.col("hub.h")).alias("b")).distinct()
-    return _with_sketches(pairs, texts)
+    rank = F.struct("weight", F.bitwise_not(F.col("h")))
+    hub = members.join(weights, "h").groupBy("key").agg(F.max_by(F.struct("h", "root", "weight"), rank).alias("hub"))
+    apart = members.join(hub, "key").where(F.col("root") != F.col("hub.root"))
+    best = apart.groupBy("h").agg(F.max_by("hub.h", F.struct("hub.weight", F.bitwise_not(F.col("hub.h")))).alias("hub"))
+    pairs = best.select(F.least("h", "hub").alias("a"), F.greatest("h", "hub").alias("b")).distinct()
+    of = lambda side: texts.select(F.col("h").alias(side), F.struct("size", "sig").alias(f"of_{side}"))
+    return pairs.join(of("a"), "a").join(of("b"), "b").where(near(F.col("of_a"), F.col("of_b"))).select("a", "b")
 
 
 def all_pairs(members: DataFrame, texts: DataFrame) -> DataFrame:
-    """Pairs of members of one bucket that are in two components. Sets of which one is less than 0.8 times as large as the
-    other never meet, and a size class is dealt out as pairs of groups."""
+    """Pairs of members of one bucket that are in two components, each in the first bucket that both are in. Sets of which one
+    is less than 0.8 times as large as the other never meet, and a size class is dealt out as pairs of groups."""
     # A trifle more than the logarithm, so that rounding never puts similar sizes two classes apart.
     step = math.log(_DOWN / _UP) * (1 + 1e-9)
-    sized = members.join(texts.select("h", "size", "sig"), "h").withColumn("class", F.floor(F.log("size") / step).cast("int"))
+    sized = members.join(texts.select("h", "size", "sig", "lanes"), "h").withColumn("class", F.floor(F.log("size") / step).cast("int"))
     counts = sized.groupBy("key", "class").agg(F.count(F.lit(1)).alias("n"))
-    member = F.struct("h", "root", "size", "sig")
+    member = F.struct("h", "root", "size", "sig", "lanes")
     # A pair of two classes is met at the upper one. One side is dealt to its own group, the other to every group.
     right = sized.select("key", F.explode(F.array(F.col("class"), F.col("class") + 1)).alias("class"), member.alias("b"))
     groups = counts.select("key", "class", F.ceil(F.col("n") / GROUP).cast("int").alias("groups"))
-    left = sized.select("key", "class", member.alias("a")).join(groups, ["key", "class"]).select("key", "class", F.pmod(F.xxhash64("a.h"), F.col("groups")).cast("int").alias("group"), "a")
+    left = sized.select("key", "band", "class", member.alias("a")).join(groups, ["key", "class"]).select("key", "band", "class", F.pmod(F.xxhash64("a.h"), F.col("groups")).cast("int").alias("group"), "a")
     right = right.join(groups, ["key", "class"]).select("key", "class", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("group"), "b")
-    a, b = F.col("a"), F.col("b")
-    apart = left.join(right, ["key", "class", "group"]).where((a["root"] != b["root"]) & near(a, b))
-    return apart.select(F.least("a.h", "b.h").alias("a"), F.greatest("a.h", "b.h").alias("b")).distinct()
+    left, right = left.alias("l"), right.alias("r")
+    a, b = F.col("l.a"), F.col("r.b")
+    one = reduce(Column.__and__, [F.col(f"l.{c}") == F.col(f"r.{c}") for c in ("key", "class", "group")])
+    # Pairs of one class would meet twice.
+    once = (F.floor(F.log(b["size"]) / step).cast("int") != F.col("l.class")) | (a["h"] < b["h"])
+    before = lambda side: F.slice(side["lanes"], F.lit(1), F.col("l.band"))
+    earlier = F.exists(F.zip_with(before(a), before(b), lambda x, y: x == y), lambda same: same)
+    return left.join(right, one & once & (a["root"] != b["root"]) & near(a, b) & ~earlier).select(F.least("l.a.h", "r.b.h").alias("a"), F.greatest("l.a.h", "r.b.h").alias("b"))
 
 
 def confirmed(pairs: DataFrame, bearers: DataFrame, docs: DataFrame) -> DataFrame:
@@ -242,15 +255,15 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows, roots): (none, id, h, size) of each row, h telling its words, and (h, root) of the texts with a link."""
     ship(docs.sparkSession)
     sketched = cut(docs.select(*_id(F.col("doc_id")), sketches(F.col("text").cast("binary")).alias("s")).select("none", "id", "s.*"), "minhash-rows")
-    texts = sketched.groupBy("h").agg(F.min(F.struct("none", "id")).alias("least"), F.first(F.struct("size", "sig", "keys")).alias("s"))
+    texts = sketched.groupBy("h").agg(F.min(F.struct("none", "id")).alias("least"), F.first(F.struct("size", "sig", "keys", "lanes")).alias("s"))
     texts = cut(texts.select("h", "least.*", "s.*"), "minhash-texts")
     rows = cut(sketched.select("none", "id", "h", "size"), "minhash-ids")
     discard(sketched)
     members, stars, roots = met(texts), None, None
-    bearers = cut(texts.select("h", "none", "id", "size", "sig"), "minhash-bearers")
+    bearers = cut(texts.select("h", "none", "id", "size", "sig", "lanes"), "minhash-bearers")
     discard(texts)
     for nth in range(HUBS + 1):
-        pairs = cut(hub_pairs(members, bearers, nth) if nth < HUBS else all_pairs(members, bearers), "minhash-pairs")
+        pairs = cut(hub_pairs(members, bearers) if nth < HUBS else all_pairs(members, bearers), "minhash-pairs")
         if pairs.limit(1).count():
             found = confirmed(pairs, bearers.select("h", "none", "id"), docs)
             before = [] if stars is None else [stars, roots]

@@ -354,6 +354,7 @@ def load(spark: SparkSession, store: Store, options: LoadOptions, block: dumpsca
     count = seen.rows if source.lines_are_rows and source.count is None and not resumed else source.count
     checked = options.verify is not VerifyMode.OFF and not options.create and options.format in ("dump", "parquet")
     kinds = {f.name: f.dataType for f in contract.struct().fields}
+    place = {c: f"t{i}" for i, c in enumerate(contract.names)}
     made: list = []
 
     def change(version: Version) -> Version | None:
@@ -361,26 +362,28 @@ def load(spark: SparkSession, store: Store, options: LoadOptions, block: dumpsca
         numbered = staged
         if job and version.number != base.number and (done := job.batches(version)) is not None:
             numbered = staged.join(done, ["chunk_id", "batch_id"], "left_anti")
-        before = store.read(options.schema, options.table, version)
-        batches = _settled(numbered, before, contract, options, seen, bound)
+        # Columns are called by place, so that no name of the table's is in the way of another.
+        before = store.read(options.schema, options.table, version).toDF(*place.values())
+        batches = _settled(numbered, before, [[place[c] for c in k] for k in contract.all_keys if all(c in bound for c in k)], options, seen, {place[c]: f"row.c{i}" for i, c in enumerate(bound)})
         made[:] = [numbered, before, batches]
         good = numbered.where("fault IS NULL")
         if batches.failed:
             good = good.join(batches.frame.where("outcome = 'loaded'"), ["chunk_id", "batch_id"], "left_semi")
         # Columns that are left out take their default.
-        at = {name: place for place, name in enumerate(bound)}
-        cells = [F.col(f"row.c{at[c]}").cast(kinds[c]).alias(c) if c in at else F.expr(contract.defaults.get(c, "NULL")).cast(kinds[c]).alias(c) for c in contract.names]
+        at = {name: i for i, name in enumerate(bound)}
+        cells = [(F.col(f"row.c{at[c]}") if c in at else F.expr(contract.defaults.get(c, "NULL"))).cast(kinds[c]).alias(place[c]) for c in contract.names]
         new = good.select(*cells, F.struct("chunk_id", "line_no").alias("_order"))
+        write = lambda df: store.write(options.schema, options.table, df.select(*place.values()).toDF(*contract.names))
         out = version
         if options.on_conflict is OnConflict.DO_UPDATE:
-            out = replace(version, parts=(store.write(options.schema, options.table, sink.do_update(before, new, contract.keys, F.col("_order")).select(*contract.names)),))
+            out = replace(version, parts=(write(sink.do_update(before, new, [place[c] for c in contract.keys], F.col("_order"))),))
         elif batches.loaded:
             fresh = new
             if options.on_conflict is OnConflict.DO_NOTHING:
                 # A number in order of chunk and line, as several keys need it.
                 order = F.col("_order") if len(contract.all_keys) < 2 else F.col("_order.chunk_id").cast("long") * (1 << 40) + F.col("_order.line_no")
-                fresh = sink.do_nothing(before, new, contract.all_keys, order)
-            out = version.with_part(store.write(options.schema, options.table, fresh.select(*contract.names)))
+                fresh = sink.do_nothing(before, new, [[place[c] for c in k] for k in contract.all_keys], order)
+            out = version.with_part(write(fresh))
         if job:
             out = out.with_run(job.id, job.add(numbered, batches.frame))
         return None if out is version else out
@@ -430,17 +433,16 @@ class _Batches:
         return cls(frame, loaded, sum(counts.values()))
 
 
-def _settled(numbered: DataFrame, before: DataFrame, contract: TableContract, options: LoadOptions, seen: _Counters, bound: dict[str, str]) -> _Batches:
+def _settled(numbered: DataFrame, before: DataFrame, keys: list[list[str]], options: LoadOptions, seen: _Counters, cells: dict[str, str]) -> _Batches:
+    """What becomes of each batch. `keys` name columns of `before`, `cells` says where the rows have them."""
     parsed = numbered.where("fault IS NULL")
     totals = accounting.batch_totals(parsed.select("chunk_id", "batch_id", (F.col("why") != "").alias("bad"))).select("chunk_id", "batch_id", "n", "failed")
     frame = totals.select("chunk_id", "batch_id", "n", F.when(F.col("failed"), "unfit").otherwise("loaded").alias("outcome"))
-    at = {name: place for place, name in enumerate(bound)}
-    keys = [k for k in contract.all_keys if all(c in at for c in k)]
     if options.on_conflict is not OnConflict.ERROR or not keys:
         return _Batches.counted(frame)
     sound = parsed.join(totals.where("NOT failed"), ["chunk_id", "batch_id"], "left_semi") if seen.unfit else parsed
-    key_columns = list(dict.fromkeys(c for k in keys for c in k))
-    sound = sound.select(*(F.col(f"row.c{at[c]}").alias(c) for c in key_columns), (F.col("chunk_id").cast("long") * (1 << 32) + F.col("batch_id")).alias("_batch"))
+    columns = dict.fromkeys(c for k in keys for c in k)
+    sound = sound.select(*(F.col(cells[c]).alias(c) for c in columns), (F.col("chunk_id").cast("long") * (1 << 32) + F.col("batch_id")).alias("_batch"))
     clash = sink.error_batches(before, sound, keys, "_batch").where("failed").select(F.floor(F.col("_batch") / (1 << 32)).cast("int").alias("chunk_id"), (F.col("_batch") % (1 << 32)).cast("int").alias("batch_id"), F.lit(True).alias("_clash"))
     outcome = F.when(F.col("_clash"), "conflict").otherwise(F.col("outcome")).alias("outcome")
     return _Batches.counted(frame.join(clash, ["chunk_id", "batch_id"], "left").select("chunk_id", "batch_id", "n", outcome))

@@ -17,10 +17,10 @@ from pyspark.sql import types as T
 from tallyport.functions import copytext
 from tallyport.functions.casts import failed, recast
 from tallyport.functions.identifiers import identifier_ok
-from tallyport.functions.infer import SAMPLE_ROWS, fold, infer, value_type
+from tallyport.functions.infer import infer, value_type
 from tallyport.functions.nulls import blank_to_null
 from tallyport.functions.render import float_text, render, render_all
-from tallyport.functions.types import SqlType, common_type, sql_type
+from tallyport.functions.types import sql_type
 from tallyport.operators import accounting, export, shape, sink, verify
 from tallyport.contract import ColumnContract, TableContract
 from tallyport.plans import jobs
@@ -149,13 +149,13 @@ _INT_TYPE = "CASE WHEN max({0}) <= 32767 THEN 'SMALLINT' ELSE 'INTEGER' END"
 
 
 @query(
-    f"""WITH s AS (SELECT * FROM customer ORDER BY c_custkey LIMIT {SAMPLE_ROWS}), o AS (SELECT * FROM orders ORDER BY o_orderkey LIMIT {SAMPLE_ROWS})
+    f"""WITH s AS (SELECT * FROM customer), o AS (SELECT * FROM orders)
  SELECT 'c_custkey' AS column_name, {_INT_TYPE.format('c_custkey')} AS type_name, 0 AS nullable FROM s UNION ALL SELECT 'c_name', 'TEXT', 0 UNION ALL SELECT 'c_nationkey', {_INT_TYPE.format('c_nationkey')}, 0 FROM s
  UNION ALL SELECT 'c_acctbal', 'REAL', 0 UNION ALL SELECT 'c_mktsegment', 'TEXT', CASE WHEN count(*) FILTER (WHERE c_custkey % 3 = 0) > 0 THEN 1 ELSE 0 END FROM s
  UNION ALL SELECT 'o_orderkey', {_INT_TYPE.format('o_orderkey')}, 0 FROM o UNION ALL SELECT 'o_orderdate', 'DATE', 0"""
 )
 def infer_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Types of the first customers and orders in order of key, as many as the operator looks at by itself."""
+    """Types of customers and orders in order of key."""
     segment = F.when(F.col("c_custkey") % 3 != 0, F.col("c_mktsegment")).otherwise(F.lit(" "))
     text = render_all(_table(spark, sf_dir, "customer").withColumn("c_acctbal", F.col("c_acctbal").cast("decimal(12,2)")).withColumn("c_mktsegment", segment))
     orders = render_all(_table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("o_orderdate")))
@@ -164,32 +164,36 @@ def infer_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    "SELECT * FROM (VALUES (0, 'TEXT', 0), (1, 'REAL', 0), (2, 'TIMESTAMP', 0), (3, 'TEXT', 1), (4, 'INTEGER', 1), (5, 'TEXT', 0)) AS t(case_id, type_name, nullable)"
+    """WITH v AS (SELECT o_orderkey AS k, (SELECT min(o_orderkey) FROM orders) AS low, (SELECT max(o_orderkey) FROM orders) AS high FROM orders)
+ SELECT 'up' AS direction, CASE WHEN count(*) FILTER (WHERE k > low + 1 AND k % 2 = 1) > 0 THEN 'REAL' ELSE 'TEXT' END AS type_name, CASE WHEN count(*) FILTER (WHERE k % 5 = 0 AND k > low) > 0 THEN 1 ELSE 0 END AS nullable FROM v
+ UNION ALL SELECT 'down', 'TEXT', CASE WHEN count(*) FILTER (WHERE k % 5 = 0 AND k > low) > 0 THEN 1 ELSE 0 END FROM v"""
 )
 def infer_fold_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The fold depends on row order: 5, 2.5, 1 is text but 1, 5, 2.5 is real."""
-    cases = [["5", "2.5", "1"], ["1", "5", "2.5"], ["2024-02-29", "2024-02-29 10:00"], [None, " "], [None, "1", "70000"], ["2025-02-29"]]
-    rows = spark.createDataFrame([(i, j, v) for i, values in enumerate(cases) for j, v in enumerate(values)], "case_id int, at int, v string")
-    typed = rows.select("case_id", "at", value_type(F.col("v")).alias("type_name")).orderBy("case_id", "at").collect()
-    out = [(i, *fold([r.type_name for r in typed if r.case_id == i])) for i in range(len(cases))]
-    return spark.createDataFrame([(i, t.value, int(n)) for i, t, n in out], "case_id int, type_name string, nullable int")
-
-
-def _promotions() -> list[tuple[str, str, str]]:
-    kinds = [SqlType.BOOLEAN, SqlType.SMALLINT, SqlType.INTEGER, SqlType.BIGINT, SqlType.REAL, SqlType.DOUBLE, SqlType.NUMERIC, SqlType.TEXT, SqlType.DATE, SqlType.TIMESTAMP, SqlType.TIMESTAMPTZ]
-    return [(a.value, b.value, common_type(a, b).value) for a in kinds for b in kinds]
+    """The fold depends on row order: a truth value, whole numbers and fractions of all orders by key are real upwards, text
+    downwards, where the truth value comes last."""
+    orders = _table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"))
+    low = orders.agg(F.min("k")).first()[0]
+    odd = F.when((F.col("k") % 2 == 1) & (F.col("k") > low + 1), F.concat(F.col("k").cast("string"), F.lit(".5"))).otherwise((F.col("k") % 100 + 2).cast("string"))
+    v = F.when(F.col("k") == low, "1").when(F.col("k") % 5 == 0, F.lit(" ")).otherwise(odd)
+    out = []
+    for name, order in (("up", F.col("k").asc()), ("down", F.col("k").desc())):
+        # Downwards whole numbers would come before the truth value too, and keep it one: only fractions there.
+        values = v if name == "up" else F.when((F.col("k") == low) | (F.col("k") % 2 == 1), v)
+        (found,) = infer(orders.orderBy(order).select(values.alias("v")))
+        out.append((name, found.type.value, int(found.nullable)))
+    return spark.createDataFrame(out, "direction string, type_name string, nullable int")
 
 
 @query(
-    """WITH k(n, r) AS (VALUES ('BOOLEAN', 0), ('SMALLINT', 1), ('INTEGER', 2), ('BIGINT', 3), ('REAL', 5), ('DOUBLE PRECISION', 6), ('NUMERIC', 4), ('TEXT', 99), ('DATE', 20), ('TIMESTAMP', 21), ('TIMESTAMPTZ', 22))
+    """WITH k(n, r) AS (VALUES ('BOOLEAN', 0), ('SMALLINT', 1), ('INTEGER', 2), ('BIGINT', 3), ('REAL', 5), ('DOUBLE PRECISION', 6), ('TEXT', 99), ('DATE', 20), ('TIMESTAMP', 21))
  SELECT a.n AS left_type, b.n AS right_type, CASE WHEN a.n = b.n THEN a.n WHEN least(a.r, b.r) = 0 AND greatest(a.r, b.r) BETWEEN 1 AND 4 THEN CASE WHEN a.r = 0 THEN b.n ELSE a.n END
  WHEN least(a.r, b.r) >= 1 AND greatest(a.r, b.r) <= 3 THEN CASE WHEN a.r > b.r THEN a.n ELSE b.n END
  WHEN least(a.r, b.r) BETWEEN 1 AND 3 AND greatest(a.r, b.r) BETWEEN 4 AND 6 THEN CASE WHEN a.r > b.r THEN a.n ELSE b.n END
  WHEN least(a.r, b.r) >= 4 AND greatest(a.r, b.r) <= 6 THEN 'DOUBLE PRECISION'
- WHEN least(a.r, b.r) >= 20 AND greatest(a.r, b.r) <= 22 THEN CASE WHEN a.r > b.r THEN a.n ELSE b.n END ELSE 'TEXT' END AS common FROM k a, k b"""
+ WHEN least(a.r, b.r) >= 20 AND greatest(a.r, b.r) <= 21 THEN CASE WHEN a.r > b.r THEN a.n ELSE b.n END ELSE 'TEXT' END AS common FROM k a, k b WHERE (SELECT count(*) FROM supplier) > 1"""
 )
 def promotion_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.createDataFrame(_promotions(), "left_type string, right_type string, common string")
+    return source_queries.promotions(spark, sf_dir)
 
 
 @query(
@@ -445,12 +449,13 @@ def export_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    "SELECT k, k IN (0, 4) AS ok FROM (SELECT unnest(range(9)) AS k)"
+    "SELECT doc_id, part, CASE WHEN part = 1 THEN false ELSE NOT regexp_matches(name, '[\\x00-\\x1F\\x7F-\\x{9F}\"\\\\\\x{200B}-\\x{200F}\\x{2028}-\\x{202E}\\x{2066}-\\x{2069}\\x{FEFF}]') END AS ok FROM (SELECT doc_id, part, CASE part WHEN 0 THEN substr(text, 1, 40) WHEN 1 THEN '' WHEN 2 THEN substr(text, 1, 5) || chr(8238) ELSE source END AS name FROM documents CROSS JOIN (SELECT CAST(unnest(range(4)) AS INTEGER) AS part))"
 )
 def identifier_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    marks = ["plain", "a\x07b", 'a"b', "a\\b", "naïve col", "a\u200bb", "a\u202eb", "\ufeffa", ""]
-    rows = spark.createDataFrame(list(enumerate(marks)), "k long, name string")
-    return rows.select("k", identifier_ok(F.col("name")).alias("ok"))
+    """Which names could deceive: beginnings of texts, nothing, names with a mark that turns the direction, and sources."""
+    names = F.array(F.substring("text", 1, 40), F.lit(""), F.concat(F.substring("text", 1, 5), F.lit("\u202e")), F.col("source"))
+    rows = _table(spark, sf_dir, "documents").select("doc_id", F.posexplode(names).alias("part", "name"))
+    return rows.select("doc_id", "part", identifier_ok(F.col("name")).alias("ok"))
 
 
 @query(
@@ -679,3 +684,6 @@ def render_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "events").select(
         "event_id", render(F.col("event_id") % 2 == 0, T.BooleanType()).alias("flag"), render(F.encode("event_type", "UTF-8"), T.BinaryType()).alias("bytes"), render(small, T.ShortType()).alias("small"), float_text(small.cast("double") / 4).alias("shown")
     )
+
+
+from tallyport.plans import source_queries  # noqa: E402  registers its queries

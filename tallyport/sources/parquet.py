@@ -125,10 +125,10 @@ class RowGroups(DataSource):
 def chunked(spark: SparkSession, uri: str, target: int = CHUNK_BYTES) -> tuple[DataFrame, T.StructType, int, int]:
     """(rows, schema, number of chunks, number of rows by the footers) of a file or of a folder's files. A row is (chunk_id,
     line_no, row): `row` has the columns under names by place, with the blank rule applied. Chunks are runs of row groups of
-    about `target` bytes, the same on every cluster; lines are counted within a chunk."""
+    about `target` bytes, the same on every cluster; lines are counted within a chunk. Names of folders are no data."""
     place = Place.of(uri)
     plan = chunk_plan(spark, place, target)
-    found = spark.read.parquet(place.for_spark).schema
+    found = spark.read.option("recursiveFileLookup", "true").parquet(place.for_spark).schema
     for field in found.fields:
         sql_type(field.dataType)
     names = fields(len(found))
