@@ -5,20 +5,25 @@ patterns and checks and are always redacted. High-recall generators propose furt
 kinds (other separators, no leading plus, written-out "at" and "dot"); boosted trees over format and context features
 score them, and those above a threshold calibrated for PRECISION on rows that the trees have not seen are added.
 
-What the trees learn is not what the base patterns say. On a bounded sample (TRAIN_DOCS documents with the least hash of
-doc_id among those that have a candidate) every base span is rewritten in a form that no base pattern takes: without its
-plus, its at sign or its separators (FORMS). Of the candidates in the rewritten text that no base span covers, those on a
-rewritten span are positive, all others negative: the very choice that the trees have to make later, in the same
-contexts. A candidate that is in such a form by itself (`unclear`) is neither, so that a corpus full of them does not
-teach the trees to leave them. The sample is split by document: one part fits the trees (TRAIN_ROWS candidates a kind), one sets a threshold
-for each kind, and one measures precision and recall. Everything else covers all rows and whole texts.
+What the trees learn is not what the base patterns say. A bounded sample (the TRAIN_DOCS documents with the least hash of
+doc_id) gives three sorts of rows. Its own base spans are rewritten, VARIANTS times, in forms that no base pattern takes:
+without the plus, the at sign or the separators (FORMS). In windows around the middle of each text a made-up span of each
+kind is planted in such a form, with or without a word that leads to it (`made`); so each kind has positives in every
+corpus, however few spans of its own it has. And in the same windows decoys are planted, which look alike and are none:
+sentences that break after an at sign, lists of numbers, sixteen digits that fail the check, dates, sections, order numbers
+(`decoy`). Of the candidates in such a text that no base span covers, those on a rewritten or planted span are positive,
+those on a decoy negative, and others of the document itself too, unless they are in a rewritten form by themselves
+(`unclear`). The sample is split by document: one part fits the trees, one sets a threshold for each kind, half-way between
+the least score that is let through and the next one below, and one measures precision and recall. The measured part has
+forms, decoys and leading words that the other two never have. A kind with too few rows to calibrate it takes the threshold
+of all kinds together. Everything else covers all rows and whole texts.
 
 Patterns are written so that the engine never walks back through a long run: a match may start at a run's first
 character or where the last match ended, and inner groups are possessive, which changes no match.
 
 Defined results: null and empty texts have no spans and the hash of the empty string; rows that repeat get the same
-result each; an empty table gives no rows; without both positive and negative candidates, or too few of them to calibrate a kind, nothing of that
-kind is added.
+result each; an empty table gives no rows; without a document that has text there is nothing to learn from and nothing is
+added.
 """
 
 from __future__ import annotations
@@ -30,14 +35,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyport.llm.boosting import Boosted
-from tallyport.llm.common import cut, table
+from tallyport.llm.common import cut, discard, table
 
 KINDS = ("email", "ip", "card", "phone")
-TRAIN_DOCS = 2000
+TRAIN_DOCS = 600
 TRAIN_ROWS = 1500
-PRECISION = 0.97
-#: Least rows of a kind above its threshold on the calibration rows; with fewer nothing of it is added.
+PRECISION = 0.99
+#: Least rows of a kind above its threshold on the calibration rows; with fewer the threshold of all kinds counts.
 LEAST_SUPPORT = 10
+#: Times that a document's own spans are rewritten, each time in another form.
+VARIANTS = 3
+#: Characters of a text on either side of a planted span or decoy.
+WINDOW = 120
 #: Parts of the documents that fit, calibrate and measure.
 PARTS = (3, 1, 1)
 CONTEXT = 24
@@ -61,7 +70,7 @@ GENERATORS = {
     "card": ("(?<![0-9A-Za-z])", "[0-9]{4}(?:[ ./_-]?[0-9]{4}){2}[ ./_-]?[0-9]{1,7}(?![0-9A-Za-z])"),
     "phone": ("(?<![0-9A-Za-z])", "\\(?[0-9]{1,4}\\)?(?:[ ./-]{1,2}\\(?[0-9]{2,4}\\)?){1,4}(?![0-9A-Za-z])"),
 }
-_GENERATOR_HINT = {"email": "@|\\[at\\]|\\(at\\)", "ip": "[0-9][.,\\])]", "card": "[0-9]{4}", "phone": "[0-9]{2}[)]?[ ./-]"}
+_GENERATOR_HINT = {"email": "@|\\[at\\]|\\(at\\)", "ip": "[0-9](?:[.,]|\\[\\.|\\(\\.)", "card": "[0-9]{4}", "phone": "[0-9]{2}[)]?[ ./-]"}
 SPANS = "array<struct<start:long,end:long,found:string>>"
 
 
@@ -120,6 +129,7 @@ def candidates(text: Column, kind: str) -> Column:
 FEATURES = (
     "kind", "chars", "digits", "letters", "blanks", "dots", "dashes", "brackets", "slashes", "groups", "longest group", "same digit", "luhn",
     "bytes", "year", "text before", "text after", "digit near", "sign before", "mail word", "call word", "card word", "address word", "amount word",
+    "blank after dot", "lower tail", "written dots", "capital in it", "commas",
 )
 
 
@@ -140,7 +150,8 @@ def features(kind: str, text: Column, span: Column) -> list[Column]:
         F.size(groups), F.coalesce(F.array_max(F.transform(groups, F.length)), F.lit(0)), has(number, "^([0-9])\\1*$"),
         flag(F.length(number).between(13, 19) & luhn(F.substr(number, F.lit(1), F.lit(20)))), has(found, f"^{_BYTE}(?:[^0-9]+{_BYTE}){{3}}$"), has(found, "(?<![0-9])(?:19|20)[0-9][0-9](?![0-9])"),
         has(before, "\\p{L} ?$"), has(after, "^ ?\\p{L}"), flag(F.regexp_like(before, F.lit("[0-9]$")) | F.regexp_like(after, F.lit("^[0-9]"))), has(before, "[$€£#=\"']\\s?$"),
-        has(before, "mail|contact|write"), has(before, "tel|phone|call|fax|mobile|\\+[0-9]"), has(before, "card|visa|credit|payment"), has(before, "\\bip\\b|host|server|address"), has(before, "total|price|version|page|order|no\\."),
+        has(before, "mail|contact|write"), has(before, "tel|phone|call|fax|mobile|\\+[0-9]"), has(before, "card|visa|credit|payment"), has(before, "\\bip\\b|host|server|address"), has(before, "total|price|version|page|order|no\\.|section|date|ref"),
+        count("(?<=[.])[ ]"), has(found, "[a-z]{2,6}$"), count("\\[dot\\]|\\(dot\\)") / 5, has(found, "\\p{Lu}"), count(","),
     ]
     return [x.cast("double") for x in out]
 
@@ -149,32 +160,102 @@ def _overlaps(spans: Column, s: Column) -> Column:
     return F.exists(spans, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
 
 
-#: What a base span may be rewritten to, by kind; which one is chosen by a hash.
+#: What a base span may be rewritten to, by kind; which one is chosen by a hash. Those of HELD are for measuring only.
 FORMS = {
     "email": (
         lambda f: F.regexp_replace(F.regexp_replace(f, "@", " [at] "), "\\.", " [dot] "),
         lambda f: F.regexp_replace(f, "@", "(at)"),
         lambda f: F.regexp_replace(f, "@", " @ "),
+        lambda f: F.regexp_replace(F.regexp_replace(f, "[0-9]", ""), "@", " [at] "),
+        lambda f: F.regexp_replace(F.regexp_replace(F.regexp_replace(f, "[0-9]", ""), "@", "[at]"), "\\.(?=[a-z]*$)", "[dot]"),
     ),
-    "ip": (lambda f: F.regexp_replace(f, "\\.", "[.]"), lambda f: F.regexp_replace(f, "\\.", "(.)"), lambda f: F.regexp_replace(f, "\\.", ",")),
-    "card": (
-        lambda f: F.regexp_replace(digits(f), "([0-9]{4})(?=[0-9])", "$1."),
-        lambda f: F.regexp_replace(digits(f), "([0-9]{4})(?=[0-9])", "$1/"),
-        lambda f: F.regexp_replace(digits(f), "([0-9]{4})(?=[0-9])", "$1_"),
-    ),
+    "ip": (lambda f: F.regexp_replace(f, "\\.", "[.]"), lambda f: F.regexp_replace(f, "^([0-9]+)\\.([0-9]+)\\.", "$1[.]$2[.]")),
+    "card": (lambda f: F.regexp_replace(digits(f), "([0-9]{4})(?=[0-9])", "$1."), lambda f: F.regexp_replace(digits(f), "([0-9]{4})(?=[0-9])", "$1/")),
     "phone": (lambda f: F.substr(f, F.lit(2)), lambda f: F.regexp_replace(f, "^\\+[0-9]{1,3}[ .-]*", ""), lambda f: F.regexp_replace(F.substr(f, F.lit(2)), "[ ()-]+", ".")),
 }
+HELD = {
+    "email": (lambda f: F.regexp_replace(F.regexp_replace(f, "@", " (at) "), "\\.", " (dot) "), lambda f: F.regexp_replace(F.regexp_replace(f, "[0-9]", ""), "@", " (at) ")),
+    "ip": (lambda f: F.regexp_replace(f, "\\.", "(.)"),),
+    "card": (lambda f: F.regexp_replace(digits(f), "([0-9]{4})(?=[0-9])", "$1_"),),
+    "phone": (lambda f: F.regexp_replace(F.substr(f, F.lit(2)), "[ ()-]+", "-"),),
+}
+#: Words before a planted span, and before a decoy; the last two of each are for measuring only.
+_LEADS = {
+    "email": ("", "mail", "", "write to", "contact", ""), "ip": ("", "host", "server", "", "address", ""), "card": ("", "card", "", "visa", "payment", ""), "phone": ("call", "tel", "", "phone", "mobile", "fax"),
+}
+_DECOY_LEADS = {
+    "email": ("", "meet", "page", "", "version", ""), "ip": ("", "total", "price", "", "page", ""), "card": ("", "order", "no.", "", "ref", ""), "phone": ("", "on", "section", "the", "version", "", "order", "in", "page", "ref"),
+}
+
+
+def _picked(options: list[Column], by: Column) -> Column:
+    return F.get(F.array(*options), F.pmod(by, F.lit(len(options))).cast("int"))
+
+
+def _number(seed: Column, n: int, salt: int) -> Column:
+    """n digits by a hash."""
+    return F.lpad(F.pmod(F.xxhash64(seed, F.lit(salt)), F.lit(10**n)).cast("string"), n, "0")
 
 
-def rewritten(text: Column) -> Column:
+def made(kind: str, words: Column, seed: Column) -> Column:
+    """A made-up span that the base pattern of its kind takes: words of the text, digits by a hash."""
+    word = lambda i: F.lower(F.get(words, F.lit(i)))
+    if kind == "email":
+        end = _picked([F.lit(x) for x in ("org", "com", "net", "de")], F.xxhash64(seed, F.lit(5)))
+        plain, dotted = F.concat(word(0), F.lit("@"), word(1), F.lit("."), end), F.concat(word(0), F.lit("."), word(2), F.lit("@"), word(1), F.lit("."), end)
+        numbered = F.concat(word(0), _number(seed, 2, 1), F.lit("@"), word(1), _number(seed, 1, 2), F.lit(".example."), end)
+        return _picked([plain, dotted, numbered], F.xxhash64(seed, F.lit(6)))
+    if kind == "ip":
+        part = lambda i: F.pmod(F.xxhash64(seed, F.lit(i)), F.when(F.pmod(F.xxhash64(seed, F.lit(i + 9)), F.lit(3)) == 0, F.lit(20)).otherwise(F.lit(256))).cast("string")
+        return F.concat_ws(".", *(part(i) for i in range(4)))
+    if kind == "card":
+        body = F.concat(F.lit("4"), _number(seed, 14, 1))
+        return F.concat(body, F.filter(F.transform(F.sequence(F.lit(0), F.lit(9)), lambda d: d.cast("string")), lambda d: luhn(F.concat(body, d)))[0])
+    country = _picked([F.lit(x) for x in ("1", "44", "49", "358")], F.xxhash64(seed, F.lit(5)))
+    spaced = F.concat_ws(" ", F.concat(F.lit("+"), country), _number(seed, 2, 1), _number(seed, 4, 2), _number(seed, 4, 3))
+    return _picked([F.concat(F.lit("+"), country, F.lit(" ("), _number(seed, 3, 1), F.lit(") "), _number(seed, 3, 2), F.lit("-"), _number(seed, 4, 3)), spaced], F.xxhash64(seed, F.lit(6)))
+
+
+def decoy(kind: str, words: Column, seed: Column, held: Column) -> Column:
+    """What looks like a span of a kind and is none; `held` asks for one of those that are for measuring only."""
+    word = lambda i: F.lower(F.get(words, F.lit(i)))
+    capital = F.initcap(F.get(words, F.lit(2)))
+    small = lambda i: F.pmod(F.xxhash64(seed, F.lit(i)), F.lit(90)).cast("string")
+    pick = F.xxhash64(seed, F.lit(77))
+    if kind == "email":
+        usual = [F.concat(word(0), F.lit(f" {m} "), word(1), F.lit(". "), capital) for m in ("[at]", "@")] + [F.concat(word(0), F.lit(" @ "), small(1), F.lit("."), small(2)), F.concat(word(0), F.lit("(at) "), word(1), F.lit(". "), word(2))]
+        rare = [F.concat(word(0), F.lit(" (at) "), word(1), F.lit(". "), capital)]
+    elif kind == "ip":
+        big = lambda i: F.lpad((F.pmod(F.xxhash64(seed, F.lit(i)), F.lit(700)) + 256).cast("string"), 3, "0")
+        usual = [F.concat_ws(",", small(1), _number(seed, 3, 2), _number(seed, 3, 3), _number(seed, 3, 4)), F.concat_ws(",", *(small(i) for i in range(4))), F.concat_ws(".", small(1), big(2), small(3), small(4))]
+        rare = [F.concat_ws(",", *(_number(seed, 2, i) for i in range(4)))]
+    elif kind == "card":
+        body = F.concat(_number(seed, 15, 1), _number(seed, 1, 2))
+        wrong = F.when(luhn(body), F.concat(F.left(body, F.lit(15)), F.pmod(F.right(body, F.lit(1)).cast("int") + 1, F.lit(10)).cast("string"))).otherwise(body)
+        usual = [F.regexp_replace(wrong, "([0-9]{4})(?=[0-9])", f"$1{m}") for m in ("", ".", "/", " ", "-")]
+        rare = [F.regexp_replace(wrong, "([0-9]{4})(?=[0-9])", "$1_")]
+    else:
+        year = F.concat(F.lit("20"), _number(seed, 2, 1))
+        day = lambda i: F.lpad((F.pmod(F.xxhash64(seed, F.lit(i)), F.lit(12)) + 1).cast("string"), 2, "0")
+        usual = [F.concat_ws("-", year, day(2), day(3)), F.concat_ws(".", day(2), day(3), year), F.concat_ws(".", small(1), _number(seed, 2, 2), _number(seed, 2, 3)), F.concat_ws("-", _number(seed, 2, 1), _number(seed, 3, 2), _number(seed, 3, 3)), F.concat_ws("-", year, F.concat(F.lit("20"), _number(seed, 2, 4)))]
+        usual += [F.concat_ws(" ", small(1), _number(seed, 3, 2), _number(seed, 3, 3)), F.concat_ws(".", small(1), small(2)), F.concat_ws(".", small(1), _number(seed, 3, 2), small(3), small(4))]
+        rare = [F.concat_ws("/", day(2), day(3), year), F.concat_ws(" ", _number(seed, 3, 1), _number(seed, 3, 2))]
+    return F.when(held, _picked(rare, pick)).otherwise(_picked(usual, pick))
+
+
+def _forms(kind: str, found: Column, by: Column, held: Column) -> Column:
+    return F.when(held, _picked([f(found) for f in HELD[kind]], by)).otherwise(_picked([f(found) for f in FORMS[kind]], by))
+
+
+def rewritten(text: Column, variant: Column | None = None, held: Column | None = None) -> Column:
     """struct<text, spans>: the text with its base spans in other forms, and where these are; of spans that overlap, the
     first is rewritten and the others stay."""
+    turn, apart = (F.lit(0) if variant is None else variant), (F.lit(False) if held is None else held)
 
     def formed(kind: str):  # noqa: ANN202
         def of(s: Column) -> Column:
-            forms = [form(s["found"]) for form in FORMS[kind]]
-            pick = F.pmod(F.xxhash64(s["found"], s["start"]), F.lit(len(forms))).cast("int")
-            return F.struct(s["start"].alias("start"), s["end"].alias("end"), F.get(F.array(*forms), pick).alias("form"), F.lit(kind).alias("kind"))
+            form = _forms(kind, s["found"], F.xxhash64(s["found"], s["start"]) + turn, apart)
+            return F.struct(s["start"].alias("start"), s["end"].alias("end"), form.alias("form"), F.lit(kind).alias("kind"))
 
         return of
 
@@ -215,53 +296,93 @@ def unclear(kind: str, text: Column, span: Column) -> Column:
     return F.length(digits(found)).between(9, 15) & F.regexp_like(before, F.lit("tel|phone|call|fax|mobile"))
 
 
+def _planted(sample: DataFrame) -> DataFrame:
+    """(part, text, planted, own, only): for each sampled document and kind VARIANTS windows with a made-up span in another
+    form, and as many with a decoy, which `planted` has with an empty kind. Only candidates on what was planted count here
+    (`own` is false): those of its kind on a span, those of any kind on a decoy."""
+    half = F.floor(F.length("text") / 2).cast("int")
+    near = F.substr("text", F.greatest(half - 300, F.lit(0)) + 1, F.lit(600))
+    at = half + F.instr(F.substr("text", half + 1, F.lit(300)), " ")
+    words = F.concat(F.filter(F.regexp_extract_all(near, F.lit("[A-Za-z]{3,10}"), F.lit(0)), lambda w: F.length(w) > 2), F.array(F.lit("anna"), F.lit("noon"), F.lit("then")))
+    start = F.greatest(at - WINDOW, F.lit(0))
+    base = sample.select("part", F.substr("text", start + 1, at - start).alias("before"), F.substr("text", at + 1, F.lit(WINDOW)).alias("after"), words.alias("words"), F.explode(F.sequence(F.lit(0), F.lit(VARIANTS - 1))).alias("turn"), "doc_id")
+    base = base.withColumn("seed", F.xxhash64(F.lit("plant"), "doc_id", "turn"))
+    out = None
+    for kind in KINDS:
+        held, by = F.col("part") >= sum(PARTS[:2]), F.xxhash64("seed", F.lit(f"lead {kind}"))
+        lead = lambda leads: F.when(held, _picked([F.lit(x) for x in leads[-2:]], by)).otherwise(_picked([F.lit(x) for x in leads[:-2]], by))  # noqa: B023, E731
+        for mark, found, leads in ((kind, _forms(kind, made(kind, F.col("words"), F.col("seed")), F.xxhash64("seed", F.lit(kind)), held), _LEADS[kind]), ("", decoy(kind, F.col("words"), F.xxhash64("seed", F.lit(f"decoy {kind}")), held), _DECOY_LEADS[kind])):
+            head = F.concat("before", lead(leads), F.when(lead(leads) == "", "").otherwise(" "))
+            rows = base.select("part", head.alias("head"), found.alias("found"), "after")
+            span = F.struct(F.length("head").cast("long").alias("start"), (F.length("head") + F.length("found")).cast("long").alias("end"), F.lit(mark).alias("kind"))
+            one = rows.select("part", F.concat("head", "found", F.lit(" "), "after").alias("text"), F.array(span).alias("planted"), F.lit(False).alias("own"), F.lit(mark or None).cast("string").alias("only"))
+            out = one if out is None else out.unionAll(one)
+    return out
+
+
 def labelled(docs: DataFrame) -> DataFrame:
-    """(kind, x, y, part, place) of the candidates of the sample's rewritten texts."""
-    text = F.coalesce("text", F.lit(""))
-    any_hint = "|".join(f"(?:{h})" for h in (*_GENERATOR_HINT.values(), *_HINT.values()))
+    """(kind, x, y, part, place) of the candidates of the sample's rewritten texts and planted windows."""
     place = F.xxhash64(F.lit("pii"), "doc_id")
-    ids = docs.where(F.col("doc_id").isNotNull() & F.regexp_like("text", F.lit(any_hint))).select("doc_id").distinct().orderBy(place, "doc_id").limit(TRAIN_DOCS)
-    sample = docs.select("doc_id", text.alias("text")).join(F.broadcast(ids), "doc_id")
-    part = F.pmod(F.xxhash64(F.lit("part"), "doc_id"), F.lit(sum(PARTS)))
-    rows = cut(sample.select(part.cast("int").alias("part"), rewritten(F.col("text")).alias("r")).select("part", F.col("r.text").alias("text"), F.col("r.spans").alias("planted")), "pii-sample")
+    ids = docs.where(F.col("doc_id").isNotNull() & (F.length("text") > 0)).select("doc_id").distinct().orderBy(place, "doc_id").limit(TRAIN_DOCS)
+    part = F.pmod(F.xxhash64(F.lit("part"), "doc_id"), F.lit(sum(PARTS))).cast("int")
+    sample = cut(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(ids), "doc_id").select("doc_id", "text", part.alias("part")), "pii-documents")
+    held = F.col("part") >= sum(PARTS[:2])
+    turned = sample.select("part", "text", F.explode(F.sequence(F.lit(0), F.lit(VARIANTS - 1))).alias("variant"))
+    own = turned.select("part", rewritten(F.col("text"), F.col("variant"), held).alias("r")).select("part", F.col("r.text").alias("text"), F.col("r.spans").alias("planted"), F.lit(True).alias("own"), F.lit(None).cast("string").alias("only"))
+    rows = cut(own.unionAll(_planted(sample)), "pii-sample")
+    seen = rows
     for kind in KINDS:
-        rows = rows.withColumn(f"base_{kind}", base_spans(F.col("text"), kind))
+        seen = seen.withColumn(f"base_{kind}", base_spans(F.col("text"), kind))
     out = None
     for kind in KINDS:
-        of = rows.select("part", "text", "planted", F.explode(_fresh(kind)).alias("s"))
-        own = F.filter("planted", lambda p: p["kind"] == kind)  # noqa: B023
-        one = of.select(F.lit(kind).alias("kind"), F.array(*features(kind, F.col("text"), F.col("s"))).alias("x"), _overlaps(own, F.col("s")).cast("double").alias("y"), "part", F.xxhash64("text", "s").alias("place"), unclear(kind, F.col("text"), F.col("s")).alias("unclear"))
-        one = one.where("y = 1 OR NOT unclear").drop("unclear").orderBy("place").limit(TRAIN_ROWS)
+        of = seen.where(F.coalesce(F.col("only"), F.lit(kind)) == kind).select("part", "text", "planted", "own", F.explode(_fresh(kind)).alias("s"))
+        mine = F.filter("planted", lambda p: p["kind"] == kind)  # noqa: B023
+        one = of.select(
+            F.lit(kind).alias("kind"), F.array(*features(kind, F.col("text"), F.col("s"))).alias("x"), _overlaps(mine, F.col("s")).cast("double").alias("y"), "part", F.xxhash64("text", "s").alias("place"),
+            unclear(kind, F.col("text"), F.col("s")).alias("unclear"), "own", _overlaps(F.col("planted"), F.col("s")).alias("on"),
+        )
+        one = one.where("CASE WHEN own THEN y = 1 OR NOT unclear ELSE on END").select("kind", "x", "y", "part", "place").distinct().orderBy("place", "x").limit(TRAIN_ROWS)
         out = one if out is None else out.unionAll(one)
-    return out
+    found = cut(out, "pii-rows")
+    discard(rows, sample)
+    return found
 
 
 def train(docs: DataFrame) -> Detector:
     """Fit, calibrate and measure on a bounded sample."""
-    found = labelled(docs).collect()
-    fit = [r for r in found if r.part < PARTS[0]]
-    if len(fit) < 60 or len({r.y for r in fit}) < 2:
+    table_ = labelled(docs)
+    found = sorted(table_.collect(), key=lambda r: (r.kind, r.place, r.x))
+    discard(table_)
+    fit, calibrate, last = ([r for r in found if low <= r.part < high] for low, high in ((0, PARTS[0]), (PARTS[0], sum(PARTS[:2])), (sum(PARTS[:2]), sum(PARTS))))
+    if len({r.y for r in fit}) < 2:
         return Detector()
     out = Detector(Boosted(np.array([r.x for r in fit]), np.array([r.y for r in fit])))
+    scored = lambda rows: (out.trees.predict(np.array([r.x for r in rows])), np.array([r.y for r in rows])) if rows else (np.zeros(0), np.zeros(0))
+    # Where even all kinds together are too few to calibrate, the trees' own odds decide.
+    together = _threshold(*scored(calibrate), least=1)
     for kind in KINDS:
-        held, last = ([r for r in found if r.kind == kind and low <= r.part < high] for low, high in ((PARTS[0], sum(PARTS[:2])), (sum(PARTS[:2]), sum(PARTS))))
-        if not held or (threshold := _threshold(out.trees.predict(np.array([r.x for r in held])), np.array([r.y for r in held]))) is None:
-            continue
-        out.thresholds[kind] = threshold
-        if last:
-            chosen, truth = out.trees.predict(np.array([r.x for r in last])) >= threshold, np.array([r.y for r in last])
+        of = _threshold(*scored([r for r in calibrate if r.kind == kind]))
+        out.thresholds[kind] = next((t for t in (of, together) if t is not None), 0.5)
+        p, truth = scored([r for r in last if r.kind == kind])
+        if len(truth):
+            chosen = p >= out.thresholds[kind]
             right = float(truth[chosen].sum())
             out.measured[kind] = (right / max(1, int(chosen.sum())), right / max(1.0, float(truth.sum())), int(truth.sum()))
     return out
 
 
-def _threshold(p: np.ndarray, truth: np.ndarray) -> float | None:
-    """The least score from which on at least PRECISION of the rows are right; rows of one score go together."""
+def _threshold(p: np.ndarray, truth: np.ndarray, least: int = LEAST_SUPPORT) -> float | None:
+    """Half-way between the least score from which on at least PRECISION of the rows are right and the next one below (or
+    nothing); rows of one score go together."""
     order = np.argsort(-p, kind="stable")
     n = np.arange(1, len(order) + 1)
-    last = np.append(p[order][1:] != p[order][:-1], True)
-    good = np.flatnonzero((np.cumsum(truth[order]) / n >= PRECISION) & (n >= LEAST_SUPPORT) & last)
-    return float(p[order[good[-1]]]) if len(good) else None
+    last = np.append(p[order][1:] != p[order][:-1], True) if len(order) else np.zeros(0, bool)
+    good = np.flatnonzero((np.cumsum(truth[order]) / n >= PRECISION) & (n >= least) & last)
+    if not len(good):
+        return None
+    lowest = p[order[good[-1]]]
+    below = p[p < lowest]
+    return float((lowest + (below.max() if len(below) else 0.0)) / 2)
 
 
 def _fresh(kind: str) -> Column:
