@@ -113,6 +113,8 @@ class _Source:
     chunks: int | None = None
     #: Whether every line is a row of the source, so that the rows read are its exact number.
     lines_are_rows: bool = False
+    #: Where records begin in chunks that begin inside quotes.
+    begins: dict[int, int | None] | None = None
 
     @property
     def is_text(self) -> bool:
@@ -134,7 +136,7 @@ def _packed(rows: DataFrame, columns: list[str]) -> DataFrame:
     return rows.select("chunk_id", "line_no", F.when(~F.col("good"), F.lit(delimited.WIDTH)).alias("fault"), "raw", F.struct(*cells).alias("row"))
 
 
-def _source(spark: SparkSession, options: LoadOptions, block: dumpscan.Block | None) -> _Source:
+def _source(spark: SparkSession, options: LoadOptions, block: dumpscan.Block | None, begins: dict[int, int | None] | None = None) -> _Source:
     place = Place.of(options.uri)
     if options.format == "parquet":
         rows, schema, chunks, count = parquet_source.chunked(spark, options.uri, options.chunk_bytes)
@@ -156,10 +158,10 @@ def _source(spark: SparkSession, options: LoadOptions, block: dumpscan.Block | N
         rows = delimited.scan(spark, place.for_spark, dialect, columns).withColumn("chunk_id", F.lit(0)).withColumn("line_no", F.monotonically_increasing_id() + 1)
         rows = rows.withColumn("good", F.col(delimited.BAD).isNull()).withColumnRenamed(delimited.BAD, "raw")
         return _Source(_packed(rows, columns), columns, None, None)
-    head, rows = delimited.records(spark, options.uri, dialect, options.chunk_bytes)
+    head, rows, begins = delimited.records(spark, options.uri, dialect, options.chunk_bytes, begins)
     with place.open() as file:
         estimated = files.rows_in(file, head.start, head.end)
-    return _Source(rows, head.columns, None, estimated, None, files.chunk_count(head.start, head.end, options.chunk_bytes))
+    return _Source(rows, head.columns, None, estimated, None, files.chunk_count(head.start, head.end, options.chunk_bytes), begins=begins)
 
 
 def _target(store: Store, options: LoadOptions, source: _Source) -> TableContract:
@@ -199,10 +201,16 @@ class Job:
             raise ValueError(f"can't resume: the job excludes {', '.join(plan['exclude']) or 'nothing'}")
         return replace(options, exclude=tuple(plan["exclude"]), batch_size=plan["batch_size"], chunk_bytes=plan["chunk_bytes"])
 
-    def begin(self, plan: dict) -> None:
+    def begins(self, options: LoadOptions) -> dict[int, int | None] | None:
+        """Where chunks' records begin, as the first run found it, if the source is the one it read."""
+        if self.kept is None or self.kept["begins"] is None or any(self.kept["plan"][k] != v for k, v in (("uri", options.uri), ("size", Place.of(options.uri).size()))):
+            return None
+        return {int(k): v for k, v in self.kept["begins"].items()}
+
+    def begin(self, plan: dict, begins: dict[int, int | None] | None) -> None:
         """Write the plan, or refuse a source, target or way of reading that is another one than the first run's."""
         if self.kept is None:
-            self.file.create(json.dumps({"id": uuid.uuid4().hex, "plan": plan, "excluded_positions": shape.excluded_positions(plan["columns"], plan["exclude"])}))
+            self.file.create(json.dumps({"id": uuid.uuid4().hex, "plan": plan, "begins": begins, "excluded_positions": shape.excluded_positions(plan["columns"], plan["exclude"])}))
             self.kept = json.loads(self.file.read_text())
         for name, value in self.kept["plan"].items():
             if plan[name] != value:
@@ -334,9 +342,9 @@ def load(spark: SparkSession, store: Store, options: LoadOptions, block: dumpsca
     job = Job(spark, options.resume) if options.resume else None
     if job:
         options = job.options(options)
-    source = _source(spark, options, block)
+    source = _source(spark, options, block, job.begins(options) if job else None)
     if job:
-        job.begin(_plan(options, source))
+        job.begin(_plan(options, source), source.begins)
     contract = _target(store, options, source)
     warnings = sink.validate_keys(options.on_conflict, contract.keys, list(options.exclude))
     bound = _bound(options, source, contract)

@@ -57,7 +57,7 @@ def csv_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
     _write_bytes(orders.select(line.alias("line")), source / "1-lines")
     (source / "0-first").write_text("0,first\n")
     (source / "2-after").write_text('7,"open\n')
-    _, rows = delimited.records(spark, source.for_spark, delimited.CSV, 10_000)
+    _, rows, _ = delimited.records(spark, source.for_spark, delimited.CSV, 10_000)
     chars = F.when(F.col("fault").isNull(), F.length("row.f1"))
     return rows.groupBy(F.coalesce("fault", F.lit("none")).alias("fault")).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(chars), F.lit(0)).cast("bigint").alias("chars"))
 

@@ -130,10 +130,14 @@ def parsed(lines: DataFrame, columns: list[str], dialect: Dialect = CSV) -> Data
     return rows.select("chunk_id", "line_no", F.col("fault").isNull().alias("good"), "raw", *(F.col(f"row.{f}").alias(c) for f, c in zip(fields(len(columns)), columns, strict=True)))
 
 
-def records(spark: SparkSession, uri: str, dialect: Dialect = CSV, chunk_bytes: int = CHUNK_BYTES) -> tuple[Head, DataFrame]:
-    """A source's head, and its records as `packed` rows, by chunks. Records may span lines."""
+def records(spark: SparkSession, uri: str, dialect: Dialect = CSV, chunk_bytes: int = CHUNK_BYTES, begins: dict[int, int | None] | None = None) -> tuple[Head, DataFrame, dict[int, int | None]]:
+    """A source's head, its records as `packed` rows, by chunks, and where the records of chunks begin that begin inside quotes;
+    with those given the source is not read for them. Records may span lines."""
     found = head(uri, dialect)
-    return found, packed(dumpsource.raw_records(spark, uri, found.start, found.end, dialect.marks, chunk_bytes), len(found.columns), dialect)
+    if begins is None:
+        begins = dumpsource.record_begins(spark, uri, found.start, found.end, dialect.marks, chunk_bytes)
+    raw = dumpsource.raw_records(spark, uri, found.start, found.end, dialect.marks, chunk_bytes, begins)
+    return found, packed(raw, len(found.columns), dialect), begins
 
 
 def split_bad(scanned: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -204,11 +204,17 @@ def quote_states(spark: SparkSession, path: str, start: int, end: int, dialect:
     return spark.range(0, count, 1, max(1, min(count, 100_000))).mapInArrow(summaries, _SUMMARY)
 
 
-def raw_records(spark: SparkSession, path: str, start: int, end: int, dialect: tuple[str, str, str | None], chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """The records of bytes [start, end) of a delimited source. A first pass says which chunks begin inside quotes; of what it
+def record_begins(spark: SparkSession, path: str, start: int, end: int, dialect: tuple[str, str, str | None], chunk_bytes: int = CHUNK_BYTES) -> dict[int, int | None]:
+    """Of the chunks that begin inside quotes, where their first record begins. A pass of its own over the source; of what it
     finds one small row a chunk, as many as there will be partitions, is put together here."""
     states = quote_states(spark, path, start, end, dialect, chunk_bytes).collect() if end > start else []
-    begins, _ = quotes.begins(quotes.Summary(*r) for r in sorted(states))
+    return quotes.begins(quotes.Summary(*r) for r in sorted(states))[0]
+
+
+def raw_records(spark: SparkSession, path: str, start: int, end: int, dialect: tuple[str, str, str | None], chunk_bytes: int = CHUNK_BYTES, begins: dict[int, int | None] | None = None) -> DataFrame:
+    """The records of bytes [start, end) of a delimited source; `begins` as above, if it is known."""
+    if begins is None:
+        begins = record_begins(spark, path, start, end, dialect, chunk_bytes)
     return _read(spark, Place.of(path), start, end, chunk_bytes, dialect, begins)
 
 
