@@ -45,7 +45,7 @@ def parser() -> argparse.ArgumentParser:
     export.add_argument("--output", required=True)
     export.add_argument("--schema", action="append", default=[])
     export.add_argument("--table", action="append", default=[])
-    export.add_argument("--parts", action="store_true", help="write a folder of parts by the executors, not one file by the driver")
+    export.add_argument("--single", action="store_true", help="write one file by the driver, not a folder of parts by the executors")
     listed = commands.add_parser("list-tables", help="the tables of a dump")
     listed.add_argument("--source", required=True)
     return out
@@ -89,10 +89,10 @@ def main(argv: list[str] | None = None) -> int:
             return 0 if report.passed else 1
         if args.command == "export":
             store = jobs.Store(spark, args.store)
-            if args.parts:
-                print("\n".join(jobs.export_parts(store, args.output, tuple(args.schema), tuple(args.table))))
-            else:
+            if args.single:
                 print(jobs.export_tables(store, args.output, tuple(args.schema), tuple(args.table)))
+            else:
+                print("\n".join(jobs.export_parts(store, args.output, tuple(args.schema), tuple(args.table))))
             return 0
         for row in jobs.list_tables(spark, args.source).collect():
             print(f"{row.schema}\t{row.table}\t{','.join(row.columns)}")

@@ -50,9 +50,18 @@ def recast(text: Column, type_name: str) -> Column:
     if kind in (SqlType.TIMESTAMP, SqlType.TIMESTAMPTZ):
         target = "timestamp_ntz" if kind is SqlType.TIMESTAMP else "timestamp"
         value = shaped(bare, TIMESTAMP_PATTERNS, lambda v, p: F.try_to_timestamp(v, F.lit(p)).cast(target), F.when(F.regexp_like(bare, F.lit(_YEAR_FIRST)), bare.try_cast(target)))
-        return F.date_trunc("second", value + F.expr("interval 500 milliseconds")).cast(target) if parameters == (0,) else value
+        return _rounded(value, parameters[0], target) if parameters and parameters[0] < 6 else value
     return bare.try_cast(spark_type(kind, parameters))
 
 
+def _rounded(value: Column, digits: int, target: str) -> Column:
+    """A time stamp with so many digits of its fraction, the half rounded up. The session is in UTC, so a stamp without a zone
+    and an instant have the same microseconds."""
+    unit = 10 ** (6 - digits)
+    micros = F.unix_micros(value.cast("timestamp"))
+    up = micros + unit // 2
+    return F.timestamp_micros(up - F.pmod(up, F.lit(unit))).cast(target)
+
+
 def failed(text: Column, value: Column) -> Column:
     return text.isNotNull() & value.isNull()

@@ -52,7 +52,8 @@ def test_infer_columns_and_ddl(spark):
         ("t", "boolean", True), ("off", "boolean", False), ("maybe", "boolean", None), ("40000", "smallint", None), ("1.005", "numeric(10,2)", Decimal("1.01")), ("2.675", "numeric(10,2)", Decimal("2.68")),
         ("12/31/2024", "date", datetime.date(2024, 12, 31)), ("1234", "date", None), ("13/12/2024", "date", datetime.date(2024, 12, 13)), ("2024-01-02 03:04:05", "date", datetime.date(2024, 1, 2)), ("12/31/2024 01:02:03", "timestamp", datetime.datetime(2024, 12, 31, 1, 2, 3)),
         ("2024-01-02T03:04", "timestamp", datetime.datetime(2024, 1, 2, 3, 4)), ("word", "timestamp", None), ("2024-01-02 00:00:00.6", "timestamp(0)", datetime.datetime(2024, 1, 2, 0, 0, 1)),
-        ("abc", "varchar(2)", None), ("ab", "char(3)", "ab "), (r"\x4142", "bytea", b"AB"), ("{A0EEBC99-9C0B-4EF8-BB6D-6BB9BD380A11}", "uuid", "a0eebc99-9c0b-4ef8-bb6d-6bb9bd380a11"),
+        ("2024-01-02 00:00:00.123456", "timestamp(3)", datetime.datetime(2024, 1, 2, 0, 0, 0, 123000)), ("1969-12-31 23:59:59.99995", "timestamp(4)", datetime.datetime(1970, 1, 1)),
+        ("2024-01-02 00:00:00.15", "timestamp(1)", datetime.datetime(2024, 1, 2, 0, 0, 0, 200000)), ("abc", "varchar(2)", None), ("ab", "char(3)", "ab "), (r"\x4142", "bytea", b"AB"), ("{A0EEBC99-9C0B-4EF8-BB6D-6BB9BD380A11}", "uuid", "a0eebc99-9c0b-4ef8-bb6d-6bb9bd380a11"),
         ('{"b":1,"a":2}', "jsonb", '{"a":2,"b":1}'), ('{"b": 1}', "json", '{"b": 1}'), ("{", "json", None), ("x", "nothing known", "x"),
     ],
 )
