@@ -5,7 +5,9 @@ A text's set is its distinct shingles of WIDTH lower-cased words. Each of HASHES
 ROWS minima are the buckets. Two sets of similarity 0.8 share no bucket with probability (1 - 0.8 ** 5) ** 51, below 2e-9,
 and more similar ones less. The lowest bits of the minima, packed into a few words, are the signature: of two sets with
 similarity s they differ in (1 - s) / 2 of HASHES bits, so a pair that differs in more than MOST_APART is left out (at 0.8
-that is nearly seven standard deviations off, below 1e-9). Sizes rule out pairs exactly. What is left is compared on full sets.
+that is nearly seven standard deviations off, below 1e-9). Sizes rule out pairs exactly, and so do bitmaps that have for
+each of BITS places the parity of the hashes that fall on it: two differ in at most as many bits as the sets have elements
+that are not in both. What is left is compared on full sets.
 
 Equal word sequences count as one text from the start. A bucket is never ordered, collected or read by one task: what has
 to be known of it is aggregated and joined back. Its pairs are settled in rounds. In HUBS rounds each text is compared with
@@ -26,6 +28,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from contextlib import contextmanager
 from fractions import Fraction
 from functools import reduce
 
@@ -45,9 +48,12 @@ SIMILARITY = Fraction(4, 5)
 BANDS, ROWS = 51, 5
 HASHES = 256
 MOST_APART = 58
+BITS = 1024
 HUBS = 3
 #: Members of a bucket's size class that are paired in one group.
-GROUP = 256
+GROUP = 1024
+#: Pairs of texts that are handed to Python at once.
+TEXTS_AT_ONCE = 500
 _SEED = 20_240_229
 #: Shingles that are hashed at once; bounds memory for very long texts.
 _AT_ONCE = 512
@@ -108,6 +114,12 @@ def lanes(keys: list[int]) -> np.ndarray:
     return np.array(keys, np.int64).view(np.uint32)[::2].view(np.int32)
 
 
+def bitmap(hashes: np.ndarray) -> list[int]:
+    """BITS bits as signed longs: whether an odd number of the hashes falls on each."""
+    odd = np.bincount((hashes >> np.uint64(64 - BITS.bit_length() + 1)).astype(np.int64), minlength=BITS) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8").tolist()
+
+
 def signature(minima: np.ndarray) -> list[int]:
     """The minima's lowest bits as signed longs."""
     return np.packbits((minima & np.uint32(1)).astype(np.uint8), bitorder="little").view("<i8").tolist()
@@ -116,7 +128,7 @@ def signature(minima: np.ndarray) -> list[int]:
 _LONGS = T.ArrayType(T.LongType())
 
 
-@F.pandas_udf(T.StructType().add("h", "long").add("size", "long").add("sig", _LONGS).add("keys", _LONGS).add("lanes", T.ArrayType(T.IntegerType())))
+@F.pandas_udf(T.StructType().add("h", "long").add("size", "long").add("sig", _LONGS).add("bits", _LONGS).add("keys", _LONGS).add("lanes", T.ArrayType(T.IntegerType())))
 def sketches(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     """A text to the hash of its words, its set's size, its signature and its bands' keys."""
     drawn = Hashes()
@@ -127,12 +139,12 @@ def sketches(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
             hashes = shingle_hashes(found)
             h = xxhash.xxh64_intdigest(b" ".join(found)) - (1 << 63)
             if not len(hashes):
-                rows.append((h, 0, [], [], []))
+                rows.append((h, 0, [], [], [], []))
                 continue
             minima = drawn.minima(hashes)
             keys = band_keys(minima)
-            rows.append((h, len(hashes), signature(minima), keys, lanes(keys)))
-        yield pd.DataFrame(rows, columns=["h", "size", "sig", "keys", "lanes"])
+            rows.append((h, len(hashes), signature(minima), bitmap(hashes), keys, lanes(keys)))
+        yield pd.DataFrame(rows, columns=["h", "size", "sig", "bits", "keys", "lanes"])
 
 
 @F.pandas_udf(T.LongType())
@@ -144,16 +156,17 @@ def words_hash(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
 @F.pandas_udf(T.BooleanType())
 def alike(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     """Whether two texts' full sets are similar enough. Sets of texts that come again are kept while they are few."""
+    known: dict[bytes, frozenset[bytes]] = {}
+    held = 0
     for left, right in batches:
-        known: dict[bytes, frozenset[bytes]] = {}
-        held = 0
         out = []
         for pair in zip(left, right, strict=True):
             sets = []
             for text in pair:
                 if text not in known:
                     if held > 64_000_000:
-                        known, held = {}, 0
+                        known.clear()
+                        held = 0
                     known[text] = shingles(text_words(text))
                     held += 16 * len(text)
                 sets.append(known[text])
@@ -163,10 +176,11 @@ def alike(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]
 
 
 def near(a: Column, b: Column) -> Column:
-    """Whether sizes and signatures leave room for the similarity."""
+    """Whether sizes, bitmaps and signatures leave room for the similarity."""
     fits = F.least(a["size"], b["size"]) * _DOWN >= F.greatest(a["size"], b["size"]) * _UP
-    apart = reduce(Column.__add__, [F.bit_count(a["sig"][i].bitwiseXOR(b["sig"][i])) for i in range(HASHES // 64)])
-    return fits & (apart <= MOST_APART)
+    differ = lambda name, longs: reduce(Column.__add__, [F.bit_count(a[name][i].bitwiseXOR(b[name][i])) for i in range(longs)])
+    # Of sets that are similar enough at most this part of both sizes is not in both.
+    return fits & (differ("sig", HASHES // 64) <= MOST_APART) & (differ("bits", BITS // 64) * (_DOWN + _UP) <= (a["size"] + b["size"]) * (_DOWN - _UP))
 
 
 def met(texts: DataFrame) -> DataFrame:
@@ -187,7 +201,7 @@ def live(members: DataFrame, roots: DataFrame) -> DataFrame:
 
 def _with_sketches(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) of texts that sizes and signatures do not rule out."""
-    of = lambda side: texts.select(F.col("h").alias(side), F.struct("size", "sig").alias(f"of_{side}"))
+    of = lambda side: texts.select(F.col("h").alias(side), F.struct("size", "sig", "bits").alias(f"of_{side}"))
     return pairs.join(of("a"), "a").join(of("b"), "b").where(near(F.col("of_a"), F.col("of_b"))).select("a", "b")
 
 
@@ -200,7 +214,7 @@ def hub_pairs(members: DataFrame, texts: DataFrame) -> DataFrame:
     apart = members.join(hub, "key").where(F.col("root") != F.col("hub.root"))
     best = apart.groupBy("h").agg(F.max_by("hub.h", F.struct("hub.weight", F.bitwise_not(F.col("hub.h")))).alias("hub"))
     pairs = best.select(F.least("h", "hub").alias("a"), F.greatest("h", "hub").alias("b")).distinct()
-    of = lambda side: texts.select(F.col("h").alias(side), F.struct("size", "sig").alias(f"of_{side}"))
+    of = lambda side: texts.select(F.col("h").alias(side), F.struct("size", "sig", "bits").alias(f"of_{side}"))
     return pairs.join(of("a"), "a").join(of("b"), "b").where(near(F.col("of_a"), F.col("of_b"))).select("a", "b")
 
 
@@ -209,14 +223,15 @@ def all_pairs(members: DataFrame, texts: DataFrame) -> DataFrame:
     is less than 0.8 times as large as the other never meet, and a size class is dealt out as pairs of groups."""
     # A trifle more than the logarithm, so that rounding never puts similar sizes two classes apart.
     step = math.log(_DOWN / _UP) * (1 + 1e-9)
-    sized = members.join(texts.select("h", "size", "sig", "lanes"), "h").withColumn("class", F.floor(F.log("size") / step).cast("int"))
+    sized = members.join(texts.select("h", "size", "sig", "bits", "lanes"), "h").withColumn("class", F.floor(F.log("size") / step).cast("int"))
     counts = sized.groupBy("key", "class").agg(F.count(F.lit(1)).alias("n"))
-    member = F.struct("h", "root", "size", "sig", "lanes")
+    member = F.struct("h", "root", "size", "sig", "bits", "lanes")
     # A pair of two classes is met at the upper one. One side is dealt to its own group, the other to every group.
-    right = sized.select("key", F.explode(F.array(F.col("class"), F.col("class") + 1)).alias("class"), member.alias("b"))
-    groups = counts.select("key", "class", F.ceil(F.col("n") / GROUP).cast("int").alias("groups"))
+    right = sized.select("key", F.col("class").alias("own"), F.explode(F.array(F.col("class"), F.col("class") + 1)).alias("class"), member.alias("b"))
+    groups = counts.select("key", "class", "n", F.ceil(F.col("n") / GROUP).cast("int").alias("groups"))
     left = sized.select("key", "band", "class", member.alias("a")).join(groups, ["key", "class"]).select("key", "band", "class", F.pmod(F.xxhash64("a.h"), F.col("groups")).cast("int").alias("group"), "a")
-    right = right.join(groups, ["key", "class"]).select("key", "class", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("group"), "b")
+    # Who is alone in a class meets nobody there.
+    right = right.join(groups, ["key", "class"]).where("own <> class OR n > 1").select("key", "class", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("group"), "b")
     left, right = left.alias("l"), right.alias("r")
     a, b = F.col("l.a"), F.col("r.b")
     one = reduce(Column.__and__, [F.col(f"l.{c}") == F.col(f"r.{c}") for c in ("key", "class", "group")])
@@ -233,6 +248,11 @@ def confirmed(pairs: DataFrame, bearers: DataFrame, docs: DataFrame) -> DataFram
     wanted = cut(bearers.join(ids, "h"), "minhash-wanted")
     rows = docs.select(*_id(F.col("doc_id")), F.col("text").cast("binary").alias("text")).join(small(wanted), ["none", "id"])
     # Where a doc_id repeats, a bearer may meet another row's text; its words tell.
+    with few_rows(docs.sparkSession, TEXTS_AT_ONCE):
+        return _compared(pairs, wanted, rows)
+
+
+def _compared(pairs: DataFrame, wanted: DataFrame, rows: DataFrame) -> DataFrame:
     whole = cut(rows.where(words_hash("text") == F.col("h")).groupBy("h").agg(F.min("text").alias("text")), "minhash-whole")
     sides = pairs.join(whole.select(F.col("h").alias("a"), F.col("text").alias("left")), "a").join(whole.select(F.col("h").alias("b"), F.col("text").alias("right")), "b")
     found = cut(sides.where(alike("left", "right")).select("a", "b"), "minhash-links")
@@ -240,6 +260,18 @@ def confirmed(pairs: DataFrame, bearers: DataFrame, docs: DataFrame) -> DataFram
     return found
 
 
+@contextmanager
+def few_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Batches of at most `rows` rows between Spark and Python: rows with whole texts, two of them in a pair, may be long."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _id(doc_id: Column) -> list[Column]:
     """doc_id in two columns that are never null and sort it with null last."""
     return [doc_id.isNull().alias("none"), F.coalesce(doc_id, F.lit(0)).alias("id")]
@@ -254,13 +286,14 @@ def _roots(stars: DataFrame | None, found: DataFrame) -> tuple[DataFrame, DataFr
 def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows, roots): (none, id, h, size) of each row, h telling its words, and (h, root) of the texts with a link."""
     ship(docs.sparkSession)
-    sketched = cut(docs.select(*_id(F.col("doc_id")), sketches(F.col("text").cast("binary")).alias("s")).select("none", "id", "s.*"), "minhash-rows")
-    texts = sketched.groupBy("h").agg(F.min(F.struct("none", "id")).alias("least"), F.first(F.struct("size", "sig", "keys", "lanes")).alias("s"))
+    with few_rows(docs.sparkSession, 4 * TEXTS_AT_ONCE):
+        sketched = cut(docs.select(*_id(F.col("doc_id")), sketches(F.col("text").cast("binary")).alias("s")).select("none", "id", "s.*"), "minhash-rows")
+    texts = sketched.groupBy("h").agg(F.min(F.struct("none", "id")).alias("least"), F.first(F.struct("size", "sig", "bits", "keys", "lanes")).alias("s"))
     texts = cut(texts.select("h", "least.*", "s.*"), "minhash-texts")
     rows = cut(sketched.select("none", "id", "h", "size"), "minhash-ids")
     discard(sketched)
     members, stars, roots = met(texts), None, None
-    bearers = cut(texts.select("h", "none", "id", "size", "sig", "lanes"), "minhash-bearers")
+    bearers = cut(texts.select("h", "none", "id", "size", "sig", "bits", "lanes"), "minhash-bearers")
     discard(texts)
     for nth in range(HUBS + 1):
         pairs = cut(hub_pairs(members, bearers) if nth < HUBS else all_pairs(members, bearers), "minhash-pairs")
