@@ -7,9 +7,10 @@ import sys
 
 from tallyport import session
 from tallyport.functions import identifiers
+from tallyport.operators.remote import Database
 from tallyport.operators.sink import OnConflict
 from tallyport.operators.verify import VerifyMode
-from tallyport.plans import jobs
+from tallyport.plans import database_load, jobs
 from tallyport.sources import delimited
 
 
@@ -18,8 +19,11 @@ def parser() -> argparse.ArgumentParser:
     commands = out.add_subparsers(dest="command", required=True)
     load = commands.add_parser("load", help="one file into one table")
     load.add_argument("--source", required=True)
-    load.add_argument("--store", required=True)
+    load.add_argument("--store", required=True, help="where the table's contract is, and its rows unless --database is given")
     load.add_argument("--table", required=True)
+    load.add_argument("--database", type=Database.of, help="sqlite:path, or module:function that opens a connection; --job names the load")
+    load.add_argument("--job")
+    load.add_argument("--connections", type=int, help="tasks that write to the database at once")
     load.add_argument("--schema", default="public")
     load.add_argument("--format", choices=("csv", "tsv", "parquet", "dump"))
     load.add_argument("--on-conflict", default="do-nothing", type=OnConflict.parse)
@@ -71,6 +75,13 @@ def main(argv: list[str] | None = None) -> int:
             if args.dry_run:
                 print(options)
                 return 0
+            if args.database is not None:
+                if not args.job or args.resume or args.if_not_exists or args.verify is not VerifyMode.OFF:
+                    raise ValueError("a load into a database needs --job, and does not go with --resume, --if-not-exists or --verify")
+                contract = jobs.Store(spark, args.store).contract(args.schema, args.table)
+                loaded = database_load.load(spark, args.database, contract, options, args.job, args.connections)
+                print(database_load.as_json(loaded))
+                return 1 if loaded.failed else 0
             result = jobs.load(spark, jobs.Store(spark, args.store), options)
             print(jobs.as_json(result))
             for warning in result.warnings:

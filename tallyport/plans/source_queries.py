@@ -4,6 +4,7 @@ unique keys and inference. All build their input from the tables with Spark, and
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,9 +13,11 @@ from tallyport.contract import ColumnContract, TableContract
 from tallyport.functions import copytext, infer
 from tallyport.functions.render import render_all
 from tallyport.functions.types import SqlType
-from tallyport.operators import sink, verify
+from tallyport.operators import remote, sink, verify
 from tallyport.plans import jobs, registry
+from tallyport.plans.database_load import load as database_load_of
 from tallyport.plans.registry import query
+from tallyport.session import cut
 from tallyport.sources import delimited, dumpsource, files
 from tallyport.sources.files import Place
 
@@ -308,3 +311,95 @@ def batches_in_conflict(spark: SparkSession, sf_dir: str) -> DataFrame:
     twice = least.where("batch_id % 5 = 4").select("k", "batch_id")
     shared = least.where("batch_id % 5 = 0").select("k", (F.col("batch_id") + 1).alias("batch_id")).join(orders.select("batch_id").distinct(), "batch_id", "left_semi").select("k", "batch_id")
     return sink.error_batches(orders.where("k % 1499 = 0").select("k"), orders.unionAll(twice).unionAll(shared), ["k"])
+
+
+class _Breaking:
+    """A connection that breaks for some batches when they are first tried: in the rows, or after the commit, so that whoever
+    asked can't know that it happened."""
+
+    def __init__(self, connection, broken: set) -> None:  # noqa: ANN001
+        self.connection, self.broken, self.batch = connection, broken, None
+        self.rollback, self.close = connection.rollback, connection.close
+
+    def cursor(self) -> _Breaking:
+        self.at = self.connection.cursor()
+        self.fetchall, self.fetchmany = self.at.fetchall, self.at.fetchmany
+        return self
+
+    def execute(self, sql: str, values: tuple = ()) -> None:
+        self.at.execute(sql, values)
+        self.rowcount, self.description = self.at.rowcount, self.at.description
+        self.batch = values[1:3] if len(values) == 4 else None
+
+    def executemany(self, sql: str, rows: list[tuple]) -> None:
+        self.at.executemany(sql, rows[: len(rows) // 2])
+        self._break(1)
+        self.at.executemany(sql, rows[len(rows) // 2 :])
+
+    def commit(self) -> None:
+        self.connection.commit()
+        self._break(2)
+
+    def _break(self, when: int) -> None:
+        if self.batch and sum(self.batch) % 3 == when and self.batch not in self.broken:
+            self.broken.add(self.batch)
+            raise ConnectionError("the connection broke")
+
+
+def _database(home: Place, breaking: bool = False) -> remote.Database:
+    """A database file in the shared folder."""
+    (home / "made").write_text("")
+    opened, broken = remote.Database.of(f"sqlite:{(home / 'target.db').source.path}"), set()
+    return replace(opened, connect=lambda: _Breaking(opened.connect(), broken), sleep=lambda s: None) if breaking else opened
+
+
+@query("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders")
+def database_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as CSV, loaded into a table of a database without a key while connections break before and after commits, then
+    loaded by the same job again: each row is there once. Read back by ranges of the key."""
+    orders, home = registry._table(spark, sf_dir, "orders"), registry._home(spark, "database")
+    text = render_all(orders)
+    path = registry._written(text.select(registry._csv_line(text)), home, "orders.csv")
+    contract, database = TableContract.of(orders, "public", "orders"), _database(home, breaking=True)
+    database.create(contract)
+    options = jobs.LoadOptions(path, "orders", batch_size=500, chunk_bytes=200_000)
+    first = database_load_of(spark, database, contract, options, "orders", connections=4)
+    again = database_load_of(spark, database, contract, options, "orders")
+    if again.loaded or first.failed:
+        raise AssertionError(f"{again.loaded} rows went in twice, {first.failed} failed")
+    return remote.read(spark, database, contract, "o_orderkey", 8)
+
+
+@query(
+    """SELECT o_orderkey // 400 AS batch, count(*) AS n, CASE WHEN bool_or(o_orderkey % 1499 = 0) THEN 'failed' ELSE 'loaded' END AS outcome FROM orders GROUP BY 1"""
+)
+def database_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches of 400 order keys into a database's table that has some of them, conflicts being errors: what became of each."""
+    key = F.col("o_orderkey")
+    orders, home = registry._table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority"), registry._home(spark, "database")
+    contract, database = TableContract.of(orders, "public", "orders", ("o_orderkey",)), _database(home)
+    database.create(contract)
+    database.prepare()
+
+    def rows(df: DataFrame) -> DataFrame:
+        nothing = F.lit(None).cast("string")
+        placed = df.select(F.floor(key / 10_000).cast("int").alias("chunk_id"), F.floor(key % 10_000 / 400).cast("int").alias("batch_id"), key.alias("line_no"), nothing.alias("fault"), nothing.alias("why"), F.struct(*df.columns).alias("row"))
+        return remote.together(placed)
+
+    put = lambda df, job: cut(remote.write(rows(df), database, job, '"orders"', contract.names, contract.keys, sink.OnConflict.ERROR), "database-batches")
+    put(orders.where(key % 1499 == 0), "first")
+    return put(orders, "second").select((F.col("chunk_id").cast("long") * 25 + F.col("batch_id")).alias("batch"), "n", "outcome")
+
+
+@query("SELECT o_custkey AS k, CAST(count(*) AS BIGINT) AS orders, CAST(max(o_orderkey) AS BIGINT) AS latest FROM orders WHERE o_custkey % 2 = 0 GROUP BY 1 UNION ALL SELECT c_custkey, 0, NULL FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey % 2 = 0)")
+def database_update(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table of all customers in a database, whose rows a second load replaces where customers have orders."""
+    home = registry._home(spark, "database")
+    even = registry._table(spark, sf_dir, "orders").where("o_custkey % 2 = 0").groupBy(F.col("o_custkey").alias("k")).agg(F.count(F.lit(1)).alias("orders"), F.max("o_orderkey").alias("latest"))
+    empty = registry._table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"), F.lit(0).cast("long").alias("orders"), F.lit(None).cast("long").alias("latest"))
+    contract, database = TableContract.of(even, "public", "latest", ("k",)), _database(home)
+    database.create(contract)
+    for job, df in (("all", empty), ("even", even)):
+        df.write.parquet((home / job).for_spark)
+        database_load_of(spark, database, contract, jobs.LoadOptions((home / job).for_spark, "latest", format="parquet", on_conflict=sink.OnConflict.DO_UPDATE), job)
+    return remote.read(spark, database, contract, "k", 4)
