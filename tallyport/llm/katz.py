@@ -9,8 +9,9 @@ without free mass gives up 1 / (c + 1). A text begins with two start marks and e
 All n-grams of a history word v are in one bucket, so the recursion from trigrams down to bigrams needs no other; only
 counts of single words come from elsewhere. They travel as packed arrays, not as rows:
 
-1. pack: each task turns its documents into sorted (v, u, w, documents) arrays, one payload for each bucket of a block.
-2. count: a bucket merges its payloads into counts. It asks the owners of the words that follow for their counts.
+1. pack: each task turns its documents into (v, u, w, documents) arrays, one payload for each bucket of a block, sorted by part
+   of the bucket, then v, u, w.
+2. count: a bucket merges its payloads into counts, part by part. It asks the owners of the words that follow for their counts.
 3. answer: an owner answers. Statistics (counts of counts and what follows) are summed in a tree.
 4. score: a bucket knows every probability and weight, and sums the log-probabilities of its tokens by document; the
    documents' sums over buckets follow. It also puts out its part of the model's tables.
@@ -33,8 +34,10 @@ from __future__ import annotations
 
 import json
 import struct
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
+from functools import cached_property
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -61,6 +64,8 @@ COMMON = 300_000
 HEAVY = 2000
 #: A word or pair is spread if it has this part of a bucket's tokens.
 SPREAD = 1 / 16
+#: Words that are held before their distinct ones are looked for.
+HELD_WORDS = 4_000_000
 #: Parts in which statistics are summed before they meet.
 TREE = 32
 #: Sums by document travel as whole numbers of this part.
@@ -86,22 +91,36 @@ def freeze(*arrays: np.ndarray) -> bytes:
     return zstandard.ZstdCompressor(level=1).compress(b"".join(parts))
 
 
-def thaw(payload: bytes) -> list[np.ndarray]:
+class Frozen:
+    """An array of a frozen payload; slices of it are plain arrays."""
+
+    def __init__(self, kind: bytes, planes: np.ndarray) -> None:
+        self.kind, self.planes = kind, planes
+
+    def __getitem__(self, part: slice) -> np.ndarray:
+        planes = self.planes[:, part]
+        width, n = planes.shape
+        if self.kind == b"f":
+            return np.ascontiguousarray(planes.T).view(f"<f{width}").ravel()
+        wide = np.zeros((n, 8), np.uint8)
+        wide[:, :width] = planes.T
+        return wide.view("<u8").ravel()
+
+
+def opened(payload: bytes) -> list[Frozen]:
     data, at, out = zstandard.ZstdDecompressor().decompress(payload), 0, []
     while at < len(data):
         kind, width, n = struct.unpack_from("<cBQ", data, at)
         at += struct.calcsize("<cBQ")
-        planes = np.frombuffer(data, np.uint8, width * n, at).reshape(width, n)
+        out.append(Frozen(kind, np.frombuffer(data, np.uint8, width * n, at).reshape(width, n)))
         at += width * n
-        if kind == b"f":
-            out.append(np.ascontiguousarray(planes.T).view(f"<f{width}").ravel())
-        else:
-            wide = np.zeros((n, 8), np.uint8)
-            wide[:, :width] = planes.T
-            out.append(wide.view("<u8").ravel())
     return out
 
 
+def thaw(payload: bytes) -> list[np.ndarray]:
+    return [a[:] for a in opened(payload)]
+
+
 def _starts(*sorted_keys: np.ndarray) -> np.ndarray:
     """Places where a run of equal keys begins."""
     new = np.ones(len(sorted_keys[0]), bool)
@@ -110,6 +129,16 @@ def _starts(*sorted_keys: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
+def _order(key: np.ndarray) -> np.ndarray:
+    """Places of a key's values in order, equal ones as they stand. Small values are sorted with their places in one number."""
+    bits = len(key).bit_length()
+    if not len(key) or int(key.max()).bit_length() + bits > 64:
+        return np.argsort(key, kind="stable")
+    both = (key << np.uint64(bits)) | np.arange(len(key), dtype=np.uint64)
+    both.sort()
+    return (both & np.uint64((1 << bits) - 1)).view(np.int64)
+
+
 def _runs(starts: np.ndarray, n: int) -> np.ndarray:
     return np.diff(np.append(starts, n))
 
@@ -128,40 +157,79 @@ def mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (x ^ (x >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
 
 
+#: Of words, or what stands for them, to (codes, rare words in order).
+Coder = Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]]
+
+
 @dataclass(frozen=True)
 class Plan:
-    """What all tasks share: sorted arrays of common, heavy and hot (pairs, mixed) hashes."""
+    """What all tasks share: hashes of common words, the most frequent first, so that most codes are small, and sorted ones
+    of heavy words and hot pairs (mixed)."""
 
     buckets: int
     common: np.ndarray
     heavy: np.ndarray
     hot: np.ndarray
 
-    def placed(self, v: np.ndarray, u: np.ndarray, w: np.ndarray) -> np.ndarray:
+    @cached_property
+    def places(self) -> tuple[np.ndarray, np.ndarray]:
+        """The common words in order, and the place of each among the common ones."""
+        order = np.argsort(self.common)
+        return self.common[order], order
+
+    def placed(self, v: np.ndarray, u: np.ndarray, w: np.ndarray, heavy: np.ndarray) -> np.ndarray:
         """Bucket of each trigram: its history word's; for heavy ones by the word before, for hot pairs by the word after."""
         pair = mixed(v, u)
         spread = np.where(find(self.hot, pair) >= 0, mixed(pair, w), pair) >> np.uint64(7)
-        return np.where(find(self.heavy, v) >= 0, spread, v) % np.uint64(self.buckets)
+        return np.where(heavy, spread, v) % np.uint64(self.buckets)
 
     def coded(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(codes, rare words in order): code 0 stands for the next rare word."""
-        at = find(self.common, words)
-        return (at + 1).astype(np.uint64), words[at < 0]
+        known, place = self.places
+        at = find(known, words)
+        codes = np.zeros(len(words), np.uint64)
+        codes[at >= 0] = place[at[at >= 0]] + 1
+        return codes, words[at < 0]
 
     def words(self, codes: np.ndarray, rare: np.ndarray) -> np.ndarray:
-        out = np.empty(len(codes), np.uint64)
-        known = codes > 0
-        out[known] = self.common[codes[known].astype(np.int64) - 1]
-        out[~known] = rare
+        at = codes.view(np.int64) - 1
+        out = self.common[at] if len(self.common) else np.empty(len(at), np.uint64)
+        out[at < 0] = rare
         return out
 
-    def freeze_ngrams(self, v: np.ndarray, u: np.ndarray, w: np.ndarray, *more: np.ndarray) -> bytes:
-        """Trigrams in order of (v, u, w), with further arrays."""
+    def freeze_ngrams(self, v: np.ndarray, u: np.ndarray, w: np.ndarray, *more: np.ndarray, code: Coder | None = None) -> bytes:
+        """Trigrams in order of (v, u, w), with further arrays. They may be anything of which `code` tells the coded words."""
+        code = code or self.coded
         pairs = _starts(v, u)
         heads = _starts(v[pairs])
-        coded = [x for words in (v[pairs][heads], u[pairs], w) for x in self.coded(words)]
+        coded = [x for words in (v[pairs][heads], u[pairs], w) for x in code(words)]
         return freeze(*coded, _runs(heads, len(pairs)).astype(np.uint64), _runs(pairs, len(v)).astype(np.uint64), *more)
 
+    def thaw_last(self, payload: bytes) -> np.ndarray:
+        """The last words of frozen trigrams."""
+        return self.words(*(a[:] for a in opened(payload)[4:6]))
+
+    def thaw_part(self, payload: bytes, part: int, words: bool = True) -> tuple[np.ndarray | None, ...]:
+        """(v, u, w, times, documents, block's documents) of the trigrams of a part, which are together in a payload of `packer`."""
+        vc, vr, uc, ur, wc, wr, of_v, of_pair, times, docs, size = opened(payload)
+        heads = self.words(vc[:], vr[:])
+        first, last = np.searchsorted(part_of(heads), np.array([part, part + 1], np.uint64))
+        pairs, grams = (np.concatenate(([0], np.cumsum(x[:].astype(np.int64)))) for x in (of_v, of_pair))
+        of = slice(int(pairs[first]), int(pairs[last]))
+        gram = slice(int(grams[of.start]), int(grams[of.stop]))
+        before, here = int(times[: gram.start].sum()), times[gram]
+        found = here, docs[before : before + int(here.sum())], size[:]
+        if not words:
+            return None, None, None, *found
+
+        def cut_out(codes: Frozen, rare: Frozen, at: slice) -> np.ndarray:
+            skipped, mine = int((codes[: at.start] == 0).sum()), codes[at]
+            return self.words(mine, rare[skipped : skipped + int((mine == 0).sum())])
+
+        runs = np.diff(grams[of.start : of.stop + 1])
+        v = np.repeat(np.repeat(heads[first:last], np.diff(pairs[first : last + 1])), runs)
+        return v, np.repeat(cut_out(uc, ur, of), runs), cut_out(wc, wr, gram), *found
+
     def thaw_ngrams(self, payload: bytes) -> tuple[np.ndarray, ...]:
         vc, vr, uc, ur, wc, wr, of_v, of_pair, *more = thaw(payload)
         of_v, of_pair = of_v.astype(np.int64), of_pair.astype(np.int64)
@@ -179,12 +247,18 @@ class Shared:
         return Plan(*self.sent.value)
 
 
-def word_hashes(text: bytes | None, cache: dict[bytes, int]) -> np.ndarray:
+class Hashes(dict[bytes, int]):
+    """Hashes of words, each worked out when it is first asked for."""
+
+    def __missing__(self, word: bytes) -> int:
+        found = self[word] = xxhash.xxh64_intdigest(word)
+        return found
+
+
+def word_hashes(text: bytes | None, cache: Hashes) -> np.ndarray:
     words = (text or b"").translate(_LOWER).split()
     if len(cache) > CACHE_WORDS:
         cache.clear()
-    for w in set(words).difference(cache):
-        cache[w] = xxhash.xxh64_intdigest(w)
     return np.fromiter(map(cache.__getitem__, words), np.uint64, len(words))
 
 
@@ -192,7 +266,7 @@ def packer(shared: Shared):  # noqa: ANN201
     """mapInPandas function: (key, known, held, text) to PACKED rows: data of each bucket and one meta row a block."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        plan, cache = shared.plan(), {}
+        plan, cache = shared.plan(), Hashes()
         hashes: list[np.ndarray] = []
         keys: list[int] = []
         flags: list[int] = []
@@ -209,13 +283,19 @@ def packer(shared: Shared):  # noqa: ANN201
             here = np.flatnonzero(token)
             w, v, u = at[here], at[here - 1], at[here - 2]
             doc = np.repeat(np.arange(len(hashes), dtype=np.uint64) * np.uint64(2) + (np.array(flags, np.uint64) & np.uint64(1)), sizes + 1)
-            bucket = plan.placed(known[v], known[u], known[w])
+            heavy, part = find(plan.heavy, known) >= 0, part_of(known)
+            spot = plan.placed(known[v], known[u], known[w], heavy[v]) * np.uint64(PARTS) + part[v]
             # Places among the known words are in the order of the words; equal ones stay in the order of documents.
-            order = np.lexsort(((u.astype(np.uint64) << np.uint64(32)) | w, (bucket << np.uint64(32)) | v))
-            v, u, w, doc, bucket = v[order], u[order], w[order], doc[order], bucket[order]
+            width = np.uint64(len(known).bit_length())
+            order = _order((u.astype(np.uint64) << width) | w)
+            order = order[_order(((spot << width) | v)[order])]
+            v, u, w, doc, spot = v[order], u[order], w[order], doc[order], spot[order]
             del order, at, here, token
-            grams = _starts(bucket, v, u, w)
-            edges = np.searchsorted(bucket[grams], np.arange(plan.buckets + 1))
+            grams = _starts(spot, v, u, w)
+            # Each word of the block is coded once.
+            codes, _ = plan.coded(known)
+            code = lambda at: ((found := codes[at]), known[at[found == 0]])
+            edges = np.searchsorted(spot[grams], np.arange(plan.buckets + 1, dtype=np.uint64) * np.uint64(PARTS))
             times = _runs(grams, len(v)).astype(np.uint64)
             meta = freeze(np.array(keys, np.int64).view(np.uint64), np.array(flags, np.uint64), sizes.astype(np.uint64))
             out = [(number % plan.buckets, "m", number, meta)]
@@ -224,7 +304,7 @@ def packer(shared: Shared):  # noqa: ANN201
                 if i < j:
                     g = grams[i:j]
                     end = int(grams[j]) if j < len(grams) else len(v)
-                    out.append((b, "d", number, plan.freeze_ngrams(known[v[g]], known[u[g]], known[w[g]], times[i:j], doc[g[0] : end], np.array([len(hashes)], np.uint64))))
+                    out.append((b, "d", number, plan.freeze_ngrams(v[g], u[g], w[g], times[i:j], doc[g[0] : end], np.array([len(hashes)], np.uint64), code=code)))
             return pd.DataFrame(out, columns=["bucket", "kind", "block", "payload"])
 
         for batch in batches:
@@ -249,19 +329,19 @@ class Bucket:
     def __init__(self, plan: Plan, payloads: list[bytes], part: int, places: bool = False) -> None:
         vs, us, ws, cs = [], [], [], []
         for payload in payloads:
-            v, u, w, times, docs, _ = plan.thaw_ngrams(payload)
+            v, u, w, times, docs, _ = plan.thaw_part(payload, part)
             ends = np.cumsum(times).astype(np.int64)
             trained = np.concatenate(([0], np.cumsum((docs & np.uint64(1)) == 0)))
-            mine = _in_part(v, part)
-            vs.append(v[mine])
-            us.append(u[mine])
-            ws.append(w[mine])
-            cs.append((trained[ends] - trained[ends - times.astype(np.int64)])[mine])
+            vs.append(v)
+            us.append(u)
+            ws.append(w)
+            cs.append(trained[ends] - trained[ends - times.astype(np.int64)])
         sizes = [len(x) for x in vs]
         v, u, w, c = (np.concatenate(x) if x else np.zeros(0, np.uint64) for x in (vs, us, ws, cs))
         del vs, us, ws, cs
         order = np.lexsort((w, u, v))
-        first = _starts(v[order], u[order], w[order])
+        v, u, w = v[order], u[order], w[order]
+        first = _starts(v, u, w)
         if places:
             #: Place among the merged trigrams of each payload's trigrams.
             place = np.empty(len(v), np.int32)
@@ -269,7 +349,7 @@ class Bucket:
             new[first] = 1
             place[order] = np.cumsum(new) - 1
             self.places = np.split(place, np.cumsum(sizes)[:-1]) if sizes else []
-        self.v, self.u, self.w = v[order][first], u[order][first], w[order][first]
+        self.v, self.u, self.w = v[first], u[first], w[first]
         self.c3 = np.add.reduceat(c[order], first) if len(first) else np.zeros(0, np.int64)
         del v, u, w, c, order
         pairs = _starts(self.v, self.u)
@@ -283,8 +363,10 @@ class Bucket:
         self.word_count = np.add.reduceat(self.pair_count, heads) if len(heads) else np.zeros(0, np.int64)
         self.heavy_of = find(plan.heavy, self.words)
         order = np.lexsort((self.w, self.v))
-        first = _starts(self.v[order], self.w[order])
-        self.big_v, self.big_w = self.v[order][first], self.w[order][first]
+        v, w = self.v[order], self.w[order]
+        first = _starts(v, w)
+        self.big_v, self.big_w = v[first], w[first]
+        del v, w
         self.c2 = np.add.reduceat(self.c3[order], first) if len(first) else np.zeros(0, np.int64)
         #: Bigram of each trigram, history word of each bigram.
         self.big_of = np.empty(len(self.v), np.int64)
@@ -294,16 +376,39 @@ class Bucket:
         self.asked = np.flatnonzero(self.heavy_of[self.word_of] >= 0) if len(self.words) else np.zeros(0, np.int64)
 
 
-def wanted_words(plan: Plan, payloads: list[bytes]) -> np.ndarray:
+def distinct(arrays: Iterable[np.ndarray]) -> np.ndarray:
+    """The distinct values of all arrays, in order. What is held is sorted when it has doubled, so that many arrays cost
+    little more than one sort."""
+    held: list[np.ndarray] = []
+    size = least = 0
+    for a in chain(arrays, [None]):
+        if a is not None:
+            held.append(a)
+            size += len(a)
+        if (a is None or size > max(HELD_WORDS, 2 * least)) and held:
+            x = np.sort(np.concatenate(held))
+            held = [x[_starts(x)]]
+            size = least = len(held[0])
+    return held[0] if held else np.zeros(0, np.uint64)
+
+
+def wanted_words(plan: Plan, words: Iterable[np.ndarray]) -> np.ndarray:
     """The words that follow in a bucket, in order, but for those whose counts come with the statistics."""
-    found = np.zeros(0, np.uint64)
-    for payload in payloads:
-        found = np.union1d(found, plan.thaw_ngrams(payload)[2])
+    found = distinct(words)
     return found[find(plan.heavy, found) < 0]
 
 
-def _in_part(v: np.ndarray, part: int) -> np.ndarray:
-    return (v >> np.uint64(40)) % np.uint64(PARTS) == np.uint64(part)
+def by_owner(words: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(bucket, places of its words, in order) of each bucket that owns one of the words."""
+    to = (words % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(to, kind="stable")
+    first = _starts(to[order])
+    for i, n in zip(first.tolist(), _runs(first, len(order)).tolist(), strict=True):
+        yield int(to[order[i]]), order[i : i + n]
+
+
+def part_of(v: np.ndarray) -> np.ndarray:
+    return (v >> np.uint64(40)) % np.uint64(PARTS)
 
 
 def _histogram(c: np.ndarray) -> np.ndarray:
@@ -339,20 +444,17 @@ def counter(shared: Shared):  # noqa: ANN201
         payloads = rows[rows["kind"] == "d"].sort_values("block")["payload"].tolist()
         totals, out = Totals(plan), []
         t = totals.part
-        wanted = wanted_words(plan, payloads)
-        to = wanted % np.uint64(plan.buckets)
-        for target in np.unique(to).tolist():
-            out.append((int(target), "r", own * PARTS, freeze(wanted[to == target])))
+        followers: list[np.ndarray] = []
         for part in range(PARTS):
             b = Bucket(plan, payloads, part)
+            followers.append(distinct([b.w]))
             # Who asks is a part of a bucket.
             me = own * PARTS + part
             light = (b.heavy_of < 0) & (b.word_count > 0)
             out.append((own, "u", me, freeze(b.words[light], b.word_count[light].astype(np.uint64))))
             heavy, w, c = b.heavy_of[b.word_of[b.asked]].astype(np.uint64), b.big_w[b.asked], b.c2[b.asked].astype(np.uint64)
-            to = w % np.uint64(plan.buckets)
-            for target in np.unique(to).tolist():
-                out.append((int(target), "b", me, freeze(heavy[to == target], w[to == target], c[to == target])))
+            for target, at in by_owner(w, plan.buckets):
+                out.append((target, "b", me, freeze(heavy[at], c[at], *plan.coded(w[at]))))
             t["words"] += np.array([b.word_count[light].sum(), light.sum()])
             t["tri"] += _histogram(b.c3)
             t["uni"] += _histogram(b.word_count[light])
@@ -363,6 +465,9 @@ def counter(shared: Shared):  # noqa: ANN201
             few = (hot >= 0) & (b.c3 > 0) & (b.c3 <= KATZ_K)
             np.add.at(t["few3"], hot[few] * KATZ_K + b.c3[few] - 1, 1)
             del b
+        wanted = wanted_words(plan, followers)
+        for target, at in by_owner(wanted, plan.buckets):
+            out.append((target, "r", own * PARTS, freeze(*plan.coded(wanted[at]))))
         out.append((own, "s", own, totals.frozen()))
         return pd.DataFrame(out, columns=["bucket", "kind", "source", "payload"])
 
@@ -389,12 +494,15 @@ def answerer(shared: Shared):  # noqa: ANN201
         out = []
         for source, payload in of["r"][["source", "payload"]].itertuples(index=False) if "r" in of else ():
             bucket, mark = to(source)
-            out.append((bucket, "a", mark, freeze(count_of(thaw(payload)[0]))))
+            out.append((bucket, "a", mark, freeze(count_of(plan.words(*thaw(payload))))))
         totals = Totals(plan)
         for payload in of["s"]["payload"] if "s" in of else ():
             totals.add(payload)
         if "b" in of:
-            parts = [(int(source), thaw(payload)) for source, payload in of["b"][["source", "payload"]].itertuples(index=False)]
+            parts = []
+            for source, payload in of["b"][["source", "payload"]].itertuples(index=False):
+                h, c, *coded = thaw(payload)
+                parts.append((int(source), (h, plan.words(*coded), c)))
             h, w, c = (np.concatenate([p[i] for _, p in parts]) for i in range(3))
             order = np.lexsort((w, h))
             first = _starts(h[order], w[order])
@@ -558,7 +666,7 @@ def scorer(shared: Shared):  # noqa: ANN201
             sums: list[list[np.ndarray] | None] = [None] * len(blocks)
             late: list[list[np.ndarray]] = [[] for _ in blocks]
             hot = np.zeros(len(plan.hot))
-            wanted = wanted_words(plan, payloads)
+            wanted = wanted_words(plan, map(plan.thaw_last, payloads))
             counts = _answers(sent, "a", 0, wanted, plan)
             for part in range(PARTS):
                 b = Bucket(plan, payloads, part, places=True)
@@ -567,9 +675,8 @@ def scorer(shared: Shared):  # noqa: ANN201
                 cw = s.word_counts[b.big_of]
                 base, known = m.base(cw), cw > 0
                 for i, (payload, place) in enumerate(zip(payloads, b.places, strict=True)):
-                    v, _, _, times, docs, size = plan.thaw_ngrams(payload)
-                    mine, times = _in_part(v, part), times.astype(np.int64)
-                    gram, doc = np.repeat(place, times[mine]), (docs[np.repeat(mine, times)] >> np.uint64(1)).astype(np.int64)
+                    *_, times, docs, size = plan.thaw_part(payload, part, words=False)
+                    gram, doc = np.repeat(place, times.astype(np.int64)), (docs >> np.uint64(1)).astype(np.int64)
                     new = [np.bincount(doc, x[gram], int(size[0])) for x in (s.logs, base, known)]
                     sums[i] = new if sums[i] is None else [x + y for x, y in zip(sums[i], new, strict=True)]
                     wait = s.waits[gram]
@@ -592,10 +699,10 @@ def scorer(shared: Shared):  # noqa: ANN201
 
 def _answers(sent: pd.DataFrame, kind: str, part: int, words: np.ndarray, plan: Plan) -> np.ndarray:
     """What the owners of `words` answered to a part of a bucket, in their order."""
-    out, to = np.zeros(len(words), np.int64), words % np.uint64(plan.buckets)
-    of = sent[(sent["kind"] == kind) & (sent["source"] % PARTS == part)]
-    for source, payload in of[["source", "payload"]].itertuples(index=False):
-        out[to == source // PARTS] = thaw(payload)[0]
+    out, of = np.zeros(len(words), np.int64), dict(by_owner(words, plan.buckets))
+    got = sent[(sent["kind"] == kind) & (sent["source"] % PARTS == part)]
+    for source, payload in got[["source", "payload"]].itertuples(index=False):
+        out[of[source // PARTS]] = thaw(payload)[0]
     return out
 
 
@@ -761,7 +868,7 @@ def evaluate(spark: SparkSession, path: str, docs: DataFrame) -> DataFrame:
 
     @F.pandas_udf("array<struct<u:bigint,v:bigint,word:bigint>>")
     def grams(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        cache: dict[bytes, int] = {}
+        cache = Hashes()
         for texts in batches:
             rows = []
             for t in texts:
@@ -783,7 +890,7 @@ def planned(docs: DataFrame, buckets: int, n: int) -> Plan:
     """Common words, heavy words and hot pairs by a sample of documents. What comes to the driver is bounded by COMMON and HEAVY."""
 
     def pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache: dict[bytes, int] = {}
+        cache = Hashes()
         for batch in batches:
             for at in range(0, len(batch), 64):
                 texts = [np.concatenate(([START, START], word_hashes(t, cache))).astype(np.uint64) for t in batch["text"][at : at + 64]]
@@ -806,7 +913,7 @@ def planned(docs: DataFrame, buckets: int, n: int) -> Plan:
     # Only pairs whose second word is heavy are spread, the start's among them.
     u, v = (np.array([*(p[i] for p in hot), np.int64(START.view(np.int64))], np.int64).view(np.uint64) for i in (0, 1))
     spread = np.unique(mixed(v, u)[find(heavy_words, v) >= 0])
-    return Plan(buckets, np.unique(common), heavy_words, spread)
+    return Plan(buckets, common, heavy_words, spread)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

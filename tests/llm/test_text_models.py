@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 from samples import SCHEMA, rows, sorted_rows, words
@@ -630,3 +631,54 @@ def test_decontamination_takes_names_at_the_start_of_a_sentence_and_of_any_lengt
     assert hits("Well. Erin sold 31 pens on Friday. Frank sold 12 more than Erin did. Gina sold 9 less than Frank. How many did Gina sell?") == [(1, "reparameterised")]
     assert hits("Mary Ann Lee sold 31 pens on Friday. Frank Moe sold 12 more than Mary Ann Lee did. Gina Roe sold 9 less than Frank Moe. How many did Gina Roe sell?") == [(1, "reparameterised")]
     assert hits("") == hits("It rained. Nobody sold anything.") == []
+
+
+def test_katz_counts_many_payloads_without_sorting_all_words_for_each(monkeypatch):
+    """What a bucket sorts or unites grows with its trigrams, not with payloads times words; results are those of one payload."""
+    plan = katz.Plan(1, np.arange(5, 50, dtype=np.uint64), np.array([katz.START, katz.END]), np.zeros(0, np.uint64))
+    rng = np.random.default_rng(5)
+    grams = np.unique(rng.integers(1, 2000, (40_000, 3)).astype(np.uint64) << np.uint64(38), axis=0)
+    grams = grams[np.lexsort((grams[:, 2], grams[:, 1], grams[:, 0], grams[:, 0] >> np.uint64(40) & np.uint64(3)))]
+    rng.shuffle(block := np.arange(len(grams)) % 400)
+
+    def rows(*parts):
+        one = np.ones(1, np.uint64)
+        frozen = [plan.freeze_ngrams(*p.T, np.ones(len(p), np.uint64), np.zeros(len(p), np.uint64), one) for p in parts]
+        return pd.DataFrame({"bucket": 0, "kind": "d", "block": range(len(parts)), "payload": frozen})
+
+    class Shared:
+        def plan(self):
+            return plan
+
+    sent = lambda r: [(k, s, p) for _, k, s, p in katz.counter(Shared())(r).sort_values(["kind", "source"]).itertuples(index=False)]
+    want, handled = sent(rows(grams)), 0
+
+    def counted(f):
+        def run(*arrays, **kw):
+            nonlocal handled
+            handled += sum(np.size(a) for a in arrays if isinstance(a, np.ndarray))
+            return f(*arrays, **kw)
+
+        return run
+
+    for name in ("union1d", "sort", "unique"):
+        monkeypatch.setattr(np, name, counted(getattr(np, name)))
+    got = sent(rows(*(grams[block == i] for i in range(400))))
+    assert got == want and handled < 4 * len(grams)
+
+
+def test_katz_parts_come_out_of_a_payload_and_words_have_one_order():
+    plan = katz.Plan(1, np.array([7, 3, 1 << 41], np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.uint64))
+    v, u, w = (np.array(x, np.uint64) for x in ([3, 3, 9, 1 << 40, 1 << 41, 3 << 40], [7, 8, 7, 3, 7, 11], [5, 5, 3, 3, 7, 7]))
+    times, docs, size = np.array([1, 2, 1, 1, 3, 1], np.uint64), np.arange(9, dtype=np.uint64), np.array([5], np.uint64)
+    payload, whole = plan.freeze_ngrams(v, u, w, times, docs, size), []
+    for part in range(katz.PARTS):
+        got = plan.thaw_part(payload, part)
+        assert (katz.part_of(got[0]) == part).all() and got[-1].tolist() == [5]
+        assert [x.tolist() for x in plan.thaw_part(payload, part, words=False)[3:]] == [x.tolist() for x in got[3:]]
+        whole.append(got[:5])
+    for x, y in zip((v, u, w, times, docs), zip(*whole, strict=True), strict=True):
+        assert np.concatenate(y).tolist() == x.tolist()
+    assert katz.distinct([w, np.zeros(0, np.uint64), v]).tolist() == sorted({*w.tolist(), *v.tolist()}) and not len(katz.distinct([]))
+    for key in (np.array([3, 1, 3, 1, 0], np.uint64), np.array([1 << 63, 1, 1 << 63, 0], np.uint64), np.zeros(0, np.uint64)):
+        assert katz._order(key).tolist() == np.argsort(key, kind="stable").tolist()
