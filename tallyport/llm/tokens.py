@@ -42,7 +42,7 @@ END_ID = 0
 SAMPLE = 256
 #: Ids after which a segment ends (with its document).
 SEGMENT_IDS = 2_000_000
-#: Pieces a worker remembers; when full it forgets all.
+#: Pieces a worker remembers; when full it forgets those that it has not met since half of that were new.
 CACHE_PIECES = 1_000_000
 _HEADER = struct.Struct("<4sBBHQQQ")
 _EF_HEADER = struct.Struct("<BQqQ")
@@ -145,8 +145,11 @@ class Segment:
 _PLAIN = re.compile("[\t\n\r -~¡-ɏ‐-‧]*")
 #: In such texts, what makes a blank part of a longer run of white space.
 _JOINED = ("  ", " \n", "\n ", " \t", "\t ", "\r", "\n\n", "\n\t", "\t\n")
-#: Pieces that are encoded as lines of one text.
-_LINES = 2000
+#: Pieces that are encoded as lines of one text (more cost the library more each), and in one call.
+_LINES = 100
+_CALL = 2000
+#: Marks that end a letter's or a digit's piece of the byte-level pattern, and are a piece with those after them.
+_MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 def _splits_at_blanks(config: dict) -> bool:
@@ -172,6 +175,7 @@ class Encoder:
         self.line_end = line_end[0] if len(line_end) == 1 else -1
         self.wide = self.tokenizer.get_vocab_size() > 1 << 16
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _raw(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -182,21 +186,44 @@ class Encoder:
         so one call encodes thousands."""
         lines = [p for p in pieces if "\n" not in p and "\t" not in p and p.strip(" ")]
         others = set(pieces).difference(lines)
-        for at in range(0, len(lines), _LINES):
-            part = lines[at : at + _LINES]
-            ids = np.array(self.tokenizer.encode_batch_fast(["\n".join(part)], add_special_tokens=False)[0].ids, dtype="<u4")
-            ends = np.flatnonzero(ids == self.line_end)
-            if len(ends) != len(part) - 1:
-                others.update(part)
-                continue
-            raw = ids.tobytes()
-            starts = [0, *(4 * ends + 4).tolist()]
-            self.known.update(zip(part, [raw[i:j] for i, j in zip(starts, [*(4 * ends).tolist(), len(raw)], strict=True)], strict=True))
+        parts = [lines[at : at + _LINES] for at in range(0, len(lines), _LINES)]
+        for at in range(0, len(parts), _CALL // _LINES):
+            call = parts[at : at + _CALL // _LINES]
+            for part, raw in zip(call, self._raw(["\n".join(part) for part in call]), strict=True):
+                ends = np.flatnonzero(np.frombuffer(raw, "<u4") == self.line_end)
+                if len(ends) != len(part) - 1:
+                    others.update(part)
+                    continue
+                starts = [0, *(4 * ends + 4).tolist()]
+                self.known.update(zip(part, [raw[i:j] for i, j in zip(starts, [*(4 * ends).tolist(), len(raw)], strict=True)], strict=True))
         rest = list(others)
-        for at in range(0, len(rest), _LINES):
-            part = rest[at : at + _LINES]
+        for at in range(0, len(rest), _CALL):
+            part = rest[at : at + _CALL]
             self.known.update(zip(part, self._raw(part), strict=True))
 
+    def _meet(self, pieces: set[str]) -> None:
+        """Have the ids of plain pieces among the known ones. Marks that end a piece are encoded apart from what they follow."""
+        if len(self.known) > CACHE_PIECES // 2:
+            self.known, self.older = {}, self.known
+        known, older, new, ended = self.known, self.older, set(), []
+        for piece in pieces.difference(known):
+            if piece in older:
+                known[piece] = older[piece]
+                continue
+            body = piece.rstrip(_MARKS)
+            if len(body) == len(piece) or not body[-1:].isalnum():
+                new.add(piece)
+                continue
+            ended.append((piece, body, piece[len(body) :]))
+        for part in {x for _, *parts in ended for x in parts}.difference(known):
+            if part in older:
+                known[part] = older[part]
+            else:
+                new.add(part)
+        self._learn(list(new))
+        for piece, body, marks in ended:
+            known[piece] = known[body] + known[marks]
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text, the end id last."""
         pieces: list[list[str] | None] = []
@@ -204,10 +231,7 @@ class Encoder:
             plain = self.by_piece and _PLAIN.fullmatch(text) and not any(s in text for s in self.never)
             split = text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0") if plain else None
             pieces.append(split)
-        if len(self.known) > CACHE_PIECES:
-            self.known.clear()
-        missing = list(set().union(*(p for p in pieces if p)).difference(self.known))
-        self._learn(missing)
+        self._meet(set().union(*(p for p in pieces if p)))
         get, end = self.known.__getitem__, np.array([END_ID], dtype="<u4").tobytes()
         out = []
         for text, split in zip(texts, pieces, strict=True):

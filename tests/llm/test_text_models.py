@@ -625,6 +625,27 @@ def test_encoder_equals_whole_texts():
         assert ids.tolist() == [*coder.tokenizer.encode(text, add_special_tokens=False).ids, 0]
 
 
+def test_encoder_asks_once_for_a_word_with_or_without_marks_and_keeps_what_it_meets(monkeypatch):
+    public = pytest.importorskip("public_tokenizers")
+    monkeypatch.setattr(tokens, "CACHE_PIECES", 400)
+    coder, asked = tokens.Encoder(public.path("byte_bpe_50k.json")), []
+    whole = coder.tokenizer
+
+    class Counting:
+        def encode_batch_fast(self, texts, **kw):
+            asked.extend(x.strip() for t in texts for x in t.split("\n"))
+            return whole.encode_batch_fast(texts, **kw)
+
+    coder.tokenizer = Counting()
+    for i in range(40):
+        new = " ".join(f"{w}{m}" for w, m in zip(words(60, i), [",", ".", "!?", "'s", "'", '."', "\u00bb.", "_x-", "3)", "\u00b2;"] * 6, strict=True))
+        texts = [f"say frequent, frequent. (frequent) frequent {new}", f"'frequent' $frequent% ,, . {new[::-1]}"]
+        for text, ids in zip(texts, coder.encode(texts), strict=True):
+            assert ids.tolist() == [*whole.encode(text, add_special_tokens=False).ids, 0]
+        assert len(coder.known) + len(coder.older) < 2 * tokens.CACHE_PIECES
+    assert asked.count("frequent") == 1 and asked.count("frequent,") == 0
+
+
 def test_decontamination_takes_names_at_the_start_of_a_sentence_and_of_any_length():
     index = decontaminate.Index([(1, "Ben sold 20 pens on Monday. Carl sold 15 more than Ben did. Dana sold 7 less than Carl. How many did Dana sell?")])
     hits = lambda text: [(x["item_id"], x["kind"]) for x in index.hits(decontaminate.Coder(), text)]
