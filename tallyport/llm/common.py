@@ -70,9 +70,15 @@ def discard(*tables: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """`df` with the hint that a join with it is by shuffle. Spark sizes a table by its packed file, and what an explode makes
+    of a row as one row; left to choose, it would broadcast tables that are a hundred times what it takes them for."""
+    return df.hint("merge")
+
+
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """`df` with a broadcast hint if its counted rows are within the bound, else as it is (a shuffle join follows)."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    """`df` with a broadcast hint if its counted rows are within the bound, else with the hint for a shuffle join."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else shuffled(df)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyport.llm.common import cut, discard, table, unsigned_hex
+from tallyport.llm.common import cut, discard, shuffled, table, unsigned_hex
 from tallyport.session import ship
 
 BITS = 64
@@ -96,7 +96,7 @@ def candidates(prints: DataFrame) -> DataFrame:
     halves = prints.select("fp", F.explode(F.array(low, high.bitwiseOR(F.lit(1 << 32)))).alias("half"))
     index = halves.groupBy("half").agg(F.min("fp").alias("least"), F.max("fp").alias("most"))
     near = halves.select("fp", _flipped(F.col("half"), [0, *(1 << i for i in range(32))]).alias("half"))
-    met = near.join(index, "half").where((F.col("least") != F.col("fp")) | (F.col("most") != F.col("fp")))
+    met = shuffled(near).join(index, "half").where((F.col("least") != F.col("fp")) | (F.col("most") != F.col("fp")))
     return met.select("fp").distinct()
 
 
@@ -138,11 +138,11 @@ def classes(prints: DataFrame) -> DataFrame:
     """(doc_id, fp) rows to (fp, root, component_id): root is the component's least fingerprint as a signed long."""
     by_print = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
     kept = cut(candidates(by_print.select("fp")), "simhash-near")
-    roots = components(links(kept))
+    roots = shuffled(components(links(kept)))
     discard(kept)
     rooted = by_print.join(roots, by_print.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return rooted.join(smallest, "root").select("fp", "root", "component_id")
+    return rooted.join(shuffled(smallest), "root").select("fp", "root", "component_id")
 
 
 def near_duplicates(docs: DataFrame, width: int = 3) -> DataFrame:
@@ -150,7 +150,7 @@ def near_duplicates(docs: DataFrame, width: int = 3) -> DataFrame:
     ship(docs.sparkSession)
     prints = with_fingerprints(docs, width)
     of = cut(classes(prints), "simhash-classes")
-    return prints.join(of, "fp").select("doc_id", unsigned_hex(F.col("fp")).alias("fingerprint"), "component_id")
+    return prints.join(shuffled(of), "fp").select("doc_id", unsigned_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -75,6 +75,29 @@ def test_simhash_empty_and_clashes(empty, clashing, docs):
     assert sorted_rows(simhash.near_duplicates(clashing)) == sorted_rows(simhash.near_duplicates(docs))
 
 
+def plans_written(monkeypatch, *modules):
+    """The plans of the tables that these modules write from now on, as (name, text)."""
+    seen = []
+
+    def noted(df, name, cut=simhash.cut):
+        seen.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return cut(df, name)
+
+    for module in modules:
+        monkeypatch.setattr(module, "cut", noted)
+    return seen
+
+
+def test_simhash_broadcasts_no_table_that_spark_sizes_too_low(docs, monkeypatch):
+    seen = plans_written(monkeypatch, simhash)
+    found = simhash.near_duplicates(docs)
+    seen.append(("result", found._jdf.queryExecution().executedPlan().toString()))
+    # Links and roots are random longs, which no file packs: their steps may go by the file's size.
+    own = [(name, plan) for name, plan in seen if not name.startswith("cc")]
+    assert any("SortMergeJoin" in plan for _, plan in own)
+    assert [name for name, plan in own if "Broadcast" in plan] == []
+
+
 def test_similar_stage_equals_brute_force(spark, docs):
     kept = {(r.doc_id, r.text) for r in similar.stage(spark, docs, "").collect()}
     sets = [(i, t, similar.shingles(similar.text_words(t.encode() if t else None))) for i, t, *_ in rows()]
