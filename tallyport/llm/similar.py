@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyport.llm import simhash
-from tallyport.llm.common import cut, discard, small
+from tallyport.llm.common import cut, discard, shuffled, small
 from tallyport.llm.simhash import components
 from tallyport.session import ship
 
@@ -167,8 +167,8 @@ def ball_pairs(texts: DataFrame) -> DataFrame:
     first text of the star's centre. Texts of one fingerprint form a star too."""
     prints = texts.where("size > 0").groupBy("fp").agg(F.min("h").alias("first"))
     near = cut(simhash.candidates(prints.select("fp")), "similar-near")
-    stars = simhash.links(near).join(prints.select(F.col("fp").alias("a"), F.col("first").alias("x")), "a").join(prints.select(F.col("fp").alias("b"), F.col("first").alias("y")), "b")
-    same = texts.where("size > 0").join(prints, "fp").where(F.col("h") != F.col("first")).select(F.col("first").alias("a"), F.col("h").alias("b"))
+    stars = shuffled(simhash.links(near)).join(prints.select(F.col("fp").alias("a"), F.col("first").alias("x")), "a").join(shuffled(prints.select(F.col("fp").alias("b"), F.col("first").alias("y"))), "b")
+    same = texts.where("size > 0").join(shuffled(prints), "fp").where(F.col("h") != F.col("first")).select(F.col("first").alias("a"), F.col("h").alias("b"))
     pairs = cut(stars.select(F.col("x").alias("a"), F.col("y").alias("b")).union(same), "similar-balls")
     discard(near)
     return pairs
@@ -204,13 +204,13 @@ def live(members: DataFrame, roots: DataFrame | None) -> DataFrame:
     """The members, with their `root`, of the buckets whose members are not all in one component."""
     rooted = members.drop("root")
     if roots is not None:
-        rooted = rooted.join(roots.withColumnRenamed("node", "h"), "h", "left")
+        rooted = rooted.join(shuffled(roots.withColumnRenamed("node", "h")), "h", "left")
         rooted = rooted.select("key", "h", "size", "at", F.coalesce("root", "h").alias("root"))
     else:
         rooted = rooted.withColumn("root", F.col("h"))
     rooted = cut(rooted, "similar-rooted")
     open_ = rooted.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least <> most").select("key")
-    out = cut(rooted.join(open_, "key"), "similar-live")
+    out = cut(rooted.join(shuffled(open_), "key"), "similar-live")
     discard(rooted)
     return out
 
@@ -220,14 +220,14 @@ def hub_pairs(members: DataFrame, nth: int, texts: DataFrame) -> DataFrame:
     the most central one that is in none of the nth components before."""
     counts = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
     # How many others a text meets: copies of one original meet it more often than each other.
-    weights = members.join(counts, "key").groupBy("h").agg(F.sum(F.col("n") - 1).alias("weight"))
-    weighed = members.join(weights, "h")
+    weights = members.join(shuffled(counts), "key").groupBy("h").agg(F.sum(F.col("n") - 1).alias("weight"))
+    weighed = members.join(shuffled(weights), "h")
     hub = None
     for _ in range(nth + 1):
-        left = weighed if hub is None else weighed.join(hub.select("key", F.col("a.root").alias("taken")), "key").where("root <> taken").drop("taken")
+        left = weighed if hub is None else weighed.join(shuffled(hub.select("key", F.col("a.root").alias("taken"))), "key").where("root <> taken").drop("taken")
         hub = left.groupBy("key").agg(F.max_by(F.struct("h", "size", "at", "root"), F.struct("weight", F.bitwise_not(F.col("h")))).alias("a"))
         weighed = left
-    met_ = members.join(hub, "key").select("a", F.struct("h", "size", "at", "root").alias("b"))
+    met_ = members.join(shuffled(hub), "key").select("a", F.struct("h", "size", "at", "root").alias("b"))
     pairs = met_.where((F.col("a.root") != F.col("b.root")) & possible("a", "b")).select(F.col("a.h").alias("a"), F.col("b.h").alias("b")).distinct()
     of = lambda side: texts.select(F.col("h").alias(side), F.struct("size", "bitmap").alias(f"{side}_text"))
     return pairs.join(of("a"), "a").join(of("b"), "b").where(close("a_text", "b_text")).select("a", "b")
@@ -236,7 +236,7 @@ def hub_pairs(members: DataFrame, nth: int, texts: DataFrame) -> DataFrame:
 def all_pairs(members: DataFrame, texts: DataFrame) -> DataFrame:
     """All pairs (a, b) of members of one bucket that are in two components."""
     counts = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-    members = members.join(counts, "key").join(texts.select("h", "bitmap"), "h")
+    members = members.join(shuffled(counts), "key").join(shuffled(texts.select("h", "bitmap")), "h")
     groups = F.ceil(F.col("n") / GROUP).cast("int")
     member = F.struct("h", "size", "at", "root", "bitmap")
     own = F.pmod(F.xxhash64("h"), groups).cast("int")
@@ -246,7 +246,7 @@ def all_pairs(members: DataFrame, texts: DataFrame) -> DataFrame:
     apart = (F.col("a.h") < F.col("b.h")) & (F.col("a.root") != F.col("b.root"))
     x, y = left.alias("x"), right.alias("y")
     same = (F.col("x.key") == F.col("y.key")) & (F.col("x.group") == F.col("y.group"))
-    return x.join(y, same & apart & possible("a", "b") & close("a", "b")).select(F.col("a.h").alias("a"), F.col("b.h").alias("b")).distinct()
+    return shuffled(x).join(y, same & apart & possible("a", "b") & close("a", "b")).select(F.col("a.h").alias("a"), F.col("b.h").alias("b")).distinct()
 
 
 def key_of(doc_id: Column) -> list[Column]:
@@ -292,7 +292,7 @@ def _joined(pairs: DataFrame, edges: DataFrame | None, roots: DataFrame | None,
 def bearing(pairs: DataFrame, texts: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The rows that bear the texts of a pair, one a text, and (h, text): only these rows' texts are shuffled."""
     ids = pairs.select(F.col("a").alias("h")).union(pairs.select(F.col("b").alias("h"))).distinct()
-    bearers = cut(texts.join(ids, "h").select("h", "least.*"), "similar-bearers")
+    bearers = cut(texts.join(shuffled(ids), "h").select("h", "least.*"), "similar-bearers")
     whole = docs.select(*key_of(F.col("doc_id")), F.col("text").cast("binary").alias("text")).join(small(bearers), ["none", "id"])
     # With a doc_id that repeats, a bearer may meet another row's text; its words tell.
     whole = whole.select("h", "text").where(_words_hash(F.col("text")) == F.col("h")).groupBy("h").agg(F.min("text").alias("text"))
@@ -301,7 +301,8 @@ def bearing(pairs: DataFrame, texts: DataFrame, docs: DataFrame) -> tuple[DataFr
 
 def _compared(pairs: DataFrame, whole: DataFrame) -> DataFrame:
     """The pairs that are similar enough. Either side's text may belong to many pairs; they are dealt out by both."""
-    sides = pairs.join(whole.withColumnsRenamed({"h": "a", "text": "left"}), "a").join(whole.withColumnsRenamed({"h": "b", "text": "right"}), "b")
+    of = lambda side, name: shuffled(whole.withColumnsRenamed({"h": side, "text": name}))
+    sides = pairs.join(of("a", "left"), "a").join(of("b", "right"), "b")
     return sides.where(_alike("left", "right")).select("a", "b")
 
 
@@ -316,14 +317,14 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Null, empty and blank texts are one group. A null doc_id is larger than any other."""
     rows, roots = text_classes(docs)
-    rooted = rows.join(roots, "h", "left").select("none", "id", "h", F.coalesce("root", "h").alias("root"))
+    rooted = rows.join(shuffled(roots), "h", "left").select("none", "id", "h", F.coalesce("root", "h").alias("root"))
     kept = cut(rooted.groupBy("root").agg(F.min(F.struct("none", "id", "h")).alias("key")).select("key.*"), "similar-kept")
     # Rows are told apart by doc_id; where it repeats, by their words.
     repeated = rows.groupBy("none", "id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).count() > 0
     whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), *key_of(F.col("doc_id")))
     if not repeated:
-        return whole.join(kept.select("none", "id"), ["none", "id"], "left_semi").select("row.*")
+        return whole.join(small(kept.select("none", "id")), ["none", "id"], "left_semi").select("row.*")
     marked = whole.withColumn("h", _words_hash(F.col("row.text").cast("binary")))
-    chosen = marked.join(kept, ["none", "id", "h"], "left_semi")
+    chosen = marked.join(small(kept), ["none", "id", "h"], "left_semi")
     nth = F.row_number().over(Window.partitionBy("none", "id", "h").orderBy("none", "id", "h"))
     return chosen.withColumn("nth", nth).where("nth = 1").select("row.*")

@@ -116,6 +116,15 @@ def test_similar_stage_equals_brute_force(spark, docs):
     assert sum(1 for k in kept if not (k[1] or "").strip()) == 1
 
 
+def test_similar_stage_broadcasts_no_table_that_spark_sizes_too_low(spark, docs, monkeypatch):
+    seen = plans_written(monkeypatch, simhash, similar)
+    similar.stage(spark, docs, "")
+    # These join with counted rows (bearers) or with texts and pairs, of which Spark knows the size.
+    known = {"similar-whole", "similar-pairs"}
+    assert {"similar-near", "similar-balls", "similar-live", "similar-links"} <= {name for name, _ in seen}
+    assert [name for name, plan in seen if "Broadcast" in plan and not name.startswith("cc") and name not in known] == []
+
+
 def test_similar_stage_takes_repeats_hubs_and_clashes(spark, empty, clashing):
     assert similar.stage(spark, empty, "").count() == 0
     assert set(similar.stage(spark, clashing, "").columns) == set(clashing.columns)
