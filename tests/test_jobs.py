@@ -77,6 +77,17 @@ def test_csv_load_policies(spark, store, tmp_path):
     assert (whole.loaded, whole.failed) == (0, 2)
 
 
+def test_a_load_that_creates_its_table_reads_every_chunk(spark, tmp_path):
+    """What the first chunk is asked for the types must not bound what is loaded."""
+    path = tmp_path / "many.csv"
+    path.write_text("id,name\n" + "".join(f"{i + 40_000},n{i}\n" for i in range(500)))
+    store = jobs.Store(spark, str(tmp_path / "store"))
+    found = jobs.load(spark, store, jobs.LoadOptions(str(path), "many", dialect=delimited.CSV.with_(header=True), create=True, chunk_bytes=1000))
+    assert (found.loaded, found.failed) == (500, 0)
+    assert store.read("public", "many").where("id = 40000 + CAST(substr(name, 2) AS INT)").count() == 500
+    assert [c.type_name for c in store.contract("public", "many").columns] == ["INTEGER", "TEXT"]
+
+
 def test_parquet_load_creates_and_counts(spark, store, tmp_path):
     spark.createDataFrame([(i, f"n{i}", i / 2) for i in range(100)], "id int, name string, v double").write.parquet(str(tmp_path / "p.parquet"))
     result = jobs.load(spark, store, jobs.LoadOptions(str(tmp_path / "p.parquet"), "p", create=True))
