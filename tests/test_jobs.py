@@ -1,10 +1,14 @@
+import time
+from concurrent.futures import ThreadPoolExecutor
+from types import SimpleNamespace
+
 import pytest
 
-from tallyport import cli
+from tallyport import cli, session
 from tallyport.operators.sink import OnConflict
 from tallyport.operators.verify import VerifyMode
 from tallyport.plans import jobs
-from tallyport.sources import delimited
+from tallyport.sources import delimited, parquet
 
 DUMP = """SET statement_timeout = 0;
 CREATE TABLE public.things (
@@ -77,6 +81,31 @@ def test_csv_load_policies(spark, store, tmp_path):
     assert (whole.loaded, whole.failed) == (0, 2)
 
 
+def test_loads_at_once_ship_the_library_once():
+    """A context on a cluster refuses a second file of the same name."""
+
+    class Context:
+        def __init__(self):
+            self.sent = []
+
+        def addPyFile(self, path):  # noqa: N802
+            time.sleep(0.1)
+            self.sent.append(path)
+
+    spark = SimpleNamespace(sparkContext=Context())
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda _: session.ship(spark), range(8)))
+    assert len(spark.sparkContext.sent) == 1
+
+
+def test_loads_at_once_register_a_source_once():
+    made = []
+    spark = SimpleNamespace(dataSource=SimpleNamespace(register=lambda source: (time.sleep(0.1), made.append(source))))
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda _: session.register(spark, parquet.RowGroups), range(8)))
+    assert made == [parquet.RowGroups]
+
+
 def test_a_load_that_creates_its_table_reads_every_chunk(spark, tmp_path):
     """What the first chunk is asked for the types must not bound what is loaded."""
     path = tmp_path / "many.csv"
