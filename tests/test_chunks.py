@@ -235,6 +235,15 @@ def test_parquet_row_groups_and_types(spark, tmp_path):
     assert one.first().row.f0 is None
 
 
+def test_records_over_lines_keep_rows_of_no_key_and_of_one_key(spark, tmp_path):
+    from tallyport.plans import registry
+
+    want = [(1, 'a\n"b"', "en", "s"), (1, "again", "en", "s"), (None, "no key", "en", "s"), (2, None, None, "s"), (2, None, None, "s")]
+    spark.createDataFrame(want, "doc_id long, text string, lang string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = registry.queries()["csv_records_over_lines"](spark, str(tmp_path))
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
+
+
 def test_a_lost_row_is_an_error(spark, tmp_path, monkeypatch):
     spark.range(10).write.parquet(str(tmp_path / "p"))
     whole = parquet.chunked
